@@ -5,7 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from captrail.session import ship
+
+from .common import crc_fold, table
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    got = score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return got.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    got = predict(docs, fit(docs))
+    return got.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_langs", "mixture")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import digest, scan
+
+    return digest(scan(table(spark, sf_dir, "documents")))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,5 +38,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {"op8_mixing": op8_mixing}
+def shipped(query):
+    """The query, after workers got the package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
+QUERIES = {f.__name__: shipped(f) for f in (op1_quality, op4_language, op7_secrets)} | {"op8_mixing": op8_mixing}
 SQL: dict[str, str] = {}
