@@ -18,6 +18,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (crc_fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece import encode, load
+
+    return encode(table(spark, sf_dir, "documents"), load(), keep_ids=False)
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language import fit, predict
 
@@ -26,6 +38,18 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_langs", "mixture")
 
 
+def op5_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .windows import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import digest, scan
 
@@ -38,6 +62,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vptree import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def shipped(query):
     """The query, after workers got the package."""
 
@@ -49,5 +85,5 @@ def shipped(query):
     return run
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_quality, op4_language, op7_secrets)} | {"op8_mixing": op8_mixing}
+QUERIES = {f.__name__: shipped(f) for f in (op1_quality, op2_suffixes, op3_sentencepiece, op4_language, op5_windows, op6_top_k, op7_secrets, op9_minhash, op10_nearest)} | {"op8_mixing": op8_mixing}
 SQL: dict[str, str] = {}

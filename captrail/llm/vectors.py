@@ -6,7 +6,7 @@ blocks of queries. Every block of the stated query set meets every shard of its
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -62,5 +62,3 @@ def search_shards(rows: DataFrame, queries: DataFrame, build: Callable, search:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def rows_of(it: Iterator) -> list:
-    return list(it)
