@@ -3,7 +3,7 @@
 1. Of each window of `sparse` sequences of `inner` words, the place of the smallest hash is retained: equal passages
    retain equal places, whatever stands around them. A suffix starts at each retained place.
 2. Suffixes whose first `head` words occur once in the corpus match nothing long enough and are done.
-3. The others are sorted by their words within their head and compared with their neighbours; a match is extended right
+3. The others are sorted by their words within their head and compared with their nearest neighbours; a match is extended right
    and left. Two suffixes that agree on `least` words in all mark that passage in both documents.
 
 A passage of `least` words retains a place among its first `sparse` sequences, after which at least `head` of its words
@@ -112,7 +112,7 @@ def _neighbours(suffixes: DataFrame, least: int, reach: int) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 50, inner: int = 8, sparse: int = 24, head: int = 25,
-                      reach: int = 2, hot: int = 1024) -> DataFrame:
+                      reach: int = 8, hot: int = 1024) -> DataFrame:
     """One row per row of docs that holds a repeated passage: doc_id, n_passages, n_repeated (words), spans (first:end of
     words, end exclusive, comma-joined, disjoint and in order).
 
