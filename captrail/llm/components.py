@@ -16,7 +16,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         out = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return out.filter("u <> v").distinct()
+    return out.filter("u <> v")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -> DataFrame:
@@ -29,7 +29,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
     seen = None
     for _ in range(most_rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e = stored(_star(_star(both, True).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), False), "links")
+        e = stored(_star(_star(both, True), False).distinct(), "links")
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break

@@ -6,10 +6,15 @@
    of their INDEXED smallest values, so a class needs no list under its most frequent ones (prefix filter, rarest first):
    common lines and passages give no long lists. For small sets the filter is exact, for others a miss needs a sketch
    overlap of chance below 1e-9.
-3. Each list links its members to its smallest and to its largest set. Candidates pass the estimate of the union's sketch
-   and are confirmed by exact Jaccard on full sets. Members of a list that are still in different components then meet
-   each other, but for those of its largest component among themselves, so a group of copies costs no pairs within it.
-4. Components of all confirmed links give the result.
+3. Members of a short list meet each other, pass the estimate of the union's sketch and are confirmed by exact Jaccard.
+4. Members of a long list (a group of copies) are compared with its smallest set R only. With a set's cost against R,
+   100 for each shingle of R that it lacks and `percent` for each that it adds, two sets A and B are linked if and only if
+   cost(A) + cost(B) <= (100 - percent) |R| + (100 + percent) m, where m counts the differences from R that A and B share.
+   So sets that are not both linked with R are linked only if they share differences: they meet under their rarest
+   differences (the same prefix filter), not in all pairs. Sets far from R meet each other as in short lists; by the
+   triangle inequality of Jaccard distances a set far from R is not linked with a set near R unless that is in between,
+   and those in between are in both groups.
+5. Components of all confirmed links give the result.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ from .components import components
 from .words import hashes, sequences, words
 
 SKETCH, INDEXED = 48, 32
+#: Members of a list that meet in all pairs.
+SHORT = 16
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -63,34 +70,56 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles binary")
 
 
-def _verified(pairs: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of (a, b, sa, sb) with 100 * intersection >= percent * union, on full sets."""
+COMPARED = "a long, b long, linked boolean, r long, cost long, near boolean, far boolean, diff array<long>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fine = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                fine.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(fine, pa.bool_()))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """COMPARED of (a, b, lead): exact Jaccard of full sets; for pairs with a leader a also what sets b apart from it.
 
+    Light rows meet the leader's set first, so a hot leader moves no sets but its own; then b's sets join evenly."""
 
-def _links(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, tag: str) -> DataFrame:
-    """The confirmed ones of the candidate pairs (a, b): length filter and sketch estimate first, then the full sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list] = [[], [], [], [], [], []]
+            for x, y, lead in zip(batch.column("sa"), batch.column("sb"), batch.column("lead").to_pylist(), strict=True):
+                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                union = len(a) + len(b) - shared
+                near = lead and 2 * shared >= union
+                diff = (np.setxor1d(a, b, assume_unique=True) >> np.uint64(1)).view(np.int64) if near else None
+                for c, v in zip(cols, (100 * shared >= percent * union, len(a), 100 * (len(a) - shared) + percent * (len(b) - shared), near, lead and 100 * shared < (50 + 100 - percent) * union, diff), strict=True):
+                    c.append(v)
+            types = (pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=["a", "b", "linked", "r", "cost", "near", "far", "diff"])
+
+    first = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = first.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    return both.select("a", "b", "lead", "sa", "sb").mapInArrow(run, COMPARED)
+
+
+def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow the similarity."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
     p = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    p = p.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     union = F.slice(F.array_sort(F.array_union("ka", "kb")), 1, SKETCH)
-
     shared = F.size(F.array_intersect(F.array_intersect(union, F.col("ka")), F.col("kb")))
-    p = stored(p.filter(shared >= (percent / 100 - 0.45) * F.size(union)).select("a", "b"), f"{tag}-pairs")
-    ids = p.select(F.col("a").alias("doc_id")).union(p.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(_sets(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), size), f"{tag}-sets")
-    both = p.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-    return stored(_verified(both, percent).distinct(), f"{tag}-links")
+    return p.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (shared >= (percent / 100 - 0.45) * F.size(union))).select("a", "b")
+
+
+def _within(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of each list whose sizes allow the similarity."""
+    x, y = (lists.select("value", F.col("rep").alias(i), F.col("n").alias(f"n{i}")) for i in "ab")
+    return x.join(y, "value").filter((F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
+
+
+def _rarest(rows: DataFrame, key: list[str], owner: list[str], item: str, size: str, prefix: str) -> DataFrame:
+    """rows (key + item, owner, size, prefix) with nth (place among the owner's items, rarest first) and short (within the
+    prefix); items that one owner holds count as the rarest and need no row."""
+    often = rows.groupBy(*key, item).agg(F.count("*").alias("df")).filter("df > 1")
+    held = rows.join(often, [*key, item])
+    own = Window.partitionBy(*owner)
+    held = held.withColumns({"nth": F.row_number().over(own.orderBy("df", item)), "common": F.count("*").over(own)})
+    return held.withColumn("short", F.col("nth") <= F.col(prefix) - (F.col(size) - F.col("common")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85) -> DataFrame:
@@ -112,32 +141,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = F.col("n") <= math.floor(INDEXED * percent / 100)
     prefix = size - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
     each = reps.select("rep", "n", prefix.alias("prefix"), size.alias("size"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
-    often = each.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    listed = each.join(often, "value")
-    own = Window.partitionBy("rep")
-    listed = listed.withColumns({"nth": F.row_number().over(own.orderBy("df", "value")), "common": F.count("*").over(own)})
-    lists = stored(listed.filter(F.col("nth") <= F.col("prefix") - (F.col("size") - F.col("common"))).select("value", "rep", "n"), "near-lists")
-
-    # First links: to the smallest and the largest set of each list.
-    ends = lists.groupBy("value").agg(F.min(F.struct("n", "rep"))["rep"].alias("low"), F.max(F.struct("n", "rep"))["rep"].alias("high")).filter("low <> high")
-    first = lists.join(ends, "value").select("rep", F.explode(F.array("low", "high")).alias("end")).filter("rep <> end")
-    first = first.select(F.least("rep", "end").alias("a"), F.greatest("rep", "end").alias("b"))
-    links = _links(first, reps, d, shingle, percent, "near-first")
+    lists = stored(_rarest(each, [], ["rep"], "value", "size", "prefix").filter("short").select("value", "rep", "n"), "near-lists")
+    heads = lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("lead")).filter("m > 1")
+    headed = stored(lists.join(heads, "value"), "near-headed")
+
+    pairs = _promising(_within(headed.filter(F.col("m") <= SHORT).select("value", "rep", "n"), percent), reps, percent).withColumn("lead", F.lit(False))
+    led = headed.filter((F.col("m") > SHORT) & (F.col("rep") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    pairs = stored(pairs.unionByName(led.withColumn("lead", F.lit(True))), "near-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = stored(_sets(d.join(ids, "doc_id", "left_semi").select("doc_id", "text"), shingle), "near-sets")
+    compared = stored(_compared(pairs, sets, percent), "near-compared")
+
+    # Groups of copies with members that are not linked with their leader: pairs by shared differences.
+    near = compared.filter("near")
+    open_groups = near.filter("not linked").select("a").distinct()
+    size = F.size("diff")
+    each = near.join(open_groups, "a").select("a", "b", "linked", size.alias("size"), (size - F.floor(F.col("cost") / (100 + percent))).alias("prefix"), F.explode("diff").alias("e"))
+    apart = stored(_rarest(each, ["a"], ["a", "b"], "e", "size", "prefix").select("a", "b", "e", "linked", "short"), "near-apart")
+    x = apart.filter("not linked").select("a", "e", F.col("b").alias("x"), F.col("short").alias("sx"))
+    y = apart.filter("short").select("a", "e", F.col("b").alias("y"), F.col("linked").alias("ly"))
+    met = x.join(y, ["a", "e"]).filter((F.col("x") != F.col("y")) & (F.col("ly") | (F.col("sx") & (F.col("x") < F.col("y"))))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # Sets far from their leader: pairs among themselves.
+    out = compared.filter("far").select(F.col("a").alias("lead"), F.col("b").alias("rep"))
+    met = met.union(_within(headed.filter(F.col("m") > SHORT).join(out, ["lead", "rep"]).select("value", "rep", "n"), percent))
+    more = stored(_promising(met, reps, percent).withColumn("lead", F.lit(False)), "near-met")
+    links = compared.filter("linked").select("a", "b").union(_compared(more, sets, percent).filter("linked").select("a", "b"))
     label = stored(components(links), "near-labels")
 
-    # Then members of a list in different components, but for pairs within its largest one.
-    at = lists.join(label, lists["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
-    at = stored(at, "near-left")
-    held = at.groupBy("value", "c").agg(F.count("*").alias("m"))
-    big = held.groupBy("value").agg(F.max(F.struct("m", "c"))["c"].alias("big"), F.count("*").alias("parts")).filter("parts > 1").select("value", "big")
-    left = at.join(big, "value")
-    x = left.filter("c <> big").select("value", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("n").alias("nx"), "big")
-    y = left.select("value", F.col("rep").alias("y"), F.col("c").alias("cy"), F.col("n").alias("ny"))
-    near = (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")) & ((F.col("cy") == F.col("big")) | (F.col("x") < F.col("y")))
-    rest = x.join(y, "value").filter(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    more = _links(rest, reps, d, shingle, percent, "near-more")
-    label = stored(components(links.union(more)), "near-labels")
-
     known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("_component"))
     out = rows.select("doc_id", "n", "sig").join(known, rows["sig"] == known["_sig"], "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id"))
