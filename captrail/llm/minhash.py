@@ -115,7 +115,8 @@ def _within(lists: DataFrame, percent: int) -> DataFrame:
 def _rarest(rows: DataFrame, key: list[str], owner: list[str], item: str, size: str, prefix: str) -> DataFrame:
     """rows (key + item, owner, size, prefix) with nth (place among the owner's items, rarest first) and short (within the
     prefix); items that one owner holds count as the rarest and need no row."""
-    often = rows.groupBy(*key, item).agg(F.count("*").alias("df")).filter("df > 1")
+    # Written, so that the join deals both sides anew and Spark can split a hot item's partition.
+    often = stored(rows.groupBy(*key, item).agg(F.count("*").alias("df")).filter("df > 1"), "near-often")
     held = rows.join(often, [*key, item])
     own = Window.partitionBy(*owner)
     held = held.withColumns({"nth": F.row_number().over(own.orderBy("df", item)), "common": F.count("*").over(own)})
@@ -142,7 +143,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prefix = size - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
     each = reps.select("rep", "n", prefix.alias("prefix"), size.alias("size"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
     lists = stored(_rarest(each, [], ["rep"], "value", "size", "prefix").filter("short").select("value", "rep", "n"), "near-lists")
-    heads = lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("lead")).filter("m > 1")
+    heads = stored(lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("lead")).filter("m > 1"), "near-heads")
     headed = stored(lists.join(heads, "value"), "near-headed")
 
     pairs = _promising(_within(headed.filter(F.col("m") <= SHORT).select("value", "rep", "n"), percent), reps, percent).withColumn("lead", F.lit(False))

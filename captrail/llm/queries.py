@@ -86,4 +86,54 @@ def shipped(query):
 
 
 QUERIES = {f.__name__: shipped(f) for f in (op1_quality, op2_suffixes, op3_sentencepiece, op4_language, op5_windows, op6_top_k, op7_secrets, op9_minhash, op10_nearest)} | {"op8_mixing": op8_mixing}
-SQL: dict[str, str] = {}
+_WORDS = "coalesce(regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+'), [])"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL: dict[str, str] = {
+    "op5_windows": f"""
+        with d as (select row_number() over () rid, doc_id, {_WORDS.format("text")} ws from documents),
+        s as (select rid, i, md5(array_to_string(ws[i:i + 34], ' ')) k from (select rid, ws, unnest(range(1, len(ws) - 33)) i from d where len(ws) >= 35)),
+        r as (select rid, i from (select rid, i, count(*) over (partition by k) c from s) where c > 1),
+        gone as (select distinct rid, unnest(range(i, i + 35)) j from r),
+        w as (select rid, unnest(ws) word, unnest(range(1, len(ws) + 1)) j from d),
+        kept as (select rid, count(*) n, string_agg(word, ' ' order by j) t from w anti join gone using (rid, j) group by rid)
+        select doc_id, cast(len(ws) as bigint) n_words, cast(len(ws) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(t, '')) kept_sha256 from d left join kept using (rid)""",
+    "op6_top_k": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) e from embeddings where vec_id is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0)
+        select query_id, cast(r as int) as "rank", vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) r from
+          (select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)) where r <= 5""",
+    "op8_mixing": f"""
+        with d as (select doc_id, source, cast(len({_WORDS.format("text")}) as bigint) size from documents),
+        n as (select count(*) n, coalesce(sum(size), 0)::bigint total, greatest(64, (coalesce(sum(size), 0)::bigint + 65535) // 65536) block from d),
+        s0 as (select source, sum(size)::bigint source_size, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::bigint weight from d group by source),
+        s1 as (select *, cast(3 * source_size as double) cap from s0),
+        s2 as (select *, sum(source_size) over ()::double total, coalesce(sum(cap) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0.0) full_before,
+          sum(weight) over () - coalesce(sum(weight) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0) weight_left from s1),
+        s3 as (select *, (total - full_before) / weight_left::double own, cap <= (total - full_before) / weight_left::double * weight is_full from s2),
+        s4 as (select *, arg_min(own, cap / weight) filter (not is_full) over () level from s3),
+        s5 as (select source, source_size, total, case when is_full or level is null then cap else level * weight end target from s4),
+        marks as (select *, sum(target) over (order by source nulls last rows unbounded preceding) / greatest(total, 1.0) hi from s5),
+        m as (select *, coalesce(lag(hi) over (order by source nulls last), 0.0) lo from marks),
+        slots as (select (i + 1) * 0.6180339887498949::double - floor((i + 1) * 0.6180339887498949::double) u from (select unnest(range((total + block - 1) // block)) i from n)),
+        got as (select m.source, count(*)::bigint slots from slots join m on u >= lo and u < hi group by m.source),
+        k as (select d.*, md5(concat('mix', coalesce(cast(doc_id as varchar), ''))) key from d),
+        b as (select k.*, cast(concat('0x', key[1:8]) as bigint) % greatest(1, (n + 2047) // 2048) bucket, block from k, n),
+        p as (select *, coalesce(sum(size) over (partition by source order by bucket, key, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint start from b),
+        t as (select p.doc_id, p.size, m.source_size, m.target, p.source, p.start, coalesce(got.slots, 0) * p.block reach from p join m on p.source is not distinct from m.source left join got on p.source is not distinct from got.source)
+        select doc_id, size, source_size, target, cast(greatest(0, least(size, reach - start)) + greatest(0, least(size, reach - start - source_size)) + greatest(0, least(size, reach - start - 2 * source_size)) as bigint) taken, source from t""",
+    "op9_minhash": f"""
+        with recursive d as (select doc_id, {_WORDS.format(_LOWER)} ws from documents),
+        sh as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 3 then [ws] else list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2]) end) x from d),
+        n as (select doc_id, count(*) n from sh group by doc_id),
+        e as (select a.doc_id p, b.doc_id q from sh a join sh b on a.x = b.x and a.doc_id <> b.doc_id join n na on na.doc_id = a.doc_id join n nb on nb.doc_id = b.doc_id
+          group by a.doc_id, b.doc_id, na.n, nb.n having 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+        cc as (select doc_id id, doc_id reach from n union select e.q, cc.reach from cc join e on e.p = cc.id and cc.reach < e.q),
+        c as (select id, min(reach) c from cc group by id)
+        select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, coalesce(c.c, d.doc_id) component_id, coalesce(c.c, d.doc_id) is not distinct from d.doc_id kept from d left join n using (doc_id) left join c on c.id = d.doc_id""",
+    "op10_nearest": """
+        with v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) e from embeddings where vec_id is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0)
+        select query_id, cast(r as int) as "rank", vec_id, score from (select *, row_number() over (partition by query_id order by score, vec_id) r from
+          (select q.vec_id query_id, c.vec_id, list_distance(q.e, c.e) score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)) where r <= 10""",
+}

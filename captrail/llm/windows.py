@@ -158,7 +158,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     window - inner + 1 windows, which must be under 63."""
     d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"))
     found = stored(_runs(d, window, inner), "windows-runs")
-    often = found.groupBy("mer").agg(F.count("*").alias("places")).filter("places > 1").select("mer", (F.col("places") > hot).alias("hot"))
+    # Written, so that the join deals both sides anew and Spark can split a hot minimiser's partition.
+    often = stored(found.groupBy("mer").agg(F.count("*").alias("places")).filter("places > 1").select("mer", (F.col("places") > hot).alias("hot")), "windows-often")
     some = found.join(often, "mer").groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "n", "mer", "hot")).alias("runs"))
     some = some.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs")
     packed = stored(_packed(d.join(some, d["doc_id"].eqNullSafe(some["_id"]) & (d["th"] == some["_th"])).select("doc_id", "th", "text", "runs"), window), "windows-packed")
