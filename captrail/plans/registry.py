@@ -1,6 +1,649 @@
-"""Named queries over the driver's tables and their SQL equivalents."""
+"""Named queries over the driver's tables and their SQL equivalents.
+
+Each entry applies library functions to capture pointers, byte spans or events derived from whole tables; the SQL beside
+it states the same result for DuckDB.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from captrail.functions import urls
+from captrail.functions.values import lenient_int
+from captrail.operators import aggregates, audit, index, layout, resolve, search, slices, warc
+from captrail.plans.fixtures import PTR_SQL, REQUESTED_SQL, REV, SPANS_SQL, ptr, read, requested, spans
+from captrail.sources.cdxj import parse_cdxj
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+SHOWN = ["page_id", "collection", "ts", "url", "host_rev", "status", "mime", "warc_filename", "warc_offset", "warc_length"]
+_S = ", ".join(SHOWN)
+_NEW = "collection desc, ts desc, warc_filename, warc_offset, url"
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _sub(key: str) -> str:
+    return f"(host_rev = '{key}' or starts_with(host_rev, '{key},'))"
+
+
+def _ptr(rest: str, more: str = "") -> str:
+    return f"with {PTR_SQL}{', ' + more if more else ''} {rest}"
+
+
+# Searches
+
+@query(_ptr(f"select {_S} from ptr where {_sub('com,example')}"))
+def domain_search(s, d):
+    return search.domain_search(ptr(s, d), "https://www.Example.com/x").select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where host_rev = 'com,example,m,therou'"))
+def domain_search_exact(s, d):
+    return search.domain_search(ptr(s, d), "therou.m.example.com", include_subdomains=False).select(SHOWN)
+
+
+@query(_ptr(f"select {_S}, cast(case when contains(warc_filename, '/warc/') then 4 else 0 end + case when contains(warc_filename, 'crawldiagnostics') then -4 else 0 end + case when status = 200 then 2 else 0 end + case when starts_with(mime, 'text/html') then 1 else 0 end as int) score from ptr where {_sub('com,example')}"))
+def domain_search_ranked(s, d):
+    return search.ranked(search.domain_search(ptr(s, d), "example.com")).select(*SHOWN, "score")
+
+
+@query(_ptr(f"""select {_S} from (select *, row_number() over (partition by collection, shard_file order by {_NEW}) r from
+    (select *, dense_rank() over (partition by collection order by shard_file) f from ptr where {_sub('org')}) where f <= 2) where r <= 5 order by {_NEW} limit 20"""))
+def domain_search_capped(s, d):
+    return search.capped(search.domain_search(ptr(s, d), "org"), max_files=2, max_per_file=5, max_matches=20).select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where {_sub('net,example')} and status = 200 and mime = 'text/html'"))
+def result_filter(s, d):
+    return search.result_filter(search.domain_search(ptr(s, d), "example.net"), " 200", "text/html ").select(SHOWN)
+
+
+@query(_ptr(f"""select 'status' facet, cast(status as varchar) as "value", count(*) n from ptr where {_sub('net,example')} group by status
+    union all select 'mime', mime, count(*) from ptr where {_sub('net,example')} group by mime"""))
+def result_facets(s, d):
+    return search.facets(search.domain_search(ptr(s, d), "example.net"))
+
+
+@query(_ptr(f"""select {_S} from ptr where {_sub('com,example')} order by case when contains(warc_filename, '/warc/') then 4 else 0 end + case when contains(warc_filename, 'crawldiagnostics') then -4 else 0 end
+    + case when status = 200 then 2 else 0 end + case when starts_with(mime, 'text/html') then 1 else 0 end desc, ts desc, {_NEW} limit 10 offset 5"""))
+def result_page(s, d):
+    return search.page(search.domain_search(ptr(s, d), "example.com"), offset=5, size=10).select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where {_sub('org')}"))
+def tld_pattern_search(s, d):
+    return search.tld_search(ptr(s, d), "org").select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where contains(url, 'utm_source')"))
+def url_contains_search(s, d):
+    return search.url_contains(ptr(s, d), "utm_source").select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where starts_with(url, 'https://blog.')"))
+def url_prefix_search(s, d):
+    return search.url_prefix(ptr(s, d), "https://blog.").select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where collection like 'CC-MAIN-2024-%'"))
+def collection_like(s, d):
+    return search.collection_like(ptr(s, d), "CC-MAIN-2024-%").select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where host = 'example.org' or host like '%.example.org'"))
+def host_fallback(s, d):
+    return search.host_fallback(ptr(s, d), "example.org").select(SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where {_sub('com,example')} and collection like 'CC-MAIN-2025-%'"))
+def domain_search_year(s, d):
+    return search.domain_search(ptr(s, d), "example.com", year="2025").select(SHOWN)
+
+
+@query(_ptr(f"select 'example.com' found_by, {_S} from ptr where {_sub('com,example')} union all select 'www.example.org', {_S} from ptr where {_sub('org,example')}"))
+def many_domains(s, d):
+    names = s.createDataFrame([("example.com",), ("www.example.org",), ("none.invalid",)], "domain string")
+    return search.many_domains(ptr(s, d), names).select("found_by", *SHOWN)
+
+
+@query(_ptr(f"select {_S} from ptr where warc_offset >= 0 and warc_length > 0 and warc_filename <> ''"))
+def valid_ranges(s, d):
+    return search.valid_ranges(ptr(s, d)).select(SHOWN)
+
+
+def _catalog(s, d):
+    return ptr(s, d).select(F.col("collection").alias("id"), F.concat(F.lit("Crawl of "), urls.collection_year("collection")).alias("name")).distinct()
+
+
+@query(_ptr("select distinct regexp_extract(collection, 'CC-MAIN-([0-9]{4})', 1) as \"year\" from ptr"))
+def catalog_years(s, d):
+    return search.catalog_years(_catalog(s, d))
+
+
+@query(_ptr("select distinct collection id, concat('Crawl of ', split_part(collection, '-', 3)) as \"name\" from ptr where contains(lower(collection), '2024') or contains(lower(concat('Crawl of ', split_part(collection, '-', 3))), '2024')"))
+def catalog_text_filter(s, d):
+    return search.catalog_search(_catalog(s, d), "2024")
+
+
+# URL batches
+
+_VARIANTS = """parts as (select requested_url, regexp_extract(requested_url, '^(https?)://', 1) sc, regexp_extract(requested_url, '^https?://([^/?#]*)', 1) nl, regexp_extract(requested_url, '^https?://[^/?#]*([^?#]*)', 1) pa,
+    case when regexp_extract(requested_url, '^[^?#]*[?]([^#]*)', 1) = '' then '' else concat('?', regexp_extract(requested_url, '^[^?#]*[?]([^#]*)', 1)) end qu from requested),
+  variants as (select distinct requested_url, v url from (
+    select requested_url, unnest(case when concat(sc, '://', nl, pa, qu) = requested_url then [] else [requested_url] end) v from parts union all
+    select requested_url, replace(concat(s, '://', h, p, qu), '///', '//') from
+      (select *, unnest(case when starts_with(lower(nl), 'www.') then [nl, nl[5:]] else [nl, concat('www.', nl)] end) h from
+        (select *, unnest(case when ends_with(pa, '/') then [pa, rtrim(pa, '/')] else [pa, concat(pa, '/')] end) p from (select *, unnest(['http', 'https']) s from parts)))))"""
+_BATCH = f"{REQUESTED_SQL}, {_VARIANTS}, hits as (select distinct requested_url, {_S} from ptr join variants using (url))"
+
+
+@query(_ptr("select requested_url, url from variants", f"{REQUESTED_SQL}, {_VARIANTS}"))
+def url_variants(s, d):
+    return resolve.with_variants(requested(s, d)).select("requested_url", "url")
+
+
+@query(_ptr(f"select requested_url, {_S} from hits", _BATCH))
+def url_batch_join(s, d):
+    return resolve.url_join(ptr(s, d), requested(s, d)).select("requested_url", *SHOWN)
+
+
+@query(_ptr(f"select requested_url, {_S}, cast(r as int) as \"rank\" from (select *, row_number() over (partition by requested_url order by {_NEW}) r from hits) where r <= 2", _BATCH))
+def url_batch_topk(s, d):
+    return resolve.url_top(ptr(s, d), requested(s, d), 2).select("requested_url", *SHOWN, "rank")
+
+
+@query(_ptr("select r.requested_url, count(h.url) n from requested r left join hits h using (requested_url) group by 1", _BATCH))
+def left_join_requested(s, d):
+    return resolve.resolve(ptr(s, d), requested(s, d), 0).select("requested_url", F.size("captures").cast("long").alias("n"))
+
+
+def _canon(u: str) -> str:
+    net = f"lower(regexp_extract({u}, '^https?://([^/?#]*)', 1))"
+    return f"rtrim(concat(case when starts_with({net}, 'www.') then {net}[5:] else {net} end, case when regexp_extract({u}, '^https?://[^/?#]*([^?#]*)', 1) = '' then '/' else regexp_extract({u}, '^https?://[^/?#]*([^?#]*)', 1) end, case when regexp_extract({u}, '^[^?#]*[?]([^#]*)', 1) = '' then '' else concat('?', regexp_extract({u}, '^[^?#]*[?]([^#]*)', 1)) end), '/')"
+
+
+@query(_ptr(f"select requested_url, {_S} from ptr join requested on {_canon('url')} = {_canon('requested_url')}", REQUESTED_SQL))
+def url_canonical_match(s, d):
+    return resolve.canonical_match(ptr(s, d), requested(s, d)).select("requested_url", *SHOWN)
+
+
+@query(_ptr(f"""select requested_url, {_S}, cast(k as int) as "rank" from (select *, row_number() over (partition by requested_url order by {_NEW}) k from (
+    select requested_url, p.* from (select * from (select *, row_number() over (partition by host_rev order by {_NEW}) n from ptr where host_rev in
+      (select {REV.format("regexp_replace(lower(regexp_extract(requested_url, '^[^:]*://([^/]*)', 1)), '^www[.]', '')")} from requested)) where n <= 20) p
+    join requested on {_canon('url')} = {_canon('requested_url')})) where k <= 2""", REQUESTED_SQL))
+def url_match_by_domain(s, d):
+    return resolve.per_url_cap_by_domain(ptr(s, d), requested(s, d), 2, 20).select("requested_url", *SHOWN, "rank")
+
+
+# Scalar functions over whole columns
+
+@query("select page_id, " + "regexp_replace(split_part(regexp_replace(lower(trim(url)), '^https?://', ''), '/', 1), '^www[.]', '') as \"domain\" from pages")
+def normalize_domain(s, d):
+    return read(s, d, "pages").select("page_id", urls.normalize_domain("url").alias("domain"))
+
+
+@query(_ptr("select page_id, host_rev from ptr"))
+def host_rev(s, d):
+    return read(s, d, "pages").select("page_id", urls.host_to_rev_or_null(urls.extract_host("url")).alias("host_rev"))
+
+
+@query(f"select page_id, {_canon('url')} canonical from pages")
+def canonical_url(s, d):
+    return read(s, d, "pages").select("page_id", urls.canonical_url("url").alias("canonical"))
+
+
+@query("select page_id, lower(regexp_extract(url, 'https?://([^/:]+)', 1)) as \"domain\" from pages")
+def domain_from_url(s, d):
+    return read(s, d, "pages").select("page_id", urls.domain_from_url("url").alias("domain"))
+
+
+@query("select page_id, regexp_replace(regexp_extract(url, '^[^:]*://([^/?#:]*)', 1), '^www[.]', '') as \"domain\" from pages")
+def url_to_domain(s, d):
+    return read(s, d, "pages").select("page_id", urls.url_to_domain("url").alias("domain"))
+
+
+@query(_ptr("select page_id, split_part(collection, '-', 3) as \"year\", cast(split_part(collection, '-', 4) as int) week, cast(shard_file[5:9] as int) shard from ptr"))
+def collection_parts(s, d):
+    return ptr(s, d).select("page_id", urls.collection_year("collection").alias("year"), urls.collection_sort_key("collection")["week"].alias("week"), urls.shard_number("shard_file").alias("shard"))
+
+
+@query(_ptr("select page_id, collection from ptr"))
+def infer_collection(s, d):
+    lost = F.when(F.col("page_id") % 2 == 0, F.lit("")).when(F.col("page_id") % 3 == 0, F.lit(None)).otherwise(F.col("collection"))
+    return ptr(s, d).select("page_id", urls.infer_collection(lost, "warc_filename").alias("collection"))
+
+
+_ODD = "case l_orderkey % 5 when 0 then concat(' ', cast(l_partkey as varchar), ' ') when 1 then '-' when 2 then '' when 3 then concat(cast(l_partkey as varchar), '.5') else concat('-', cast(l_partkey as varchar)) end"
+
+
+@query(f"select l_orderkey, l_linenumber, case when regexp_full_match(trim({_ODD}), '[+-]?[0-9]+') then cast(trim({_ODD}) as bigint) end as \"value\" from lineitem")
+def lenient_integer(s, d):
+    k, v = F.col("l_orderkey") % 5, F.col("l_partkey").cast("string")
+    odd = F.when(k == 0, F.concat(F.lit(" "), v, F.lit(" "))).when(k == 1, "-").when(k == 2, "").when(k == 3, F.concat(v, F.lit(".5"))).otherwise(F.concat(F.lit("-"), v))
+    return read(s, d, "lineitem").select("l_orderkey", "l_linenumber", lenient_int(odd).alias("value"))
+
+
+@query(_ptr("select page_id, concat('https://data.example/', warc_filename) url from ptr"))
+def warc_url(s, d):
+    return ptr(s, d).select("page_id", urls.warc_url("warc_filename", "https://data.example/").alias("url"))
+
+
+# Index tables
+
+_POS = "pos as (select *, row_number() over (partition by collection, shard_file order by host_rev, url, ts, warc_offset) - 1 as ri from ptr)"
+_GROUPED = f"{_POS}, g as (select *, ri // 4 rg from pos)"
+
+
+def _groups(s, d):
+    return index.positions(ptr(s, d)).withColumn("row_group", F.expr("row_index div 4"))
+
+
+@query(_ptr("select collection, shard_file, host_rev, min(host) host, split_part(collection, '-', 3) as \"year\" from ptr group by collection, shard_file, host_rev"))
+def domain_shards_distinct(s, d):
+    return index.domain_shards(ptr(s, d))
+
+
+@query(_ptr("select host_rev, min(host) host, count(distinct (collection, shard_file)) shards from ptr group by host_rev"))
+def domains_listing(s, d):
+    return index.domains_listing(index.domain_shards(ptr(s, d)))
+
+
+@query(_ptr(f"select distinct collection, shard_file from ptr where {_sub('com,example')}"))
+def shards_of_domain(s, d):
+    return index.shards_of(index.domain_shards(ptr(s, d)), "com,example")
+
+
+@query(_ptr("select collection, shard_file, lower(regexp_extract(url, 'https?://([^/:]+)', 1)) as \"domain\", min(n) - 1 row_offset, count(*) row_count from (select *, row_number() over (partition by collection, shard_file order by lower(regexp_extract(url, 'https?://([^/:]+)', 1)), url, warc_offset) n from ptr) group by 1, 2, 3"))
+def domain_pointers_rank(s, d):
+    return index.domain_pointers(ptr(s, d))
+
+
+@query(_ptr("select collection, shard_file, rg row_group, host_rev as \"domain\", min(ri) start_row, max(ri) end_row, count(*) domain_count from g group by 1, 2, 3, 4", _GROUPED))
+def domain_rows(s, d):
+    return index.domain_rows(_groups(s, d).withColumnRenamed("host_rev", "domain"), ["collection", "shard_file", "row_group"])
+
+
+@query(_ptr("select collection, shard_file, host_rev, count(*) n from ptr group by 1, 2, 3"))
+def domain_url_count(s, d):
+    return index.url_counts(ptr(s, d))
+
+
+_ZONES = f"{_GROUPED}, z as (select collection, shard_file, rg row_group, min(host_rev) min_key, max(host_rev) max_key, count(*) n_rows from g group by 1, 2, 3)"
+
+
+def _zones(s, d):
+    return index.zone_map(_groups(s, d), ["collection", "shard_file", "row_group"])
+
+
+@query(_ptr("select * from z", _ZONES))
+def zone_map(s, d):
+    return _zones(s, d)
+
+
+@query(_ptr("select * from z where 'com,example,m,therou' between min_key and max_key", _ZONES))
+def zone_point_lookup(s, d):
+    return index.zone_point(_zones(s, d), "com,example,m,therou")
+
+
+@query(_ptr("select * from z where min_key < 'net,example-' and max_key >= 'net,example'", _ZONES))
+def zone_subtree_lookup(s, d):
+    return index.zone_subtree(_zones(s, d), "net,example")
+
+
+@query(_ptr("""select collection, shard_file, sum(case when nx >= max_key then 1 else 0 end)::bigint ok, sum(case when nx < max_key then 1 else 0 end)::bigint bad, 0::bigint as "unknown"
+    from (select *, lead(min_key) over (partition by collection, shard_file order by row_group) nx from z) group by 1, 2""", _ZONES))
+def zone_boundary_check(s, d):
+    return index.boundary_check(_zones(s, d), ["collection", "shard_file"], "row_group")
+
+
+_RUNS = f"""{_GROUPED}, f as (select *, case when host_rev = lag(host_rev) over (partition by collection, shard_file, rg order by ri) then 0 else 1 end nw from g),
+    i as (select *, sum(nw) over (partition by collection, shard_file, rg order by ri) isle from f)"""
+
+
+@query(_ptr("select collection, shard_file, rg row_group, min(host_rev) host_rev, min(ri) row_start, max(ri) + 1 row_end from i group by collection, shard_file, rg, isle", _RUNS))
+def host_segments(s, d):
+    return index.segments(_groups(s, d), ["collection", "shard_file", "row_group"], "row_index")
+
+
+_RUN_LEN = f"{_POS}, r as (select collection, shard_file, host_rev, count(*) run_len from pos group by 1, 2, 3)"
+
+
+@query(_ptr("select collection, shard_file, host_rev, run_len from r", _RUN_LEN))
+def run_lengths(s, d):
+    return index.run_lengths(index.positions(ptr(s, d)), ["collection", "shard_file"], "row_index").select("collection", "shard_file", "host_rev", "run_len")
+
+
+@query(_ptr("select quantile_disc(run_len, 0.5) p50, quantile_disc(run_len, 0.9) p90, quantile_disc(run_len, 0.99) p99, median(run_len) median, min(run_len) least, max(run_len) most from r", _RUN_LEN))
+def run_length_percentile(s, d):
+    return aggregates.percentiles(run_lengths(s, d), "run_len", [0.5, 0.9, 0.99])
+
+
+@query(_ptr("select count(*) runs, quantile_disc(run_len, 0.9) target_run, cast(10000 as bigint) as \"rows\" from r", _RUN_LEN))
+def row_group_advice(s, d):
+    return index.row_group_advice(run_lengths(s, d), 2000.0)
+
+
+@query(_ptr("select k as \"rows\", avg(ceil(run_len / k) * (k * 120.0 + 2097152)) as cost from r, (select unnest([10000, 20000, 30000, 50000, 75000, 100000, 150000, 200000, 300000]) k) group by k", _RUN_LEN))
+def row_group_cost(s, d):
+    return index.row_group_cost(run_lengths(s, d), 120.0)
+
+
+@query(_ptr("select collection, shard_file, sum(case when host_rev < b then 1 else 0 end)::bigint inversions, count(*) checked from (select *, lag(host_rev) over (partition by collection, shard_file order by page_id) b from ptr) group by 1, 2"))
+def sort_inversions(s, d):
+    return index.inversions(ptr(s, d), ["collection", "shard_file"], "page_id")
+
+
+_YEAR = """y as (select collection, split_part(collection, '-', 3) as "year", count(*) total_shards, sum(r)::bigint total_rows, sum(dd)::bigint total_domains from
+    (select collection, shard_file, count(*) r, count(distinct host_rev) dd from ptr group by 1, 2) group by 1, 2)"""
+
+
+@query(_ptr("select y.*, distinct_domains from y join (select collection, count(distinct host_rev) distinct_domains from ptr group by 1) using (collection)", _YEAR))
+def registry_year(s, d):
+    return index.registry_year(ptr(s, d))
+
+
+@query(_ptr("select \"year\", count(*) collections, sum(total_shards)::bigint total_shards, sum(total_rows)::bigint total_rows, sum(total_domains)::bigint total_domains from y group by 1", _YEAR))
+def registry_master(s, d):
+    return index.registry_master(index.registry_year(ptr(s, d)))
+
+
+_FILES = """old as (select concat('f/', cast(o_orderkey as varchar)) path, cast(o_custkey as bigint) size_bytes, cast(o_orderkey * 1000 as bigint) mtime_ns from orders where o_orderkey % 11 <> 0),
+    new as (select concat('f/', cast(o_orderkey as varchar)) path, cast(o_custkey + case when o_orderkey % 7 = 0 then 1 else 0 end as bigint) size_bytes, cast(o_orderkey * 1000 as bigint) mtime_ns from orders where o_orderkey % 13 <> 0)"""
+
+
+def _files(s, d):
+    o = read(s, d, "orders")
+    k = F.col("o_orderkey")
+    cols = lambda size: [F.concat(F.lit("f/"), k.cast("string")).alias("path"), size.cast("long").alias("size_bytes"), (k * 1000).cast("long").alias("mtime_ns")]
+    return o.filter(k % 11 != 0).select(*cols(F.col("o_custkey"))), o.filter(k % 13 != 0).select(*cols(F.col("o_custkey") + F.when(k % 7 == 0, 1).otherwise(0)))
+
+
+@query(f"with {_FILES} select coalesce(o.path, n.path) path, case when n.path is null then 'missing' when o.path is null then 'extra' when o.size_bytes = n.size_bytes and o.mtime_ns = n.mtime_ns then 'same' else 'changed' end state from old o full join new n on o.path = n.path")
+def fingerprint_diff(s, d):
+    return index.fingerprint_diff(*_files(s, d))
+
+
+@query(f"with {_FILES} select * from new where path in (select path from old where size_bytes % 2 = 0) union all select * from old where path not in (select path from new)")
+def upsert(s, d):
+    old, new = _files(s, d)
+    part = new.join(old.filter("size_bytes % 2 = 0").select("path"), "path", "left_semi")
+    gone = old.join(new.select("path"), "path", "left_anti")
+    return index.upsert(gone.unionByName(part.withColumn("size_bytes", F.lit(0).cast("long"))), part, ["path"])
+
+
+# Ranges and slices
+
+@query("""with r as (select l_suppkey % 50 k, l_partkey as s, l_partkey + cast(l_quantity as bigint) e from lineitem),
+    f as (select *, case when s <= max(e) over (partition by k order by s, e rows between unbounded preceding and 1 preceding) then 0 else 1 end nw from r),
+    i as (select *, sum(nw) over (partition by k order by s, e rows unbounded preceding) isle from f)
+    select cast(k as bigint) k, min(s) as "start", max(e) as "end", count(*) n from i group by k, isle""")
+def coalesce_ranges(s, d):
+    r = read(s, d, "lineitem").select((F.col("l_suppkey") % 50).cast("long").alias("k"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end"))
+    return slices.coalesce_ranges(r, "k")
+
+
+_SLICES = """with recursive {SPANS}, p as (select *, row_number() over (partition by w order by o, l) rn from spans),
+    r as (select w, rn, o, l, o s, o + l - 1 e, 1 sid from p where rn = 1 union all
+      select p.w, p.rn, p.o, p.l, case when k then r.s else p.o end, case when k then greatest(r.e, p.o + p.l - 1) else p.o + p.l - 1 end, case when k then sid else sid + 1 end
+      from r join p on p.w = r.w and p.rn = r.rn + 1, lateral (select p.o - r.e - 1 <= 512 and greatest(r.e, p.o + p.l - 1) - r.s + 1 <= 4096) t(k)),
+    sl as (select w, sid, min(s) slice_start, max(e) slice_end, cast(count(*) as int) member_count from r group by w, sid) """.replace("{SPANS}", SPANS_SQL)
+
+
+def _plan(s, d, least=0):
+    return slices.slice_plan(spans(s, d), 512, 4096, least)
+
+
+@query(_SLICES + "select w, slice_start, slice_end, slice_end - slice_start + 1 slice_len, member_count from sl")
+def slice_plan(s, d):
+    return _plan(s, d).drop("members")
+
+
+@query(_SLICES + "select w, slice_start, greatest(slice_end, slice_start + 2047) slice_end, greatest(slice_end, slice_start + 2047) - slice_start + 1 slice_len, member_count from sl")
+def slice_plan_min_size(s, d):
+    return _plan(s, d, 2048).drop("members")
+
+
+@query(_SLICES + "select r.w, slice_start, slice_end, o, l from r join sl on r.w = sl.w and r.sid = sl.sid")
+def slice_members(s, d):
+    return slices.slice_members(_plan(s, d))
+
+
+@query(f"""with {SPANS_SQL}, f as (select *, case when o - max(o + l - 1) over (partition by w order by o, l rows between unbounded preceding and 1 preceding) - 1 > 512 then 1 else 0 end nw from spans),
+    i as (select *, sum(nw) over (partition by w order by o, l rows unbounded preceding) isle from f)
+    select w, min(o) slice_start, max(o + l - 1) slice_end, max(o + l - 1) - min(o) + 1 slice_len, cast(count(*) as int) member_count from i group by w, isle""")
+def slice_plan_no_cap(s, d):
+    return slices.slice_plan(spans(s, d), 512, 0).drop("members")
+
+
+@query(_ptr("select warc_filename, count(*) captures, sum(warc_length)::bigint bytes, min(warc_offset) first_offset, max(warc_offset + warc_length) last_end from ptr group by 1"))
+def warc_summary(s, d):
+    return slices.warc_summary(ptr(s, d))
+
+
+@query(_ptr("select warc_filename, count(*) captures, sum(warc_length)::bigint bytes, min(warc_offset) first_offset, max(warc_offset + warc_length) last_end from ptr group by 1 having count(*) >= 2 order by bytes desc, warc_filename limit 15"))
+def warc_candidates(s, d):
+    return slices.warc_candidates(ptr(s, d), "bytes", 2, 15)
+
+
+# Aggregates, sets, audits
+
+@query("select props as error, count(*) n from events where event_type = 'error' group by 1 order by n desc, error limit 10")
+def error_topn(s, d):
+    return aggregates.error_top(read(s, d, "events").filter("event_type = 'error'").withColumnRenamed("props", "error"), 10)
+
+
+@query("select event_type, cast(floor(min(x)) as bigint) min_s, cast(floor(max(x)) as bigint) max_s, count(*) n from (select event_type, epoch(date_trunc('second', ts + to_seconds(event_id % 90))) - epoch(date_trunc('second', ts)) x from events) group by 1")
+def durations(s, d):
+    e = read(s, d, "events").withColumn("ended", F.expr("ts + make_dt_interval(0, 0, 0, event_id % 90)"))
+    return aggregates.durations(e, "event_type", "ts", "ended").drop("avg_s")
+
+
+@query("select user_id, arg_min(event_type, event_id) event_type, arg_min(props, event_id) props from events group by 1")
+def first_row_wins(s, d):
+    return aggregates.first_row_wins(read(s, d, "events"), ["user_id"], "event_id", ["event_type", "props"])
+
+
+@query(_ptr("select host_rev, array_to_string(list_sort(list(distinct url)), ' ') urls from ptr group by 1"))
+def url_sets(s, d):
+    return aggregates.url_sets(ptr(s, d), "host_rev", "url").select("host_rev", F.array_join("urls", " ").alias("urls"))
+
+
+@query("select l_suppkey, sum(l_linenumber)::bigint total from lineitem group by 1 having sum(l_linenumber) >= 1500")
+def having_sum(s, d):
+    return aggregates.having_sum(read(s, d, "lineitem"), "l_suppkey", "l_linenumber", 1500)
+
+
+@query("select cast(avg(t) as double) mean_total from (select sum(l_linenumber) t from lineitem group by l_suppkey)")
+def mean_of_sums(s, d):
+    return aggregates.mean_of_sums(read(s, d, "lineitem"), "l_suppkey", "l_linenumber")
+
+
+@query("select coalesce(sum(l_linenumber), 0)::bigint total, count(*) n, max(l_linenumber) most from lineitem where l_suppkey < 0")
+def sum_or_zero(s, d):
+    return aggregates.sum_or_zero(read(s, d, "lineitem").filter("l_suppkey < 0"), "l_linenumber")
+
+
+@query("select l_suppkey, upper_median from (select l_suppkey, l_partkey upper_median, row_number() over (partition by l_suppkey order by l_partkey) r, count(*) over (partition by l_suppkey) n from lineitem) where r = n // 2 + 1")
+def upper_median(s, d):
+    return aggregates.upper_median(read(s, d, "lineitem"), "l_suppkey", "l_partkey")
+
+
+_SIDES = "a as (select distinct host_rev from ptr where page_id % 3 <> 0), b as (select distinct host_rev from ptr where page_id % 5 <> 0)"
+
+
+@query(_ptr("select coalesce(a.host_rev, b.host_rev) host_rev, case when b.host_rev is null then 'missing' when a.host_rev is null then 'extra' else 'common' end side from a full join b on a.host_rev = b.host_rev", _SIDES))
+def key_sets(s, d):
+    p = ptr(s, d)
+    return aggregates.key_sets(p.filter("page_id % 3 <> 0"), p.filter("page_id % 5 <> 0"), ["host_rev"])
+
+
+@query(_ptr("select host_rev from a except select host_rev from b", _SIDES))
+def completeness_missing(s, d):
+    p = ptr(s, d)
+    return audit.gaps(p.filter("page_id % 3 <> 0").select("host_rev").distinct(), p.filter("page_id % 5 <> 0"), ["host_rev"])
+
+
+@query(_ptr("select host_rev from b except select host_rev from a", _SIDES))
+def completeness_extra(s, d):
+    p = ptr(s, d)
+    return audit.gaps(p.filter("page_id % 5 <> 0").select("host_rev").distinct(), p.filter("page_id % 3 <> 0"), ["host_rev"])
+
+
+@query(_ptr(f"select 0::bigint missing, 0::bigint extra, count(distinct (warc_filename, warc_offset)) common from ptr where {_sub('com,example')}"))
+def search_completeness(s, d):
+    p = ptr(s, d)
+    by_index = p.join(index.shards_of(index.domain_shards(p), "com,example"), ["collection", "shard_file"], "left_semi")
+    keys = ["warc_filename", "warc_offset"]
+    return audit.search_completeness(search.domain_search(by_index, "example.com"), search.domain_search(p, "example.com"), keys)
+
+
+_AUDIT = """sh as (select o_orderkey id, concat('C', cast(o_custkey % 20 as varchar)) collection, o_orderkey % 4 = 0 mis, o_orderkey % 3 = 0 cod, abs(o_custkey % 100 * 1000 - 50000) > 12500 rg, case o_orderkey % 5 when 0 then null when 1 then false else true end st from orders),
+    au as (select *, mis or cod or rg or st is null or not st need from sh)"""
+
+
+def _audited(s, d):
+    k = F.col("o_orderkey")
+    shards = read(s, d, "orders").select(
+        k.alias("id"), F.concat(F.lit("C"), (F.col("o_custkey") % 20).cast("string")).alias("collection"),
+        F.when(k % 4 == 0, F.array(F.lit("ts"))).otherwise(F.array().cast("array<string>")).alias("missing_columns"),
+        F.array(F.when(k % 3 == 0, "SNAPPY").otherwise("ZSTD")).alias("codecs"), (F.col("o_custkey") % 100 * 1000).cast("double").alias("median_rows"),
+        F.when(k % 5 == 0, None).when(k % 5 == 1, False).otherwise(True).alias("is_sorted"),
+    )
+    return audit.audit_reasons(shards, target_rows=50000)
+
+
+@query(f"with {_AUDIT} select id, array_to_string(list_filter([case when mis then 'missing_columns' end, case when cod then 'codec' end, case when rg then 'row_group_size' end, case when st is null then 'sort_unknown' when not st then 'unsorted' end], lambda x: x is not null), ',') reasons from au")
+def audit_reasons(s, d):
+    return _audited(s, d).select("id", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query(f"with {_AUDIT} select collection, count(*) shards, count(*) filter (need) to_repair, count(*) filter (mis) n_missing_columns, count(*) filter (cod) n_codec, count(*) filter (rg) n_row_group_size, count(*) filter (not st) n_unsorted, count(*) filter (st is null) n_sort_unknown from au group by 1")
+def repair_plan_counts(s, d):
+    return audit.repair_plan(_audited(s, d))
+
+
+_INV = """inv as (select concat('CC-', cast(o_custkey % 7 as varchar)) collection, concat('cdx-', lpad(cast(o_orderkey % 300 as varchar), 5, '0'), case o_orderkey % 4 when 0 then '.gz' when 1 then '.gz.parquet' when 2 then '.gz.sorted.parquet' else '.gz.parquet.empty' end) as "name" from orders)"""
+
+
+@query(f"""with {_INV} select collection, count(distinct n) filter (regexp_full_match("name", 'cdx-[0-9]+.gz')) downloaded, count(distinct n) filter ("name" like '%.parquet') converted, count(distinct n) filter ("name" like '%.sorted.parquet') sorted,
+    count(distinct n) filter ("name" like '%.empty') as "empty", cast(300 as int) expected, count(distinct n) filter ("name" like '%.sorted.parquet') + count(distinct n) filter ("name" like '%.empty') >= 300 complete from (select *, "name"[1:9] n from inv) group by 1""")
+def collection_stages(s, d):
+    k = F.col("o_orderkey")
+    end = F.when(k % 4 == 0, ".gz").when(k % 4 == 1, ".gz.parquet").when(k % 4 == 2, ".gz.sorted.parquet").otherwise(".gz.parquet.empty")
+    inv = read(s, d, "orders").select(F.concat(F.lit("CC-"), (F.col("o_custkey") % 7).cast("string")).alias("collection"), F.concat(F.lit("cdx-"), F.lpad((k % 300).cast("string"), 5, "0"), end).alias("name"))
+    return audit.completeness(inv)
+
+
+@query("select concat('d/', cast(o_custkey % 9 as varchar)) directory, count(*) items, sum(o_orderkey)::bigint bytes from orders group by 1")
+def directory_usage(s, d):
+    f = read(s, d, "orders").select(F.concat(F.lit("d/"), (F.col("o_custkey") % 9).cast("string"), F.lit("/"), F.col("o_orderkey").cast("string")).alias("path"), F.col("o_orderkey").alias("size_bytes"))
+    return aggregates.directory_usage(f)
+
+
+# Listings
+
+@query(_ptr("select page_id, cast(host_rev || ')/' as varchar) surt, ts, url, host, host_rev, status, mime, digest, warc_filename, warc_offset, warc_length from ptr"))
+def cdxj_parse(s, d):
+    """A CDXJ round trip: pointers written as lines among blank, comment and broken ones, and parsed again."""
+    from captrail.sources.cdxj import to_cdxj
+
+    p = ptr(s, d)
+    lines = to_cdxj(p.withColumn("shard_file", F.col("page_id").cast("string")))
+    noise = lines.select("collection", "shard_file", F.explode(F.array(F.lit(""), F.lit("# note"), F.lit("com,a)/ 20240101000000 {\"status\": \"200\"}"), F.lit("com,a)/ 20240101000000 {bad"))).alias("value"))
+    out = parse_cdxj(lines.unionByName(noise))
+    return out.select(F.col("shard_file").cast("long").alias("page_id"), "surt", "ts", "url", "host", "host_rev", "status", "mime", "digest", "warc_filename", "warc_offset", "warc_length")
+
+
+# Without SQL
+
+@query()
+def sorted_write_roundtrip(s, d):
+    """Pointers written sorted, read again through a partition filter, with the inversions of each file (none)."""
+    from captrail.paths import scratch
+
+    path = f"{scratch(s)}/sorted"
+    layout.write_sorted(ptr(s, d), path, 4)
+    back = s.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return index.inversions(back.filter("year = 2024"), ["file"], "at").select("inversions", "checked")
+
+
+@query()
+def warc_http_extract(s, d):
+    """Each page wrapped as a gzip member with an HTTP response, parsed again."""
+    return warc.extract(_members(s, d), "bytes").select("page_id", "http.ok", "http.http_status", "http.body_mime", "http.body_is_html", F.length("http.body_text_preview").alias("n"), "http.error")
+
+
+@query()
+def chunked_decode(s, d):
+    """The same with chunked bodies."""
+    return warc.extract(_members(s, d, chunked=True), "bytes").select("page_id", "http.ok", F.md5("http.body_text_preview").alias("digest"), "http.error")
+
+
+def _members(s, d, chunked: bool = False) -> DataFrame:
+    import gzip
+
+    import pyarrow as pa
+
+    from captrail.session import ship
+
+    ship(s)
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for html in b.column("html").to_pylist():
+                body = (html or "").encode()
+                if chunked:
+                    half = len(body) // 2
+                    body = b"".join(b"%x\r\n%s\r\n" % (len(x), x) for x in (body[:half], body[half:]) if x) + b"0\r\n\r\n"
+                head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + (b"Transfer-Encoding: chunked\r\n" if chunked else b"") + b"\r\n"
+                rows.append(gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n" + head + body, mtime=0))
+            yield pa.RecordBatch.from_arrays([b.column("page_id"), pa.array(rows, pa.binary())], names=["page_id", "bytes"])
+
+    return read(s, d, "pages").select("page_id", "html").mapInArrow(run, "page_id long, bytes binary")
+
+
+@query()
+def footer_audit(s, d):
+    """The zone audit of the pages table's own files."""
+    from captrail.sources.footers import footers, shard_summary
+
+    return shard_summary(footers(s, f"{d}/pages.parquet", "url"), ["url", "html", "absent"]).drop("path")
+
+
+@query()
+def incremental_ingest(s, d):
+    """Listings ingested by a file stream that ends when all files are done."""
+    from captrail.paths import scratch
+    from captrail.sources.cdxj import to_cdxj
+    from captrail.streaming.ingest import ingest_new
+
+    base = scratch(s)
+    lines = to_cdxj(ptr(s, d)).select(F.concat(F.lit("CC-MAIN-"), F.substring("collection", 9, 7)).alias("c"), "value")
+    for c in ("CC-MAIN-2024-10", "CC-MAIN-2024-18", "CC-MAIN-2025-05"):
+        lines.filter(F.col("c") == c).select("value").write.mode("overwrite").text(f"{base}/in/{c}")
+    ingest_new(s, f"{base}/in", f"{base}/out", f"{base}/state", glob="part-*")
+    return s.read.parquet(f"{base}/out").groupBy("collection").agg(F.count("*").alias("n"))
+
+
+@query()
+def deterministic_sample(s, d):
+    return aggregates.sampled(ptr(s, d), ["page_id"], 100).select("page_id", "url")
+
+
+@query()
+def newest_captures(s, d):
+    w = Window.partitionBy("host_rev").orderBy(*search.newest_first())
+    return ptr(s, d).withColumn("n", F.row_number().over(w)).filter("n = 1").select("host_rev", "url", "ts")
