@@ -128,7 +128,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = stored(_suffixes(kept.withColumnRenamed("_rep", "doc_id"), inner, sparse, head), "suffix-places")
     alone = same.select(F.col("th"), F.col("rep").alias("doc_id"))
     found = found.join(alone, ["th", "doc_id"], "left_semi").distinct()
-    often = found.groupBy("head").agg(F.count("*").alias("places")).filter("places > 1")
+    # Written, so that the join deals both sides anew and Spark can split a hot head's partition.
+    often = stored(found.groupBy("head").agg(F.count("*").alias("places")).filter("places > 1"), "suffix-often")
     some = found.join(often, "head").groupBy("th", "doc_id").agg(F.collect_list(F.struct("head", (F.col("places") > hot).alias("hot"), "at")).alias("places"))
     texts = kept.select(F.col("_rep").alias("doc_id"), "th", "text").join(some, ["th", "doc_id"])
     contexts = stored(_contexts(texts.select("doc_id", "th", "text", "places"), least, head), "suffix-contexts")
