@@ -214,7 +214,7 @@ def url_to_domain(s, d):
     return read(s, d, "pages").select("page_id", urls.url_to_domain("url").alias("domain"))
 
 
-@query(_ptr("select page_id, split_part(collection, '-', 3) as \"year\", cast(split_part(collection, '-', 4) as int) week, cast(shard_file[5:9] as int) shard from ptr"))
+@query(_ptr("select page_id, split_part(collection, '-', 3) as \"year\", cast(split_part(collection, '-', 4) as int) as \"week\", cast(shard_file[5:9] as int) shard from ptr"))
 def collection_parts(s, d):
     return ptr(s, d).select("page_id", urls.collection_year("collection").alias("year"), urls.collection_sort_key("collection")["week"].alias("week"), urls.shard_number("shard_file").alias("shard"))
 
