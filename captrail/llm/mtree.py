@@ -101,12 +101,12 @@ def search(tree: dict, query_id: int, vector: np.ndarray, k: int) -> list[tuple[
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5, scale: float = 256.0,
-          page: int = 48, shard_rows: int = 8192, block_rows: int = 512) -> DataFrame:
+          page: int = 48, shard_rows: int = 8192, block_rows: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score long): exact, for the rows whose id is divisible by every.
 
     Vectors null or with null or non-finite components take no part; vectors of another dimension are not compared.
     With fewer than k other rows all are returned; a row that is alone, or an empty table, gives none. Repeated ids:
-    each row of another id is a candidate of its own."""
+    each row of another id is a candidate of its own. Scores are exact below 2^53."""
     rows = usable(vectors, id_col, vec_col)
     queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
     return search_shards(rows, queries, lambda ids, v: build(ids, v, scale, page), search, k, "long", False, shard_rows, block_rows)

@@ -1,7 +1,8 @@
 """Sharding of vector tables for the per-shard search trees.
 
-Rows are dealt to shards of bounded size by a hash of their id; each shard builds its own tree in one task and answers
-blocks of queries. Every block of the stated query set meets every shard of its dimension through an equi-join.
+Rows are dealt to shards of bounded size by a hash of id and vector, queries to blocks of bounded size by another. Each task
+takes one shard and one block: it builds the shard's tree and answers the block's queries. The stated query set meets all
+rows block by block, through an equi-join of shard and block.
 """
 
 from __future__ import annotations
@@ -36,29 +37,20 @@ def search_shards(rows: DataFrame, queries: DataFrame, build: Callable, search:
     driver. The k best of each shard are merged by a window over k rows per query and shard."""
     n, m = rows.count(), queries.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block_rows))
-    r = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    q = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).cast("int"))
-    # Each block is a row of a few hundred vectors; each shard gets a copy of it.
-    q = q.groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("qs"))
-    q = q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    spread = max(1, min(shards * 2, 4096))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    r = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn("block", every(blocks))
+    q = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", every(shards))
+    key = ["dim", "shard", "block"]
 
-    def per_shard(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def per_shard(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(left) and len(right):
             left = left.sort_values("vec_id")
             tree = build(left["vec_id"].to_numpy(np.int64), matrix(left["v"]))
-            for qs in right["qs"]:
-                for one in qs:
-                    out += [(one["vec_id"], b, s) for s, b in search(tree, one["vec_id"], np.asarray(one["v"], np.float64), k)]
+            for i, v in zip(right["vec_id"].tolist(), right["v"], strict=True):
+                out += [(i, b, s) for s, b in search(tree, i, np.asarray(v, np.float64), k)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = (
-        r.repartition(spread, "dim", "shard").groupBy("dim", "shard")
-        .cogroup(q.repartition(spread, "dim", "shard").groupBy("dim", "shard"))
-        .applyInPandas(per_shard, f"query_id long, vec_id long, score {score_type}")
-    )
+    found = r.groupBy(*key).cogroup(q.groupBy(*key)).applyInPandas(per_shard, f"query_id long, vec_id long, score {score_type}")
     order = Window.partitionBy("query_id").orderBy(F.col("score").asc() if smallest else F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-

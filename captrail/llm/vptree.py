@@ -85,7 +85,7 @@ def search(tree: dict, query_id: int, q: np.ndarray, k: int, factor: float = 1.0
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 100, k: int = 10, factor: float = 1.0,
-            leaf: int = 64, shard_rows: int = 8192, block_rows: int = 512) -> DataFrame:
+            leaf: int = 64, shard_rows: int = 8192, block_rows: int = 8192) -> DataFrame:
     """(query_id, rank, vec_id, score double): the k nearest by Euclidean distance, for the rows whose id is divisible by every.
 
     Vectors null, zero or with null or non-finite components take no part; vectors of another dimension are not compared.
