@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; a temporary one is set only where the session names none (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or _own_dir()
+
+
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:

@@ -7,13 +7,15 @@
    common lines and passages give no long lists. For small sets the filter is exact, for others a miss needs a sketch
    overlap of chance below 1e-9.
 3. Members of a short list meet each other, pass the estimate of the union's sketch and are confirmed by exact Jaccard.
-4. Members of a long list (a group of copies) are compared with its smallest set R only. With a set's cost against R,
-   100 for each shingle of R that it lacks and `percent` for each that it adds, two sets A and B are linked if and only if
-   cost(A) + cost(B) <= (100 - percent) |R| + (100 + percent) m, where m counts the differences from R that A and B share.
-   So sets that are not both linked with R are linked only if they share differences: they meet under their rarest
-   differences (the same prefix filter), not in all pairs. Sets far from R meet each other as in short lists; by the
-   triangle inequality of Jaccard distances a set far from R is not linked with a set near R unless that is in between,
-   and those in between are in both groups.
+4. Members of a long list (a group of copies) meet LEADERS of it, its smallest set and those of the smallest id hashes,
+   so that lists of one group share their leaders. Where members are then still in different components, all meet the
+   list's centre R, the member most similar to the leaders. With cost(A) = 100 for each shingle of R that A lacks and
+   `percent` for each that it adds, A and B are linked if and only if cost(A) + cost(B) <= (100 - percent) |R| +
+   (100 + percent) m, where m counts the differences from R that A and B share. So pairs that are not both linked with
+   R are linked only if they share differences: they meet under their rarest ones (the same prefix filter), not in all
+   pairs, and only if enough of the bits that sum up their differences agree. Members far from R meet each other where the leaders allow it: Jaccard distance is a metric, so linked sets
+   differ by the linking distance at most in their distances from any set; for the same reason a set far from R is not
+   linked with a near one unless that is in between, and those in between are in both groups.
 5. Components of all confirmed links give the result.
 """
 
@@ -33,8 +35,10 @@ from .components import components
 from .words import hashes, sequences, words
 
 SKETCH, INDEXED = 48, 32
-#: Members of a list that meet in all pairs.
-SHORT = 16
+#: Members of a list that meet in all pairs; leaders by hash of a longer one.
+SHORT, LEADERS = 16, 8
+#: Bits in which differences from a centre are summed up.
+BITS = 512
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -70,40 +74,73 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles binary")
 
 
-COMPARED = "a long, b long, linked boolean, r long, cost long, near boolean, far boolean, diff array<long>"
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, sa, sb). Light rows meet a's set first, so a hot leader moves no sets but its own; then b's join evenly."""
+    first = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    return first.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """COMPARED of (a, b, lead): exact Jaccard of full sets; for pairs with a leader a also what sets b apart from it.
+    """(a, b, linked, j) of the pairs (a, b): exact Jaccard of full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked, j = [], []
+            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                union = len(a) + len(b) - shared
+                linked.append(100 * shared >= percent * union), j.append(shared / union)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(j, pa.float64())], names=["a", "b", "linked", "j"])
+
+    return _with_sets(pairs, sets).mapInArrow(run, "a long, b long, linked boolean, j double")
 
-    Light rows meet the leader's set first, so a hot leader moves no sets but its own; then b's sets join evenly."""
+
+def _against(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked, r, cost, near, far, diff, bits) of the pairs (centre a, b). near: at least a quarter similar, with the
+    differences and their bits (BITS of their hashes); far: less similar than a quarter and the linking distance. Those in
+    between are both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: list[list] = [[], [], [], [], [], []]
-            for x, y, lead in zip(batch.column("sa"), batch.column("sb"), batch.column("lead").to_pylist(), strict=True):
+            rows = []
+            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
                 a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 shared = len(np.intersect1d(a, b, assume_unique=True))
                 union = len(a) + len(b) - shared
-                near = lead and 2 * shared >= union
+                near = 4 * shared >= union
                 diff = (np.setxor1d(a, b, assume_unique=True) >> np.uint64(1)).view(np.int64) if near else None
-                for c, v in zip(cols, (100 * shared >= percent * union, len(a), 100 * (len(a) - shared) + percent * (len(b) - shared), near, lead and 100 * shared < (50 + 100 - percent) * union, diff), strict=True):
-                    c.append(v)
-            types = (pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=["a", "b", "linked", "r", "cost", "near", "far", "diff"])
+                bits = np.packbits(np.bincount(diff % BITS, minlength=BITS) > 0).view(np.int64) if near else None
+                rows.append((100 * shared >= percent * union, len(a), 100 * (len(a) - shared) + percent * (len(b) - shared), near, 100 * shared < (125 - percent) * union, diff, bits))
+            cells = list(zip(*rows, strict=True)) or [()] * 7
+            types = (pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, t) for c, t in zip(cells, types, strict=True)]], names=["a", "b", "linked", "r", "cost", "near", "far", "diff", "bits"])
+
+    return _with_sets(pairs, sets).mapInArrow(run, "a long, b long, linked boolean, r long, cost long, near boolean, far boolean, diff array<long>, bits array<long>")
+
+
+def _too_far(a, b, width: float, sure: float):
+    """Whether similarities a and b to one leader rule out a link; negative ones are only known to be under sure."""
+    return ((a >= 0) & (b >= 0) & (F.abs(a - b) > width)) | ((a < 0) & (b > sure + width)) | ((b < 0) & (a > sure + width))
 
-    first = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
-    both = first.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    return both.select("a", "b", "lead", "sa", "sb").mapInArrow(run, COMPARED)
 
+def _leaders(long: DataFrame) -> DataFrame:
+    """(value, lead): per list the ids of the LEADERS smallest hashes and the smallest set; each minimum is partly taken
+    before the shuffle, so long lists are not gathered."""
+    key = F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("lead"))
+    buckets = [F.min(F.when(F.pmod(F.xxhash64(F.lit(i), "rep"), F.lit(LEADERS)) == i, key)).alias(f"l{i}") for i in range(LEADERS)]
+    each = long.groupBy("value").agg(*buckets, F.min("smallest").alias("smallest"))
+    return each.select("value", F.explode(F.array_distinct(F.array("smallest", *[F.col(f"l{i}.lead") for i in range(LEADERS)]))).alias("lead")).filter("lead is not null")
 
-def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches allow the similarity."""
+
+def _promising(pairs: DataFrame, reps: DataFrame, percent: int, sized: bool = True) -> DataFrame:
+    """The pairs (a, b) whose sketches, and sizes if asked for, allow the similarity."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
     p = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("ka", "kb")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect(union, F.col("ka")), F.col("kb")))
-    return p.filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (shared >= (percent / 100 - 0.45) * F.size(union))).select("a", "b")
+    fine = shared >= (percent / 100 - 0.45) * F.size(union)
+    return p.filter(fine & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) if sized else fine).select("a", "b")
 
 
 def _within(lists: DataFrame, percent: int) -> DataFrame:
@@ -143,30 +180,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prefix = size - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
     each = reps.select("rep", "n", prefix.alias("prefix"), size.alias("size"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
     lists = stored(_rarest(each, [], ["rep"], "value", "size", "prefix").filter("short").select("value", "rep", "n"), "near-lists")
-    heads = stored(lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("lead")).filter("m > 1"), "near-heads")
-    headed = stored(lists.join(heads, "value"), "near-headed")
-
-    pairs = _promising(_within(headed.filter(F.col("m") <= SHORT).select("value", "rep", "n"), percent), reps, percent).withColumn("lead", F.lit(False))
-    led = headed.filter((F.col("m") > SHORT) & (F.col("rep") != F.col("lead"))).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = stored(pairs.unionByName(led.withColumn("lead", F.lit(True))), "near-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sized = stored(lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("smallest")).filter("m > 1"), "near-sized")
+    short = lists.join(sized.filter(F.col("m") <= SHORT), "value").select("value", "rep", "n")
+    long = stored(lists.join(sized.filter(F.col("m") > SHORT), "value").select("value", "rep", "n", "smallest"), "near-long")
+
+    # The leaders of each long list: partial minima of id hashes, one at a time, then the smallest set.
+    leaders = stored(_leaders(long), "near-leaders")
+    led = long.select("value", "rep").join(leaders, "value").filter(F.col("lead") != F.col("rep")).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    led = stored(led, "near-led")
+    pairs = stored(_promising(_within(short, percent).union(led), reps, percent, sized=False), "near-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(long.select(F.col("rep").alias("doc_id"))).distinct()
     sets = stored(_sets(d.join(ids, "doc_id", "left_semi").select("doc_id", "text"), shingle), "near-sets")
     compared = stored(_compared(pairs, sets, percent), "near-compared")
+    links = compared.filter("linked").select("a", "b")
+    label = stored(components(links), "near-labels")
 
-    # Groups of copies with members that are not linked with their leader: pairs by shared differences.
-    near = compared.filter("near")
-    open_groups = near.filter("not linked").select("a").distinct()
+    # What each member knows: its similarity to leaders, -1 where the estimate was too low for an exact one.
+    told = led.join(compared, ["a", "b"], "left").select("b", F.struct("a", F.coalesce("j", F.lit(-1.0)).alias("j")).alias("s"))
+    told = told.union(leaders.select(F.col("lead").alias("b"), F.struct(F.col("lead").alias("a"), F.lit(1.0).alias("j")).alias("s")).distinct())
+    told = told.groupBy("b").agg(F.map_from_entries(F.collect_list("s")).alias("told"))
+    at = long.join(label, long["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    at = stored(at.join(told, at["rep"] == told["b"]).drop("b"), "near-left")
+    parts = at.groupBy("value", "c").agg(F.count("*").alias("m")).groupBy("value").agg(F.max(F.struct("m", "c"))["c"].alias("big"), F.count("*").alias("parts"))
+    left = at.join(stored(parts.filter("parts > 1").select("value", "big"), "near-parts"), "value")
+    left = stored(left, "near-open")
+    sum_j = F.aggregate(F.map_values("told"), F.lit(0.0), lambda t, j: t + F.greatest(j, F.lit(0.0)))
+    centres = stored(left.groupBy("value").agg(F.max(F.struct(sum_j, -F.col("rep")))["col2"].alias("centre")).select("value", (-F.col("centre")).alias("centre")), "near-centres")
+    placed = left.join(centres, "value")
+    meet = placed.filter("centre <> rep").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    against = stored(_against(meet, sets, percent), "near-against")
+    comp = at.select(F.col("rep").alias("b"), "c", F.col("n")).distinct()
+    # Near the centre: pairs by shared differences.
     size = F.size("diff")
-    each = near.join(open_groups, "a").select("a", "b", "linked", size.alias("size"), (size - F.floor(F.col("cost") / (100 + percent))).alias("prefix"), F.explode("diff").alias("e"))
-    apart = stored(_rarest(each, ["a"], ["a", "b"], "e", "size", "prefix").select("a", "b", "e", "linked", "short"), "near-apart")
-    x = apart.filter("not linked").select("a", "e", F.col("b").alias("x"), F.col("short").alias("sx"))
-    y = apart.filter("short").select("a", "e", F.col("b").alias("y"), F.col("linked").alias("ly"))
-    met = x.join(y, ["a", "e"]).filter((F.col("x") != F.col("y")) & (F.col("ly") | (F.col("sx") & (F.col("x") < F.col("y"))))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    # Sets far from their leader: pairs among themselves.
-    out = compared.filter("far").select(F.col("a").alias("lead"), F.col("b").alias("rep"))
-    met = met.union(_within(headed.filter(F.col("m") > SHORT).join(out, ["lead", "rep"]).select("value", "rep", "n"), percent))
-    more = stored(_promising(met, reps, percent).withColumn("lead", F.lit(False)), "near-met")
-    links = compared.filter("linked").select("a", "b").union(_compared(more, sets, percent).filter("linked").select("a", "b"))
+    near = against.filter("near").join(comp, "b")
+    ones = F.aggregate("bits", F.lit(0), lambda t, b: t + F.bit_count(b))
+    each = near.select("a", "b", "c", "n", "linked", "r", "cost", "bits", (size - ones).alias("extra"), size.alias("size"), (size - F.floor(F.col("cost") / (100 + percent))).alias("prefix"), F.explode("diff").alias("e"))
+    apart = stored(_rarest(each, ["a"], ["a", "b"], "e", "size", "prefix").select("a", "b", "c", "n", "e", "linked", "short", "r", "cost", "bits", "extra"), "near-apart")
+    side = lambda x: [F.col(k).alias(f"{k}{x}") for k in ("b", "c", "n", "linked", "short", "r", "cost", "bits", "extra")]
+    # No more differences can be shared than common bits, and those that have no bit of their own.
+    common = F.aggregate(F.zip_with("bitsx", "bitsy", lambda a, b: F.bit_count(a.bitwiseAND(b))), F.lit(0), lambda t, b: t + b) + F.least("extrax", "extray")
+    enough = (100 + percent) * common >= F.col("costx") + F.col("costy") - (100 - percent) * F.col("rx")
+    alike = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    once = F.col("linkedy") | (F.col("shortx") & (F.col("bx") < F.col("by")))
+    by_diff = apart.filter("not linked").select("a", "e", *side("x")).join(apart.filter("short").select("a", "e", *side("y")), ["a", "e"]).filter((F.col("cx") != F.col("cy")) & alike & once & enough)
+    met = by_diff.select(F.least("bx", "by").alias("a"), F.greatest("bx", "by").alias("b"))
+    # Far from it: pairs that the leaders allow.
+    width, sure = 1 - percent / 100 + 1e-9, percent / 100 - 0.2  # a pair under the estimate's limit is surely less similar than sure
+    away = placed.join(against.filter("far").select(F.col("a").alias("centre"), F.col("b").alias("rep")), ["centre", "rep"])
+    x, y = (away.select("value", *[F.col(k).alias(f"{k}{i}") for k in ("rep", "c", "n", "told")]) for i in "xy")
+    ruled_out = F.exists(F.map_entries("toldx"), lambda s: _too_far(s["value"], F.element_at(F.col("toldy"), s["key"]), width, sure))
+    met = met.union(x.join(y, "value").filter((F.col("repx") < F.col("repy")) & (F.col("cx") != F.col("cy")) & alike & ~F.coalesce(ruled_out, F.lit(False))).select(F.col("repx").alias("a"), F.col("repy").alias("b")))
+    more = stored(_promising(met, reps, percent), "near-met")
+    links = links.union(against.filter("linked").select("a", "b")).union(_compared(more, sets, percent).filter("linked").select("a", "b"))
     label = stored(components(links), "near-labels")
 
     known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("_component"))
