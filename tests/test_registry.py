@@ -14,7 +14,7 @@ def rows(df: pd.DataFrame) -> list:
     df = df[sorted(df.columns)]
     out = []
     for r in df.itertuples(index=False, name=None):
-        out.append(tuple("null" if v is None or (isinstance(v, float) and v != v) else f"{float(v):.9g}" if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r))
+        out.append(tuple("null" if pd.isna(v) else f"{float(v):.9g}" if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v) for v in r))
     return sorted(out)
 
 
