@@ -135,5 +135,5 @@ SQL: dict[str, str] = {
         with v as (select vec_id, list_transform(embedding, lambda x: cast(x as double)) e from embeddings where vec_id is not null and embedding is not null
           and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0)
         select query_id, cast(r as int) as "rank", vec_id, score from (select *, row_number() over (partition by query_id order by score, vec_id) r from
-          (select q.vec_id query_id, c.vec_id, list_distance(q.e, c.e) score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)) where r <= 10""",
+          (select q.vec_id query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda a, b: a + b)) score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)) where r <= 10""",
 }

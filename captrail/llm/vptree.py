@@ -24,6 +24,11 @@ def distances(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt((d * d).sum(axis=-1))
 
 
+def exact(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Distances with the squares summed in order, so that every engine that does so has the same last digit."""
+    return np.sqrt(np.cumsum((rows - q) ** 2, axis=1)[:, -1]) if rows.size else np.zeros(len(rows))
+
+
 def build(ids: np.ndarray, x: np.ndarray, leaf: int = 64) -> dict:
     """{"nodes": [(vantage, inner radius bounds, outer bounds, inner node, outer node) or (rows,)], ...}; node 0 is the root."""
     nodes: list = []
@@ -52,14 +57,15 @@ def build(ids: np.ndarray, x: np.ndarray, leaf: int = 64) -> dict:
 
 def search(tree: dict, query_id: int, q: np.ndarray, k: int, factor: float = 1.0) -> list[tuple[float, int]]:
     x, ids, nodes = tree["x"], tree["ids"], tree["nodes"]
-    best: list[tuple[float, int]] = []  # a heap whose first is the worst: (-distance, -id)
+    best: list[tuple[float, int, int]] = []  # a heap whose first is the worst: (-distance, -id, row)
 
-    def offer(d: float, v: int) -> None:
-        if v != query_id:
+    def offer(d: float, row: int) -> None:
+        one = (-d, -int(ids[row]), row)
+        if -one[1] != query_id:
             if len(best) < k:
-                heapq.heappush(best, (-d, -v))
-            elif (-d, -v) > best[0]:
-                heapq.heapreplace(best, (-d, -v))
+                heapq.heappush(best, one)
+            elif one > best[0]:
+                heapq.heapreplace(best, one)
 
     heap = [(0.0, 0)]
     while heap:
@@ -74,14 +80,15 @@ def search(tree: dict, query_id: int, q: np.ndarray, k: int, factor: float = 1.0
                 d, rows = d[near], node[0][near]
             else:
                 rows = node[0]
-            for e, v in zip(d.tolist(), ids[rows].tolist(), strict=True):
-                offer(e, v)
+            for e, row in zip(d.tolist(), rows.tolist(), strict=True):
+                offer(e, row)
             continue
         d = float(distances(x[node[0]], q))
-        offer(d, int(ids[node[0]]))
+        offer(d, int(node[0]))
         for (low, high), child in ((node[1], node[3]), (node[2], node[4])):
             heapq.heappush(heap, (max(bound, low - d, d - high), child))
-    return [(-d, -v) for d, v in best]
+    rows = np.array([row for _, _, row in best], np.int64)
+    return list(zip(exact(x[rows], q).tolist(), ids[rows].tolist(), strict=True))
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 100, k: int = 10, factor: float = 1.0,
