@@ -49,9 +49,9 @@ def domain_search(s, d):
     return search.domain_search(ptr(s, d), "https://www.Example.com/x").select(SHOWN)
 
 
-@query(_ptr(f"select {_S} from ptr where host_rev = 'com,example,m,therou'"))
+@query(_ptr(f"select {_S} from ptr where host_rev = 'com,example,therou,m'"))
 def domain_search_exact(s, d):
-    return search.domain_search(ptr(s, d), "therou.m.example.com", include_subdomains=False).select(SHOWN)
+    return search.domain_search(ptr(s, d), "m.therou.example.com", include_subdomains=False).select(SHOWN)
 
 
 @query(_ptr(f"select {_S}, cast(case when contains(warc_filename, '/warc/') then 4 else 0 end + case when contains(warc_filename, 'crawldiagnostics') then -4 else 0 end + case when status = 200 then 2 else 0 end + case when starts_with(mime, 'text/html') then 1 else 0 end as int) score from ptr where {_sub('com,example')}"))
