@@ -160,45 +160,14 @@ def _rarest(rows: DataFrame, key: list[str], owner: list[str], item: str, size:
     return held.withColumn("short", F.col("nth") <= F.col(prefix) - (F.col(size) - F.col("common")))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id, kept.
-
-    Texts are lower-cased in A-Z. Null texts and texts without words have no shingles and are linked with nothing.
-    Rows of one id are judged by their own texts. A row without an id takes the component of the class of its equals if
-    one of these has an id, else null; it is kept if it has none. An empty table gives no rows."""
-    d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
-    rows = stored(sketches(d, shingle), "near-rows")
-    full = rows.filter("n > 0")
-    classes = stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "near-classes")
-    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["doc_id"] == classes["rep"])).select("rep", "n", "sketch").distinct()
-    reps = stored(reps, "near-reps")
-
-    # Lists under the rarest retained values. Values of one class only count as rare but need no list.
-    least = max(1, int(INDEXED * (2 * percent / 100 - 1.33)))
-    size = F.least("n", F.lit(INDEXED))
-    whole = F.col("n") <= math.floor(INDEXED * percent / 100)
-    prefix = size - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
-    each = reps.select("rep", "n", prefix.alias("prefix"), size.alias("size"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
-    lists = stored(_rarest(each, [], ["rep"], "value", "size", "prefix").filter("short").select("value", "rep", "n"), "near-lists")
-    sized = stored(lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("smallest")).filter("m > 1"), "near-sized")
-    short = lists.join(sized.filter(F.col("m") <= SHORT), "value").select("value", "rep", "n")
-    long = stored(lists.join(sized.filter(F.col("m") > SHORT), "value").select("value", "rep", "n", "smallest"), "near-long")
-
-    # The leaders of each long list: partial minima of id hashes, one at a time, then the smallest set.
-    leaders = stored(_leaders(long), "near-leaders")
-    led = long.select("value", "rep").join(leaders, "value").filter(F.col("lead") != F.col("rep")).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    led = stored(led, "near-led")
-    pairs = stored(_promising(_within(short, percent).union(led), reps, percent, sized=False), "near-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(long.select(F.col("rep").alias("doc_id"))).distinct()
-    sets = stored(_sets(d.join(ids, "doc_id", "left_semi").select("doc_id", "text"), shingle), "near-sets")
-    compared = stored(_compared(pairs, sets, percent), "near-compared")
-    links = compared.filter("linked").select("a", "b")
+def _long_links(long: DataFrame, leaders: DataFrame, led: DataFrame, compared: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the links within long lists between members that the links so far leave in different components."""
     label = stored(components(links), "near-labels")
 
     # What each member knows: its similarity to leaders, -1 where the estimate was too low for an exact one.
-    told = led.join(compared, ["a", "b"], "left").select("b", F.struct("a", F.coalesce("j", F.lit(-1.0)).alias("j")).alias("s"))
-    told = told.union(leaders.select(F.col("lead").alias("b"), F.struct(F.col("lead").alias("a"), F.lit(1.0).alias("j")).alias("s")).distinct())
-    told = told.groupBy("b").agg(F.map_from_entries(F.collect_list("s")).alias("told"))
+    told = led.join(compared, ["a", "b"], "left").select("b", "a", F.coalesce("j", F.lit(-1.0)).alias("j"))
+    told = told.union(leaders.select(F.col("lead").alias("b"), F.col("lead").alias("a"), F.lit(1.0).alias("j")))
+    told = told.groupBy("b", "a").agg(F.max("j").alias("j")).groupBy("b").agg(F.map_from_entries(F.collect_list(F.struct("a", "j"))).alias("told"))
     at = long.join(label, long["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
     at = stored(at.join(told, at["rep"] == told["b"]).drop("b"), "near-left")
     parts = at.groupBy("value", "c").agg(F.count("*").alias("m")).groupBy("value").agg(F.max(F.struct("m", "c"))["c"].alias("big"), F.count("*").alias("parts"))
@@ -231,7 +200,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ruled_out = F.exists(F.map_entries("toldx"), lambda s: _too_far(s["value"], F.element_at(F.col("toldy"), s["key"]), width, sure))
     met = met.union(x.join(y, "value").filter((F.col("repx") < F.col("repy")) & (F.col("cx") != F.col("cy")) & alike & ~F.coalesce(ruled_out, F.lit(False))).select(F.col("repx").alias("a"), F.col("repy").alias("b")))
     more = stored(_promising(met, reps, percent), "near-met")
-    links = links.union(against.filter("linked").select("a", "b")).union(_compared(more, sets, percent).filter("linked").select("a", "b"))
+    return against.filter("linked").select("a", "b").union(_compared(more, sets, percent).filter("linked").select("a", "b"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id, kept.
+
+    Texts are lower-cased in A-Z. Null texts and texts without words have no shingles and are linked with nothing.
+    Rows of one id are judged by their own texts. A row without an id takes the component of the class of its equals if
+    one of these has an id, else null; it is kept if it has none. An empty table gives no rows."""
+    d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
+    rows = stored(sketches(d, shingle), "near-rows")
+    full = rows.filter("n > 0")
+    classes = stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "near-classes")
+    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["doc_id"] == classes["rep"])).select("rep", "n", "sketch").distinct()
+    reps = stored(reps, "near-reps")
+
+    # Lists under the rarest retained values. Values of one class only count as rare but need no list.
+    least = max(1, int(INDEXED * (2 * percent / 100 - 1.33)))
+    size = F.least("n", F.lit(INDEXED))
+    whole = F.col("n") <= math.floor(INDEXED * percent / 100)
+    prefix = size - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
+    each = reps.select("rep", "n", prefix.alias("prefix"), size.alias("size"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    lists = stored(_rarest(each, [], ["rep"], "value", "size", "prefix").filter("short").select("value", "rep", "n"), "near-lists")
+    sized = stored(lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("smallest")).filter("m > 1"), "near-sized")
+    short = lists.join(sized.filter(F.col("m") <= SHORT), "value").select("value", "rep", "n")
+    long = stored(lists.join(sized.filter(F.col("m") > SHORT), "value").select("value", "rep", "n", "smallest"), "near-long")
+
+    # The leaders of each long list: partial minima of id hashes, one at a time, then the smallest set.
+    leaders = stored(_leaders(long), "near-leaders")
+    led = long.select("value", "rep").join(leaders, "value").filter(F.col("lead") != F.col("rep")).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
+    led = stored(led, "near-led")
+    pairs = stored(_promising(_within(short, percent).union(led), reps, percent, sized=False), "near-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(long.select(F.col("rep").alias("doc_id"))).distinct()
+    sets = stored(_sets(d.join(ids, "doc_id", "left_semi").select("doc_id", "text"), shingle), "near-sets")
+    compared = stored(_compared(pairs, sets, percent), "near-compared")
+    links = compared.filter("linked").select("a", "b")
+    if not long.isEmpty():
+        links = links.union(_long_links(long, leaders, led, compared, links, reps, sets, percent))
     label = stored(components(links), "near-labels")
 
     known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("_component"))
