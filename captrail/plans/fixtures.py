@@ -54,13 +54,13 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch of wanted URLs: every seventh page, its scheme flipped or a slash or 'www.' put on, and one that no page has."""
-    p = read(spark, sf_dir, "pages").filter("page_id % 7 = 0")
+    """A batch of wanted URLs: every page, its scheme flipped or a slash or 'www.' put on, and one that no page has."""
+    p = read(spark, sf_dir, "pages")
     k = F.col("page_id") % 4
     u = F.when(k == 0, F.regexp_replace("url", "^https:", "http:")).when(k == 1, F.concat("url", F.lit("/"))).when(k == 2, F.regexp_replace("url", "^(https?://)", "$1www.")).otherwise(F.col("url"))
     return p.select(u.alias("requested_url")).union(spark.createDataFrame([("https://nowhere.invalid/",)], "requested_url string")).distinct()
 
 
 REQUESTED_SQL = """requested as (select distinct case page_id % 4 when 0 then regexp_replace(url, '^https:', 'http:') when 1 then concat(url, '/')
-  when 2 then regexp_replace(url, '^(https?://)', '\\1www.') else url end requested_url from pages where page_id % 7 = 0
+  when 2 then regexp_replace(url, '^(https?://)', '\\1www.') else url end requested_url from pages
   union select 'https://nowhere.invalid/')"""
