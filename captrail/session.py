@@ -10,10 +10,16 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+#: Rows of a batch between Spark and Python workers: texts and records are large, so Spark's default would hold too much.
+BATCH_ROWS, SPARK_DEFAULT = "1000", "10000"
 
 
 def ship(spark: SparkSession) -> None:
-    """Gives Python workers this package, as --py-files would: they need not share the driver's folders or search path."""
+    """Gives Python workers this package, as --py-files would: they need not share the driver's folders or search path.
+
+    Batches get BATCH_ROWS rows unless the session has chosen a number of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", SPARK_DEFAULT) == SPARK_DEFAULT:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
