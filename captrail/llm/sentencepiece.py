@@ -168,8 +168,10 @@ class Coder:
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         order = np.argsort(-sizes, kind="stable")
         order = order[np.searchsorted(-sizes[order], -LONGEST) :]
-        for k in np.flatnonzero(sizes > LONGEST).tolist():
+        alone = np.fromiter((p in self.alone for p in parts), bool, len(parts))
+        for k in np.flatnonzero((sizes > LONGEST) | alone).tolist():
             out[k] = self.segment(parts[k])
+        order = order[~alone[order]]
         for at in range(0, len(order), TOGETHER):
             some = order[at : at + TOGETHER]
             self._together(parts, some, sizes[some], out)
