@@ -10,17 +10,19 @@ from captrail.functions import urls
 ORDER = ("host_rev", "url", "ts")
 
 
-def sorted_layout(pointers: DataFrame, partitions: int) -> DataFrame:
-    """Rows dealt in ranges of (host_rev, url), so that a hot host spreads over several files, and sorted, nulls last."""
+def sorted_layout(pointers: DataFrame, partitions: int, folders: tuple[str, ...] = ()) -> DataFrame:
+    """Rows dealt in ranges of (host_rev, url), so that a hot host spreads over several files, and sorted, nulls last.
+
+    Folders of a partitioned write come first in the order, else the writer would sort anew by them alone."""
     order = [F.col(c).asc_nulls_last() for c in ORDER]
-    return pointers.repartitionByRange(partitions, *order[:2]).sortWithinPartitions(*order)
+    return pointers.repartitionByRange(partitions, *order[:2]).sortWithinPartitions(*folders, *order)
 
 
 def write_sorted(pointers: DataFrame, path: str, partitions: int, rows_per_group: int | None = None, bytes_per_row: float = 100.0, bloom: bool = False, codec: str = "zstd") -> None:
     """Parquet below path, by year and collection; Spark's commit makes each write whole or absent.
 
     Parquet sizes row groups in bytes, so rows_per_group is turned into bytes. A bloom filter on url helps URL batches."""
-    out = sorted_layout(pointers.withColumn("year", urls.collection_year("collection")), partitions)
+    out = sorted_layout(pointers.withColumn("year", urls.collection_year("collection")), partitions, ("year", "collection"))
     w = out.write.mode("overwrite").option("compression", codec).partitionBy("year", "collection")
     if rows_per_group:
         w = w.option("parquet.block.size", max(1 << 20, int(rows_per_group * bytes_per_row)))
