@@ -3,8 +3,10 @@
 1. Of each window of `sparse` sequences of `inner` words, the place of the smallest hash is retained: equal passages
    retain equal places, whatever stands around them. A suffix starts at each retained place.
 2. Suffixes whose first `head` words occur once in the corpus match nothing long enough and are done.
-3. The others are sorted by their words within their head and compared with their nearest neighbours; a match is extended right
-   and left. Two suffixes that agree on `least` words in all mark that passage in both documents.
+3. The others meet within their head. Two suffixes that agree on `least` words in all, right and left of their places, mark
+   that passage in both documents. Up to reach + 1 places are compared in all pairs. More are sorted by their words to the
+   right and by those to the left: places that agree in n words are neighbours there, so the classes of equal words of each
+   length are known, and two places share a window if both their classes are equal. No pair is left out.
 
 A passage of `least` words retains a place among its first `sparse` sequences, after which at least `head` of its words
 follow, so sparse + head <= least + 1 must hold. Suffixes carry a bounded context: the retained places within a long
@@ -88,25 +90,63 @@ def agreed(a: list[bytes], b: list[bytes]) -> int:
     return n
 
 
-def _neighbours(suffixes: DataFrame, least: int, reach: int) -> DataFrame:
-    """(doc_id, th, first, last) of suffixes in order within their head: the matches with the reach rows before each."""
+def _classes(keys: list[list[bytes]], longest: int) -> np.ndarray:
+    """classes[n, i]: equal for two lists if and only if both have n words at least and their first n agree, for n up to longest."""
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    # In order of their words, lists that agree in n words are next to each other.
+    same = np.array([-1, *[agreed(keys[i], keys[j]) for i, j in zip(order, order[1:], strict=False)]])
+    out = np.empty((longest + 1, len(keys)), np.int64)
+    out[:, order] = np.cumsum(same < np.arange(longest + 1)[:, None], axis=1)
+    return out
+
+
+def _group(rows: list[tuple], least: int, left: int, reach: int) -> list[tuple]:
+    """(doc_id, th, first, last) of the passages that the places (suffix, prefix, doc_id, th, at) of one head share."""
+    out: list[tuple] = []
+    if len(rows) <= reach + 1:
+        for i, x in enumerate(rows):
+            for y in rows[:i]:
+                after, before = agreed(x[0], y[0]), agreed(x[1], y[1])
+                if after + before >= least:
+                    out += [(z[2], z[3], z[4] - before, z[4] + after) for z in (x, y)]
+        return list(dict.fromkeys(out))
+    # The window with k words before its place is equal where k words before and least - k words from it are.
+    before, after = _classes([r[1] for r in rows], left), _classes([r[0] for r in rows], least)
+    windows = before * (len(rows) + 1) + after[least - np.arange(left + 1)]
+    order = np.argsort(windows, axis=1, kind="stable")
+    ranked = np.take_along_axis(windows, order, 1)
+    equal = np.zeros((left + 1, len(rows) + 1), bool)
+    equal[:, 1:-1] = ranked[:, 1:] == ranked[:, :-1]
+    twice = np.zeros((left + 3, len(rows)), np.int8)
+    np.put_along_axis(twice[1:-1], order, (equal[:, 1:] | equal[:, :-1]).astype(np.int8), 1)
+    # Runs of k give one passage each.
+    step = np.diff(twice, axis=0).T
+    for (i, k), (_, end) in zip(np.argwhere(step == 1).tolist(), np.argwhere(step == -1).tolist(), strict=True):
+        _, _, doc, th, at = rows[i]
+        out.append((doc, th, at - end + 1, at - k + least))
+    return out
+
+
+def _shared(suffixes: DataFrame, least: int, left: int, reach: int) -> DataFrame:
+    """(doc_id, th, first, last) of suffixes in order of their head: the passages that places of one head share, all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, recent = None, []
+        key, rows, out = None, [], []
+
+        def flush() -> pa.RecordBatch:
+            cols = list(zip(*out, strict=True)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["doc_id", "th", "first", "last"])
+
         for b in batches:
-            out: list[tuple] = []
             for head, suffix, prefix, doc, th, at in zip(*[b.column(c).to_pylist() for c in ("head", "suffix", "prefix", "doc_id", "th", "at")], strict=True):
                 if head != key:
-                    key, recent = head, []
-                mine = (suffix.split(b" "), prefix.split(b" ") if prefix else [], doc, th, at)
-                for other in recent:
-                    right, left = agreed(mine[0], other[0]), agreed(mine[1], other[1])
-                    if right + left >= least:
-                        out += [(x[2], x[3], x[4] - left, x[4] + right) for x in (mine, other)]
-                recent = [*recent[-(reach - 1) :], mine] if reach > 1 else [mine]
-            out = list(dict.fromkeys(out))
-            cols = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["doc_id", "th", "first", "last"])
+                    out += _group(rows, least, left, reach)
+                    key, rows = head, []
+                rows.append((suffix.split(b" "), prefix.split(b" ") if prefix else [], doc, th, at))
+            yield flush()
+            out = []
+        out += _group(rows, least, left, reach)
+        yield flush()
 
     return suffixes.mapInArrow(run, "doc_id long, th long, first int, last int")
 
@@ -133,11 +173,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     some = found.join(often, "head").groupBy("th", "doc_id").agg(F.collect_list(F.struct("head", (F.col("places") > hot).alias("hot"), "at")).alias("places"))
     texts = kept.select(F.col("_rep").alias("doc_id"), "th", "text").join(some, ["th", "doc_id"])
     contexts = stored(_contexts(texts.select("doc_id", "th", "text", "places"), least, head), "suffix-contexts")
-    ordered = contexts.filter("not hot").repartition("head").sortWithinPartitions("head", "suffix", "doc_id", "at")
+    ordered = contexts.filter("not hot").repartition("head").sortWithinPartitions("head")
     windows = contexts.filter("hot").select("head", "doc_id", "th", "at").distinct()
     twice = windows.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head")
     marked = windows.join(twice, "head").select("doc_id", "th", F.col("at").alias("first"), (F.col("at") + least).alias("last"))
-    spans = stored(_neighbours(ordered, least, reach).union(marked).distinct(), "suffix-spans")
+    spans = stored(_shared(ordered, least, least - head, reach).union(marked).distinct(), "suffix-spans")
     # Spans of a text: sorted, then joined where they touch.
     merged = F.aggregate(
         F.array_sort(F.collect_list(F.struct("first", "last"))), F.array().cast("array<struct<first:int,last:int>>"),

@@ -83,6 +83,38 @@ def test_suffixes(spark, documents, hot):
         assert i not in got or got[i].n_repeated == c.sum()
 
 
+@pytest.mark.parametrize("shared", [5, 12])
+def test_suffixes_left_partners(spark, shared):
+    """A line of 45 words in 200 documents; pairs of them also share words before it, and only these repeat 50 words."""
+    rng = np.random.default_rng(shared)
+    line = " ".join(f"l{i}" for i in range(45))
+    own = lambda i, n: " ".join(f"r{x}" for x in rng.integers(0, 10**9, n))
+    docs = [(i, f"{own(i, 30)} {' '.join(f's{i // 2}.{j}' if i < 120 else f't{i}.{j}' for j in range(shared))} {line} {own(i, 60)}") for i in range(200)]
+    w, cover = brute.repeats(docs, 50)
+    assert sum(c.any() for c in cover) == 120
+    got = {r.doc_id: r for r in suffixes.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for (i, _), x, c in zip(docs, w, cover, strict=True):
+        assert (spans(got[i].spans if i in got else "", len(x)) == c).all()
+
+
+def test_suffixes_group():
+    """Places of one head in all pairs and by classes mark the same words, with short and empty contexts among them."""
+    rng = np.random.default_rng(5)
+    head = [b"h%d" % i for i in range(25)]
+    tail = lambda n: [b"ab"[k : k + 1] + b"\1" * int(rng.integers(0, 2)) for k in rng.integers(0, 2, n)]
+    stems = [(tail(25), tail(25)) for _ in range(6)]
+    rows = []
+    for i in range(300):
+        right, left = (stems[k][j] for j, k in enumerate(rng.integers(0, 6, 2)))
+        cut, more = rng.integers(0, 26, 2), rng.integers(0, 26, 2)
+        rows.append((head + (right[: cut[0]] + tail(more[0]))[:25], (left[: cut[1]] + tail(more[1]))[:25], i, 0, 1000))
+
+    def covered(found):
+        return {(doc, j) for doc, _, first, last in found for j in range(first, last)}
+
+    assert covered(suffixes._group(rows, 50, 25, 8)) == covered(suffixes._group(rows, 50, 25, 1000)) != set()
+
+
 def test_suffixes_odd(spark, odd):
     got = {r.doc_id: r.n_repeated for r in suffixes.repeated_passages(odd).collect()}
     assert got == {5: 60_000, 9: 60_000}
