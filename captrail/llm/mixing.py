@@ -2,13 +2,14 @@
 
 1. Sources in code-point order (null last) weigh 1, 2, 3, repeating. Shares of all words by weight become targets;
    a target stops at max_repeats times the source's words and the excess is shared anew by weight (water-filling).
-2. Slot i of the schedule has the point frac((i + 1) * golden ratio). The cumulative targets map the point to a source,
-   and slots are ranked within their source.
+2. Slot i of the schedule has the point frac((i + 1) * golden ratio). The cumulative targets map the point to a source.
+   There is a slot for each block of words, and the size of blocks does not grow with the corpus.
 3. Each source's documents, shuffled by a hash of their id, form a stream of words that repeats up to max_repeats
-   times and is cut into blocks of equal size. The slot of rank r takes block r.
+   times and is cut into blocks of equal size. The source's slot of rank r takes block r: n slots take the first n blocks.
+   A source that no slot falls to takes one block, or as much of it as its target.
 
-Ranks and running sums are built in two levels (totals per bucket, then rows within a bucket), so no task holds all
-rows of one source.
+Running sums are built in two levels (totals per bucket, then rows within a bucket), so no task holds all rows of one
+source; slots are counted with partial sums.
 """
 
 from __future__ import annotations
@@ -69,10 +70,10 @@ def running(df: DataFrame, group: list[str], bucket: str, order: list, value: st
     return df.join(totals, cond).withColumn(out, F.col("_before") + F.coalesce(F.sum(value).over(inner), F.lit(0))).drop("_before", *[f"_{g}" for g in [*group, bucket]])
 
 
-def schedule(marks: DataFrame, n_slots: int, slots_per_bucket: int = 1024) -> DataFrame:
-    """(slot, source, known, rank): n_slots slots of the low-discrepancy sequence, ranked within their source."""
+def schedule(marks: DataFrame, n_slots: int, slots_per_task: int) -> DataFrame:
+    """(source, known, slots): how many of n_slots slots of the low-discrepancy sequence fall to each source that has any."""
     spark = marks.sparkSession
-    slots = spark.range(n_slots).select(F.col("id").alias("slot"), ((F.col("id") + 1) * F.lit(GOLDEN)).alias("_x"))
+    slots = spark.range(0, n_slots, 1, max(1, -(-n_slots // slots_per_task))).select(((F.col("id") + 1) * F.lit(GOLDEN)).alias("_x"))
     slots = slots.withColumn("_u", F.col("_x") - F.floor("_x")).withColumn("cell", F.floor(F.col("_u") * CELLS).cast("int"))
     last = F.lit(CELLS - 1)
     grid = marks.filter(F.col("hi") > F.col("lo")).select(
@@ -80,8 +81,7 @@ def schedule(marks: DataFrame, n_slots: int, slots_per_bucket: int = 1024) -> Da
         F.explode(F.sequence(F.least(F.floor(F.col("lo") * CELLS), last).cast("int"), F.least(F.floor(F.col("hi") * CELLS), last).cast("int"))).alias("cell"),
     )
     hit = slots.join(grid, "cell").filter((F.col("_u") >= F.col("lo")) & (F.col("_u") < F.col("hi")))
-    hit = hit.select("slot", F.coalesce("source", F.lit("")).alias("source"), "known", F.floor(F.col("slot") / slots_per_bucket).alias("bucket"), F.lit(1).alias("one"))
-    return running(hit, ["source", "known"], "bucket", [F.col("slot")], "one", "rank").select("slot", "source", "known", "rank")
+    return hit.groupBy(F.coalesce("source", F.lit("")).alias("source"), "known").agg(F.count("*").alias("slots"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_repeats: int = 3,
@@ -89,11 +89,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """One row per row of docs: doc_id, source, size, source_size, target, start (its place in the source's stream), taken.
 
     Null or empty texts have size 0 and taken 0. A null source is a source of its own, the last. Repeated rows are laid
-    out one after the other. An empty table gives no rows. Block size: the words over max_slots, min_block at least, so a
-    source misses its target by about one block. Only the number of rows and of words reach the driver."""
+    out one after the other. An empty table gives no rows. Blocks have min_block words in a corpus of any size, so a source
+    misses its target by a few blocks at most, and none with a target is left out. A task lists max_slots slots at most.
+    Only the number of rows and of words reach the driver."""
     sized = stored(sizes(docs, id_col, text_col, source_col), "mix-sizes")
     n, total = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    block = max(min_block, -(-total // max_slots))
     marks = stored(targets(sized, max_repeats), "mix-targets")
     d = sized.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNotNull().alias("known"), "size",
                      F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_key"))
@@ -101,17 +101,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     d = d.withColumn("_bucket", F.pmod(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long"), F.lit(buckets)))
     d = running(d, ["source", "known"], "_bucket", [F.col("_key"), F.col("doc_id"), F.col("size")], "size", "start")
     m = marks.select(F.coalesce("source", F.lit("")).alias("source"), "known", "source_size", "target")
-    d = d.join(m, ["source", "known"]).select("doc_id", "source", "known", "size", "source_size", "target", "start")
-    slots = schedule(marks, -(-total // block)).select("source", "known", "rank")
-    # A document meets each block that it shares words with, once per repeat of its source's stream.
-    e = d.filter("size > 0").withColumn("_lap", F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))))
-    e = e.withColumn("_from", F.col("start") + F.col("_lap") * F.col("source_size"))
-    e = e.withColumn("rank", F.explode(F.sequence(F.floor(F.col("_from") / block), F.floor((F.col("_from") + F.col("size") - 1) / block))))
-    e = e.withColumn("_part", F.least(F.col("_from") + F.col("size"), (F.col("rank") + 1) * block) - F.greatest(F.col("_from"), F.col("rank") * block))
-    e = e.join(slots.withColumn("_hit", F.lit(1)), ["source", "known", "rank"], "left")
-    keys = ["doc_id", "source", "known", "size", "source_size", "target", "start"]
-    out = e.groupBy(*keys).agg(F.sum(F.when(F.col("_hit").isNotNull(), F.col("_part")).otherwise(F.lit(0))).alias("taken"))
-    out = out.unionByName(d.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
+    m = m.join(schedule(marks, -(-total // min_block), max_slots), ["source", "known"], "left")
+    m = m.withColumn("_reach", F.coalesce(F.col("slots") * min_block, F.least(F.lit(min_block), F.ceil("target"))))
+    out = d.join(stored(m.drop("slots"), "mix-reach"), ["source", "known"])
+    # The words of a document within the reach, once per repeat of its source's stream.
+    lap = lambda k: F.greatest(F.lit(0), F.least("size", F.col("_reach") - F.col("start") - k * F.col("source_size")))
+    out = out.withColumn("taken", sum((lap(k) for k in range(1, max_repeats)), lap(0)).cast("long"))
     return out.select("doc_id", F.when(F.col("known"), F.col("source")).alias("source"), "size", "source_size", "target", "start", "taken")
 
 

@@ -235,6 +235,16 @@ def test_mix_small_sources(spark, odd):
     assert mixing.mixed_documents(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("params", [{}, {"max_slots": 16}, {"min_block": 8, "max_slots": 1000}])
+def test_mix_keeps_rare_sources(spark, params):
+    """Sources of a millionth of all words get their words, however many words the others have."""
+    rows = [(i, "w " * 500_000, "ab"[i % 2]) for i in range(10)] + [(10, "w " * 5, "c"), (11, "w " * 400, "d"), (12, "w", "e"), (13, "w " * 30, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = check_mix(mixing.mix(d, **params).collect())
+    assert all(taken[s] > 0 for s in taken)
+    assert {r.source for r in mixing.mixed_documents(d, **params).select("source").distinct().collect()} == set(taken)
+
+
 def test_mix_is_native(spark, documents):
     plan = mixing.mix(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
