@@ -52,10 +52,10 @@ def candidates(text: str | None) -> list[tuple[str, int, int, str]]:
 
 
 SCANNED = pa.schema([
-    ("doc_id", pa.int64()), ("repo", pa.string()), ("owner", pa.string()),
+    ("doc_id", pa.int64()), ("th", pa.int64()), ("repo", pa.string()), ("owner", pa.string()),
     ("found", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("bits", pa.float64())]))),
 ])
-SCANNED_SQL = "doc_id long, repo string, owner string, found array<struct<kind:string,start:long,end:long,value:string,bits:double>>"
+SCANNED_SQL = "doc_id long, th long, repo string, owner string, found array<struct<kind:string,start:long,end:long,value:string,bits:double>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +63,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for text in b.column("text"):
             found.append([{"kind": k, "start": s, "end": e, "value": hashlib.sha256(v.encode()).hexdigest(), "bits": entropy(v)} for k, s, e, v in candidates(text.as_py())])
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("repo"), b.column("owner"), pa.array(found, SCANNED.field("found").type)], schema=SCANNED)
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("repo"), b.column("owner"), pa.array(found, SCANNED.field("found").type)], schema=SCANNED)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
@@ -74,8 +74,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     character, else 'live'. A null owner counts as one owner, a null repository as one repository. Generic candidates
     stay only if live. Null and empty texts have no findings; repeated rows are scanned each; an empty table gives no
     rows. Values leave a task only as SHA-256; only documents with candidates meet a shuffle."""
+    return _judged(docs, id_col, text_col, repo_col, owner_col, example_owners, least_bits).select("doc_id", "findings")
+
+
+def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
+            example_owners: int = 4, least_bits: float = 2.5) -> DataFrame:
+    """scan() with th, the hash of the text."""
     d = renamed(docs, doc_id=id_col, text=text_col, repo=repo_col, owner=owner_col)
-    d = d.select(F.col("doc_id").cast("long"), "text", F.col("repo").cast("string"), F.col("owner").cast("string"))
+    d = d.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col("repo").cast("string"), F.col("owner").cast("string"))
     # The row number is fixed by writing it: the rows with candidates are told apart by it, whatever their ids.
     s = stored(d.mapInArrow(_scan, SCANNED_SQL).withColumn("row", F.monotonically_increasing_id()), "secrets-scan")
     each = s.filter(F.size("found") > 0).select("row", "repo", "owner", F.explode("found").alias("f")).select("row", "repo", "owner", "f.*")
@@ -85,7 +91,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     judged = each.join(held, "value").withColumn("verdict", verdict).filter((F.col("kind") != "generic") | (F.col("verdict") == "live"))
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).alias("nth")
     per = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", order, "kind", "end", F.col("value").alias("hash"), "n_repos", "n_owners", "verdict"))).alias("findings"))
-    return s.select("doc_id", "row").join(per, "row", "left").select("doc_id", F.coalesce("findings", F.array().cast(per.schema["findings"].dataType)).alias("findings"))
+    return s.select("doc_id", "th", "row").join(per, "row", "left").select("doc_id", "th", F.coalesce("findings", F.array().cast(per.schema["findings"].dataType)).alias("findings"))
 
 
 def digest(findings: DataFrame) -> DataFrame:
@@ -121,11 +127,12 @@ def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def redacted(docs: DataFrame, **params) -> DataFrame:
     """documents with live-looking credentials replaced by [SECRET]; all rows stay, copied examples too.
 
-    A document id held by several rows carries the spans of all of them: such rows are compared by id and text hash."""
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
-    hits = scan(docs, **params).filter(F.exists("findings", lambda x: x["verdict"] == "live"))
-    hits = hits.select(F.col("doc_id").alias("_id"), F.transform(F.filter("findings", lambda x: x["verdict"] == "live"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("_spans"))
-    hits = hits.groupBy("_id").agg(F.array_distinct(F.flatten(F.collect_list("_spans"))).alias("_spans"))
-    joined = keyed.join(hits, keyed["doc_id"].eqNullSafe(hits["_id"]), "left").select(*[keyed[c] for c in docs.columns], "_spans")
+    Rows are compared by id and text hash. What is live depends on the value alone, so rows of one id and text have the
+    same spans: one of them speaks for all, and none is gathered."""
+    live = F.filter("findings", lambda x: x["verdict"] == "live")
+    hits = _judged(docs, **params).filter(F.size(live) > 0).select(F.col("doc_id").alias("_id"), "th", F.transform(live, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("_spans"))
+    hits = hits.groupBy("_id", "th").agg(F.first("_spans").alias("_spans"))
+    same = docs["doc_id"].eqNullSafe(hits["_id"]) & (F.xxhash64(docs["text"]) == hits["th"])
+    joined = docs.join(hits, same, "left").select(*[docs[c] for c in docs.columns], "_spans")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.mapInArrow(_redact, schema)

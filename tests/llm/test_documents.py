@@ -138,6 +138,16 @@ def test_secret_ownership(spark):
     assert red[0] == f"é {key}" and red[10] == "[SECRET]' x" and red[11] == "see [SECRET] here"
 
 
+def test_redacted_by_own_text(spark):
+    """Rows without an id and rows of one id lose the secrets of their own texts only."""
+    own, clean = "password=Zx81kQ0pLm77aB then more", "a clean text that is long enough to be cut"
+    rows = [(None, own), (None, clean), (None, own), (None, None), (7, clean), (7, "token: q9W8e7R6t5Y4"), (8, "short")]
+    d = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    got = sorted((str(r.doc_id), str(r.text)) for r in secret_scan.redacted(d).collect())
+    hidden = {own: "[SECRET] then more", "token: q9W8e7R6t5Y4": "[SECRET]"}
+    assert got == sorted((str(i), str(hidden.get(t, t))) for i, t in rows)
+
+
 def test_secrets_odd(spark, odd):
     assert secret_scan.scan(odd).count() == odd.count()
     assert secret_scan.digest(secret_scan.scan(odd.limit(0))).count() == 0
