@@ -1,7 +1,8 @@
 """Near-duplicates by bottom-k sketches of one hash function.
 
 1. A pass over the texts gives each document the size of its shingle set, a 128-bit signature of the set and its sketch:
-   the SKETCH smallest hash values. Documents with equal sets form a class; the smallest id stands for it.
+   the SKETCH smallest hash values. Documents with equal sets form a class; the smallest id stands for it. Classes are numbered
+   in the order of these ids.
 2. Inverted lists: each class is listed under retained values. Two sets with at least the wanted similarity share many
    of their INDEXED smallest values, so a class needs no list under its most frequent ones (prefix filter, rarest first):
    common lines and passages give no long lists. For small sets the filter is exact, for others a miss needs a sketch
@@ -48,28 +49,28 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, sig, sketch) for each row of (doc_id, text)."""
+    """(doc_id, th, n, sig, sketch) for each row of (doc_id, th, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t.as_py(), size) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                b.column("doc_id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
                 pa.array([(s[:SKETCH] >> np.uint64(1)).view(np.int64) for s in sets], pa.list_(pa.int64())),
-            ], names=["doc_id", "n", "sig", "sketch"])
+            ], names=["doc_id", "th", "n", "sig", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig string, sketch array<long>")
+    return docs.mapInArrow(run, "doc_id long, th long, n long, sig string, sketch array<long>")
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(id, shingles binary) of the given rows."""
+    """(id, shingles binary) of the given rows (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([shingle_set(t.as_py(), size).tobytes() for t in part.column("text")], pa.binary())], names=["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([shingle_set(t.as_py(), size).tobytes() for t in part.column("text")], pa.binary())], names=["id", "shingles"])
 
     return docs.mapInArrow(run, "id long, shingles binary")
 
@@ -209,12 +210,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts are lower-cased in A-Z. Null texts and texts without words have no shingles and are linked with nothing.
     Rows of one id are judged by their own texts. A row without an id takes the component of the class of its equals if
     one of these has an id, else null; it is kept if it has none. An empty table gives no rows."""
-    d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text")
+    out = _grouped(docs, id_col, text_col, shingle, percent, nameless=False)
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root_id", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, nameless: bool) -> DataFrame:
+    """One row per row of docs: doc_id, th (hash of the text), n, root, root_id, root_th.
+
+    root is the number of the first class of the row's component, root_id and root_th are the id and text hash of the row
+    that stands for it: of the smallest id, nulls last, then of the first class; root is null without shingles. Classes in which no row
+    has an id take part if nameless."""
+    d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
     rows = stored(sketches(d, shingle), "near-rows")
     full = rows.filter("n > 0")
-    classes = stored(full.groupBy("sig").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "near-classes")
-    reps = full.join(classes, (full["sig"] == classes["sig"]) & (full["doc_id"] == classes["rep"])).select("rep", "n", "sketch").distinct()
-    reps = stored(reps, "near-reps")
+    firsts = full.groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("f"))
+    firsts = firsts.select("sig", F.col("f.none").alias("none"), F.col("f.doc_id").alias("first_id"), F.col("f.th").alias("first_th"))
+    if not nameless:
+        firsts = firsts.filter("not none")
+    # Numbers in order; they are fixed by writing them.
+    classes = stored(firsts.orderBy("none", "first_id", "sig").withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    reps = full.join(classes.withColumnRenamed("sig", "_sig"), (F.col("sig") == F.col("_sig")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th")))
+    reps = stored(reps.groupBy("rep", "n", "sketch", "first_id", "first_th").agg(F.count("*").alias("copies")), "near-reps")
 
     # Lists under the rarest retained values. Values of one class only count as rare but need no list.
     least = max(1, int(INDEXED * (2 * percent / 100 - 1.33)))
@@ -232,23 +249,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = long.select("value", "rep").join(leaders, "value").filter(F.col("lead") != F.col("rep")).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
     led = stored(led, "near-led")
     pairs = stored(_promising(_within(short, percent).union(led), reps, percent, sized=False), "near-pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(long.select(F.col("rep").alias("doc_id"))).distinct()
-    sets = stored(_sets(d.join(ids, "doc_id", "left_semi").select("doc_id", "text"), shingle), "near-sets")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(long.select("rep")).distinct()
+    ids = stored(reps.join(ids, "rep").select(F.col("rep").alias("id"), "first_id", "first_th", "copies"), "near-ids")
+    texts = lambda of: d.join(of, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))).select("id", "text")
+    chosen, again = texts(ids.filter("copies = 1")), ids.filter("copies > 1")
+    if not again.isEmpty():  # of repeated rows of one id and text, one
+        chosen = chosen.union(texts(stored(again, "near-again")).dropDuplicates(["id"]))
+    sets = stored(_sets(chosen, shingle), "near-sets")
     compared = stored(_compared(pairs, sets, percent), "near-compared")
     links = compared.filter("linked").select("a", "b")
     if not long.isEmpty():
         links = links.union(_long_links(long, leaders, led, compared, links, reps, sets, percent))
     label = stored(components(links), "near-labels")
 
-    known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("_component"))
-    out = rows.select("doc_id", "n", "sig").join(known, rows["sig"] == known["_sig"], "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id"))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    roots = classes.select(F.col("rep").alias("root"), F.col("first_id").alias("root_id"), F.col("first_th").alias("root_th"))
+    known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("root")).join(roots, "root")
+    return rows.join(known, rows["sig"] == known["_sig"], "left").select("doc_id", "th", "n", "root", "root_id", "root_th")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """docs with one row of each group of near-duplicates: the smallest id; of repeated rows of one id and text, one."""
-    kept = near_duplicates(docs, id_col, text_col, shingle, percent).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    hit = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"])).select(*[docs[c] for c in docs.columns])
+    """docs with one row of each group of near-duplicates: the smallest id, one without an id only if none has one; of
+    repeated rows of one id and text, one. Rows are told apart by id and text, so that all are compared."""
+    found = _grouped(docs, id_col, text_col, shingle, percent, nameless=True)
+    kept = found.filter(F.col("root").isNull() | (F.col("doc_id").eqNullSafe(F.col("root_id")) & (F.col("th") == F.col("root_th"))))
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
+    hit = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_th"])).select(*[docs[c] for c in docs.columns])
     one = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(1))
     return hit.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").drop("_nth")

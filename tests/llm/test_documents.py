@@ -39,6 +39,23 @@ def test_near_duplicates_odd(spark, odd):
     assert sorted(r.doc_id for r in minhash.one_of_each(odd).collect()) == [1, 2, 3, 4, 5, 6, 8]
 
 
+def test_one_of_each_without_ids(spark):
+    """Rows without an id and rows of one id are compared by their texts like all others."""
+    text = lambda name, n=200: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, e = (text(x) for x in "abce")
+    rows = [
+        (1, a), (None, a), (None, a + " end"), (None, b), (None, b), (None, b + " end"), (None, c), (None, None), (None, ""),
+        (5, c + " last"), (5, text("f")), (5, a + " more"), (6, e), (3, text("f") + " near"), (7, None), (7, None),
+    ]
+    rows += [(None, " ".join(w for j, w in enumerate(e.split()) if j != i)) for i in range(30)]
+    got = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = [(r.doc_id, r.text) for r in got]
+    # Of b and its near copy one stays, whichever is first by signature.
+    assert len([t for i, t in kept if i is None and t in (b, b + " end")]) == 1
+    rest = sorted((str(x) for x in kept if x[1] not in (b, b + " end")))
+    assert rest == sorted(map(str, [(1, a), (None, None), (None, ""), (5, c + " last"), (6, e), (3, text("f") + " near"), (7, None)]))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 50), (50, 70), (200, 200), (None, 3)]
     got = {r.id: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
