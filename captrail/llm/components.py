@@ -5,34 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Tables
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
+def _star(links: DataFrame, large: bool, tables: Tables) -> DataFrame:
     """links (u, v): each u's neighbours are linked with the smallest of u and them; large: only neighbours above u move."""
-    least = links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # Written, so that the join deals both sides anew and Spark can split the partition of a hot centre u.
+    least = tables.put(links.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     moved = links.join(least, "u")
     if large:
         out = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    return out.filter("u <> v")
+    out = tables.put(out.filter("u <> v").distinct(), "star")
+    tables.drop(least)
+    return out
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", tables: Tables | None = None) -> DataFrame:
     """(id, component) for each id that has an edge; component is the smallest id reachable.
 
-    Edges between null ids and loops are ignored. Each round is written to the shared folder; only two numbers a round,
-    by which a fixed point is known, reach the driver."""
+    Edges between null ids and loops are ignored. Rounds end at the fixed point, whose result is a stored table; each
+    round is written to the shared folder, and only two numbers of it, by which a fixed point is known, reach the driver."""
+    tables = tables or Tables(edges.sparkSession, "links")
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
-    e = stored(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    seen = None
-    for _ in range(most_rounds):
+    e = tables.put(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    seen = now = None
+    while now is None or now != seen:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e = stored(_star(_star(both, True), False).distinct(), "links")
-        now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
+        large = _star(both, True, tables)
+        tables.drop(e)
+        e = _star(large, False, tables)
+        tables.drop(large)
+        seen, now = now, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     roots = e.select(F.col("v").alias("id")).distinct()
-    return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select("id", F.col("id").alias("component")))
+    out = tables.put(e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select("id", F.col("id").alias("component"))), "labels")
+    tables.drop(e)
+    return out

@@ -8,15 +8,12 @@
    common lines and passages give no long lists. For small sets the filter is exact, for others a miss needs a sketch
    overlap of chance below 1e-9.
 3. Members of a short list meet each other, pass the estimate of the union's sketch and are confirmed by exact Jaccard.
-4. Members of a long list (a group of copies) meet LEADERS of it, its smallest set and those of the smallest id hashes,
-   so that lists of one group share their leaders. Where members are then still in different components, all meet the
-   list's centre R, the member most similar to the leaders. With cost(A) = 100 for each shingle of R that A lacks and
-   `percent` for each that it adds, A and B are linked if and only if cost(A) + cost(B) <= (100 - percent) |R| +
-   (100 + percent) m, where m counts the differences from R that A and B share. So pairs that are not both linked with
-   R are linked only if they share differences: they meet under their rarest ones (the same prefix filter), not in all
-   pairs, and only if enough of the bits that sum up their differences agree. Members far from R meet each other where the leaders allow it: Jaccard distance is a metric, so linked sets
-   differ by the linking distance at most in their distances from any set; for the same reason a set far from R is not
-   linked with a near one unless that is in between, and those in between are in both groups.
+4. Members of a long list (a group of copies) meet a pivot R of it instead, a member with few rare values, and are compared
+   with it exactly. Linked sets A, B share alpha = percent * (|A| + |B|) / (100 + percent) items at least, of which R holds
+   no more than the smaller of |A & R|, |B & R|. So what is not yet linked must share alpha less that many items outside R,
+   and meets under its rarest ones (the same prefix filter, exact here): a group's common items are in R and give no lists,
+   and items of one member only need none. Only pairs of sets that are both smaller than R can do with R's items alone; those
+   form a list of their own. Lists that are long again take another pivot, round by round, so no list is paired as a whole.
 5. Components of all confirmed links give the result.
 """
 
@@ -27,19 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
-from .common import renamed, stored
+from .common import Tables, free, renamed
 from .components import components
 from .words import hashes, sequences, words
 
 SKETCH, INDEXED = 48, 32
-#: Members of a list that meet in all pairs; leaders by hash of a longer one.
-SHORT, LEADERS = 16, 8
-#: Bits in which differences from a centre are summed up.
-BITS = 512
+#: Members of a list that meet in all pairs, of sketch values and of items outside a pivot; longer ones take a pivot.
+SHORT, SHORT_OUTSIDE = 16, 64
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -76,132 +71,102 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, sa, sb). Light rows meet a's set first, so a hot leader moves no sets but its own; then b's join evenly."""
+    """(a, b, sa, sb). Light rows meet a's set first, so a hot pivot moves no sets but its own; then b's join evenly."""
     first = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     return first.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked, j) of the pairs (a, b): exact Jaccard of full sets."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int, outside: bool = False) -> DataFrame:
+    """(a, b, linked, na, nb, shared, out) of the pairs (a, b): exact comparison of full sets; out: b's items that a lacks, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked, j = [], []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                union = len(a) + len(b) - shared
-                linked.append(100 * shared >= percent * union), j.append(shared / union)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(j, pa.float64())], names=["a", "b", "linked", "j"])
-
-    return _with_sets(pairs, sets).mapInArrow(run, "a long, b long, linked boolean, j double")
-
-
-def _against(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked, r, cost, near, far, diff, bits) of the pairs (centre a, b). near: at least a quarter similar, with the
-    differences and their bits (BITS of their hashes); far: less similar than a quarter and the linking distance. Those in
-    between are both."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                union = len(a) + len(b) - shared
-                near = 4 * shared >= union
-                diff = (np.setxor1d(a, b, assume_unique=True) >> np.uint64(1)).view(np.int64) if near else None
-                bits = np.packbits(np.bincount(diff % BITS, minlength=BITS) > 0).view(np.int64) if near else None
-                rows.append((100 * shared >= percent * union, len(a), 100 * (len(a) - shared) + percent * (len(b) - shared), near, 100 * shared < (125 - percent) * union, diff, bits))
-            cells = list(zip(*rows, strict=True)) or [()] * 7
-            types = (pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, t) for c, t in zip(cells, types, strict=True)]], names=["a", "b", "linked", "r", "cost", "near", "far", "diff", "bits"])
-
-    return _with_sets(pairs, sets).mapInArrow(run, "a long, b long, linked boolean, r long, cost long, near boolean, far boolean, diff array<long>, bits array<long>")
-
-
-def _too_far(a, b, width: float, sure: float):
-    """Whether similarities a and b to one leader rule out a link; negative ones are only known to be under sure."""
-    return ((a >= 0) & (b >= 0) & (F.abs(a - b) > width)) | ((a < 0) & (b > sure + width)) | ((b < 0) & (a > sure + width))
-
-
-def _leaders(long: DataFrame) -> DataFrame:
-    """(value, lead): per list the ids of the LEADERS smallest hashes and the smallest set; each minimum is partly taken
-    before the shuffle, so long lists are not gathered."""
-    key = F.struct(F.xxhash64("rep").alias("h"), F.col("rep").alias("lead"))
-    buckets = [F.min(F.when(F.pmod(F.xxhash64(F.lit(i), "rep"), F.lit(LEADERS)) == i, key)).alias(f"l{i}") for i in range(LEADERS)]
-    each = long.groupBy("value").agg(*buckets, F.min("smallest").alias("smallest"))
-    return each.select("value", F.explode(F.array_distinct(F.array("smallest", *[F.col(f"l{i}.lead") for i in range(LEADERS)]))).alias("lead")).filter("lead is not null")
-
-
-def _promising(pairs: DataFrame, reps: DataFrame, percent: int, sized: bool = True) -> DataFrame:
-    """The pairs (a, b) whose sketches, and sizes if asked for, allow the similarity."""
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                rows = []
+                for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+                    a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                    shared = len(np.intersect1d(a, b, assume_unique=True))
+                    out = np.setdiff1d(b, a, assume_unique=True).view(np.int64) if outside else None
+                    rows.append((100 * shared >= percent * (len(a) + len(b) - shared), len(a), len(b), shared, out))
+                cells = list(zip(*rows, strict=True)) or [()] * 5
+                types = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *[pa.array(c, t) for c, t in zip(cells, types, strict=True)]], names=["a", "b", "linked", "na", "nb", "shared", "out"])
+
+    return _with_sets(pairs, sets).mapInArrow(run, "a long, b long, linked boolean, na long, nb long, shared long, out array<long>")
+
+
+def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches and sizes allow the similarity."""
     side = lambda x: reps.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}"))
     p = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("ka", "kb")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect(union, F.col("ka")), F.col("kb")))
-    fine = shared >= (percent / 100 - 0.45) * F.size(union)
-    return p.filter(fine & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) if sized else fine).select("a", "b")
+    return p.filter((shared >= (percent / 100 - 0.45) * F.size(union)) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
 
 
 def _within(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the pairs of each list whose sizes allow the similarity."""
-    x, y = (lists.select("value", F.col("rep").alias(i), F.col("n").alias(f"n{i}")) for i in "ab")
-    return x.join(y, "value").filter((F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b")
+    """(a, b): the pairs of each list (value, rep, n, c) whose sizes allow the similarity and whose components c differ."""
+    x, y = (lists.select("value", F.col("rep").alias(i), F.col("n").alias(f"n{i}"), F.col("c").alias(f"c{i}")) for i in "ab")
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    return x.join(y, "value").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & alike).select("a", "b")
 
 
-def _rarest(rows: DataFrame, key: list[str], owner: list[str], item: str, size: str, prefix: str) -> DataFrame:
-    """rows (key + item, owner, size, prefix) with nth (place among the owner's items, rarest first) and short (within the
-    prefix); items that one owner holds count as the rarest and need no row."""
+def _rarest(rows: DataFrame, key: list[str], owner: list[str], item: str, size: Column, prefix: Column, tables: Tables) -> DataFrame:
+    """Of rows (key + item, owner) those within the owner's prefix of rarest items, with pop, the mean frequency of the
+    owner's items. Items that one owner holds count as the rarest and need no row."""
     # Written, so that the join deals both sides anew and Spark can split a hot item's partition.
-    often = stored(rows.groupBy(*key, item).agg(F.count("*").alias("df")).filter("df > 1"), "near-often")
+    often = tables.put(rows.groupBy(*key, item).agg(F.count("*").alias("df")).filter("df > 1"), "often")
     held = rows.join(often, [*key, item])
     own = Window.partitionBy(*owner)
-    held = held.withColumns({"nth": F.row_number().over(own.orderBy("df", item)), "common": F.count("*").over(own)})
-    return held.withColumn("short", F.col("nth") <= F.col(prefix) - (F.col(size) - F.col("common")))
-
-
-def _long_links(long: DataFrame, leaders: DataFrame, led: DataFrame, compared: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the links within long lists between members that the links so far leave in different components."""
-    label = stored(components(links), "near-labels")
-
-    # What each member knows: its similarity to leaders, -1 where the estimate was too low for an exact one.
-    told = led.join(compared, ["a", "b"], "left").select("b", "a", F.coalesce("j", F.lit(-1.0)).alias("j"))
-    told = told.union(leaders.select(F.col("lead").alias("b"), F.col("lead").alias("a"), F.lit(1.0).alias("j")))
-    told = told.groupBy("b", "a").agg(F.max("j").alias("j")).groupBy("b").agg(F.map_from_entries(F.collect_list(F.struct("a", "j"))).alias("told"))
-    at = long.join(label, long["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
-    at = stored(at.join(told, at["rep"] == told["b"]).drop("b"), "near-left")
-    parts = at.groupBy("value", "c").agg(F.count("*").alias("m")).groupBy("value").agg(F.max(F.struct("m", "c"))["c"].alias("big"), F.count("*").alias("parts"))
-    left = at.join(stored(parts.filter("parts > 1").select("value", "big"), "near-parts"), "value")
-    left = stored(left, "near-open")
-    sum_j = F.aggregate(F.map_values("told"), F.lit(0.0), lambda t, j: t + F.greatest(j, F.lit(0.0)))
-    centres = stored(left.groupBy("value").agg(F.max(F.struct(sum_j, -F.col("rep")))["col2"].alias("centre")).select("value", (-F.col("centre")).alias("centre")), "near-centres")
-    placed = left.join(centres, "value")
-    meet = placed.filter("centre <> rep").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    against = stored(_against(meet, sets, percent), "near-against")
-    comp = at.select(F.col("rep").alias("b"), "c", F.col("n")).distinct()
-    # Near the centre: pairs by shared differences.
-    size = F.size("diff")
-    near = against.filter("near").join(comp, "b")
-    ones = F.aggregate("bits", F.lit(0), lambda t, b: t + F.bit_count(b))
-    each = near.select("a", "b", "c", "n", "linked", "r", "cost", "bits", (size - ones).alias("extra"), size.alias("size"), (size - F.floor(F.col("cost") / (100 + percent))).alias("prefix"), F.explode("diff").alias("e"))
-    apart = stored(_rarest(each, ["a"], ["a", "b"], "e", "size", "prefix").select("a", "b", "c", "n", "e", "linked", "short", "r", "cost", "bits", "extra"), "near-apart")
-    side = lambda x: [F.col(k).alias(f"{k}{x}") for k in ("b", "c", "n", "linked", "short", "r", "cost", "bits", "extra")]
-    # No more differences can be shared than common bits, and those that have no bit of their own.
-    common = F.aggregate(F.zip_with("bitsx", "bitsy", lambda a, b: F.bit_count(a.bitwiseAND(b))), F.lit(0), lambda t, b: t + b) + F.least("extrax", "extray")
-    enough = (100 + percent) * common >= F.col("costx") + F.col("costy") - (100 - percent) * F.col("rx")
-    alike = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    once = F.col("linkedy") | (F.col("shortx") & (F.col("bx") < F.col("by")))
-    by_diff = apart.filter("not linked").select("a", "e", *side("x")).join(apart.filter("short").select("a", "e", *side("y")), ["a", "e"]).filter((F.col("cx") != F.col("cy")) & alike & once & enough)
-    met = by_diff.select(F.least("bx", "by").alias("a"), F.greatest("bx", "by").alias("b"))
-    # Far from it: pairs that the leaders allow.
-    width, sure = 1 - percent / 100 + 1e-9, percent / 100 - 0.2  # a pair under the estimate's limit is surely less similar than sure
-    away = placed.join(against.filter("far").select(F.col("a").alias("centre"), F.col("b").alias("rep")), ["centre", "rep"])
-    x, y = (away.select("value", *[F.col(k).alias(f"{k}{i}") for k in ("rep", "c", "n", "told")]) for i in "xy")
-    ruled_out = F.exists(F.map_entries("toldx"), lambda s: _too_far(s["value"], F.element_at(F.col("toldy"), s["key"]), width, sure))
-    met = met.union(x.join(y, "value").filter((F.col("repx") < F.col("repy")) & (F.col("cx") != F.col("cy")) & alike & ~F.coalesce(ruled_out, F.lit(False))).select(F.col("repx").alias("a"), F.col("repy").alias("b")))
-    more = stored(_promising(met, reps, percent), "near-met")
-    return against.filter("linked").select("a", "b").union(_compared(more, sets, percent).filter("linked").select("a", "b"))
+    held = held.withColumns({"nth": F.row_number().over(own.orderBy("df", item)), "common": F.count("*").over(own), "pop": F.sum("df").over(own) / size})
+    return held.filter(F.col("nth") <= prefix - (size - F.col("common")))
+
+
+def _sorted_out(lists: DataFrame, most: int, tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """(short, long): the lists (value, rep, n, c, pop) of two to most members and of more; lists of one component are done."""
+    sized = lists.groupBy("value").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high")).filter("m > 1 and low < high")
+    sized = tables.put(sized.select("value", (F.col("m") > most).alias("is_long")), "sized")
+    both = tables.put(lists.join(sized, "value"), "open")
+    return both.filter("not is_long").drop("is_long"), both.filter("is_long").drop("is_long")
+
+
+def _by_pivots(long: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, tables: Tables) -> DataFrame:
+    """(a, b): links, and those of the members of long lists that they leave in different components."""
+    used = None
+    while not long.isEmpty():
+        # A member is a pivot in one round at most, so rounds end. Lists of former pivots only have no other way than pairs.
+        rank = F.struct("fresh", "pop", (-F.col("rep")).alias("rep"))
+        known = long.join(used, long["rep"] == used["pivot"], "left").withColumn("fresh", F.col("pivot").isNull()).drop("pivot") if used is not None else long.withColumn("fresh", F.lit(True))
+        best = tables.put(known.groupBy("value").agg(F.max(rank).alias("p")).select("value", (-F.col("p.rep")).alias("pivot"), F.col("p.fresh").alias("fresh")), "pivots")
+        placed = long.join(best, "value")
+        meet = tables.put(placed.filter("fresh and rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), "pop").distinct(), "meet")
+        pivots = best.filter("fresh").select("pivot").distinct()
+        used = tables.put(pivots if used is None else used.union(pivots), "used")
+        against = tables.put(_compared(meet, sets, percent, outside=True), "against")
+        links = tables.put(links.union(against.filter("linked").select("a", "b")), "links")
+        label = components(links, tables=tables)
+
+        # Groups whose members are not all in one component yet.
+        named = against.join(label.select(F.col("id").alias("b"), F.col("component")), "b", "left").withColumn("c", F.coalesce("component", "b")).drop("component")
+        named = named.join(meet.select("a", "b", "pop"), ["a", "b"])
+        groups = named.groupBy("a").agg(F.min("nb").alias("least"), F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("a", "least")
+        # Any partner has `other` items at least, so that `need` shared ones must be outside the pivot; none: the pivot's may do.
+        other = F.greatest("least", F.ceil(percent * F.col("nb") / 100))
+        need = F.ceil(percent * (F.col("nb") + other) / (100 + percent)) - F.col("shared")
+        named = tables.put(named.join(tables.put(groups, "groups"), "a").withColumn("need", need), "named")
+        each = named.select("a", "b", "c", F.col("nb").alias("n"), F.size("out").alias("size"), F.greatest("need", F.lit(1)).alias("need"), F.explode("out").alias("e"))
+        rare = _rarest(each, ["a"], ["a", "b"], "e", F.col("size"), F.col("size") - F.col("need") + 1, tables)
+        inside = named.filter("need <= 0 and (nb < na or not linked)").withColumn("loose", ~F.col("linked"))
+        some = tables.put(inside.filter("loose").select("a").distinct(), "loose")
+        inside = inside.join(some, "a").select(F.xxhash64("a", F.lit("inside")).alias("value"), F.col("b").alias("rep"), F.col("nb").alias("n"), "c", "pop")
+        lists = rare.select(F.xxhash64("a", "e").alias("value"), F.col("b").alias("rep"), "n", "c", "pop").union(inside)
+        short, following = _sorted_out(lists, SHORT_OUTSIDE, tables)
+        left = placed.filter("not fresh").join(label, placed["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
+        near = tables.put(_promising(_within(short.drop("pop").union(left), percent), reps, percent), "near")
+        links = tables.put(links.union(_compared(near, sets, percent).filter("linked").select("a", "b")), "links")
+        long = following
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int = 85) -> DataFrame:
@@ -221,58 +186,57 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     root is the number of the first class of the row's component, root_id and root_th are the id and text hash of the row
     that stands for it: of the smallest id, nulls last, then of the first class; root is null without shingles. Classes in which no row
     has an id take part if nameless."""
+    tables = Tables(docs.sparkSession, "near")
     d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    rows = stored(sketches(d, shingle), "near-rows")
+    rows = tables.put(sketches(d, shingle), "rows")
     full = rows.filter("n > 0")
     firsts = full.groupBy("sig").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("f"))
     firsts = firsts.select("sig", F.col("f.none").alias("none"), F.col("f.doc_id").alias("first_id"), F.col("f.th").alias("first_th"))
     if not nameless:
         firsts = firsts.filter("not none")
     # Numbers in order; they are fixed by writing them.
-    classes = stored(firsts.orderBy("none", "first_id", "sig").withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    classes = tables.put(firsts.orderBy("none", "first_id", "sig").withColumn("rep", F.monotonically_increasing_id()), "classes")
     reps = full.join(classes.withColumnRenamed("sig", "_sig"), (F.col("sig") == F.col("_sig")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th")))
-    reps = stored(reps.groupBy("rep", "n", "sketch", "first_id", "first_th").agg(F.count("*").alias("copies")), "near-reps")
+    reps = tables.put(reps.groupBy("rep").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "first_id", "first_th")], F.count("*").alias("copies")), "reps")
 
     # Lists under the rarest retained values. Values of one class only count as rare but need no list.
     least = max(1, int(INDEXED * (2 * percent / 100 - 1.33)))
-    size = F.least("n", F.lit(INDEXED))
+    kept = F.least("n", F.lit(INDEXED))
     whole = F.col("n") <= math.floor(INDEXED * percent / 100)
-    prefix = size - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
-    each = reps.select("rep", "n", prefix.alias("prefix"), size.alias("size"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
-    lists = stored(_rarest(each, [], ["rep"], "value", "size", "prefix").filter("short").select("value", "rep", "n"), "near-lists")
-    sized = stored(lists.groupBy("value").agg(F.count("*").alias("m"), F.min(F.struct("n", "rep"))["rep"].alias("smallest")).filter("m > 1"), "near-sized")
-    short = lists.join(sized.filter(F.col("m") <= SHORT), "value").select("value", "rep", "n")
-    long = stored(lists.join(sized.filter(F.col("m") > SHORT), "value").select("value", "rep", "n", "smallest"), "near-long")
-
-    # The leaders of each long list: partial minima of id hashes, one at a time, then the smallest set.
-    leaders = stored(_leaders(long), "near-leaders")
-    led = long.select("value", "rep").join(leaders, "value").filter(F.col("lead") != F.col("rep")).select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    led = stored(led, "near-led")
-    pairs = stored(_promising(_within(short, percent).union(led), reps, percent, sized=False), "near-pairs")
+    prefix = kept - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
+    each = reps.select("rep", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    lists = _rarest(each, [], ["rep"], "value", kept, prefix, tables).select("value", "rep", "n", F.col("rep").alias("c"), "pop")
+    short, long = _sorted_out(lists, SHORT, tables)
+    pairs = tables.put(_promising(_within(short, percent), reps, percent), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(long.select("rep")).distinct()
-    ids = stored(reps.join(ids, "rep").select(F.col("rep").alias("id"), "first_id", "first_th", "copies"), "near-ids")
+    ids = tables.put(reps.join(ids, "rep").select(F.col("rep").alias("id"), "first_id", "first_th", "copies"), "ids")
     texts = lambda of: d.join(of, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))).select("id", "text")
     chosen, again = texts(ids.filter("copies = 1")), ids.filter("copies > 1")
     if not again.isEmpty():  # of repeated rows of one id and text, one
-        chosen = chosen.union(texts(stored(again, "near-again")).dropDuplicates(["id"]))
-    sets = stored(_sets(chosen, shingle), "near-sets")
-    compared = stored(_compared(pairs, sets, percent), "near-compared")
-    links = compared.filter("linked").select("a", "b")
-    if not long.isEmpty():
-        links = links.union(_long_links(long, leaders, led, compared, links, reps, sets, percent))
-    label = stored(components(links), "near-labels")
+        chosen = chosen.union(texts(tables.put(again, "again")).dropDuplicates(["id"]))
+    sets = tables.put(_sets(chosen, shingle), "sets")
+    links = tables.put(_compared(pairs, sets, percent).filter("linked").select("a", "b"), "links")
+    label = components(_by_pivots(long, links, reps, sets, percent, tables), tables=tables)
 
     roots = classes.select(F.col("rep").alias("root"), F.col("first_id").alias("root_id"), F.col("first_th").alias("root_th"))
     known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("root")).join(roots, "root")
-    return rows.join(known, rows["sig"] == known["_sig"], "left").select("doc_id", "th", "n", "root", "root_id", "root_th")
+    out = tables.put(rows.join(known, rows["sig"] == known["_sig"], "left").select("doc_id", "th", "n", "root", "root_id", "root_th"), "grouped")
+    tables.drop_all(out)
+    return out
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row of each group of near-duplicates: the smallest id, one without an id only if none has one; of
-    repeated rows of one id and text, one. Rows are told apart by id and text, so that all are compared."""
+    repeated rows of one id and text, one. Rows are told apart by id and text, so that all are compared. Null texts and
+    texts without words are in no group and stay. An empty table gives no rows; columns may have any names."""
     found = _grouped(docs, id_col, text_col, shingle, percent, nameless=True)
     kept = found.filter(F.col("root").isNull() | (F.col("doc_id").eqNullSafe(F.col("root_id")) & (F.col("th") == F.col("root_th"))))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    hit = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_th"])).select(*[docs[c] for c in docs.columns])
-    one = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(1))
-    return hit.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").drop("_nth")
+    tables = Tables(docs.sparkSession, "near-kept")
+    i, th, copies = free(docs, "_id", "_th", "_copies")
+    kept = tables.put(kept.groupBy(F.col("doc_id").alias(i), F.col("th").alias(th)).agg(F.count("*").alias(copies)), "kept")
+    mine = [F.col(f"`{c}`") for c in docs.columns]
+    one = lambda of: docs.join(of, F.col(f"`{id_col}`").eqNullSafe(F.col(i)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(th)))
+    out, again = one(kept.filter(F.col(copies) == 1)).select(*mine), kept.filter(F.col(copies) > 1)
+    if not again.isEmpty():
+        out = out.union(one(tables.put(again, "again")).dropDuplicates([i, th]).select(*mine))
+    return out

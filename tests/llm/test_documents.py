@@ -29,6 +29,26 @@ def test_near_duplicates_of_one_base(spark):
     assert got == brute.near(docs)
 
 
+@pytest.mark.parametrize("shingle, percent", [(3, 85)])
+def test_near_duplicates_far_groups(spark, shingle, percent):
+    """Groups about several bases: copies with few and with many words changed to words that others have too, cut copies of
+    every length, and copies of two bases. No link that brute force finds is lost, none is added."""
+    rng = np.random.default_rng(7)
+    bases = [[f"b{k}.{i}" for i in range(n)] for k, n in enumerate((150, 60))]
+    docs = []
+    for k, base in enumerate(bases):
+        for _ in range(90):
+            w = list(base)
+            for i in rng.choice(len(w), int(rng.integers(0, max(2, len(w) // 8))), replace=False):
+                w[i] = f"v{int(rng.integers(0, 6))}"
+            docs.append(w)
+        docs += [base[: len(base) - cut] for cut in range(0, len(base) - 3, 2)]
+        docs += [base + bases[k - 1][:n] for n in range(1, 40, 3)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=shingle, percent=percent).collect()}
+    assert got == brute.near(docs, shingle, percent)
+
+
 def test_near_duplicates_odd(spark, odd):
     got = minhash.near_duplicates(odd).collect()
     assert len(got) == odd.count()
