@@ -12,8 +12,8 @@
    with it exactly. Linked sets A, B share alpha = percent * (|A| + |B|) / (100 + percent) items at least, of which R holds
    no more than the smaller of |A & R|, |B & R|. So what is not yet linked must share alpha less that many items outside R,
    and meets under its rarest ones (the same prefix filter, exact here): a group's common items are in R and give no lists,
-   and items of one member only need none. Only pairs of sets that are both smaller than R can do with R's items alone; those
-   form a list of their own. Lists that are long again take another pivot, round by round, so no list is paired as a whole.
+   and items of one member only need none. Only pairs with a set smaller than R can do with R's items alone; those form lists by
+   steps of size. Lists that are long again take another pivot, round by round, so no long list is paired as a whole.
 5. Components of all confirmed links give the result.
 """
 
@@ -34,7 +34,9 @@ from .words import hashes, sequences, words
 
 SKETCH, INDEXED = 48, 32
 #: Members of a list that meet in all pairs, of sketch values and of items outside a pivot; longer ones take a pivot.
-SHORT, SHORT_OUTSIDE = 16, 64
+SHORT, SHORT_OUTSIDE = 16, 256
+#: Steps of sizes in which sets smaller than a pivot meet.
+STEP = math.log(1.02)
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -157,9 +159,16 @@ def _by_pivots(long: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFra
         named = tables.put(named.join(tables.put(groups, "groups"), "a").withColumn("need", need), "named")
         each = named.select("a", "b", "c", F.col("nb").alias("n"), F.size("out").alias("size"), F.greatest("need", F.lit(1)).alias("need"), F.explode("out").alias("e"))
         rare = _rarest(each, ["a"], ["a", "b"], "e", F.col("size"), F.col("size") - F.col("need") + 1, tables)
-        inside = named.filter("need <= 0 and (nb < na or not linked)").withColumn("loose", ~F.col("linked"))
-        some = tables.put(inside.filter("loose").select("a").distinct(), "loose")
-        inside = inside.join(some, "a").select(F.xxhash64("a", F.lit("inside")).alias("value"), F.col("b").alias("rep"), F.col("nb").alias("n"), "c", "pop")
+        # Without such, a linked pair lies within the pivot for the most part, is not linked with it on one side, and smaller
+        # on one. It meets in the step of its smaller size, which the other side's share of the pivot bounds.
+        inside = named.filter("need <= 0 and (nb < na or not linked)")
+        step = lambda c: F.floor(F.log(c) / STEP).cast("int")
+        low, high = F.ceil(percent * F.col("nb") / 100), F.least("nb", F.floor((100 + percent) * F.col("shared") / percent) - F.col("nb"))
+        some = tables.put(inside.filter("not linked").select("a").distinct(), "loose")
+        own = F.array(step(F.col("nb")))
+        at = F.array_distinct(F.concat(F.when(low <= high, F.sequence(step(low), step(high))).otherwise(own), own))
+        inside = inside.join(some, "a").select("a", F.col("b").alias("rep"), F.col("nb").alias("n"), "c", "pop", F.explode(at).alias("at"))
+        inside = inside.select(F.xxhash64("a", F.lit("inside"), "at").alias("value"), "rep", "n", "c", "pop")
         lists = rare.select(F.xxhash64("a", "e").alias("value"), F.col("b").alias("rep"), "n", "c", "pop").union(inside)
         short, following = _sorted_out(lists, SHORT_OUTSIDE, tables)
         left = placed.filter("not fresh").join(label, placed["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))

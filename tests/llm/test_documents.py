@@ -29,10 +29,11 @@ def test_near_duplicates_of_one_base(spark):
     assert got == brute.near(docs)
 
 
-@pytest.mark.parametrize("shingle, percent", [(3, 85)])
-def test_near_duplicates_far_groups(spark, shingle, percent):
+@pytest.mark.parametrize("shingle, percent, outside", [(3, 85, 256), (5, 80, 24)])
+def test_near_duplicates_far_groups(spark, monkeypatch, shingle, percent, outside):
     """Groups about several bases: copies with few and with many words changed to words that others have too, cut copies of
     every length, and copies of two bases. No link that brute force finds is lost, none is added."""
+    monkeypatch.setattr(minhash, "SHORT_OUTSIDE", outside)
     rng = np.random.default_rng(7)
     bases = [[f"b{k}.{i}" for i in range(n)] for k, n in enumerate((150, 60))]
     docs = []
