@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, renamed, stored
+from .common import WORD, free, renamed, stored
 
 #: Conjugate golden ratio, cells of the lookup grid.
 GOLDEN, CELLS = 0.6180339887498949, 4096
@@ -113,9 +113,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **params) -> DataFrame:
     """docs with its own columns: a row for each lap in which the mix takes words of it, none if it takes none.
 
-    Rows are matched by id and source and whole texts stay whole. Documents without words have no place in a mix."""
+    Rows are matched by id and source and whole texts stay whole: of rows of one id and source each has the laps of the one
+    that is taken most often. Documents without words have no place in a mix. An empty table gives no rows; columns may
+    have any names."""
     m = mix(docs, id_col, text_col, source_col, **params).filter("taken > 0")
-    m = m.groupBy("doc_id", "source").agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("_laps"))
-    m = m.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "_laps")
-    hit = docs.join(m, docs[id_col].eqNullSafe(m["_id"]) & docs[source_col].eqNullSafe(m["_source"]))
-    return hit.withColumn("_lap", F.explode(F.sequence(F.lit(1), F.col("_laps")))).select(*[docs[c] for c in docs.columns])
+    i, source, laps, lap = free(docs, "_id", "_source", "_laps", "_lap")
+    m = m.groupBy(F.col("doc_id").alias(i), F.col("source").alias(source)).agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias(laps))
+    hit = docs.join(m, F.col(f"`{id_col}`").eqNullSafe(F.col(i)) & F.col(f"`{source_col}`").eqNullSafe(F.col(source)))
+    return hit.withColumn(lap, F.explode(F.sequence(F.lit(1), F.col(laps)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,9 +1,11 @@
 """Secret scans judged by corpus-wide ownership frequency.
 
 Each document is scanned for candidate credentials. A hash of each candidate's value is counted over the whole corpus by
-distinct repositories and distinct owners. Values that many owners hold are copied examples; values of few owners that
-look random are live-looking credentials. Generic tokens, too common to report by their shape alone, become findings
-only through that judgement; findings of the base patterns are always kept.
+distinct repositories and distinct owners. Widely copied values are examples, whether they are spread over many owners or,
+by two owners or more, over many repositories; how many is many follows the corpus, by the logarithm of its owners and
+repositories. What one owner holds is the owner's, in however many repositories. Values that are not spread and look random
+are live-looking credentials. Generic tokens, too common to report by their shape alone, become findings only through that
+judgement; findings of the base patterns are always kept.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import renamed, stored
+from .common import free, renamed, stored
 
 #: The base patterns and the least lengths of what they must match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -67,27 +69,40 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
-         example_owners: int = 4, least_bits: float = 2.5) -> DataFrame:
+         least_owners: int = 3, least_repos: int = 8, least_bits: float = 2.5) -> DataFrame:
     """One row per row of docs: doc_id, findings array<struct<kind,start,end,hash,n_repos,n_owners,verdict>>.
 
-    verdict: 'example' if at least example_owners owners hold the value, 'weak' if its entropy is under least_bits a
-    character, else 'live'. A null owner counts as one owner, a null repository as one repository. Generic candidates
+    verdict: 'example' if the value has as many owners as log2(1 + all owners), and least_owners at least, or two owners and
+    as many repositories as log2(1 + all repositories), and least_repos at least; 'weak' if its entropy is under least_bits
+    a character; else 'live'. A null owner counts as one owner, a null repository as one repository. Generic candidates
     stay only if live. Null and empty texts have no findings; repeated rows are scanned each; an empty table gives no
     rows. Values leave a task only as SHA-256; only documents with candidates meet a shuffle."""
-    return _judged(docs, id_col, text_col, repo_col, owner_col, example_owners, least_bits).select("doc_id", "findings")
+    d = _columns(docs, id_col, text_col, repo_col, owner_col)
+    return _judged(d, *_spread(d, least_owners, least_repos), least_bits).select("doc_id", "findings")
 
 
-def _judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
-            example_owners: int = 4, least_bits: float = 2.5) -> DataFrame:
-    """scan() with th, the hash of the text."""
+def _columns(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner_col: str) -> DataFrame:
     d = renamed(docs, doc_id=id_col, text=text_col, repo=repo_col, owner=owner_col)
-    d = d.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col("repo").cast("string"), F.col("owner").cast("string"))
+    return d.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.col("repo").cast("string"), F.col("owner").cast("string"))
+
+
+def _spread(d: DataFrame, least_owners: int, least_repos: int) -> tuple[int, int]:
+    """Owners and repositories from which on a value is widely copied; two numbers of the corpus reach the driver."""
+    owners, repos = d.agg(*[F.approx_count_distinct(c) for c in ("owner", "repo")]).first()
+    return max(least_owners, math.ceil(math.log2(1 + owners))), max(least_repos, math.ceil(math.log2(1 + repos)))
+
+
+def _judged(d: DataFrame, many_owners: int, many_repos: int, least_bits: float) -> DataFrame:
+    """doc_id, th and findings of each row of d."""
     # The row number is fixed by writing it: the rows with candidates are told apart by it, whatever their ids.
     s = stored(d.mapInArrow(_scan, SCANNED_SQL).withColumn("row", F.monotonically_increasing_id()), "secrets-scan")
     each = s.filter(F.size("found") > 0).select("row", "repo", "owner", F.explode("found").alias("f")).select("row", "repo", "owner", "f.*")
     null = "\0"
     held = each.groupBy("value").agg(F.countDistinct(F.coalesce("repo", F.lit(null))).alias("n_repos"), F.countDistinct(F.coalesce("owner", F.lit(null))).alias("n_owners"))
-    verdict = F.when(F.col("n_owners") >= example_owners, "example").when(F.col("bits") < least_bits, "weak").otherwise("live")
+    copied = (F.col("n_owners") >= many_owners) | ((F.col("n_owners") > 1) & (F.col("n_repos") >= many_repos))
+    verdict = F.when(copied, "example").when(F.col("bits") < least_bits, "weak").otherwise("live")
+    # Written, so that the join deals both sides anew and Spark can split the partition of a value that many rows hold.
+    held = stored(held, "secrets-held")
     judged = each.join(held, "value").withColumn("verdict", verdict).filter((F.col("kind") != "generic") | (F.col("verdict") == "live"))
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).alias("nth")
     per = judged.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", order, "kind", "end", F.col("value").alias("hash"), "n_repos", "n_owners", "verdict"))).alias("findings"))
@@ -106,33 +121,47 @@ def digest(findings: DataFrame) -> DataFrame:
                            v("live").alias("n_live"), v("example").alias("n_example"))
 
 
-def _redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = []
-        for text, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
-            if text is not None and spans:
-                out, at = [], 0
-                for s, e in sorted((x["start"], x["end"]) for x in spans):
-                    if e > at:
-                        out += [text[at:max(at, s)], "[SECRET]"] if s >= at else []
-                        at = e
-                text = "".join(out) + text[at:]
-            texts.append(text)
-        i = b.schema.get_field_index("text")
-        cols = [pa.array(texts, pa.string()) if k == i else c for k, c in enumerate(b.columns)]
-        keep = [k for k, name in enumerate(b.schema.names) if name != "_spans"]
-        yield pa.RecordBatch.from_arrays([cols[k] for k in keep], names=[b.schema.names[k] for k in keep])
-
-
-def redacted(docs: DataFrame, **params) -> DataFrame:
-    """documents with live-looking credentials replaced by [SECRET]; all rows stay, copied examples too.
-
-    Rows are compared by id and text hash. What is live depends on the value alone, so rows of one id and text have the
-    same spans: one of them speaks for all, and none is gathered."""
+def hidden(text: str, spans: list[dict]) -> str:
+    """The text with each span, or each union of overlapping spans, replaced by [SECRET]."""
+    out, at = [], 0
+    for s, e in sorted((x["start"], x["end"]) for x in spans):
+        if e > at:
+            out += [text[at:s], "[SECRET]"] if s >= at else []
+            at = e
+    return "".join(out) + text[at:]
+
+
+#: Java regular expression that every text with a candidate matches.
+MAYBE = r"(?i:passwo?r?d|secret|token|api_?key)|AKIA[A-Z0-9]{12}|[0-9a-f]{32}|[A-Za-z0-9+/_=-]{24}"
+
+
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
+             least_owners: int = 3, least_repos: int = 8, least_bits: float = 2.5) -> DataFrame:
+    """docs with live-looking credentials replaced by [SECRET]; all rows stay, copied examples too.
+
+    Texts that cannot hold a candidate pass through as they are; only the others are scanned and meet a shuffle. These are
+    compared by id and text hash. What is live depends on the value alone, so rows of one id and text have the same spans:
+    one of them speaks for all, and none is gathered. Null and empty texts stay; an empty table gives no rows; columns
+    may have any names."""
+    d = _columns(docs, id_col, text_col, repo_col, owner_col)
+    text = F.col(f"`{text_col}`")
+    maybe = F.coalesce(text.rlike(MAYBE), F.lit(False))
     live = F.filter("findings", lambda x: x["verdict"] == "live")
-    hits = _judged(docs, **params).filter(F.size(live) > 0).select(F.col("doc_id").alias("_id"), "th", F.transform(live, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("_spans"))
-    hits = hits.groupBy("_id", "th").agg(F.first("_spans").alias("_spans"))
-    same = docs["doc_id"].eqNullSafe(hits["_id"]) & (F.xxhash64(docs["text"]) == hits["th"])
-    joined = docs.join(hits, same, "left").select(*[docs[c] for c in docs.columns], "_spans")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(_redact, schema)
+    hits = _judged(d.filter(F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))), *_spread(d, least_owners, least_repos), least_bits).filter(F.size(live) > 0)
+    i, th, spans = free(docs, "_id", "_th", "_spans")
+    hits = hits.groupBy(F.col("doc_id").alias(i), F.col("th").alias(th)).agg(F.first(F.transform(live, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias(spans))
+    hits = stored(hits, "secrets-hits")
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(text) == F.col(th))
+    mine = [F.col(f"`{c}`") for c in docs.columns]
+    joined = docs.filter(maybe).join(hits, same, "left").select(*mine, spans)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = list(b.columns)
+            marked = cols.pop()
+            texts = [hidden(t, s) if t is not None and s else t for t, s in zip(cols[at].to_pylist(), marked.to_pylist(), strict=True)]
+            cols[at] = pa.array(texts, cols[at].type)
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
+
+    return docs.filter(~maybe).union(joined.mapInArrow(run, docs.schema))
