@@ -25,19 +25,21 @@ def _star(links: DataFrame, large: bool, tables: Tables) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b", tables: Tables | None = None) -> DataFrame:
     """(id, component) for each id that has an edge; component is the smallest id reachable.
 
-    Edges between null ids and loops are ignored. Rounds end at the fixed point, whose result is a stored table; each
-    round is written to the shared folder, and only two numbers of it, by which a fixed point is known, reach the driver."""
+    Edges between null ids and loops are ignored. Rounds end when all edges lead to roots, one from each id: that is the fixed
+    point. The result is a stored table; each round is written to the shared folder, and only two flags of it reach the driver."""
     tables = tables or Tables(edges.sparkSession, "links")
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
     e = tables.put(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    seen = now = None
-    while now is None or now != seen:
+    done = False
+    while not done:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both, True, tables)
         tables.drop(e)
         e = _star(large, False, tables)
         tables.drop(large)
-        seen, now = now, tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(e.select("v", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        done = not ends.agg(F.max((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0)))).first()[0]
     roots = e.select(F.col("v").alias("id")).distinct()
     out = tables.put(e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select("id", F.col("id").alias("component"))), "labels")
     tables.drop(e)

@@ -145,18 +145,31 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, n_langs int, mixture map<string,double>")
 
 
-def kept_languages(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """docs without the rows that have no language: 'und', or no language with a proportion of at least least.
+def likelihood(at: np.ndarray, n: np.ndarray, p: np.ndarray, logp: np.ndarray) -> float:
+    """The mean log-likelihood of a document's n-grams in the mixture p."""
+    ll = logp[:, at].astype(np.float64)
+    top = ll.max(axis=0)
+    return float(n @ (np.log(p @ np.exp(ll - top) + 1e-300) + top)) / float(n.sum())
+
+
+#: The mean log-likelihood of n-grams that come from nowhere: each of the hashes is as likely.
+FLAT = -BITS * float(np.log(2))
 
-    The verdict is taken in the same pass over the rows, so nothing is joined or shuffled."""
+
+def kept_languages(docs: DataFrame, model: dict, text_col: str = "text", least: float = FLAT) -> DataFrame:
+    """docs without the rows that have no language: null, empty or letterless text, or text that no mixture of the learned
+    languages explains better than chance (mean log-likelihood over least). A document in several languages stays.
+
+    Repeated rows have the same verdict; an empty table gives no rows; with a model of no languages none is left. The
+    verdict is taken in the same pass over the rows, so nothing is joined or shuffled."""
     langs, logp = model["langs"], model["logp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for text in b.column("text"):
+            for text in b.column(text_col):
                 at, n, words = ngrams(text.as_py())
-                keep.append(bool(len(at)) and bool(langs) and float(proportions(at, n, words, logp).max()) >= least)
+                keep.append(bool(len(at)) and bool(langs) and likelihood(at, n, proportions(at, n, words, logp), logp) > least)
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -73,13 +73,16 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, sa, sb). Light rows meet a's set first, so a hot pivot moves no sets but its own; then b's join evenly."""
+    """(a, b, sa, sb) of stored pairs. Only the sets that they need move. Light rows meet a's set first, so a hot pivot moves
+    no sets but its own; then b's join evenly."""
+    sets = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
     first = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
     return first.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int, outside: bool = False) -> DataFrame:
-    """(a, b, linked, na, nb, shared, out) of the pairs (a, b): exact comparison of full sets; out: b's items that a lacks, if asked for."""
+    """(a, b, linked, na, nb, shared, out) of the stored pairs (a, b): exact comparison of full sets; out: b's items that a
+    lacks, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -115,10 +118,11 @@ def _within(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _rarest(rows: DataFrame, key: list[str], owner: list[str], item: str, size: Column, prefix: Column, tables: Tables) -> DataFrame:
-    """Of rows (key + item, owner) those within the owner's prefix of rarest items, with pop, the mean frequency of the
-    owner's items. Items that one owner holds count as the rarest and need no row."""
+    """Of rows (key + item, owner, c) those within the owner's prefix of rarest items, with pop, the mean frequency of the
+    owner's items. Items that owners of one component c hold link no others: they count as the rarest and need no row."""
     # Written, so that the join deals both sides anew and Spark can split a hot item's partition.
-    often = tables.put(rows.groupBy(*key, item).agg(F.count("*").alias("df")).filter("df > 1"), "often")
+    often = rows.groupBy(*key, item).agg(F.count("*").alias("df"), F.min("c").alias("low"), F.max("c").alias("high"))
+    often = tables.put(often.filter("low < high").drop("low", "high"), "often")
     held = rows.join(often, [*key, item])
     own = Window.partitionBy(*owner)
     held = held.withColumns({"nth": F.row_number().over(own.orderBy("df", item)), "common": F.count("*").over(own), "pop": F.sum("df").over(own) / size})
@@ -133,20 +137,21 @@ def _sorted_out(lists: DataFrame, most: int, tables: Tables) -> tuple[DataFrame,
     return both.filter("not is_long").drop("is_long"), both.filter("is_long").drop("is_long")
 
 
-def _by_pivots(long: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, tables: Tables) -> DataFrame:
+def _by_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent: int, tables: Tables) -> DataFrame:
     """(a, b): links, and those of the members of long lists that they leave in different components."""
     used = None
     while not long.isEmpty():
         # A member is a pivot in one round at most, so rounds end. Lists of former pivots only have no other way than pairs.
         rank = F.struct("fresh", "pop", (-F.col("rep")).alias("rep"))
         known = long.join(used, long["rep"] == used["pivot"], "left").withColumn("fresh", F.col("pivot").isNull()).drop("pivot") if used is not None else long.withColumn("fresh", F.lit(True))
+        # Written, as it is read four times and so that Spark can split the join with a hot list.
         best = tables.put(known.groupBy("value").agg(F.max(rank).alias("p")).select("value", (-F.col("p.rep")).alias("pivot"), F.col("p.fresh").alias("fresh")), "pivots")
         placed = long.join(best, "value")
         meet = tables.put(placed.filter("fresh and rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), "pop").distinct(), "meet")
         pivots = best.filter("fresh").select("pivot").distinct()
-        used = tables.put(pivots if used is None else used.union(pivots), "used")
+        used = pivots if used is None else used.union(pivots)
         against = tables.put(_compared(meet, sets, percent, outside=True), "against")
-        links = tables.put(links.union(against.filter("linked").select("a", "b")), "links")
+        links = links.union(against.filter("linked").select("a", "b"))
         label = components(links, tables=tables)
 
         # Groups whose members are not all in one component yet.
@@ -172,8 +177,8 @@ def _by_pivots(long: DataFrame, links: DataFrame, reps: DataFrame, sets: DataFra
         lists = rare.select(F.xxhash64("a", "e").alias("value"), F.col("b").alias("rep"), "n", "c", "pop").union(inside)
         short, following = _sorted_out(lists, SHORT_OUTSIDE, tables)
         left = placed.filter("not fresh").join(label, placed["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
-        near = tables.put(_promising(_within(short.drop("pop").union(left), percent), reps, percent), "near")
-        links = tables.put(links.union(_compared(near, sets, percent).filter("linked").select("a", "b")), "links")
+        near = tables.put(_within(short.drop("pop").union(left), percent).distinct(), "near")
+        links = links.union(tables.put(_compared(near, sets, percent).filter("linked").select("a", "b"), "links"))
         long = following
     return links
 
@@ -213,19 +218,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     kept = F.least("n", F.lit(INDEXED))
     whole = F.col("n") <= math.floor(INDEXED * percent / 100)
     prefix = kept - F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(least) + 1
-    each = reps.select("rep", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
-    lists = _rarest(each, [], ["rep"], "value", kept, prefix, tables).select("value", "rep", "n", F.col("rep").alias("c"), "pop")
+    each = reps.select("rep", "n", F.col("rep").alias("c"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    lists = _rarest(each, [], ["rep"], "value", kept, prefix, tables).select("value", "rep", "n", "c", "pop")
     short, long = _sorted_out(lists, SHORT, tables)
-    pairs = tables.put(_promising(_within(short, percent), reps, percent), "pairs")
+    some = tables.put(reps.join(short.union(long).select("rep").distinct(), "rep", "left_semi"), "candidates")
+    pairs = tables.put(_promising(_within(short, percent), some, percent), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(long.select("rep")).distinct()
-    ids = tables.put(reps.join(ids, "rep").select(F.col("rep").alias("id"), "first_id", "first_th", "copies"), "ids")
+    ids = tables.put(some.join(ids, "rep").select(F.col("rep").alias("id"), "first_id", "first_th", "copies"), "ids")
     texts = lambda of: d.join(of, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))).select("id", "text")
     chosen, again = texts(ids.filter("copies = 1")), ids.filter("copies > 1")
     if not again.isEmpty():  # of repeated rows of one id and text, one
         chosen = chosen.union(texts(tables.put(again, "again")).dropDuplicates(["id"]))
     sets = tables.put(_sets(chosen, shingle), "sets")
     links = tables.put(_compared(pairs, sets, percent).filter("linked").select("a", "b"), "links")
-    label = components(_by_pivots(long, links, reps, sets, percent, tables), tables=tables)
+    label = components(_by_pivots(long, links, sets, percent, tables), tables=tables)
 
     roots = classes.select(F.col("rep").alias("root"), F.col("first_id").alias("root_id"), F.col("first_th").alias("root_th"))
     known = classes.join(label, classes["rep"] == label["id"], "left").select(F.col("sig").alias("_sig"), F.coalesce("component", "rep").alias("root")).join(roots, "root")

@@ -1,6 +1,6 @@
 """Exact top-k inner products by best-first search in M-trees.
 
-Vectors become integers floor(scale * x). One more coordinate, sqrt(M - |x|^2) with M the shard's largest squared norm,
+Vectors become integers floor(scale * x). One more coordinate, sqrt(M - |x|^2) with M the table's largest squared norm,
 gives all rows the same norm, so the largest inner product is the smallest Euclidean distance and the triangle inequality
 holds. A tree has pages of rows under a routing row, and pages of routing rows above them; each page keeps its covering
 radius and each entry its distance from the routing row (parent distance), by which distances need not be computed.
@@ -27,10 +27,20 @@ def _pages(x: np.ndarray, size: int, rng: np.random.Generator) -> tuple[np.ndarr
     return pivots, d.argmin(axis=1)
 
 
-def build(ids: np.ndarray, v: np.ndarray, scale: float = 256.0, page: int = 48) -> dict:
+def points(v: np.ndarray, scale: float, most: float) -> np.ndarray:
+    """Integer vectors with the coordinate that gives all the squared norm most."""
     ints = np.floor(scale * v)
-    norms = (ints * ints).sum(axis=1)
-    x = np.hstack((ints, np.sqrt(norms.max() - norms)[:, None]))
+    return np.hstack((ints, np.sqrt(np.maximum(0.0, most - (ints * ints).sum(axis=1)))[:, None]))
+
+
+def query_points(v: np.ndarray, scale: float) -> np.ndarray:
+    return np.hstack((np.floor(scale * v), np.zeros((len(v), 1))))
+
+
+def build(ids: np.ndarray, v: np.ndarray, scale: float = 256.0, page: int = 48, most: float | None = None) -> dict:
+    ints = np.floor(scale * v)
+    most = float((ints * ints).sum(axis=1).max()) if most is None else most
+    x = points(v, scale, most)
     rng = np.random.default_rng(len(ids))
 
     def split(points: np.ndarray) -> list[dict]:
@@ -54,11 +64,12 @@ def build(ids: np.ndarray, v: np.ndarray, scale: float = 256.0, page: int = 48)
             parent = np.sqrt(((x[routing[inside]] - x[routing[p]]) ** 2).sum(axis=1))
             radii = np.array([leaves[j]["radius"] for j in inside])
             tops.append({"at": routing[p], "pages": inside, "parent": parent, "radii": radii, "radius": (parent + radii).max()})
-    return {"ids": ids, "x": x, "ints": ints, "leaves": leaves, "tops": tops, "top_at": np.array([t["at"] for t in tops]), "most": float(norms.max()), "scale": scale}
+    return {"ids": ids, "x": x, "ints": ints, "leaves": leaves, "tops": tops, "top_at": np.array([t["at"] for t in tops]), "most": most, "scale": scale}
 
 
-def search(tree: dict, query_id: int, vector: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """[(score, vec_id)] of the k largest scores, ties to the smaller id. A page is opened only if its bound may still tie."""
+def search(tree: dict, query_id: int, vector: np.ndarray, k: int, tau: float = np.inf) -> list[tuple[int, int]]:
+    """[(score, vec_id)] of the k largest scores within the distance tau, ties to the smaller id. A page is opened only if its
+    bound may still tie."""
     x, ids = tree["x"], tree["ids"]
     own = np.floor(tree["scale"] * vector)
     q = np.append(own, 0.0)
@@ -67,7 +78,7 @@ def search(tree: dict, query_id: int, vector: np.ndarray, k: int) -> list[tuple[
 
     def reach() -> float:
         """The distance at which a row ties with the worst of the k: |q|^2 + M - 2 score."""
-        return np.sqrt(max(0.0, q2 + tree["most"] - 2 * best[0][0])) + SLACK if len(best) == k else np.inf
+        return min(tau, np.sqrt(max(0.0, q2 + tree["most"] - 2 * best[0][0])) if len(best) == k else np.inf) + SLACK
 
     tops = tree["tops"]
     d_top = np.sqrt(((x[tree["top_at"]] - q) ** 2).sum(axis=1))
@@ -101,12 +112,13 @@ def search(tree: dict, query_id: int, vector: np.ndarray, k: int) -> list[tuple[
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5, scale: float = 256.0,
-          page: int = 48, shard_rows: int = 8192, block_rows: int = 8192) -> DataFrame:
+          page: int = 48, region_rows: int = 4096, shard_rows: int = 32768) -> DataFrame:
     """(query_id, rank, vec_id, score long): exact, for the rows whose id is divisible by every.
 
     Vectors null or with null or non-finite components take no part; vectors of another dimension are not compared.
     With fewer than k other rows all are returned; a row that is alone, or an empty table, gives none. Repeated ids:
-    each row of another id is a candidate of its own. Scores are exact below 2^53."""
+    each row of another id is a candidate of its own, and each query row has a ranking of its own. Scores are exact below 2^53."""
     rows = usable(vectors, id_col, vec_col)
-    queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    return search_shards(rows, queries, lambda ids, v: build(ids, v, scale, page), search, k, "long", False, shard_rows, block_rows)
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(F.lit(scale) * x).cast("double") * F.floor(F.lit(scale) * x).cast("double"))
+    most = rows.agg(F.max(norm)).first()[0] or 0.0
+    return search_shards(rows, every, lambda v: points(v, scale, most), lambda v: query_points(v, scale), lambda ids, v: build(ids, v, scale, page, most), search, k, "long", False, region_rows, shard_rows)

@@ -90,6 +90,13 @@ _WORDS = "coalesce(regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+'), [])"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL: dict[str, str] = {
+    "op2_suffixes": f"""
+        with d as (select row_number() over () rid, doc_id, {_WORDS.format("text")} ws from documents),
+        s as (select rid, i, md5(array_to_string(ws[i:i + 49], ' ')) k from (select rid, ws, unnest(range(1, len(ws) - 48)) i from d where len(ws) >= 50)),
+        r as (select rid, i from (select rid, i, count(*) over (partition by k) c from s) where c > 1),
+        j as (select distinct rid, unnest(range(i, i + 50)) j from r),
+        p as (select rid, min(j) - 1 f, max(j) e from (select rid, j, j - row_number() over (partition by rid order by j) isle from j) group by rid, isle)
+        select doc_id, count(*) n_passages, cast(sum(e - f) as bigint) n_repeated, string_agg(concat(f, ':', e), ',' order by f) spans from p join d using (rid) group by rid, doc_id""",
     "op5_windows": f"""
         with d as (select row_number() over () rid, doc_id, {_WORDS.format("text")} ws from documents),
         s as (select rid, i, md5(array_to_string(ws[i:i + 34], ' ')) k from (select rid, ws, unnest(range(1, len(ws) - 33)) i from d where len(ws) >= 35)),

@@ -1,19 +1,31 @@
 """Sharding of vector tables for the per-shard search trees.
 
-Rows are dealt to shards of bounded size by a hash of id and vector, queries to blocks of bounded size by another. Each task
-takes one shard and one block: it builds the shard's tree and answers the block's queries. The stated query set meets all
-rows block by block, through an equi-join of shard and block.
+1. A sample of SAMPLE rows at most (by hash, the same on each run) reaches the driver; some of them are pivots. Each row is
+   dealt to the region of its nearest pivot; a region keeps the least and greatest distance of its rows. Regions of many
+   rows are cut into shards by a hash, so no shard grows with the table.
+2. A query's distance from the k nearest sample rows bounds that of its k nearest rows. By the triangle inequality it can
+   skip all regions whose rows are farther away; it travels to the shards of the others only.
+3. A task gets whole shards, each followed by its queries: it builds a shard's tree once and answers the queries as they
+   stream by. The k best of each shard are merged by a window over k rows per query and shard.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import Tables
+
+#: Rows of the sample, and the most regions.
+SAMPLE = 4096
+#: Relative and absolute slack for rounding in bounds.
+SLACK, LEAST = 1e-9, 1e-9
+
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, nonzero: bool = False) -> DataFrame:
     """(vec_id, v array<double>, dim): rows with an id and a vector whose components are all finite numbers."""
@@ -24,33 +36,154 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str, nonzero: bool = False)
     return v.filter(fine).withColumn("dim", F.size("v"))
 
 
-def matrix(column: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(x, np.float64) for x in column]) if len(column) else np.zeros((0, 0))
-
-
-def search_shards(rows: DataFrame, queries: DataFrame, build: Callable, search: Callable, k: int, score_type: str, smallest: bool,
-                  shard_rows: int, block_rows: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best rows of each query, ties to the smaller vec_id, its own row left out.
-
-    build(ids, matrix) makes a tree; search(tree, query_id, vector, k) gives (score, vec_id) of the shard's best k. Shards
-    hold about shard_rows rows and blocks about block_rows queries, whatever the table's size; only counts reach the
-    driver. The k best of each shard are merged by a window over k rows per query and shard."""
-    n, m = rows.count(), queries.count()
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-m // block_rows))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    r = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn("block", every(blocks))
-    q = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", every(shards))
-    key = ["dim", "shard", "block"]
-
-    def per_shard(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(left) and len(right):
-            left = left.sort_values("vec_id")
-            tree = build(left["vec_id"].to_numpy(np.int64), matrix(left["v"]))
-            for i, v in zip(right["vec_id"].tolist(), right["v"], strict=True):
-                out += [(i, b, s) for s, b in search(tree, i, np.asarray(v, np.float64), k)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    found = r.groupBy(*key).cogroup(q.groupBy(*key)).applyInPandas(per_shard, f"query_id long, vec_id long, score {score_type}")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").asc() if smallest else F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of a list column, all of one length, as rows."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim).astype(np.float64)
+
+
+def by_dimension(b: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    dims = b.column("dim").to_numpy()
+    for dim in np.unique(dims).tolist():
+        yield dim, b.filter(pa.array(dims == dim)) if len(np.unique(dims)) > 1 else b
+
+
+def distances(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    d = rows - q
+    return np.sqrt((d * d).sum(axis=-1))
+
+
+def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of all a from all b but for rounding: good enough to choose by, not to bound with."""
+    return (a * a).sum(1)[:, None] - 2 * (a @ b.T) + (b * b).sum(1)[None, :]
+
+
+def _dealt(rows: DataFrame, pivots: dict[int, np.ndarray], point: Callable) -> DataFrame:
+    """rows with region, that of the nearest pivot (-1: there is none of this dimension), and d, the distance from it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for dim, b in by_dimension(whole):
+                if dim in pivots and len(b):
+                    x = point(matrix(b.column("v"), dim))
+                    region = squares(x, pivots[dim]).argmin(axis=1)
+                    d = distances(x, pivots[dim][region])
+                else:
+                    region, d = np.full(len(b), -1), np.zeros(len(b))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(region.astype(np.int32)), pa.array(d)], names=[*b.schema.names, "region", "d"])
+
+    return rows.mapInArrow(run, "vec_id long, v array<double>, dim int, region int, d double")
+
+
+def _routed(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]], regions: dict[int, tuple], point: Callable, k: int, factor: float) -> DataFrame:
+    """(row, vec_id, v, dim, tau, region, sub) for each shard that a query (row, vec_id, v, dim, region) has to see."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for dim, b in by_dimension(whole):
+                for at in range(0, len(b), 256):
+                    part = b.slice(at, 256)
+                    of, tau, region, sub = [], [], [], []
+                    q = point(matrix(part.column("v"), dim))
+                    if dim in sample:
+                        ids, rows = sample[dim]
+                        numbers, centres, near, far, subs = regions[dim]
+                        guess = squares(q, rows)
+                    for i, own in enumerate(part.column("vec_id").to_pylist()):
+                        if dim not in sample:
+                            of.append(i), tau.append(np.inf), region.append(-1), sub.append(0)
+                            continue
+                        other = np.flatnonzero(ids != own)
+                        t = np.inf
+                        if len(other) >= k:
+                            some = other[np.argpartition(guess[i, other], k - 1)[:k]]
+                            t = float(distances(rows[some], q[i]).max()) * (1 + SLACK) + LEAST
+                        d = distances(centres, q[i])
+                        low = np.maximum(d - far, near - d) * (1 - SLACK) - LEAST
+                        for r in np.flatnonzero(low * factor <= t).tolist():
+                            n = int(subs[r])
+                            of += [i] * n
+                            tau += [t] * n
+                            region += [int(numbers[r])] * n
+                            sub += range(n)
+                    got = part.take(pa.array(of, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("row", "vec_id", "v", "dim")], pa.array(tau, pa.float64()), pa.array(region, pa.int32()), pa.array(sub, pa.int32())],
+                                                     names=["row", "vec_id", "v", "dim", "tau", "region", "sub"])
+
+    return queries.select("row", "vec_id", "v", "dim").mapInArrow(run, "row long, vec_id long, v array<double>, dim int, tau double, region int, sub int")
+
+
+def _answered(parts: DataFrame, build: Callable, search: Callable, k: int, score_type: str) -> DataFrame:
+    """(row, query_id, vec_id, score) of parts (dim, region, sub, row, vec_id, v, tau) in order of shard and row: rows of the
+    table have no row number and come first."""
+    score = pa.int64() if score_type == "long" else pa.float64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, tree = None, [], None
+        for b in batches:
+            out: list[tuple] = []
+            places = list(zip(*[b.column(c).to_pylist() for c in ("dim", "region", "sub")], b.column("row").is_null().to_pylist(), strict=True))
+            start = 0
+            while start < len(places):
+                end = start + 1
+                while end < len(places) and places[end] == places[start]:
+                    end += 1
+                part, (*shard, is_row) = b.slice(start, end - start), places[start]
+                if shard != key:
+                    key, held, tree = shard, [], None
+                v = matrix(part.column("v"), shard[0])
+                if is_row:
+                    held.append((part.column("vec_id").to_numpy(), v))
+                elif held:
+                    if tree is None:
+                        ids, rows = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+                        order = np.argsort(ids, kind="stable")
+                        tree = build(ids[order], rows[order])
+                    for row, i, q, tau in zip(part.column("row").to_pylist(), part.column("vec_id").to_pylist(), v, part.column("tau").to_pylist(), strict=True):
+                        out += [(row, i, vec, s) for s, vec in search(tree, i, q, k, tau)]
+                start = end
+            cells = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cells[:3]], pa.array(cells[3], score)], names=["row", "query_id", "vec_id", "score"])
+
+    return parts.mapInArrow(run, f"row long, query_id long, vec_id long, score {score_type}")
+
+
+def search_shards(rows: DataFrame, every: int, point: Callable, query_point: Callable, build: Callable, search: Callable, k: int, score_type: str, smallest: bool,
+                  region_rows: int, shard_rows: int, factor: float = 1.0) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best rows of each query, ties to the smaller vec_id, rows of its own id left out.
+
+    Queries are the rows whose id is divisible by every. point(matrix) and query_point(matrix) give the points between which
+    the triangle inequality holds. build(ids, matrix) makes a tree; search(tree, query_id, vector, k, tau) gives (score,
+    vec_id) of the shard's best k within the distance tau. There is a region for about region_rows rows, SAMPLE at most;
+    shards hold about shard_rows rows. Only the sample, a few numbers for each region and the number of rows reach the driver."""
+    tables = Tables(rows.sparkSession, "search")
+    n = rows.count()
+    drawn = rows.orderBy(F.xxhash64(F.lit(11), "vec_id", "v"), "vec_id").limit(SAMPLE).collect()
+    by_dim = defaultdict(list)
+    for r in drawn:
+        by_dim[r["dim"]].append((r["vec_id"], r["v"]))
+    sample = {dim: (np.array([i for i, _ in x], np.int64), point(np.array([v for _, v in x], np.float64).reshape(len(x), dim))) for dim, x in by_dim.items()}
+    # Each dimension gets its share of the pivots, one at least.
+    share = min(1.0, -(-n // region_rows) / max(1, len(drawn)))
+    pivots = {dim: points[: max(1, round(share * len(points)))] for dim, (_, points) in sample.items()}
+    dealt = tables.put(_dealt(rows, pivots, point), "rows")
+    of = defaultdict(list)
+    for r in dealt.filter("region >= 0").groupBy("dim", "region").agg(F.count("*").alias("n"), F.min("d").alias("near"), F.max("d").alias("far")).orderBy("dim", "region").collect():
+        of[r["dim"]].append((r["region"], r["near"], r["far"], -(-r["n"] // shard_rows)))
+    regions = {}
+    for dim, x in of.items():
+        numbers, near, far, subs = (np.array(c) for c in zip(*x, strict=True))
+        regions[dim] = (numbers, pivots[dim][numbers], near, far, subs)
+    many = rows.sparkSession.createDataFrame([(dim, r, s) for dim, x in of.items() for r, _, _, s in x], "dim int, region int, subs long")
+    placed = dealt.join(F.broadcast(many), ["dim", "region"], "left").withColumn("sub", F.pmod(F.xxhash64("vec_id", "v"), F.coalesce("subs", F.lit(1))).cast("int"))
+    queries = tables.put(dealt.filter(F.pmod("vec_id", F.lit(every)) == 0).withColumn("row", F.monotonically_increasing_id()), "queries")
+    routed = tables.put(_routed(queries, sample, regions, query_point, k, factor), "routed")
+
+    null = lambda kind: F.lit(None).cast(kind)
+    parts = placed.select("dim", "region", "sub", null("long").alias("row"), "vec_id", "v", null("double").alias("tau")).union(routed.select("dim", "region", "sub", "row", "vec_id", "v", "tau"))
+    parts = parts.repartition("dim", "region", "sub").sortWithinPartitions("dim", "region", "sub", F.col("row").asc_nulls_first())
+    found = _answered(parts, build, search, k, score_type)
+    order = Window.partitionBy("row").orderBy(F.col("score").asc() if smallest else F.col("score").desc(), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = tables.put(best, "best")
+    tables.drop_all(out)
+    return out

@@ -13,15 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import search_shards, usable
-
-#: Relative slack for rounding in bounds.
-SLACK = 1e-9
-
-
-def distances(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
-    d = rows - q
-    return np.sqrt((d * d).sum(axis=-1))
+from .vectors import SLACK, distances, search_shards, usable
 
 
 def exact(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -55,7 +47,8 @@ def build(ids: np.ndarray, x: np.ndarray, leaf: int = 64) -> dict:
     return {"ids": ids, "x": x, "nodes": nodes}
 
 
-def search(tree: dict, query_id: int, q: np.ndarray, k: int, factor: float = 1.0) -> list[tuple[float, int]]:
+def search(tree: dict, query_id: int, q: np.ndarray, k: int, tau: float = np.inf, factor: float = 1.0) -> list[tuple[float, int]]:
+    """[(distance, vec_id)] of the k nearest within the distance tau, ties to the smaller id."""
     x, ids, nodes = tree["x"], tree["ids"], tree["nodes"]
     best: list[tuple[float, int, int]] = []  # a heap whose first is the worst: (-distance, -id, row)
 
@@ -70,7 +63,7 @@ def search(tree: dict, query_id: int, q: np.ndarray, k: int, factor: float = 1.0
     heap = [(0.0, 0)]
     while heap:
         bound, at = heapq.heappop(heap)
-        if len(best) == k and bound * factor * (1 - SLACK) > -best[0][0]:
+        if bound * factor * (1 - SLACK) > (min(tau, -best[0][0]) if len(best) == k else tau):
             break
         node = nodes[at]
         if len(node) == 1:
@@ -92,12 +85,13 @@ def search(tree: dict, query_id: int, q: np.ndarray, k: int, factor: float = 1.0
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 100, k: int = 10, factor: float = 1.0,
-            leaf: int = 64, shard_rows: int = 8192, block_rows: int = 8192) -> DataFrame:
+            leaf: int = 64, region_rows: int = 4096, shard_rows: int = 32768) -> DataFrame:
     """(query_id, rank, vec_id, score double): the k nearest by Euclidean distance, for the rows whose id is divisible by every.
 
     Vectors null, zero or with null or non-finite components take no part; vectors of another dimension are not compared.
     With fewer than k other rows all are returned; a row that is alone, or an empty table, gives none. Ties go to the
-    smaller id. factor 1 is exact; every row is in the index of its shard."""
+    smaller id, and each query row has a ranking of its own. factor 1 is exact, also in the choice of shards; every row is in
+    the index of its shard."""
     rows = usable(vectors, id_col, vec_col, nonzero=True)
-    queries = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    return search_shards(rows, queries, lambda ids, v: build(ids, v, leaf), lambda t, i, q, n: search(t, i, q, n, factor), k, "double", True, shard_rows, block_rows)
+    same = lambda v: v
+    return search_shards(rows, every, same, same, lambda ids, v: build(ids, v, leaf), lambda t, i, q, n, tau: search(t, i, q, n, tau, factor), k, "double", True, region_rows, shard_rows, factor)

@@ -1,5 +1,8 @@
 """Document operators against brute force, held-out rows and odd inputs."""
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -208,6 +211,39 @@ def test_quality_identity():
     assert abs(quality.score_one(m, ids, x) - 1 / (1 + np.exp(-z))) < 1e-12
 
 
+def plain_quality(model, text, n_chars):
+    """The score of a whole text from the model alone: features one by one, and all pairs of them."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    w, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
+    n, size, many = max(1, len(w)), max(1, len(raw)), max(1, len(lines))
+    log = lambda x, top: min(1.0, math.log(1 + max(0, x)) / top)
+    among = lambda chars: sum(raw.count(c) for c in {bytes([x]) for x in chars})
+    most = lambda xs: max((xs.count(x) for x in set(xs)), default=0)
+    stats = {
+        "words": log(len(w), 11.0), "word_length": min(1.0, sum(len(x) for x in w) / n / 24), "distinct": len(set(w)) / n, "top_word": most(w) / n, "top_line": most(lines) / many,
+        "upper": among(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") / size, "digits": among(b"0123456789") / size, "marks": min(1.0, 4 * among(b"|#*$%&@!~^=<>{}[]\\_") / size),
+        "punctuated": min(1.0, (raw.count(b".") + raw.count(b",")) / n), "lines": log(len(lines), 8.0), "line_words": min(1.0, n / many / 64),
+        "odd_ends": sum(x[-1:] in (b"!", b"#", b"*", b"$", b"%", b"&", b"@", b"|", b"~", b"^") for x in w) / n, "repeats": sum(a == b for a, b in zip(w, w[1:], strict=False)) / n,
+        "n_chars": 0.0 if n_chars is None else log(n_chars, 13.0), "short_lines": sum(len(x) < 40 for x in lines) / many,
+    }
+    at = [(quality.WORDS + i * quality.STEPS + min(quality.STEPS - 1, int(stats[k] * quality.STEPS)), 0.5) for i, k in enumerate(quality.STATS)]
+    tf = {x: math.log(1 + w.count(x)) for x in set(w)}
+    norm = math.sqrt(sum(t * t for t in tf.values())) or 1.0
+    at += [(zlib.crc32(x) % quality.WORDS, t / norm) for x, t in tf.items()]
+    z = model["w0"] + sum(model["w"][i] * x for i, x in at)
+    z += sum(float(model["v"][i] @ model["v"][j]) * x * y for a, (i, x) in enumerate(at) for j, y in at[:a])
+    return 1 / (1 + math.exp(-min(35.0, max(-35.0, z))))
+
+
+def test_quality_in_plain_python(spark, documents, odd, sf):
+    model = quality.fit(documents, spark.read.parquet(f"{sf}/labels.parquet"))
+    some = documents.filter("length(text) < 900").select("doc_id", "text", "n_chars").orderBy("doc_id").limit(40).union(odd.filter("doc_id in (1, 2, 3, 4, 6)").select("doc_id", "text", "n_chars"))
+    rows = some.withColumn("k", F.monotonically_increasing_id().cast("long")).cache()
+    got = {r.doc_id: r.score for r in quality.score(rows, model, id_col="k").collect()}
+    for r in rows.collect():
+        assert abs(got[r.k] - plain_quality(model, r.text, r.n_chars)) < 1e-9
+
+
 def test_quality_odd(spark, odd):
     labels = spark.createDataFrame([(5, 1), (8, 0), (None, 1), (4, None)], "doc_id long, quality int")
     got = quality.score(odd, quality.fit(odd, labels, fold=None)).collect()

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from captrail.llm import mtree, vptree
+from captrail.llm import mtree, vectors, vptree
 
 from . import brute
 
@@ -29,21 +29,50 @@ def test_top_k(spark):
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     rows = [(r.vec_id, r.embedding) for r in d.collect()]
     want = brute.nearest(rows, 50, 5, lambda a, b: sum(x * y for x, y in zip(ints(a), ints(b), strict=True)), False)
-    for shard in (60, 8192):
-        assert found(mtree.top_k(d, shard_rows=shard, page=8)) == want
+    for region, shard in ((30, 20), (60, 8192), (8192, 100), (8192, 8192)):
+        assert found(mtree.top_k(d, region_rows=region, shard_rows=shard, page=8)) == want
 
 
 def test_nearest(spark):
     rows = data(spark) + [(1000 + i, v) for i, v in data(spark, 40)]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = brute.nearest(rows, 100, 10, lambda a, b: float(np.sqrt(np.cumsum((np.array(a) - np.array(b)) ** 2)[-1])), True)
-    for shard in (100, 8192):
-        assert found(vptree.nearest(d, shard_rows=shard, leaf=16)) == want
-    some = found(vptree.nearest(d, factor=1.5, leaf=8))
+    for region, shard in ((30, 20), (100, 8192), (8192, 8192)):
+        assert found(vptree.nearest(d, region_rows=region, shard_rows=shard, leaf=16)) == want
+    some = found(vptree.nearest(d, factor=1.5, leaf=8, region_rows=60))
     hits = sum(len({i for i, _ in some[q]} & {i for i, _ in want[q]}) for q in want) / sum(map(len, want.values()))
     assert hits >= 0.9
 
 
+def test_regions_are_skipped(spark, monkeypatch):
+    """Of vectors about twelve centres a query sees the shards near it only, and the result is that of all pairs."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 30, (12, 6))
+    rows = [(i, (centres[i % 12] + rng.normal(0, 0.1, 6)).tolist()) for i in range(1200)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = []
+    put = vectors.Tables.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        if name in ("routed", "queries"):
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(vectors.Tables, "put", counted)
+    got = found(vptree.nearest(d, every=10, region_rows=25))
+    assert got == brute.nearest(rows, 10, 10, lambda a, b: float(np.sqrt(np.cumsum((np.array(a) - np.array(b)) ** 2)[-1])), True)
+    queries, routed = seen
+    assert queries == 120 and routed < 120 * 48 / 4
+
+
+def test_repeated_query_ids(spark):
+    """Each query row of an id has a ranking of its own; rows of its id are no candidates."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), *[(i, [float(i), 1.0]) for i in range(1, 8)]]
+    got = mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 1), (0, 1, 7), (0, 2, 2), (0, 2, 6), (0, 3, 3), (0, 3, 5)]
+
+
 def test_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (50, [0.0, 0.0]), (100, [1.0, float("nan")]), (101, None), (102, [1.0, None]), (103, [float("inf"), 0.0]), (3, [1.0, 2.0]), (3, [1.0, 2.0]), (4, [1.0]), (None, [1.0, 1.0])]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as v", "2 as dim", "3 as shard")
