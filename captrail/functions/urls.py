@@ -110,6 +110,31 @@ def host_revs_for_domain(col: Column | str) -> Column:
     return F.when(d == "", F.array().cast("array<string>")).otherwise(both)
 
 
+def host_revs_for_urls(domain: Column | str, requested: Column | str) -> Column:
+    """host_revs_for_domain() with the keys of the hosts of an array of requested URLs, each with and without 'www.'."""
+    host = lambda u: F.lower(F.regexp_replace(F.regexp_replace(_netloc(_absolute(strip(u))), "^.*@", ""), ":[0-9]*$", ""))
+    other = lambda h: F.when(h.startswith("www."), F.substring(h, 5, 2_000_000_000)).otherwise(F.concat(F.lit("www."), h))
+    hosts = F.filter(F.transform(F.coalesce(_c(requested), F.array().cast("array<string>")), host), lambda h: h != "")
+    keys = F.flatten(F.transform(hosts, lambda h: F.array(host_to_rev(h), host_to_rev(other(h)))))
+    return F.filter(F.array_sort(F.array_distinct(F.concat(host_revs_for_domain(domain), keys))), lambda k: k != "")
+
+
+def collection_of_path(path: Column | str) -> Column:
+    """The first folder of a path that is named CC-MAIN-..., else null."""
+    return F.nullif(F.regexp_extract(_c(path), "(?:^|/)(CC-MAIN-[^/]*)/", 1), F.lit(""))
+
+
+def year_of_path(path: Column | str) -> Column:
+    """The year of the collection in a path, else a folder named by four digits or 'year=' and these, else null."""
+    folder = F.nullif(F.regexp_extract(_c(path), "/(?:year=)?([0-9]{4})/", 1), F.lit(""))
+    return F.coalesce(collection_year(collection_of_path(path)), folder)
+
+
+def in_shard_part(col: Column | str, mod: int, rem: int) -> Column:
+    """Whether a shard's number falls to part rem of mod; files without a number fall to none."""
+    return F.coalesce(F.pmod(shard_number(col), F.lit(mod)) == rem, F.lit(False))
+
+
 def ancestors(host_rev: Column | str) -> Column:
     """'c,b,a' to ['c', 'c,b', 'c,b,a']: the keys of all subtrees that hold a host."""
     p = F.split(_c(host_rev), ",")
@@ -167,6 +192,10 @@ def wayback_score(warc_filename: Column | str, status: Column | str, mime: Colum
     return one(f.contains("/warc/"), 4) + one(f.contains("crawldiagnostics"), -4) + one(_c(status) == 200, 2) + one(m.startswith("text/html"), 1)
 
 
+#: Texts of errors that are worth another try.
+TRANSIENT_PATTERN = " 429| 502| 503| 504|too many requests|timeout|timed out|connection reset|temporarily unavailable"
+
+
 def transient_error(col: Column | str) -> Column:
-    """Whether an error text looks worth another try: rate limits, server errors, timeouts, dropped connections."""
-    return F.lower(_c(col)).rlike(r"\b(429|500|502|503|504)\b|timed? ?out|timeout|temporar|connection (reset|refused|aborted)|too many requests")
+    """Whether an error text looks worth another try: rate limits, gateway errors, timeouts, dropped connections."""
+    return F.lower(F.coalesce(_c(col), F.lit(""))).rlike(TRANSIENT_PATTERN)

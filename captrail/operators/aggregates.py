@@ -12,8 +12,9 @@ def first_row_wins(rows: DataFrame, keys: list[str], order: str, values: list[st
 
 
 def url_sets(rows: DataFrame, key: str, url: str) -> DataFrame:
-    """Per key its distinct URLs, sorted."""
-    return rows.groupBy(key).agg(F.array_sort(F.collect_set(url)).alias("urls"))
+    """Per key its distinct URLs, as rows (key, url, nth) with their place in order: a key may have any number of them."""
+    w = Window.partitionBy(key).orderBy(url)
+    return rows.select(key, url).distinct().withColumn("nth", F.row_number().over(w))
 
 
 def error_top(attempts: DataFrame, n: int, col: str = "error") -> DataFrame:
@@ -67,19 +68,34 @@ def bag_union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def bag_union_counts(parts: dict[str, DataFrame]) -> DataFrame:
+    """(collection, n): rows of each part, the parts named by their collection; parts without rows count 0."""
+    named = bag_union([p.select(F.lit(name).alias("collection"), F.lit(1).alias("n")) for name, p in parts.items()])
+    spark = named.sparkSession
+    every = spark.createDataFrame([(name,) for name in parts], "collection string")
+    return every.join(named.groupBy("collection").agg(F.sum("n").alias("n")), "collection", "left").fillna(0)
+
+
 def sampled(rows: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """n rows in the order of a seeded hash: a uniform sample that is the same on each run."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """n rows in the order of a seeded hash: a uniform sample that is the same on each run and in each engine with MD5."""
+    return rows.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)
+
 
+def newest(rows: DataFrame, order: str, n: int, ties: str) -> DataFrame:
+    """The n rows of the latest order, the smaller of ties first."""
+    return rows.orderBy(F.col(order).desc(), ties).limit(n)
 
-def newest(rows: DataFrame, order: str, n: int) -> DataFrame:
-    return rows.orderBy(F.col(order).desc()).limit(n)
 
+def evict(entries: DataFrame, max_bytes: int, size: str = "size_bytes", time: str = "mtime_ns", part_ns: int = 3_600_000_000_000) -> DataFrame:
+    """The oldest cache entries to drop until the rest is within max_bytes; of one time the later by path goes first.
 
-def evict(entries: DataFrame, max_bytes: int, size: str = "size_bytes", time: str = "mtime_ns") -> DataFrame:
-    """The oldest cache entries to drop until the rest is within max_bytes."""
-    w = Window.orderBy(F.col(time).desc(), F.col("path")).rowsBetween(Window.unboundedPreceding, 0)
-    return entries.withColumn("_kept", F.sum(size).over(w)).filter(F.col("_kept") > max_bytes).drop("_kept")
+    Sums run in two levels, over whole parts of time and then within a part, so that no task holds all entries."""
+    e = entries.withColumn("_part", F.floor(F.col(time) / part_ns))
+    newer = Window.orderBy(F.col("_p").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    parts = e.groupBy(F.col("_part").alias("_p")).agg(F.sum(size).alias("_bytes")).select("_p", F.coalesce(F.sum("_bytes").over(newer), F.lit(0)).alias("_newer"))
+    w = Window.partitionBy("_part").orderBy(F.col(time).desc(), "path").rowsBetween(Window.unboundedPreceding, 0)
+    kept = e.join(parts, F.col("_part") == F.col("_p")).withColumn("_kept", F.col("_newer") + F.sum(size).over(w))
+    return kept.filter(F.col("_kept") > max_bytes).drop("_part", "_p", "_newer", "_kept")
 
 
 def directory_usage(files: DataFrame) -> DataFrame:

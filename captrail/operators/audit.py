@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def audit_reasons(shards: DataFrame, codec: str = "zstd", target_rows: int | None = None, tolerance: float = 0.25) -> DataFrame:
-    """shards with reasons array<string>; needs missing_columns array, codecs array, median_rows, is_sorted (null: unknown)."""
-    far = F.lit(False) if target_rows is None else (F.abs(F.col("median_rows") - target_rows) > tolerance * target_rows)
+def audit_reasons(shards: DataFrame, codec: str = "zstd", target_rows: int | None = None, tolerance: float = 0.25, target_mb: float | None = None) -> DataFrame:
+    """shards with reasons array<string>; needs missing_columns array, codecs array, median_rows and median_mb of row groups
+    where targets are given, is_sorted (null: unknown)."""
+    off = lambda col, target: F.lit(False) if target is None else (F.abs(F.col(col) - target) > tolerance * target)
+    far = off("median_rows", target_rows) | off("median_mb", target_mb)
     reasons = F.array(
         F.when(F.size("missing_columns") > 0, "missing_columns"), F.when(F.exists("codecs", lambda c: F.lower(c) != codec), "codec"),
         F.when(far, "row_group_size"), F.when(F.col("is_sorted").isNull(), "sort_unknown").when(~F.col("is_sorted"), "unsorted"),
@@ -40,9 +42,22 @@ def completeness(files: DataFrame, expected: int = 300) -> DataFrame:
     return got.withColumns({"expected": F.lit(expected), "complete": F.col("sorted") + F.col("empty") >= expected})
 
 
-def pipeline_status(catalog: DataFrame, files: DataFrame, expected: int = 300) -> DataFrame:
-    """Every collection of the catalog with its counts, zeros where nothing is there."""
-    return catalog.select(F.col("id").alias("collection")).join(completeness(files, expected), "collection", "left").fillna(0).fillna(False)
+def pipeline_status(catalog: DataFrame, files: DataFrame, expected: int = 300, indexed: DataFrame | None = None) -> DataFrame:
+    """Every collection of the catalog with its counts, zeros where nothing is there, and whether it is in indexed (collection)."""
+    out = catalog.select(F.col("id").alias("collection")).join(completeness(files, expected), "collection", "left").fillna(0).fillna(False)
+    if indexed is None:
+        return out
+    return out.join(indexed.select("collection", F.lit(True).alias("indexed")).distinct(), "collection", "left").fillna(False)
+
+
+def shard_progress(files: DataFrame, ingested: DataFrame, by: str = "year") -> DataFrame:
+    """(by, expected, ingested, missing) by 'year' or 'collection': shards of the inventory (collection, name) against those
+    of ingested (collection, shard_file). Names other than CC-MAIN-YYYY-WW have no year and are left out there."""
+    name = lambda d, c: d.select("collection", F.regexp_extract(c, r"^(cdx-[0-9]{5}\.gz)$", 1).alias("shard")).filter("shard <> ''").distinct()
+    both = name(files, "name").withColumn("here", F.lit(1)).join(name(ingested, "shard_file").withColumn("there", F.lit(1)), ["collection", "shard"], "left")
+    both = both.withColumn("year", F.nullif(F.regexp_extract("collection", "^CC-MAIN-([0-9]{4})-[0-9]+", 1), F.lit(""))).filter(F.col(by).isNotNull())
+    n = both.groupBy(by).agg(F.count("here").alias("expected"), F.count("there").alias("ingested"))
+    return n.withColumn("missing", F.col("expected") - F.col("ingested"))
 
 
 def gaps(expected: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,9 +10,16 @@ from captrail.functions import urls
 FILE = ["collection", "shard_file"]
 
 
-def domain_shards(pointers: DataFrame) -> DataFrame:
-    """(collection, year, shard_file, host_rev, host): which shards hold a host, with the host as first named there."""
-    return pointers.filter("host_rev is not null").groupBy(*FILE, "host_rev").agg(F.min("host").alias("host")).withColumn("year", urls.collection_year("collection"))
+def domain_shards(pointers: DataFrame, order: str = "ts") -> DataFrame:
+    """(collection, year, shard_file, host_rev, host): which shards hold a host, with the host as first named there, in the
+    given order and then by name."""
+    first = F.min(F.struct(order, "host"))["host"]
+    return pointers.filter("host_rev is not null").groupBy(*FILE, "host_rev").agg(first.alias("host")).withColumn("year", urls.collection_year("collection"))
+
+
+def refreshed(index: DataFrame, pointers: DataFrame, order: str = "ts") -> DataFrame:
+    """The index with the entries of the shards in pointers made anew; entries of other shards stay. Repeating it changes nothing."""
+    return index.join(pointers.select(*FILE).distinct(), FILE, "left_anti").unionByName(domain_shards(pointers, order))
 
 
 def shards_of(index: DataFrame, key: str) -> DataFrame:
@@ -53,6 +60,15 @@ def segments(rows: DataFrame, group: list[str], at: str, key: str = "host_rev")
     return out.filter(F.col(key).isNotNull()).drop("_isle")
 
 
+def segment_offsets(rows: DataFrame, group: list[str], at: str, key: str = "host_rev") -> DataFrame:
+    """segments() of row groups with six offsets: of the row group and of the run in the file (rg_row_*, dom_row_*), and of
+    the run in its row group (dom_rg_row_*); starts inclusive, ends exclusive."""
+    bounds = rows.groupBy(*group).agg(F.min(at).alias("rg_row_start"), (F.max(at) + 1).alias("rg_row_end"))
+    runs = segments(rows, group, at, key).withColumnsRenamed({"row_start": "dom_row_start", "row_end": "dom_row_end"})
+    inside = lambda c: F.col(c) - F.col("rg_row_start")
+    return runs.join(bounds, group).withColumns({"dom_rg_row_start": inside("dom_row_start"), "dom_rg_row_end": inside("dom_row_end")})
+
+
 def run_lengths(rows: DataFrame, group: list[str], at: str, key: str = "host_rev") -> DataFrame:
     """Runs of equal non-null keys, nulls left out before runs are formed."""
     return segments(rows.filter(F.col(key).isNotNull()), group, at, key).withColumn("run_len", F.col("row_end") - F.col("row_start"))
@@ -78,9 +94,21 @@ def zone_subtree(zones: DataFrame, key: str) -> DataFrame:
     return zones.filter((F.col("min_key") < key + "-") & (F.col("max_key") >= key))
 
 
-def zone_keys(zones: DataFrame, keys: DataFrame, key_col: str = "key") -> DataFrame:
-    """Zones for many keys: a range join with the zone map, the small side."""
-    return zones.join(keys, (F.col(key_col) >= F.col("min_key")) & (F.col(key_col) <= F.col("max_key")))
+def zone_keys(zones: DataFrame, keys: DataFrame, key_col: str = "key", depth: int = 2) -> DataFrame:
+    """Zones for many keys, by equi-joins: a key can only be in a zone whose bounds agree with it in as many leading characters
+    as they agree in with each other, so zones and keys meet under these, up to depth of them."""
+    same = lambda n: F.substring("min_key", 1, n) == F.substring("max_key", 1, n)
+    level = sum((same(n).cast("int") for n in range(2, depth + 1)), same(1).cast("int"))
+    z = zones.filter("min_key is not null").withColumn("_level", level).withColumn("_head", F.expr("substring(min_key, 1, _level)"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(depth)))
+    k = keys.filter(F.col(key_col).isNotNull()).withColumn("_level", levels).withColumn("_head", F.expr(f"substring(`{key_col}`, 1, _level)"))
+    met = z.join(k, ["_level", "_head"])
+    return met.filter((F.col(key_col) >= F.col("min_key")) & (F.col(key_col) <= F.col("max_key"))).drop("_level", "_head")
+
+
+def zones_of_footers(groups: DataFrame) -> DataFrame:
+    """The zone map of written files, from footers(): no data page is read."""
+    return groups.select("path", "row_group", F.col("min_value").alias("min_key"), F.col("max_value").alias("max_key"), F.col("num_rows").alias("n_rows"))
 
 
 def boundary_check(zones: DataFrame, file_cols: list[str], order: str) -> DataFrame:
@@ -160,10 +188,8 @@ def row_group_advice(runs: DataFrame, bytes_per_row: float, percent: float = 90.
     """(runs, target_run, rows): rows of a row group near a high percentile of run lengths, rounded up to the step, within
     low and high, and worth min_mb at least."""
     t = runs.agg(F.count("*").alias("runs"), percentile_rank("run_len", min(99.9, max(50.0, percent)) / 100).cast("long").alias("target_run"))
-    up = lambda c: F.least(F.lit(high), F.greatest(F.lit(low), (F.ceil(c / step) * step)))
-    by_bytes = F.lit(int(min_mb * 1024 * 1024 / max(1.0, bytes_per_row)))
-    first = up(F.least(F.lit(high), F.greatest(F.lit(low), F.col("target_run"))))
-    return t.withColumn("rows", F.when(first < by_bytes, up(by_bytes)).otherwise(first).cast("long"))
+    wanted = F.greatest("target_run", F.lit(int(min_mb * 1024 * 1024 / max(1.0, bytes_per_row))))
+    return t.withColumn("rows", F.least(F.lit(high), F.greatest(F.lit(low), F.ceil(wanted / step) * step)).cast("long"))
 
 
 def row_group_cost(runs: DataFrame, bytes_per_row: float, overhead_mb: float = 2.0) -> DataFrame:
@@ -174,7 +200,7 @@ def row_group_cost(runs: DataFrame, bytes_per_row: float, overhead_mb: float = 2
 
 
 def rows_by_bytes(total_bytes: float, rows: int, target_mb: int = 128) -> int:
-    """Rows of a row group of about target_mb, rounded to ten thousand."""
+    """Rows of a row group of about target_mb (16 to 512), to the next ten thousand within 50,000 and 1,000,000."""
     per = max(1.0, total_bytes / max(1, rows))
-    est = max(50_000, min(1_000_000, int(max(16, min(512, target_mb)) * 1024 * 1024 / per)))
-    return max(50_000, min(1_000_000, round(est / 10_000) * 10_000))
+    tens = round(min(512, max(16, target_mb)) * 1024 * 1024 / per / 10_000)
+    return 10_000 * min(100, max(5, tens))

@@ -31,8 +31,23 @@ def write_sorted(pointers: DataFrame, path: str, partitions: int, rows_per_group
     w.parquet(path)
 
 
-def recompress(spark, source: str, target: str, codec: str = "zstd") -> None:
+def recompress(spark, source: str, target: str, codec: str = "zstd") -> bool:
+    """Writes the files below source anew with the codec, if any has another one; whether it did."""
+    from captrail.sources.footers import footers
+
+    other = footers(spark, source).filter(F.exists("codecs", lambda c: c != codec))
+    if other.isEmpty():
+        return False
     spark.read.parquet(source).write.mode("overwrite").option("compression", codec).parquet(target)
+    return True
+
+
+def write_or_mark(df: DataFrame, path: str) -> DataFrame:
+    """Writes a shard; one without rows becomes a table with the schema and no rows. (path, rows, is_empty) says which, in
+    place of a marker file beside it."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    n = df.sparkSession.read.schema(df.schema).parquet(path).agg(F.count("*").alias("rows"))
+    return n.select(F.lit(path).alias("path"), "rows", (F.col("rows") == 0).alias("is_empty"))
 
 
 def with_provenance(df: DataFrame, collection: str, shard_file: str) -> DataFrame:
@@ -49,9 +64,12 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_candidates(df: DataFrame, path: str, form: str = "jsonl") -> None:
-    """'jsonl', 'csv' or 'list' (one archive name a line)."""
+    """'jsonl', 'csv', 'list' (one archive name a line) or 'json' (one array; a report, so its rows meet in one task)."""
     if form == "csv":
         df.write.mode("overwrite").option("header", True).csv(path)
+    elif form == "json":
+        rows = df.agg(F.array_sort(F.collect_list(F.struct("warc_filename", *[c for c in df.columns if c != "warc_filename"]))).alias("rows"))
+        rows.select(F.to_json("rows", {"ignoreNullFields": "false"})).write.mode("overwrite").text(path)
     elif form == "list":
         df.select("warc_filename").write.mode("overwrite").text(path)
     else:

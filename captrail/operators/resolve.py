@@ -32,8 +32,16 @@ def url_top(pointers: DataFrame, requested: DataFrame, per_url: int, url_col: st
     return hit.filter(F.col("rank") <= per_url) if per_url > 0 else hit
 
 
+def capture_counts(pointers: DataFrame, requested: DataFrame, url_col: str = "requested_url") -> DataFrame:
+    """One row for each requested URL: n, the number of its captures, 0 without any."""
+    n = url_join(pointers, requested, url_col).groupBy("requested_url").agg(F.count("*").alias("n"))
+    return requested.select(F.col(url_col).alias("requested_url")).distinct().join(n, "requested_url", "left").fillna(0, ["n"])
+
+
 def resolve(pointers: DataFrame, requested: DataFrame, per_url: int, url_col: str = "requested_url") -> DataFrame:
-    """One row for each requested URL: its captures as an array, empty without any."""
+    """One row for each requested URL: its newest captures as an array of per_url at most, empty without any."""
+    if per_url < 1:
+        raise ValueError("per_url bounds the array; all captures are rows of url_join()")
     hit = url_top(pointers, requested, per_url, url_col)
     each = hit.groupBy("requested_url").agg(F.array_sort(F.collect_list(F.struct("rank", "collection", "ts", "url", "status", "mime", "warc_filename", "warc_offset", "warc_length"))).alias("captures"))
     all_of = requested.select(F.col(url_col).alias("requested_url")).distinct()

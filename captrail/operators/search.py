@@ -30,8 +30,8 @@ def domain_search(pointers: DataFrame, domain: str, include_subdomains: bool = T
     """Captures of a domain and, unless told otherwise, of its subdomains. An empty domain finds nothing."""
     key = key_of(domain)
     found = pointers.filter(in_subtree(key, include_subdomains=include_subdomains) if key else F.lit(False))
-    if year:
-        found = found.filter(urls.collection_year("collection") == year)
+    if year:  # a year column is a folder of the layout, so that other years are not listed
+        found = found.filter(F.col("year") == int(year) if "year" in found.columns else urls.collection_year("collection") == year)
     return found.filter(F.col("collection").isin(collections)) if collections else found
 
 
@@ -80,7 +80,8 @@ def capped(found: DataFrame, max_files: int = 0, max_per_file: int = 0, max_matc
     out = found
     if max_files > 0:
         files = Window.partitionBy("collection").orderBy("shard_file")
-        out = out.withColumn("_file", F.dense_rank().over(files)).filter(F.col("_file") <= max_files).drop("_file")
+        some = out.select("collection", "shard_file").distinct().withColumn("_file", F.row_number().over(files)).filter(F.col("_file") <= max_files)
+        out = out.join(some.drop("_file"), ["collection", "shard_file"], "left_semi")
     if max_per_file > 0:
         rows = Window.partitionBy("collection", "shard_file").orderBy(*newest_first())
         out = out.withColumn("_row", F.row_number().over(rows)).filter(F.col("_row") <= max_per_file).drop("_row")

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from captrail.session import ship
+
 
 def coalesce_ranges(ranges: DataFrame, key: str, start: str = "start", end: str = "end") -> DataFrame:
     """Half-open ranges of a key joined where they overlap or touch."""
@@ -17,13 +22,37 @@ def coalesce_ranges(ranges: DataFrame, key: str, start: str = "start", end: str
 
 def islands(spans: DataFrame, max_gap: int, key: str = "w", offset: str = "o", length: str = "l") -> DataFrame:
     """spans with _isle: where the gap to everything before exceeds max_gap, any greedy slicing starts anew, so each island
-    can be cut into slices by itself. This keeps the folded arrays small whatever the size of an archive."""
+    can be cut into slices by itself, and an archive is cut by many tasks."""
     w = Window.partitionBy(key).orderBy(offset, length)
     reach = F.max(F.col(offset) + F.col(length) - 1).over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.col(offset) - reach - 1 > max_gap, 1).otherwise(0)
     return spans.withColumn("_new", new).withColumn("_isle", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def _numbered(spans: DataFrame, max_gap: int, max_slice: int, key: str) -> DataFrame:
+    """(key, _isle, o, l) with _slice, the number of each range's slice in its island. Ranges pass in order; three numbers
+    are held, whatever the size of an island."""
+    ship(spans.sparkSession)
+    ordered = spans.repartition(key, "_isle").sortWithinPartitions(key, "_isle", "o", "l")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, start, end, n = None, 0, 0, 0
+        for b in batches:
+            numbers = []
+            for k, isle, o, length in zip(*[b.column(c).to_pylist() for c in (key, "_isle", "o", "l")], strict=True):
+                last = o + length - 1
+                if (k, isle) != at:
+                    at, start, end, n = (k, isle), o, last, 0
+                elif o - end - 1 <= max_gap and max(end, last) - start + 1 <= max_slice:
+                    end = max(end, last)
+                else:
+                    start, end, n = o, last, n + 1
+                numbers.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], names=[*b.schema.names, "_slice"])
+
+    return ordered.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields) + ", _slice long")
+
+
 def slice_plan(spans: DataFrame, max_gap: int, max_slice: int, min_slice: int = 0, key: str = "w", offset: str = "o", length: str = "l") -> DataFrame:
     """(key, slice_start, slice_end inclusive, slice_len, member_count, members): greedy slices of distinct valid ranges.
 
@@ -31,20 +60,9 @@ def slice_plan(spans: DataFrame, max_gap: int, max_slice: int, min_slice: int =
     limit). Slices shorter than min_slice grow forward, within max_slice; members are those of the slice before it grows."""
     s = spans.select(key, F.col(offset).cast("long").alias(offset), F.col(length).cast("long").alias(length)).filter((F.col(offset) >= 0) & (F.col(length) > 0)).distinct()
     s = islands(s, max_gap, key, offset, length)
-    if max_slice <= 0:
-        each = s.groupBy(key, "_isle").agg(F.min(offset).alias("slice_start"), F.max(F.col(offset) + F.col(length) - 1).alias("slice_end"),
-                                           F.array_sort(F.collect_list(F.struct(F.col(offset).alias("o"), F.col(length).alias("l")))).alias("members"))
-    else:
-        rows = s.groupBy(key, "_isle").agg(F.array_sort(F.collect_list(F.struct(F.col(offset).alias("o"), F.col(length).alias("l")))).alias("rows"))
-        kind = "struct<done:array<struct<s:bigint,e:bigint,m:array<struct<o:bigint,l:bigint>>>>,s:bigint,e:bigint,m:array<struct<o:bigint,l:bigint>>>"
-        fold = f"""
-            aggregate(slice(rows, 2, size(rows)),
-              cast(struct(array() as done, rows[0].o as s, rows[0].o + rows[0].l - 1 as e, array(rows[0]) as m) as {kind}),
-              (a, x) -> if(x.o - a.e - 1 <= {int(max_gap)} and greatest(a.e, x.o + x.l - 1) - a.s + 1 <= {int(max_slice)},
-                named_struct('done', a.done, 's', a.s, 'e', greatest(a.e, x.o + x.l - 1), 'm', concat(a.m, array(x))),
-                named_struct('done', concat(a.done, array(named_struct('s', a.s, 'e', a.e, 'm', a.m))), 's', x.o, 'e', x.o + x.l - 1, 'm', array(x))),
-              a -> concat(a.done, array(named_struct('s', a.s, 'e', a.e, 'm', a.m))))"""
-        each = rows.select(key, F.explode(F.expr(fold)).alias("f")).select(key, F.col("f.s").alias("slice_start"), F.col("f.e").alias("slice_end"), F.col("f.m").alias("members"))
+    s = s.select(key, "_isle", F.col(offset).alias("o"), F.col(length).alias("l"))
+    s = _numbered(s, max_gap, max_slice, key) if max_slice > 0 else s.withColumn("_slice", F.lit(0))
+    each = s.groupBy(key, "_isle", "_slice").agg(F.min("o").alias("slice_start"), F.max(F.col("o") + F.col("l") - 1).alias("slice_end"), F.array_sort(F.collect_list(F.struct("o", "l"))).alias("members"))
     if min_slice > 0:
         least = min(min_slice, max_slice) if max_slice > 0 else min_slice
         each = each.withColumn("slice_end", F.when(F.col("slice_end") - F.col("slice_start") + 1 >= min_slice, F.col("slice_end")).otherwise(F.greatest("slice_end", F.col("slice_start") + least - 1)))

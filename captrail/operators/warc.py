@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import gzip
+import io
 import re
 from collections.abc import Iterator
 
@@ -17,11 +18,20 @@ from captrail.session import ship
 _CHARSET = re.compile(r"charset=([^;\s]+)", re.I)
 
 
+#: 'name: value' on a line of its own.
+_FIELD = re.compile(r"^[ \t]*([^:\n]*?)[ \t]*:[ \t]*([^\n]*?)[ \t\r]*$", re.M)
+
+
 def headers(block: str) -> tuple[str | None, dict[str, str]]:
     """(first line, headers): keys in lower case, the last of equals wins, lines without a colon are skipped."""
-    lines = [x for x in (y.strip("\r") for y in block.splitlines()) if x]
-    pairs = (x.partition(":") for x in lines[1:] if ":" in x)
-    return (lines[0] if lines else None), {k.strip().lower(): v.strip() for k, _, v in pairs}
+    first, _, rest = block.strip("\r\n").partition("\n")
+    return first.strip("\r") or None, {m[1].lower(): m[2] for m in _FIELD.finditer(rest)}
+
+
+def gunzip(member: bytes, most: int) -> bytes:
+    """The first `most` bytes (none or less: all) of a gzip member; no more are unpacked, however far it would swell."""
+    with gzip.GzipFile(fileobj=io.BytesIO(member)) as f:
+        return f.read(most if most > 0 else -1)
 
 
 def dechunk(body: bytes, limit: int) -> tuple[bytes, str | None]:
@@ -68,10 +78,10 @@ def record(member: bytes | None, max_record: int = 10_000_000, max_body: int = 2
     if not member:
         return out | {"error": "empty input"}
     try:
-        raw = gzip.decompress(member)
+        raw = gunzip(member, max_record)
     except Exception as e:  # noqa: BLE001  any damage is a result, not a failure of the job
         return out | {"error": f"gzip_decompress_failed: {type(e).__name__}"}
-    parts = _split(raw[:max_record] if max_record > 0 else raw)
+    parts = _split(raw)
     if parts is None:
         return out | {"error": "missing_warc_header_separator"}
     first, fields = headers(parts[0].decode("utf-8", "replace"))
@@ -112,7 +122,7 @@ def blob_fault(blob: bytes | None) -> str | None:
         return "empty"
     if blob[:3] == b"\x1f\x8b\x08":
         try:
-            blob = gzip.decompress(blob)
+            blob = gunzip(blob, 4096)
         except Exception:  # noqa: BLE001
             return "gzip"
     return None if blob.lstrip()[:7] == b"WARC/1." else "no_warc"
@@ -146,6 +156,21 @@ def validate_blobs(df: DataFrame, blob: str = "bytes", out: str = "fault") -> Da
     return _mapped(df, blob, out, "string", pa.string(), blob_fault)
 
 
+def _preview(member: bytes | None, most: int) -> str | None:
+    try:
+        return gunzip(member, most).decode("utf-8", "replace") if member else None
+    except Exception:  # noqa: BLE001  bytes that do not unpack have no preview
+        return None
+
+
+def described(df: DataFrame, member: str = "bytes", max_preview: int = 40_000) -> DataFrame:
+    """df with what a fetched member is: n_bytes, sha256, raw_base64 and text_preview (unpacked, damaged text replaced);
+    null bytes have none of them."""
+    b = F.col(member)
+    out = _mapped(df, member, "text_preview", "string", pa.string(), lambda x: _preview(x, max_preview))
+    return out.withColumns({"n_bytes": F.length(b).cast("long"), "sha256": F.sha2(b, 256), "raw_base64": F.regexp_replace(F.base64(b), r"\s", "")})
+
+
 def extract_members(members: DataFrame, pointers: DataFrame, key: str = "warc_filename", member: str = "bytes", **limits) -> DataFrame:
     """Parsed records of cut members (key, o, l, bytes) with what the first pointer of the same place says, if any."""
     places = [key, "warc_offset", "warc_length"]

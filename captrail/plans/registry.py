@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from captrail.functions import urls
 from captrail.functions.values import lenient_int
 from captrail.operators import aggregates, audit, index, layout, resolve, search, slices, warc
+from captrail.paths import scratch
 from captrail.plans.fixtures import PTR_SQL, REQUESTED_SQL, REV, SPANS_SQL, ptr, read, requested, spans
 from captrail.sources.cdxj import parse_cdxj
+from captrail.sources.footers import footers, shard_summary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,9 +51,9 @@ def domain_search(s, d):
     return search.domain_search(ptr(s, d), "https://www.Example.com/x").select(SHOWN)
 
 
-@query(_ptr(f"select {_S} from ptr where host_rev = 'com,example,therou,m'"))
+@query(_ptr(f"select {_S} from ptr where host_rev = 'org,example,therwh'"))
 def domain_search_exact(s, d):
-    return search.domain_search(ptr(s, d), "m.therou.example.com", include_subdomains=False).select(SHOWN)
+    return search.domain_search(ptr(s, d), "therwh.example.org", include_subdomains=False).select(SHOWN)
 
 
 @query(_ptr(f"select {_S}, cast(case when contains(warc_filename, '/warc/') then 4 else 0 end + case when contains(warc_filename, 'crawldiagnostics') then -4 else 0 end + case when status = 200 then 2 else 0 end + case when starts_with(mime, 'text/html') then 1 else 0 end as int) score from ptr where {_sub('com,example')}"))
@@ -166,7 +168,12 @@ def url_batch_topk(s, d):
 
 @query(_ptr("select r.requested_url, count(h.url) n from requested r left join hits h using (requested_url) group by 1", _BATCH))
 def left_join_requested(s, d):
-    return resolve.resolve(ptr(s, d), requested(s, d), 0).select("requested_url", F.size("captures").cast("long").alias("n"))
+    return resolve.capture_counts(ptr(s, d), requested(s, d))
+
+
+@query(_ptr("select r.requested_url, coalesce(string_agg(h.url, ' ' order by k), '') urls from requested r left join (select *, row_number() over (partition by requested_url order by " + _NEW + ") k from hits) h on r.requested_url = h.requested_url and k <= 3 group by 1", _BATCH))
+def url_resolve(s, d):
+    return resolve.resolve(ptr(s, d), requested(s, d), 3).select("requested_url", F.array_join("captures.url", " ").alias("urls"))
 
 
 def _canon(u: str) -> str:
@@ -302,10 +309,16 @@ def zone_subtree_lookup(s, d):
     return index.zone_subtree(_zones(s, d), "net,example")
 
 
-@query(_ptr("""select collection, shard_file, sum(case when nx >= max_key then 1 else 0 end)::bigint ok, sum(case when nx < max_key then 1 else 0 end)::bigint bad, 0::bigint as "unknown"
-    from (select *, lead(min_key) over (partition by collection, shard_file order by row_group) nx from z) group by 1, 2""", _ZONES))
+_SOME = """, zz as (select * replace (case when row_group % 5 = 2 then null else min_key end as min_key, case when row_group % 5 = 2 then null else max_key end as max_key),
+    lead(row_group) over (partition by collection, shard_file order by row_group) is null is_last from z)"""
+
+
+@query(_ptr("""select collection, shard_file, sum(case when nx >= max_key then 1 else 0 end)::bigint ok, sum(case when nx < max_key then 1 else 0 end)::bigint bad, sum(case when not is_last and (nx is null or max_key is null) then 1 else 0 end)::bigint as "unknown"
+    from (select *, lead(min_key) over (partition by collection, shard_file order by row_group) nx from zz) group by 1, 2""", _ZONES + _SOME))
 def zone_boundary_check(s, d):
-    return index.boundary_check(_zones(s, d), ["collection", "shard_file"], "row_group")
+    """Of zones of which every fifth has no statistics."""
+    known = lambda c: F.when(F.col("row_group") % 5 != 2, F.col(c))
+    return index.boundary_check(_zones(s, d).withColumns({c: known(c) for c in ("min_key", "max_key")}), ["collection", "shard_file"], "row_group")
 
 
 _RUNS = f"""{_GROUPED}, f as (select *, case when host_rev = lag(host_rev) over (partition by collection, shard_file, rg order by ri) then 0 else 1 end nw from g),
@@ -330,9 +343,10 @@ def run_length_percentile(s, d):
     return aggregates.percentiles(run_lengths(s, d), "run_len", [0.5, 0.9, 0.99])
 
 
-@query(_ptr("select count(*) runs, quantile_disc(run_len, 0.9) target_run, cast(10000 as bigint) as \"rows\" from r", _RUN_LEN))
+@query(_ptr("select runs, target_run, cast(least(200000, greatest(10000, ceil(greatest(target_run, 8 * 1024 * 1024 // 400) / 5000.0) * 5000)) as bigint) as \"rows\" from (select count(*) runs, cast(quantile_disc(run_len * 4001, 0.9) as bigint) target_run from r)", _RUN_LEN))
 def row_group_advice(s, d):
-    return index.row_group_advice(run_lengths(s, d), 2000.0)
+    """Of runs as long as a large crawl has."""
+    return index.row_group_advice(run_lengths(s, d).withColumn("run_len", F.col("run_len") * 4001), 400.0)
 
 
 @query(_ptr("select k as \"rows\", avg(ceil(run_len / k) * (k * 120.0 + 2097152)) as cost from r, (select unnest([10000, 20000, 30000, 50000, 75000, 100000, 150000, 200000, 300000]) k) group by k", _RUN_LEN))
@@ -444,10 +458,10 @@ def error_topn(s, d):
     return aggregates.error_top(read(s, d, "events").filter("event_type = 'error'").withColumnRenamed("props", "error"), 10)
 
 
-@query("select event_type, cast(floor(min(x)) as bigint) min_s, cast(floor(max(x)) as bigint) max_s, count(*) n from (select event_type, epoch(date_trunc('second', ts + to_seconds(event_id % 90))) - epoch(date_trunc('second', ts)) x from events) group by 1")
+@query("select event_type, cast(floor(min(x)) as bigint) min_s, cast(floor(max(x)) as bigint) max_s, avg(x) avg_s, count(*) n from (select event_type, epoch(date_trunc('second', ts + to_seconds(event_id % 90))) - epoch(date_trunc('second', ts)) x from events) group by 1")
 def durations(s, d):
     e = read(s, d, "events").withColumn("ended", F.expr("ts + make_dt_interval(0, 0, 0, event_id % 90)"))
-    return aggregates.durations(e, "event_type", "ts", "ended").drop("avg_s")
+    return aggregates.durations(e, "event_type", "ts", "ended")
 
 
 @query("select user_id, arg_min(event_type, event_id) event_type, arg_min(props, event_id) props from events group by 1")
@@ -455,9 +469,9 @@ def first_row_wins(s, d):
     return aggregates.first_row_wins(read(s, d, "events"), ["user_id"], "event_id", ["event_type", "props"])
 
 
-@query(_ptr("select host_rev, array_to_string(list_sort(list(distinct url)), ' ') urls from ptr group by 1"))
+@query(_ptr("select host_rev, url, cast(row_number() over (partition by host_rev order by url) as int) nth from (select distinct host_rev, url from ptr)"))
 def url_sets(s, d):
-    return aggregates.url_sets(ptr(s, d), "host_rev", "url").select("host_rev", F.array_join("urls", " ").alias("urls"))
+    return aggregates.url_sets(ptr(s, d), "host_rev", "url")
 
 
 @query("select l_suppkey, sum(l_linenumber)::bigint total from lineitem group by 1 having sum(l_linenumber) >= 1500")
@@ -501,12 +515,14 @@ def completeness_extra(s, d):
     return audit.gaps(p.filter("page_id % 5 <> 0").select("host_rev").distinct(), p.filter("page_id % 3 <> 0"), ["host_rev"])
 
 
-@query(_ptr(f"select 0::bigint missing, 0::bigint extra, count(distinct (warc_filename, warc_offset)) common from ptr where {_sub('com,example')}"))
+@query(_ptr(f"""select count(*) filter (a and not b) missing, count(*) filter (b and not a) extra, count(*) filter (a and b) common from (select distinct warc_filename, warc_offset, page_id % 5 <> 0 a,
+    (collection, shard_file) in (select collection, shard_file from ptr where shard_file <> 'cdx-00003.gz' and {_sub('com,example')}) b from ptr where {_sub('com,example')})"""))
 def search_completeness(s, d):
+    """An index that lacks a shard against a scan that lacks some captures."""
     p = ptr(s, d)
-    by_index = p.join(index.shards_of(index.domain_shards(p), "com,example"), ["collection", "shard_file"], "left_semi")
-    keys = ["warc_filename", "warc_offset"]
-    return audit.search_completeness(search.domain_search(by_index, "example.com"), search.domain_search(p, "example.com"), keys)
+    held = index.shards_of(index.domain_shards(p.filter("shard_file <> 'cdx-00003.gz'")), "com,example")
+    by_index = p.join(held, ["collection", "shard_file"], "left_semi")
+    return audit.search_completeness(search.domain_search(by_index, "example.com"), search.domain_search(p.filter("page_id % 5 <> 0"), "example.com"), ["warc_filename", "warc_offset"])
 
 
 _AUDIT = """sh as (select o_orderkey id, concat('C', cast(o_custkey % 20 as varchar)) collection, o_orderkey % 4 = 0 mis, o_orderkey % 3 = 0 cod, abs(o_custkey % 100 * 1000 - 50000) > 12500 rg, case o_orderkey % 5 when 0 then null when 1 then false else true end st from orders),
@@ -566,29 +582,38 @@ def cdxj_parse(s, d):
     return out.select(F.col("shard_file").cast("long").alias("page_id"), "surt", "ts", "url", "host", "host_rev", "status", "mime", "digest", "warc_filename", "warc_offset", "warc_length")
 
 
-# Without SQL
-
-@query()
-def sorted_write_roundtrip(s, d):
-    """Pointers written sorted, read again through a partition filter, with the inversions of each file (none)."""
-    from captrail.paths import scratch
+# Written and read again
 
+def _layout(s, d) -> str:
     path = f"{scratch(s)}/sorted"
     layout.write_sorted(ptr(s, d), path, 4)
-    back = s.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-    return index.inversions(back.filter("year = 2024"), ["file"], "at").select("inversions", "checked")
+    return path
 
 
-@query()
+@query(_ptr("select collection, 0::bigint inversions, count(*) checked from ptr where collection like 'CC-MAIN-2024-%' group by 1"))
+def sorted_write_roundtrip(s, d):
+    """Pointers written sorted, read again through a partition filter, with the inversions of each collection's files (none)."""
+    back = s.read.parquet(_layout(s, d)).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    per = index.inversions(back.filter("year = 2024"), ["collection", "file"], "at")
+    return per.groupBy("collection").agg(F.sum("inversions").alias("inversions"), F.sum("checked").alias("checked"))
+
+
+#: Pages whose members are missing or damaged.
+_DAMAGE = "case page_id % 11 when 3 then 'empty input' when 5 then 'gzip_decompress_failed: BadGzipFile' end"
+
+
+@query(f"""select page_id, e is null ok, case when e is null then 200 end http_status, case when e is null then 'text/html' end body_mime, e is null body_is_html,
+    case when e is null and length(html) > 0 then cast(least(80000, length(html)) as int) end n, e error from (select *, {_DAMAGE} e from pages)""")
 def warc_http_extract(s, d):
-    """Each page wrapped as a gzip member with an HTTP response, parsed again."""
+    """Each page wrapped as a gzip member with an HTTP response, some lost or damaged, parsed again."""
     return warc.extract(_members(s, d), "bytes").select("page_id", "http.ok", "http.http_status", "http.body_mime", "http.body_is_html", F.length("http.body_text_preview").alias("n"), "http.error")
 
 
-@query()
+@query(f"select page_id, e is null ok, case when e is null and length(html) > 0 then md5(html) end digest, e error from (select *, {_DAMAGE} e from pages)")
 def chunked_decode(s, d):
-    """The same with chunked bodies."""
-    return warc.extract(_members(s, d, chunked=True), "bytes").select("page_id", "http.ok", F.md5("http.body_text_preview").alias("digest"), "http.error")
+    """The same with chunked bodies, whole."""
+    whole = dict(max_record=0, max_body=1 << 30, max_preview=1 << 30)
+    return warc.extract(_members(s, d, chunked=True), "bytes", **whole).select("page_id", "http.ok", F.md5("http.body_text_preview").alias("digest"), "http.error")
 
 
 def _members(s, d, chunked: bool = False) -> DataFrame:
@@ -603,47 +628,55 @@ def _members(s, d, chunked: bool = False) -> DataFrame:
     def run(batches):
         for b in batches:
             rows = []
-            for html in b.column("html").to_pylist():
+            for page, html in zip(b.column("page_id").to_pylist(), b.column("html").to_pylist(), strict=True):
                 body = (html or "").encode()
                 if chunked:
                     half = len(body) // 2
                     body = b"".join(b"%x\r\n%s\r\n" % (len(x), x) for x in (body[:half], body[half:]) if x) + b"0\r\n\r\n"
                 head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + (b"Transfer-Encoding: chunked\r\n" if chunked else b"") + b"\r\n"
-                rows.append(gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n" + head + body, mtime=0))
+                member = gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n" + head + body, mtime=0)
+                rows.append(None if page % 11 == 3 else member[1:] if page % 11 == 5 else member)
             yield pa.RecordBatch.from_arrays([b.column("page_id"), pa.array(rows, pa.binary())], names=["page_id", "bytes"])
 
     return read(s, d, "pages").select("page_id", "html").mapInArrow(run, "page_id long, bytes binary")
 
 
-@query()
+@query(_ptr("select collection, count(*) as \"rows\", 'zstd' codecs, 'absent' missing, true as is_sorted from ptr group by 1"))
 def footer_audit(s, d):
-    """The zone audit of the pages table's own files."""
-    from captrail.sources.footers import footers, shard_summary
+    """The audit of a written layout by its footers, by collection."""
+    each = shard_summary(footers(s, _layout(s, d)), ["url", "host_rev", "absent"]).withColumn("collection", F.regexp_extract("path", "collection=([^/]*)", 1))
+    text = lambda c: F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))), ",")
+    return each.groupBy("collection").agg(F.sum("rows").alias("rows"), text("codecs").alias("codecs"), text("missing_columns").alias("missing"), F.min("is_sorted").alias("is_sorted"))
+
 
-    return shard_summary(footers(s, f"{d}/pages.parquet", "url"), ["url", "html", "absent"]).drop("path")
+@query(_ptr("select collection, min(host_rev) min_key, max(host_rev) max_key, count(*) n_rows from ptr group by 1"))
+def footer_zones(s, d):
+    """The zone map of a written layout, from footers alone, summed up by collection."""
+    z = index.zones_of_footers(footers(s, _layout(s, d))).withColumn("collection", F.regexp_extract("path", "collection=([^/]*)", 1))
+    return z.groupBy("collection").agg(F.min("min_key").alias("min_key"), F.max("max_key").alias("max_key"), F.sum("n_rows").alias("n_rows"))
 
 
-@query()
+@query(_ptr("select collection, count(*) n from ptr group by 1"))
 def incremental_ingest(s, d):
-    """Listings ingested by a file stream that ends when all files are done."""
-    from captrail.paths import scratch
+    """Listings ingested by a file stream that ends when all files are done, in two runs: the second finds one folder more."""
     from captrail.sources.cdxj import to_cdxj
     from captrail.streaming.ingest import ingest_new
 
     base = scratch(s)
-    lines = to_cdxj(ptr(s, d)).select(F.concat(F.lit("CC-MAIN-"), F.substring("collection", 9, 7)).alias("c"), "value")
-    for c in ("CC-MAIN-2024-10", "CC-MAIN-2024-18", "CC-MAIN-2025-05"):
-        lines.filter(F.col("c") == c).select("value").write.mode("overwrite").text(f"{base}/in/{c}")
-    ingest_new(s, f"{base}/in", f"{base}/out", f"{base}/state", glob="part-*")
+    lines = to_cdxj(ptr(s, d)).select("collection", "value")
+    for batch in (("CC-MAIN-2024-10", "CC-MAIN-2024-18"), ("CC-MAIN-2025-05",)):
+        for c in batch:
+            lines.filter(F.col("collection") == c).select("value").write.mode("overwrite").text(f"{base}/in/{c}")
+        ingest_new(s, f"{base}/in", f"{base}/out", f"{base}/state", glob="part-*")
     return s.read.parquet(f"{base}/out").groupBy("collection").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(_ptr("select page_id, url from ptr order by md5(concat('42|', cast(page_id as varchar))), page_id limit 100"))
 def deterministic_sample(s, d):
     return aggregates.sampled(ptr(s, d), ["page_id"], 100).select("page_id", "url")
 
 
-@query()
+@query(_ptr(f"select host_rev, url, ts from (select *, row_number() over (partition by host_rev order by {_NEW}) n from ptr) where n = 1"))
 def newest_captures(s, d):
     w = Window.partitionBy("host_rev").orderBy(*search.newest_first())
     return ptr(s, d).withColumn("n", F.row_number().over(w)).filter("n = 1").select("host_rev", "url", "ts")

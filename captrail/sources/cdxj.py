@@ -16,7 +16,7 @@ META = "url string, status string, mime string, `mime-detected` string, digest s
 def read_cdxj(spark: SparkSession, path: str) -> DataFrame:
     """Lines of cdx-*.gz below <root>/<collection>/ with the file they are from; gzip files are one task each."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_path"))
-    return lines.withColumns({"shard_file": F.regexp_extract("source_path", "([^/]+)$", 1), "collection": F.nullif(F.regexp_extract("source_path", "(CC-MAIN-[^/]*)", 1), F.lit(""))})
+    return lines.withColumns({"shard_file": F.regexp_extract("source_path", "([^/]+)$", 1), "collection": urls.collection_of_path("source_path"), "year": urls.year_of_path("source_path")})
 
 
 def parse_cdxj(lines: DataFrame, require_url: bool = True, least_parts: int = 1, value: str = "value") -> DataFrame:
@@ -43,6 +43,12 @@ def parse_cdxj(lines: DataFrame, require_url: bool = True, least_parts: int = 1,
     )
 
 
+def parse_sample(lines: DataFrame, value: str = "value") -> DataFrame:
+    """parse_cdxj() of sampled lines: rows without a URL stay, the time is named timestamp, and hosts are left out."""
+    d = parse_cdxj(lines, require_url=False, value=value)
+    return d.select("collection", "shard_file", "surt", F.col("ts").alias("timestamp"), "url", "status", "mime", "digest", "warc_filename", "warc_offset", "warc_length")
+
+
 def parse_legacy(lines: DataFrame, value: str = "value") -> DataFrame:
     """Blank-separated listings: surt, url, ts, and from the ninth column archive, offset and length."""
     p = F.filter(F.split(urls.strip(value), r"\s+"), lambda x: x != "")
@@ -70,6 +76,13 @@ def read_planner_csv(spark: SparkSession, path: str) -> DataFrame:
     return d.select(*[F.coalesce(F.trim(c), F.lit("")).alias(c) for c in d.columns])
 
 
+def labelled(rows: DataFrame, files: DataFrame, path: str = "source_path") -> DataFrame:
+    """rows with the collection of the file they are from, by an equi-join on the file name with (path, collection)."""
+    named = lambda c: F.regexp_extract(c, "([^/]+)$", 1)
+    f = files.select(named(F.col("path")).alias("_file"), F.col("collection").alias("label")).distinct()
+    return rows.withColumn("_file", named(F.col(path))).join(f, "_file").drop("_file")
+
+
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CATALOG_DDL).option("multiLine", True).json(path)
 

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from captrail.functions.urls import TRANSIENT_PATTERN
+from captrail.operators import slices, warc
 from captrail.session import ship
 
+TRANSIENT = re.compile(TRANSIENT_PATTERN)
+
 Fetch = Callable[[str, int, int], bytes]
 
 
@@ -43,15 +49,21 @@ def http_range(prefix: str, timeout: float = 30.0) -> Fetch:
     return fetch
 
 
+def transient(error: str) -> bool:
+    """Whether an error text is worth another try."""
+    return TRANSIENT.search(error.lower()) is not None
+
+
 def patient(fetch: Fetch, tries: int = 3, wait: float = 0.5, rate_limited: float = 2.0) -> Fetch:
-    """fetch with further tries, after waits that double and vary by a quarter; two seconds at least when asked to slow down."""
+    """fetch with further tries after transient errors, after waits that double and vary by a quarter; two seconds at least
+    when asked to slow down. Other errors are final at once."""
 
     def again(name: str, start: int, end: int) -> bytes:
         for k in range(tries):
             try:
                 return fetch(name, start, end)
             except Exception as e:  # noqa: BLE001  the last one is raised
-                if k == tries - 1:
+                if k == tries - 1 or not transient(f" {e}"):
                     raise
                 pause = wait * 2**k * random.uniform(0.75, 1.25)
                 time.sleep(max(rate_limited, pause) if "429" in str(e) else pause)
@@ -60,17 +72,103 @@ def patient(fetch: Fetch, tries: int = 3, wait: float = 0.5, rate_limited: float
     return again
 
 
+def sized(fetch: Fetch, size: Callable[[str], int | None], most: int = 5_000_000_000) -> Fetch:
+    """fetch behind a look at the whole file's size (an HTTP HEAD, a file status): files larger than most, or of unknown
+    size, are an error, and ranges beyond the end are none of the file's."""
+
+    def guarded(name: str, start: int, end: int) -> bytes:
+        n = size(name)
+        if n is None or n > most:
+            raise ValueError(f"size {n} is over {most} or unknown")
+        if end >= n:
+            raise ValueError(f"range ends at {end}, the file at {n}")
+        return fetch(name, start, end)
+
+    return guarded
+
+
+def http_size(prefix: str, timeout: float = 30.0) -> Callable[[str], int | None]:
+    """The Content-Length that a HEAD request gives."""
+
+    def size(name: str) -> int | None:
+        import urllib.request
+
+        url = name if name.startswith(("http://", "https://")) else prefix.rstrip("/") + "/" + name.lstrip("/")
+        with urllib.request.urlopen(urllib.request.Request(url, method="HEAD"), timeout=timeout) as r:
+            n = r.headers.get("Content-Length")
+            return int(n) if n else None
+
+    return size
+
+
+def by_strategy(mode: str, ranged: Fetch, full: Fetch | None = None) -> Fetch:
+    """'range': ranges only; 'full': out of whole files (kept by the backend `full`) only; 'auto': out of whole files, and by
+    range where that fails."""
+    if mode not in ("range", "auto", "full"):
+        raise ValueError(f"no strategy {mode}")
+    if mode != "range" and full is None:
+        raise ValueError("whole files need a backend")
+
+    def fetch(name: str, start: int, end: int) -> bytes:
+        if mode != "range":
+            try:
+                return full(name, start, end)
+            except Exception:  # noqa: BLE001
+                if mode == "full":
+                    raise
+        return ranged(name, start, end)
+
+    return fetch
+
+
+def fetch_members(spans: DataFrame, fetch: Fetch, tasks: int, max_gap: int = 256_000, max_slice: int = 25_000_000, key: str = "w", offset: str = "o", length: str = "l", check: bool = True) -> DataFrame:
+    """(key, o, l, bytes, how, error) of distinct valid ranges: fetched by slices, cut out of them and checked; members of a
+    slice that failed, was short or held no record there are fetched once more, each by itself.
+
+    how: 'slice', 'range' (second try) or 'failed' with the error. The slices' bytes are fetched once: they are written
+    before they are read twice."""
+    from captrail.paths import written
+
+    plan = slices.slice_plan(spans, max_gap, max_slice, 0, key, offset, length)
+    members = slices.slice_members(plan, key)
+    got = written(fetch_slices(plan, fetch, tasks, key), "slices")
+    cut = slices.cut_members(got, members, key)
+    cut = warc.validate_blobs(cut) if check else cut.withColumn("fault", F.when(F.col("bytes").isNull(), "empty"))
+    cut = written(cut, "members")
+    fine = cut.filter("fault is null").select(key, "o", "l", "bytes", F.lit("slice").alias("how"), F.lit(None).cast("string").alias("error"))
+    bad = cut.filter("fault is not null").select(key, F.col("o").alias("slice_start"), (F.col("o") + F.col("l") - 1).alias("slice_end"))
+    again = fetch_slices(bad, fetch, tasks, key).withColumnRenamed("blob", "bytes")
+    again = warc.validate_blobs(again) if check else again.withColumn("fault", F.when(F.col("bytes").isNull(), "empty"))
+    failed = F.col("fault").isNotNull()
+    return fine.union(again.select(key, F.col("slice_start").alias("o"), (F.col("slice_end") - F.col("slice_start") + 1).alias("l"), F.when(~failed, F.col("bytes")).alias("bytes"),
+                                   F.when(failed, "failed").otherwise("range").alias("how"), F.when(failed, F.coalesce("error", "fault")).alias("error")))
+
+
+def fetch_counts(members: DataFrame, key: str = "w") -> DataFrame:
+    """Per archive: members fetched and failed, those of a second try, bytes."""
+    n = lambda cond: F.count(F.when(cond, 1))
+    return members.groupBy(key).agg(n(F.col("how") != "failed").alias("n_ok"), n(F.col("how") == "failed").alias("n_failed"), n(F.col("how") == "range").alias("n_second"), F.coalesce(F.sum(F.length("bytes")), F.lit(0)).cast("long").alias("n_bytes"))
+
+
 def fetch_slices(plan: DataFrame, fetch: Fetch, tasks: int, key: str = "w") -> DataFrame:
     """(key, slice_start, slice_end, blob, error) of a slice plan, slices dealt evenly to tasks. Failures are rows."""
     ship(plan.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.string())
         for b in batches:
+            rows, size = [], 0
             for name, start, end in zip(*[b.column(c).to_pylist() for c in (key, "slice_start", "slice_end")], strict=True):
                 try:
                     blob, error = fetch(name, start, end), None
                 except Exception as e:  # noqa: BLE001
                     blob, error = None, f"{type(e).__name__}: {e}"
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([start], pa.int64()), pa.array([end], pa.int64()), pa.array([blob], pa.binary()), pa.array([error], pa.string())], names=[key, "slice_start", "slice_end", "blob", "error"])
+                rows.append((name, start, end, blob, error))
+                size += len(blob or b"")
+                if size > 1 << 24 or len(rows) == 512:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "slice_start", "slice_end", "blob", "error"])
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "slice_start", "slice_end", "blob", "error"])
 
     return plan.select(key, "slice_start", "slice_end").repartition(tasks).mapInArrow(run, f"`{key}` string, slice_start long, slice_end long, blob binary, error string")

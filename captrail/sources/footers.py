@@ -54,7 +54,7 @@ def shard_summary(groups: DataFrame, required: list[str]) -> DataFrame:
     g = groups.withColumn("_bad", bad)
     need = F.array(*[F.lit(c) for c in required]).cast("array<string>")
     return g.groupBy("path").agg(
-        F.sum("num_rows").alias("rows"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("codecs")))).alias("codecs"), F.median("num_rows").alias("median_rows"),
+        F.sum("num_rows").alias("rows"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("codecs")))).alias("codecs"), F.median("num_rows").alias("median_rows"), (F.median("total_bytes") / (1024 * 1024)).alias("median_mb"),
         F.array_except(need, F.first("columns")).alias("missing_columns"),
         F.when(F.max(F.col("_bad").cast("int")) == 1, False).when(F.count(F.when(F.col("_bad").isNull(), 1)) > 0, None).otherwise(True).alias("is_sorted"),
     )

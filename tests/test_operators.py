@@ -2,11 +2,12 @@
 
 import gzip
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from captrail.operators import aggregates, audit, index, layout, slices, warc
+from captrail.operators import aggregates, audit, index, layout, search, slices, warc
 from captrail.sources import cdxj, fetch, footers
 
 SPANS = "w string, o long, l long"
@@ -121,13 +122,101 @@ def test_small_aggregates(spark):
     assert index.consolidate(a.withColumn("collection", F.lit("A")), {"A": a, "B": a}).count() == 2
 
 
+def test_year_and_keys_are_pushed(spark, tmp_path):
+    """A subtree search of a year in a written layout lists its folders only and pushes both parts of the key filter."""
+    d = spark.range(500).select(F.concat(F.lit("com,h"), (F.col("id") % 7).cast("string")).alias("host_rev"), F.col("id").cast("string").alias("url"), F.lit("2024").alias("ts"),
+                                F.concat(F.lit("CC-MAIN-"), (2023 + F.col("id") % 3).cast("string"), F.lit("-10")).alias("collection"))
+    layout.write_sorted(d, str(tmp_path / "t"), 3)
+    found = search.domain_search(spark.read.parquet(str(tmp_path / "t")), "h3.com", year="2024").select("url")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan and "PushedFilters: [Or(EqualTo(host_rev,com,h3),StringStartsWith(host_rev,com,h3,))]" in plan
+    assert {int(r.url) for r in found.collect()} == {i for i in range(500) if i % 7 == 3 and i % 3 == 1}
+
+
+def test_caps_and_marks(spark, tmp_path):
+    rows = [("A", f"f{k}", i) for k in range(4) for i in range(5)]
+    d = spark.createDataFrame([(c, f, f"2024{i}", "w", i, f"u{i}") for c, f, i in rows], "collection string, shard_file string, ts string, warc_filename string, warc_offset long, url string")
+    got = search.capped(d, max_files=2, max_per_file=3, max_matches=5).collect()
+    assert len(got) == 5 and {r.shard_file for r in got} == {"f0", "f1"} and all(int(r.ts) >= 20242 for r in got)
+    groups = spark.createDataFrame([("p", 0, 10, 4 * 1024 * 1024), ("p", 1, 10, 4 * 1024 * 1024)], "path string, row_group int, num_rows long, total_bytes long")
+    mb = groups.selectExpr("*", "'a' as min_value", "'a' as max_value", "array('zstd') as codecs", "array('x') as columns")
+    s = footers.shard_summary(mb, ["x"]).withColumn("id", F.lit(1))
+    assert s.first().median_mb == 4.0
+    assert [r.reasons for r in audit.audit_reasons(s, target_mb=4.5).collect()] == [[]] and [r.reasons for r in audit.audit_reasons(s, target_mb=8.0).collect()] == [["row_group_size"]]
+
+
+def test_bounded_gunzip(spark):
+    bomb = gzip.compress(b"WARC/1.0\r\n\r\nHTTP/1.1 200 OK\r\n\r\n" + b"x" * 30_000_000)
+    assert len(warc.gunzip(bomb, 1000)) == 1000
+    assert warc.record(bomb, max_record=100)["ok"] and len(warc.record(bomb, max_record=100)["body_text_preview"]) < 100
+    assert warc.headers("\r\nHTTP/1.1 200 OK\r\nA: b:c \r\n no colon\r\n a :2\r\n") == ("HTTP/1.1 200 OK", {"a": "2"})
+    d = spark.createDataFrame([(gzip.compress("héllo".encode()),), (b"\x1f\x8b\x08bad",), (None,)], "bytes binary")
+    got = warc.described(d).collect()
+    assert [r.text_preview for r in got] == ["héllo", None, None] and got[2].sha256 is None and got[1].n_bytes == 6
+
+
+def test_backends():
+    def ranged(name, start, end):
+        return b"r" * (end - start + 1)
+
+    def whole(name, start, end):
+        raise OSError("none")
+
+    assert fetch.by_strategy("range", ranged)("n", 0, 1) == fetch.by_strategy("auto", ranged, whole)("n", 0, 1) == b"rr"
+    with pytest.raises(OSError):
+        fetch.by_strategy("full", ranged, whole)("n", 0, 1)
+    with pytest.raises(ValueError):
+        fetch.by_strategy("auto", ranged)
+    guarded = fetch.sized(ranged, {"a": 10, "b": 10**10}.get)
+    assert guarded("a", 0, 9) == b"r" * 10
+    for name, end in (("a", 10), ("b", 1), ("c", 1)):
+        with pytest.raises(ValueError):
+            guarded(name, 0, end)
+    calls = []
+
+    def gone(name, start, end):
+        calls.append(name)
+        raise OSError("status 404")
+
+    with pytest.raises(OSError):
+        fetch.patient(gone, 3, 0.0)("n", 0, 0)
+    assert len(calls) == 1
+
+
+def test_members_by_second_try(spark):
+    """Members of a slice that fails or holds no records there are fetched by themselves; what fails again is told."""
+    blob = b"".join(gzip.compress(b"WARC/1.0\r\n\r\n" + bytes([65 + i]) * 50, mtime=0).ljust(100, b"\0") for i in range(4))
+    size = len(gzip.compress(b"WARC/1.0\r\n\r\n" + b"A" * 50, mtime=0))
+
+    def backend(name, start, end):
+        if name == "bad" and end - start > 120 or name == "gone":
+            raise OSError("status 404")
+        return (blob[start : end + 1] if name != "wrong" or end - start < 120 else b"?" * (end - start + 1))
+
+    spans = spark.createDataFrame([(n, 100 * i, size) for n in ("good", "bad", "wrong", "gone") for i in range(4)], SPANS)
+    got = fetch.fetch_members(spans, backend, 2)
+    how = {n: {r.how for r in got.filter(F.col("w") == n).collect()} for n in ("good", "bad", "wrong", "gone")}
+    assert how == {"good": {"slice"}, "bad": {"range"}, "wrong": {"range"}, "gone": {"failed"}}
+    counts = {r.w: (r.n_ok, r.n_failed, r.n_second, r.n_bytes) for r in fetch.fetch_counts(got).collect()}
+    assert counts == {"good": (4, 0, 0, 4 * size), "bad": (4, 0, 4, 4 * size), "wrong": (4, 0, 4, 4 * size), "gone": (0, 4, 0, 0)}
+
+
+def test_zone_keys_reach(spark):
+    """Keys meet zones under any agreement of their bounds, none and all included."""
+    z = spark.createDataFrame([(1, "a", "z"), (2, "com,a", "com,b"), (3, "com,a", "com,a"), (4, None, None), (5, "b", "c"), (6, "", "zz")], "id int, min_key string, max_key string")
+    k = spark.createDataFrame([("com,a",), ("com,aa",), ("c",), ("",), ("zz",), (None,)], "key string")
+    want = z.crossJoin(k).filter("min_key <= key and key <= max_key")
+    rows = lambda d: sorted((r.id, r.key) for r in d.collect())
+    assert rows(index.zone_keys(z, k)) == rows(want) == rows(index.zone_keys(z, k, depth=9))
+
+
 def test_retries():
     seen = []
 
     def flaky(name, start, end):
         seen.append(name)
         if len(seen) < 3:
-            raise OSError("reset")
+            raise OSError("connection reset")
         return b"x"
 
     assert fetch.patient(flaky, 3, 0.0)("n", 0, 0) == b"x" and len(seen) == 3

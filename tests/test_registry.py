@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from captrail.plans import registry
+from captrail.plans import extended, registry  # noqa: F401  extended adds to the registry
 
 
 def rows(df: pd.DataFrame) -> list:
@@ -34,14 +34,12 @@ def test_same_as_sql(spark, duck, sf, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.SQL)))
-def test_runs(spark, sf, name):
-    assert registry.QUERIES[name](spark, sf).count() > 0
+def test_every_query_has_sql():
+    assert set(registry.QUERIES) == set(registry.SQL)
 
 
-def test_round_trips(spark, sf):
-    assert {r.inversions for r in registry.QUERIES["sorted_write_roundtrip"](spark, sf).collect()} == {0}
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
-    want = {r.page_id: r.m for r in pages.selectExpr("page_id", "md5(html) m").collect()}
-    assert {r.page_id: r.digest for r in registry.QUERIES["chunked_decode"](spark, sf).collect()} == want
-    assert sum(r.n for r in registry.QUERIES["incremental_ingest"](spark, sf).collect()) == pages.count()
+@pytest.mark.parametrize("name", ["domain_search_ranked", "result_page"])
+def test_ranked_in_order(spark, duck, sf, name):
+    """The order of ranked results, which a comparison of sorted rows does not see."""
+    got = [r.page_id for r in registry.QUERIES[name](spark, sf).collect()]
+    assert got == [r[0] for r in duck.execute(registry.SQL[name]).fetchall()]
