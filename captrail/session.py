@@ -17,7 +17,7 @@ BATCH_ROWS, SPARK_DEFAULT = "1000", "10000"
 def ship(spark: SparkSession) -> None:
     """Gives Python workers this package, as --py-files would: they need not share the driver's folders or search path.
 
-    Batches get BATCH_ROWS rows unless the session has chosen a number of its own."""
+    From then on batches have BATCH_ROWS rows in the whole session, unless it has chosen a number of its own."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", SPARK_DEFAULT) == SPARK_DEFAULT:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
