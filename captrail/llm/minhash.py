@@ -33,8 +33,9 @@ from .components import components
 from .words import hashes, sequences, words
 
 SKETCH, INDEXED = 48, 32
-#: Members of a list that meet in all pairs, of sketch values and of items outside a pivot; longer ones take a pivot.
-SHORT, SHORT_OUTSIDE = 16, 256
+#: Members of a list that meet in all pairs, of sketch values and of items outside a first pivot; longer ones take a pivot. Few
+#: lists are left from round to round, and the second number grows fourfold with each.
+SHORT, SHORT_OUTSIDE = 16, 64
 #: Steps of sizes in which sets smaller than a pivot meet.
 STEP = math.log(1.02)
 
@@ -137,49 +138,63 @@ def _sorted_out(lists: DataFrame, most: int, tables: Tables) -> tuple[DataFrame,
     return both.filter("not is_long").drop("is_long"), both.filter("is_long").drop("is_long")
 
 
+def _labelled(labels: DataFrame | None, links: DataFrame, tables: Tables) -> DataFrame:
+    """(id, component): labels after a step along the links. Equal labels mean one component; the whole ones come at the end."""
+    both = links
+    for x in "ab":
+        known = F.col(x)
+        if labels is not None:
+            both = both.join(labels.select(F.col("id").alias(x), F.col("component").alias(f"l{x}")), x, "left")
+            known = F.coalesce(f"l{x}", x)
+        both = both.withColumn(f"m{x}", known)
+    ends = both.select(F.explode(F.array("a", "b")).alias("id"), F.least("ma", "mb").alias("component"))
+    ends = ends if labels is None else ends.union(labels)
+    return tables.put(ends.groupBy("id").agg(F.min("component").alias("component")), "labels")
+
+
 def _by_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent: int, tables: Tables) -> DataFrame:
     """(a, b): links, and those of the members of long lists that they leave in different components."""
-    used = None
+    used, labels, most = None, None, SHORT_OUTSIDE
+    fresh_links = links
     while not long.isEmpty():
         # A member is a pivot in one round at most, so rounds end. Lists of former pivots only have no other way than pairs.
         rank = F.struct("fresh", "pop", (-F.col("rep")).alias("rep"))
         known = long.join(used, long["rep"] == used["pivot"], "left").withColumn("fresh", F.col("pivot").isNull()).drop("pivot") if used is not None else long.withColumn("fresh", F.lit(True))
-        # Written, as it is read four times and so that Spark can split the join with a hot list.
-        best = tables.put(known.groupBy("value").agg(F.max(rank).alias("p")).select("value", (-F.col("p.rep")).alias("pivot"), F.col("p.fresh").alias("fresh")), "pivots")
+        # Written, as it is read again and so that Spark can split the join with a hot list.
+        best = known.groupBy("value").agg(F.max(rank).alias("p"), F.min("n").alias("least")).select("value", (-F.col("p.rep")).alias("pivot"), F.col("p.fresh").alias("fresh"), "least")
+        best = tables.put(best, "pivots")
         placed = long.join(best, "value")
-        meet = tables.put(placed.filter("fresh and rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b"), "pop").distinct(), "meet")
+        meet = placed.filter("fresh and rep <> pivot").groupBy(F.col("pivot").alias("a"), F.col("rep").alias("b")).agg(F.max("pop").alias("pop"), F.min("least").alias("least"))
+        meet = tables.put(meet, "meet")
         pivots = best.filter("fresh").select("pivot").distinct()
         used = pivots if used is None else used.union(pivots)
         against = tables.put(_compared(meet, sets, percent, outside=True), "against")
-        links = links.union(against.filter("linked").select("a", "b"))
-        label = components(links, tables=tables)
+        linked = against.filter("linked").select("a", "b")
+        links, labels = links.union(linked), _labelled(labels, fresh_links.union(linked), tables)
 
-        # Groups whose members are not all in one component yet.
-        named = against.join(label.select(F.col("id").alias("b"), F.col("component")), "b", "left").withColumn("c", F.coalesce("component", "b")).drop("component")
-        named = named.join(meet.select("a", "b", "pop"), ["a", "b"])
-        groups = named.groupBy("a").agg(F.min("nb").alias("least"), F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high").select("a", "least")
         # Any partner has `other` items at least, so that `need` shared ones must be outside the pivot; none: the pivot's may do.
+        of = lambda x: labels.select(F.col("id").alias(x), "component")
         other = F.greatest("least", F.ceil(percent * F.col("nb") / 100))
         need = F.ceil(percent * (F.col("nb") + other) / (100 + percent)) - F.col("shared")
-        named = tables.put(named.join(tables.put(groups, "groups"), "a").withColumn("need", need), "named")
+        named = against.join(meet, ["a", "b"]).join(of("b"), "b", "left").withColumns({"c": F.coalesce("component", "b"), "need": need})
+        named = tables.put(named.drop("component", "least"), "named")
         each = named.select("a", "b", "c", F.col("nb").alias("n"), F.size("out").alias("size"), F.greatest("need", F.lit(1)).alias("need"), F.explode("out").alias("e"))
         rare = _rarest(each, ["a"], ["a", "b"], "e", F.col("size"), F.col("size") - F.col("need") + 1, tables)
         # Without such, a linked pair lies within the pivot for the most part, is not linked with it on one side, and smaller
         # on one. It meets in the step of its smaller size, which the other side's share of the pivot bounds.
-        inside = named.filter("need <= 0 and (nb < na or not linked)")
         step = lambda c: F.floor(F.log(c) / STEP).cast("int")
         low, high = F.ceil(percent * F.col("nb") / 100), F.least("nb", F.floor((100 + percent) * F.col("shared") / percent) - F.col("nb"))
-        some = tables.put(inside.filter("not linked").select("a").distinct(), "loose")
         own = F.array(step(F.col("nb")))
         at = F.array_distinct(F.concat(F.when(low <= high, F.sequence(step(low), step(high))).otherwise(own), own))
-        inside = inside.join(some, "a").select("a", F.col("b").alias("rep"), F.col("nb").alias("n"), "c", "pop", F.explode(at).alias("at"))
+        inside = named.filter("need <= 0 and (nb < na or not linked)").select("a", F.col("b").alias("rep"), F.col("nb").alias("n"), "c", "pop", F.explode(at).alias("at"))
         inside = inside.select(F.xxhash64("a", F.lit("inside"), "at").alias("value"), "rep", "n", "c", "pop")
         lists = rare.select(F.xxhash64("a", "e").alias("value"), F.col("b").alias("rep"), "n", "c", "pop").union(inside)
-        short, following = _sorted_out(lists, SHORT_OUTSIDE, tables)
-        left = placed.filter("not fresh").join(label, placed["rep"] == label["id"], "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
+        short, following = _sorted_out(lists, most, tables)
+        left = placed.filter("not fresh").join(of("rep"), "rep", "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("c"))
         near = tables.put(_within(short.drop("pop").union(left), percent).distinct(), "near")
-        links = links.union(tables.put(_compared(near, sets, percent).filter("linked").select("a", "b"), "links"))
-        long = following
+        fresh_links = tables.put(_compared(near, sets, percent).filter("linked").select("a", "b"), "links")
+        links = links.union(fresh_links)
+        long, most = following, most * 4
     return links
 
 
@@ -225,7 +240,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     pairs = tables.put(_promising(_within(short, percent), some, percent), "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).union(long.select("rep")).distinct()
     ids = tables.put(some.join(ids, "rep").select(F.col("rep").alias("id"), "first_id", "first_th", "copies"), "ids")
-    texts = lambda of: d.join(of, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))).select("id", "text")
+    # A sorted join at any size: the ids grow with the corpus, so no plan may count on sending them to all tasks.
+    texts = lambda of: d.join(of.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("th") == F.col("first_th"))).select("id", "text")
     chosen, again = texts(ids.filter("copies = 1")), ids.filter("copies > 1")
     if not again.isEmpty():  # of repeated rows of one id and text, one
         chosen = chosen.union(texts(tables.put(again, "again")).dropDuplicates(["id"]))

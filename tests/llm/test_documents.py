@@ -32,7 +32,7 @@ def test_near_duplicates_of_one_base(spark):
     assert got == brute.near(docs)
 
 
-@pytest.mark.parametrize("shingle, percent, outside", [(3, 85, 256), (5, 80, 24)])
+@pytest.mark.parametrize("shingle, percent, outside", [(3, 85, 64), (5, 80, 12)])
 def test_near_duplicates_far_groups(spark, monkeypatch, shingle, percent, outside):
     """Groups about several bases: copies with few and with many words changed to words that others have too, cut copies of
     every length, and copies of two bases. No link that brute force finds is lost, none is added."""
