@@ -10,7 +10,7 @@ from captrail.operators import aggregates, audit, index, layout, search, slices,
 from captrail.paths import scratch
 from captrail.plans.fixtures import PTR_SQL, REV, ptr, read, spans
 from captrail.plans.registry import _AUDIT, _FILES, _GROUPED, _INV, _S, _SLICES, _ZONES, SHOWN, _audited, _files, _groups, _members, _ptr, _sub, _zones, query
-from captrail.sources import cdxj, fetch
+from captrail.sources import cdxj, fetch, footers, shards
 
 COLLECTIONS = ("CC-MAIN-2024-10", "CC-MAIN-2024-18", "CC-MAIN-2025-05")
 
@@ -121,12 +121,10 @@ def candidate_files(s, d):
 @query(_ptr("select 'zstd' codecs, count(*) as \"rows\", true as first_time, false as second_time from ptr"))
 def codec_rewrite(s, d):
     """A table of another codec is written anew, one that has the codec is not."""
-    from captrail.sources.footers import footers
-
     base = scratch(s)
     ptr(s, d).write.option("compression", "snappy").parquet(f"{base}/a")
     first, second = layout.recompress(s, f"{base}/a", f"{base}/b"), layout.recompress(s, f"{base}/b", f"{base}/c")
-    per = footers(s, f"{base}/b").agg(F.array_join(F.array_distinct(F.flatten(F.collect_list("codecs"))), ",").alias("codecs"), F.sum("num_rows").alias("rows"))
+    per = footers.footers(s, f"{base}/b").agg(F.array_join(F.array_distinct(F.flatten(F.collect_list("codecs"))), ",").alias("codecs"), F.sum("num_rows").alias("rows"))
     return per.withColumns({"first_time": F.lit(first), "second_time": F.lit(second)})
 
 
@@ -183,6 +181,23 @@ def raw_described(s, d):
     return out.select("page_id", "n_bytes", "sha256", F.md5("raw_base64").alias("coded"), "text_preview")
 
 
+@query(_ptr("select distinct collection, '2024' as \"year\" from ptr where collection like 'CC-MAIN-2024-%'"))
+def shard_discovery(s, d):
+    """The collections of a year among the files of a written layout, from their names alone."""
+    path = f"{scratch(s)}/sorted"
+    layout.write_sorted(ptr(s, d), path, 4)
+    return shards.discover(s, path, year="2024").filter("size_bytes > 0").select("collection", "year").distinct()
+
+
+@query(_ptr("select page_id, url from ptr where host_rev = 'org,example,therwh'"))
+def row_group_search(s, d):
+    """A host by zones from footers and a read of the row groups that may hold it."""
+    path = f"{scratch(s)}/sorted"
+    layout.write_sorted(ptr(s, d), path, 4)
+    held = index.zone_point(index.zones_of_footers(footers.footers(s, path)), "org,example,therwh")
+    return shards.read_row_groups(s, path, held).filter("host_rev = 'org,example,therwh'").select("page_id", "url")
+
+
 # Fetching
 
 def _fetched(s, d) -> DataFrame:
