@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import renamed, stored
+from .common import Tables, renamed
 from .words import hashes, minimisers, sequences, words
 
 
@@ -163,21 +163,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     d = d.filter("text is not null")
     n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     # One row for each text; of equal texts the smallest id stands for all.
-    same = stored(d.groupBy("th").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("rep"), F.count("*").alias("copies")), "suffix-texts")
+    tables = Tables(docs.sparkSession, "suffix")
+    same = tables.put(d.groupBy("th").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("rep"), F.count("*").alias("copies")), "texts")
     kept = d.withColumn("_rep", F.coalesce("doc_id", F.lit(-(2**63)))).select("_rep", "text", "th")
-    found = stored(_suffixes(kept.withColumnRenamed("_rep", "doc_id"), inner, sparse, head), "suffix-places")
+    every = tables.put(_suffixes(kept.withColumnRenamed("_rep", "doc_id"), inner, sparse, head), "places")
     alone = same.select(F.col("th"), F.col("rep").alias("doc_id"))
-    found = found.join(alone, ["th", "doc_id"], "left_semi").distinct()
+    found = every.join(alone, ["th", "doc_id"], "left_semi").distinct()
     # Written, so that the join deals both sides anew and Spark can split a hot head's partition.
-    often = stored(found.groupBy("head").agg(F.count("*").alias("places")).filter("places > 1"), "suffix-often")
+    often = tables.put(found.groupBy("head").agg(F.count("*").alias("places")).filter("places > 1"), "often")
     some = found.join(often, "head").groupBy("th", "doc_id").agg(F.collect_list(F.struct("head", (F.col("places") > hot).alias("hot"), "at")).alias("places"))
     texts = kept.select(F.col("_rep").alias("doc_id"), "th", "text").join(some, ["th", "doc_id"])
-    contexts = stored(_contexts(texts.select("doc_id", "th", "text", "places"), least, head), "suffix-contexts")
+    contexts = tables.put(_contexts(texts.select("doc_id", "th", "text", "places"), least, head), "contexts")
+    tables.drop(every, often)
     ordered = contexts.filter("not hot").repartition("head").sortWithinPartitions("head")
     windows = contexts.filter("hot").select("head", "doc_id", "th", "at").distinct()
     twice = windows.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head")
     marked = windows.join(twice, "head").select("doc_id", "th", F.col("at").alias("first"), (F.col("at") + least).alias("last"))
-    spans = stored(_shared(ordered, least, least - head, reach).union(marked).distinct(), "suffix-spans")
+    spans = tables.put(_shared(ordered, least, least - head, reach).union(marked).distinct(), "spans")
+    tables.drop(contexts)
     # Spans of a text: sorted, then joined where they touch.
     merged = F.aggregate(
         F.array_sort(F.collect_list(F.struct("first", "last"))), F.array().cast("array<struct<first:int,last:int>>"),

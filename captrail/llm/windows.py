@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import renamed, stored
+from .common import Tables, renamed
 from .words import hashes, minimisers, sequences, words
 
 
@@ -157,19 +157,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     equal in id and text repeat each other's windows; an id may be null. An empty table gives no rows. Runs have at most
     window - inner + 1 windows, which must be under 63."""
     d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"))
-    found = stored(_runs(d, window, inner), "windows-runs")
+    tables = Tables(docs.sparkSession, "windows")
+    found = tables.put(_runs(d, window, inner), "runs")
     # Written, so that the join deals both sides anew and Spark can split a hot minimiser's partition.
-    often = stored(found.groupBy("mer").agg(F.count("*").alias("places")).filter("places > 1").select("mer", (F.col("places") > hot).alias("hot")), "windows-often")
+    often = tables.put(found.groupBy("mer").agg(F.count("*").alias("places")).filter("places > 1").select("mer", (F.col("places") > hot).alias("hot")), "often")
     some = found.join(often, "mer").groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "n", "mer", "hot")).alias("runs"))
     some = some.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "runs")
-    packed = stored(_packed(d.join(some, d["doc_id"].eqNullSafe(some["_id"]) & (d["th"] == some["_th"])).select("doc_id", "th", "text", "runs"), window), "windows-packed")
+    packed = tables.put(_packed(d.join(some, d["doc_id"].eqNullSafe(some["_id"]) & (d["th"] == some["_th"])).select("doc_id", "th", "text", "runs"), window), "packed")
+    tables.drop(found, often)
 
     strings = packed.groupBy("bucket", "packed", "n").agg(F.sum(F.size("firsts")).cast("int").alias("times"))
     twice = _repeated(strings.repartition("bucket").sortWithinPartitions("bucket", "packed"), window)
-    twice = stored(twice.select("bucket", F.md5("packed").alias("key"), "mask"), "windows-repeated")
+    twice = tables.put(twice.select("bucket", F.md5("packed").alias("key"), "mask"), "repeated")
     hits = packed.select("doc_id", "th", "bucket", F.md5("packed").alias("key"), "firsts").join(twice, ["bucket", "key"])
     hits = hits.groupBy("doc_id", "th").agg(F.collect_set(F.struct("firsts", "mask")).alias("hits"))
-    hits = hits.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "hits")
+    hits = tables.put(hits.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "hits"), "hits")
+    tables.drop(packed, twice)
     both = d.join(hits, d["doc_id"].eqNullSafe(hits["_id"]) & (d["th"] == hits["_th"]), "left").select("doc_id", "text", "hits")
     out = _kept(both, window, keep_text)
     return out if keep_text else out.drop("kept_text")

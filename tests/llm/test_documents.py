@@ -1,6 +1,7 @@
 """Document operators against brute force, held-out rows and odd inputs."""
 
 import math
+import re
 import zlib
 
 import numpy as np
@@ -179,6 +180,24 @@ def test_secret_ownership(spark):
     assert red[0] == f"é {key}" and red[10] == "[SECRET]' x" and red[11] == "see [SECRET] here"
 
 
+def test_secret_verdicts(spark):
+    """Owners decide over one value, repositories over another; one owner's many repositories leave a value live, and a value
+    of little entropy is weak. Spans are those of plain patterns and counts."""
+    many, repos, mine, weak = "password=Aq7Lm2Xz9Kd4", "token: Pz8Rt6Yw3Qn1", "secret=Hj5Vb8Nc2Mx7", "password=aaaaaaaaaaaa"
+    generic, spread = "tr4Ns8Qw2Lm5Vb7Xc9Zd1Fg3Hj", "Kp3Wd8Zb5Xn1Qs6Vt2Lm9Rg4Yc"
+    rows = [(f"{many} é", f"o{i}") for i in range(6)] + [(repos, f"o{i % 2}") for i in range(9)] + [(mine, "o3") for _ in range(20)] + [(weak, "o1")]
+    rows += [(f"see {generic} here {weak}", "o9"), *[(f"and {spread}", f"o{i}") for i in range(6)], ("AKIA" + "B7" * 6 + " " + "0123456789abcdef" * 2, None)]
+    docs = [(i, t, s) for i, (t, s) in enumerate(rows)]
+    got = {r.doc_id: [(f.kind, f.start, f.end, f.verdict, f.n_owners, f.n_repos) for f in r.findings] for r in secret_scan.scan(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    of = lambda text: {f[3:] for i, t, _ in docs if text in t for f in got[i] if t[f[1] : f[2]].endswith(text[-12:])}
+    assert of(many) == {("example", 6, 6)} and of(repos) == {("example", 2, 9)} and of(mine) == {("live", 1, 20)}
+    assert of(weak) == {("weak", 2, 2)} and of(generic) == {("live", 1, 1)} and of(spread) == set()
+    patterns = {"assign": brute.ASSIGN, "access": r"AKIA[A-Z0-9]{12,}", "hex": r"[0-9a-f]{32,}", "generic": generic}
+    for i, t, _ in docs:
+        want = sorted((m.start(), m.end()) for k, p in patterns.items() for m in re.finditer(p, t))
+        assert [f[1:3] for f in got[i]] == want
+
+
 def test_redacted_by_own_text(spark):
     """Rows without an id and rows of one id lose the secrets of their own texts only."""
     own, clean = "password=Zx81kQ0pLm77aB then more", "a clean text that is long enough to be cut"
