@@ -42,6 +42,7 @@ def planted(documents, spark):
 
 
 def test_language_stage(spark, sf, planted):
+    planted = planted.filter("text is null or length(text) < 500")
     got = rows(STAGE["language_id"](spark, planted, sf))
     model = language.fit(planted)
 
