@@ -77,37 +77,35 @@ def _dealt(rows: DataFrame, pivots: dict[int, np.ndarray], point: Callable) -> D
 def _routed(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]], regions: dict[int, tuple], point: Callable, k: int, factor: float) -> DataFrame:
     """(row, vec_id, v, dim, tau, region, sub) for each shard that a query (row, vec_id, v, dim, region) has to see."""
 
+    def seen_by(q: np.ndarray, own: int, dim: int, guess: np.ndarray) -> tuple[float, list[tuple[int, int]]]:
+        """(tau, [(region, sub)]) of a query point; guess: its squared distances from the sample, about."""
+        ids, rows = sample[dim]
+        numbers, centres, near, far, subs = regions[dim]
+        other, tau = np.flatnonzero(ids != own), np.inf
+        if len(other) >= k:
+            some = other[np.argpartition(guess[other], k - 1)[:k]]
+            tau = float(distances(rows[some], q).max()) * (1 + SLACK) + LEAST
+        d = distances(centres, q)
+        low = np.maximum(d - far, near - d) * (1 - SLACK) - LEAST
+        return tau, [(int(numbers[r]), j) for r in np.flatnonzero(low * factor <= tau).tolist() for j in range(int(subs[r]))]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for dim, b in by_dimension(whole):
                 for at in range(0, len(b), 256):
                     part = b.slice(at, 256)
-                    of, tau, region, sub = [], [], [], []
                     q = point(matrix(part.column("v"), dim))
-                    if dim in sample:
-                        ids, rows = sample[dim]
-                        numbers, centres, near, far, subs = regions[dim]
-                        guess = squares(q, rows)
+                    guess = squares(q, sample[dim][1]) if dim in sample else None
+                    found: list[tuple] = []
                     for i, own in enumerate(part.column("vec_id").to_pylist()):
-                        if dim not in sample:
-                            of.append(i), tau.append(np.inf), region.append(-1), sub.append(0)
-                            continue
-                        other = np.flatnonzero(ids != own)
-                        t = np.inf
-                        if len(other) >= k:
-                            some = other[np.argpartition(guess[i, other], k - 1)[:k]]
-                            t = float(distances(rows[some], q[i]).max()) * (1 + SLACK) + LEAST
-                        d = distances(centres, q[i])
-                        low = np.maximum(d - far, near - d) * (1 - SLACK) - LEAST
-                        for r in np.flatnonzero(low * factor <= t).tolist():
-                            n = int(subs[r])
-                            of += [i] * n
-                            tau += [t] * n
-                            region += [int(numbers[r])] * n
-                            sub += range(n)
-                    got = part.take(pa.array(of, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("row", "vec_id", "v", "dim")], pa.array(tau, pa.float64()), pa.array(region, pa.int32()), pa.array(sub, pa.int32())],
-                                                     names=["row", "vec_id", "v", "dim", "tau", "region", "sub"])
+                        tau, shards = seen_by(q[i], own, dim, guess[i]) if dim in sample else (np.inf, [(-1, 0)])
+                        found += [(i, tau, *x) for x in shards]
+                        if len(found) > 4096 or i == len(part) - 1 and found:
+                            of, taus, region, sub = zip(*found, strict=True)
+                            got = part.take(pa.array(of, pa.int64()))
+                            yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("row", "vec_id", "v", "dim")], pa.array(taus, pa.float64()), pa.array(region, pa.int32()), pa.array(sub, pa.int32())],
+                                                             names=["row", "vec_id", "v", "dim", "tau", "region", "sub"])
+                            found = []
 
     return queries.select("row", "vec_id", "v", "dim").mapInArrow(run, "row long, vec_id long, v array<double>, dim int, tau double, region int, sub int")
 
