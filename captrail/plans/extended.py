@@ -351,9 +351,9 @@ def cache_eviction(s, d):
     return aggregates.evict(e, most, part_ns=1_000_000)
 
 
-@query("select event_id, event_type, ts from events order by ts desc, event_id limit 25")
+@query("select event_id, event_type from events order by ts desc, event_id limit 25")
 def newest_jobs(s, d):
-    return aggregates.newest(read(s, d, "events").select("event_id", "event_type", "ts"), "ts", 25, "event_id")
+    return aggregates.newest(read(s, d, "events").select("event_id", "event_type", "ts"), "ts", 25, "event_id").select("event_id", "event_type")
 
 
 @query("""select user_id job, arg_max(event_type, event_id) filter (event_id % 3 <> 0) stage, arg_max(concat('CC-MAIN-2024-', lpad(cast(event_id % 52 as varchar), 2, '0')), event_id) filter (event_id % 4 = 0) collection from events group by 1""")
