@@ -131,29 +131,33 @@ def hidden(text: str, spans: list[dict]) -> str:
     return "".join(out) + text[at:]
 
 
-#: Java regular expression that every text with a candidate matches.
-MAYBE = r"(?i:passwo?r?d|secret|token|api_?key)|AKIA[A-Z0-9]{12}|[0-9a-f]{32}|[A-Za-z0-9+/_=-]{24}"
+def _by_candidates(docs: DataFrame, text_col: str, wanted: bool) -> DataFrame:
+    """The rows of docs whose texts hold candidates, or the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([bool(candidates(t.as_py())) == wanted for t in b.column(text_col)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
              least_owners: int = 3, least_repos: int = 8, least_bits: float = 2.5) -> DataFrame:
     """docs with live-looking credentials replaced by [SECRET]; all rows stay, copied examples too.
 
-    Texts that cannot hold a candidate pass through as they are; only the others are scanned and meet a shuffle. These are
-    compared by id and text hash. What is live depends on the value alone, so rows of one id and text have the same spans:
+    Texts without a candidate pass through as they are; only the others meet a shuffle. These are compared by id and text hash. What is live depends on the value alone, so rows of one id and text have the same spans:
     one of them speaks for all, and none is gathered. Null and empty texts stay; an empty table gives no rows; columns
     may have any names."""
     d = _columns(docs, id_col, text_col, repo_col, owner_col)
     text = F.col(f"`{text_col}`")
-    maybe = F.coalesce(text.rlike(MAYBE), F.lit(False))
     live = F.filter("findings", lambda x: x["verdict"] == "live")
-    hits = _judged(d.filter(F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))), *_spread(d, least_owners, least_repos), least_bits).filter(F.size(live) > 0)
+    hits = _judged(d, *_spread(d, least_owners, least_repos), least_bits).filter(F.size(live) > 0)
     i, th, spans = free(docs, "_id", "_th", "_spans")
     hits = hits.groupBy(F.col("doc_id").alias(i), F.col("th").alias(th)).agg(F.first(F.transform(live, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))).alias(spans))
     hits = stored(hits, "secrets-hits")
     same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(text) == F.col(th))
     mine = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.filter(maybe).join(hits, same, "left").select(*mine, spans)
+    joined = _by_candidates(docs, text_col, True).join(hits, same, "left").select(*mine, spans)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,4 +168,4 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
             cols[at] = pa.array(texts, cols[at].type)
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:-1])
 
-    return docs.filter(~maybe).union(joined.mapInArrow(run, docs.schema))
+    return _by_candidates(docs, text_col, False).union(joined.mapInArrow(run, docs.schema))
