@@ -56,7 +56,7 @@ def domain_search_exact(s, d):
     return search.domain_search(ptr(s, d), "therwh.example.org", include_subdomains=False).select(SHOWN)
 
 
-@query(_ptr(f"select {_S}, cast(case when contains(warc_filename, '/warc/') then 4 else 0 end + case when contains(warc_filename, 'crawldiagnostics') then -4 else 0 end + case when status = 200 then 2 else 0 end + case when starts_with(mime, 'text/html') then 1 else 0 end as int) score from ptr where {_sub('com,example')}"))
+@query(_ptr(f"select {_S}, cast(case when contains(warc_filename, '/warc/') then 4 else 0 end + case when contains(warc_filename, 'crawldiagnostics') then -4 else 0 end + case when status = 200 then 2 else 0 end + case when starts_with(mime, 'text/html') then 1 else 0 end as int) score from ptr where {_sub('com,example')} order by score desc, ts desc, {_NEW}"))
 def domain_search_ranked(s, d):
     return search.ranked(search.domain_search(ptr(s, d), "example.com")).select(*SHOWN, "score")
 
