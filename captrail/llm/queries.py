@@ -74,6 +74,24 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest, scan
+
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import audit
+
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import group_variants
+
+    return group_variants(table(spark, sf_dir, "documents"))
+
+
 def shipped(query):
     """The query, after workers got the package."""
 
@@ -85,7 +103,7 @@ def shipped(query):
     return run
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_quality, op2_suffixes, op3_sentencepiece, op4_language, op5_windows, op6_top_k, op7_secrets, op9_minhash, op10_nearest)} | {"op8_mixing": op8_mixing}
+QUERIES = {f.__name__: shipped(f) for f in (op1_quality, op2_suffixes, op3_sentencepiece, op4_language, op5_windows, op6_top_k, op7_secrets, op9_minhash, op10_nearest, op11_private, op12_divergence, op13_spelling)} | {"op8_mixing": op8_mixing}
 _WORDS = "coalesce(regexp_extract_all({0}, '[^\\x20\\x09-\\x0D]+'), [])"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -143,4 +161,35 @@ SQL: dict[str, str] = {
           and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0)
         select query_id, cast(r as int) as "rank", vec_id, score from (select *, row_number() over (partition by query_id order by score, vec_id) r from
           (select q.vec_id query_id, c.vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda a, b: a + b)) score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0)) where r <= 10""",
+    "op12_divergence": f"""
+        with d as (select row_number() over () rid, coalesce(lang, '') lang, coalesce(source, '') source, coalesce({_LOWER}, '') t from documents),
+        w as (select rid, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) term from d),
+        k as (select lang, term, count(*)::hugeint total from w group by lang, term having count(distinct rid) >= 30),
+        v as (select lang, count(*)::hugeint v, sum(total)::hugeint n from k group by lang),
+        g as (select distinct lang, source from d),
+        c as (select lang, source, term, count(*)::hugeint c from w join k using (lang, term) group by lang, source, term),
+        gn as (select lang, source, sum(c)::hugeint n from c group by lang, source),
+        p as (select g.lang, g.source, k.term, coalesce(c, 0) c, 1 + (1000000000::hugeint * (coalesce(c, 0) + 5)) // (coalesce(gn.n, 0) + 5 * v.v) p, 1 + (1000000000::hugeint * (k.total + 5)) // (v.n + 5 * v.v) q
+          from g join k using (lang) join v using (lang) left join c using (lang, source, term) left join gn using (lang, source)),
+        f as (select a.lang, a.source, b.source item, sum(abs(a.p - b.p))::bigint value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        pairs as (select a.lang, a.source, 'pair' part, b.source item, coalesce(f.value, 0)::bigint value from g a join g b on a.lang = b.lang and a.source <> b.source left join f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+        every as (select * from pairs union all select lang, source, 'term', term, (p - q)::bigint from p where c > 0 and p > q),
+        r as (select *, row_number() over (partition by lang, source, part order by value desc, item) r from every)
+        select lang, source, part, item, value, cast(r as int) as "rank" from r where part = 'pair' or r <= 50""",
+    "op13_spelling": f"""
+        with recursive tab as (select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) t),
+        d as (select doc_id, regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]{{7,}}') ws from documents where text is not null),
+        o as (select doc_id, w, count(*) n from (select doc_id, unnest(ws) w from d) group by doc_id, w),
+        b as (select w, n, list_transform(string_split(concat(doc_id, ':', w), ''), lambda x: unicode(x)) u from o),
+        h as (select w, n, xor(4294967295, list_reduce(flatten(list_transform(u, lambda x: case when x < 128 then [x::bigint] else [195::bigint, x::bigint - 64] end)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::bigint)) h from b, tab),
+        m as (select case when h % 31 = 0 then concat(substr(w, 1, h % length(w)), substr(w, h % length(w) + 2)) else w end w, n from h),
+        v as (select w, sum(n)::bigint n from m where length(w) >= 7 group by w having sum(n) >= 2),
+        k as (select w, i, concat(substr(w, 1, i - 1), substr(w, i + 1)) r from (select w, unnest(range(1, length(w) + 1)) i from v)),
+        e as (select distinct a, b from (select x.w a, y.w b from k x join k y on x.r = y.r and x.i = y.i and x.w <> y.w union all select k.w, v.w from k join v on v.w = k.r union all select v.w, k.w from k join v on v.w = k.r)),
+        s as (select e.a w, count(*) n_near, max(v.n) best from e join v on v.w = e.b group by e.a),
+        t as (select e.a w, min(e.b) form from e join v on v.w = e.b join s on s.w = e.a and s.best = v.n group by e.a),
+        f as (select v.w, v.n, coalesce(n_near, 0) n_near, case when best >= 10 * v.n then form end form, case when best >= 10 * v.n then best end form_n from v left join s using (w) left join t using (w)),
+        up as (select w, w top, 0 k from f union all select up.w, f.form, k + 1 from up join f on f.w = up.top where f.form is not null),
+        root as (select w, arg_max(top, k) root from up group by w)
+        select f.w word, form, root, n, n_near, form_n from f join root using (w)""",
 }
