@@ -204,3 +204,27 @@ def rows_by_bytes(total_bytes: float, rows: int, target_mb: int = 128) -> int:
     per = max(1.0, total_bytes / max(1, rows))
     tens = round(min(512, max(16, target_mb)) * 1024 * 1024 / per / 10_000)
     return 10_000 * min(100, max(5, tens))
+
+
+def write_by_shard(table: DataFrame, path: str) -> None:
+    """An index table with a folder for each shard, one file in it: what refresh_in_place() replaces."""
+    _by_shard(table).mode("overwrite").partitionBy(*FILE).parquet(path)
+
+
+def _by_shard(table: DataFrame):
+    return table.repartition(*FILE).sortWithinPartitions(*FILE, "host_rev").write.option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+
+
+def refresh_in_place(path: str, pointers: DataFrame, gone: DataFrame | None = None, order: str = "ts") -> None:
+    """Replaces the entries of the shards in pointers in the table at path, and removes those of the shards (collection, shard_file) in
+    gone. Only the folders of these shards are touched: a dynamic partition overwrite. Repeating it gives the same table.
+
+    Shards that are gone are listed on the driver to delete their folders, one name each."""
+    from captrail import paths
+
+    spark = pointers.sparkSession
+    # A folder holds its shard once: the first write makes the table.
+    _by_shard(domain_shards(pointers, order)).mode("overwrite").partitionBy(*FILE).parquet(path)
+    if gone is not None:
+        for r in gone.select(*FILE).distinct().join(pointers.select(*FILE).distinct(), FILE, "left_anti").toLocalIterator():
+            paths.remove(spark, f"{path}/collection={r.collection}/shard_file={r.shard_file}")

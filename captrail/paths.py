@@ -21,3 +21,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch(df.sparkSession)}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The files and folders that a pattern names, in any store that Spark reads."""
+    at, fs = _hadoop(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(at) or [])
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _hadoop(spark, path)
+    return fs.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, fs = _hadoop(spark, path)
+    fs.delete(at, True)
+
+
+def store(path: str):
+    """(file system, path in it) for tasks, which have no JVM: local paths, and the URIs that pyarrow knows."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)

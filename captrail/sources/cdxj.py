@@ -13,23 +13,27 @@ from captrail.schemas import CATALOG_DDL, PLANNER_CSV_DDL, POINTERS_DDL
 META = "url string, status string, mime string, `mime-detected` string, digest string, filename string, offset string, length string, languages string, encoding string"
 
 
-def read_cdxj(spark: SparkSession, path: str) -> DataFrame:
+def read_cdxj(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines of cdx-*.gz below <root>/<collection>/ with the file they are from; gzip files are one task each."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_path"))
     return lines.withColumns({"shard_file": F.regexp_extract("source_path", "([^/]+)$", 1), "collection": urls.collection_of_path("source_path"), "year": urls.year_of_path("source_path")})
 
 
-def parse_cdxj(lines: DataFrame, require_url: bool = True, least_parts: int = 1, value: str = "value") -> DataFrame:
+def parse_cdxj(lines: DataFrame, require_url: bool = True, least_parts: int = 1, value: str = "value", keep_meta: bool = False) -> DataFrame:
     """Pointers from CDXJ lines: '<surt> <ts> {json}' or '<surt> <ts> <url> {json}'.
 
     Blank lines and lines from '#' go; bad JSON counts as empty. With require_url rows without a URL go. Columns
-    collection and shard_file are taken over where the lines have them."""
+    collection and shard_file are taken over where the lines have them. With keep_meta the whole JSON object stays as a VARIANT
+    column `meta`, keys outside the fixed schema included; it is an empty object where the JSON is absent, bad or no object."""
     line = urls.strip(value)
     at = F.instr(line, "{")
     pre = urls.strip(F.when(at > 0, F.substring(line, F.lit(1), at - 1)).otherwise(line))
-    meta = F.from_json(F.when(at > 0, F.substring(line, at, F.length(line))), META)
+    text = F.when(at > 0, F.substring(line, at, F.length(line)))
+    meta = F.from_json(text, META)
+    parsed = F.try_parse_json(text)
+    kept = [F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed).otherwise(F.parse_json(F.lit("{}"))).alias("meta")] if keep_meta else []
     d = lines.filter((line != "") & ~line.startswith("#")).select(
-        col_or_null(lines, "collection"), col_or_null(lines, "shard_file"), F.filter(F.split(pre, r"\s+"), lambda p: p != "").alias("p"), meta.alias("m"))
+        col_or_null(lines, "collection"), col_or_null(lines, "shard_file"), F.filter(F.split(pre, r"\s+"), lambda p: p != "").alias("p"), meta.alias("m"), *kept)
     d = d.filter(F.size("p") >= least_parts) if least_parts > 1 else d
     url = F.when(F.size("p") >= 3, F.get("p", 2)).otherwise(F.col("m.url"))
     d = d.withColumn("url", F.coalesce(url, F.col("m.url")) if not require_url else url)
@@ -39,10 +43,15 @@ def parse_cdxj(lines: DataFrame, require_url: bool = True, least_parts: int = 1,
     return d.select(
         "collection", "shard_file", F.coalesce(F.get("p", 0), F.lit("")).alias("surt"), F.get("p", 1).alias("ts"), "url", host.alias("host"), urls.host_to_rev_or_null(host).alias("host_rev"),
         lenient_int(F.col("m.status"), "int").alias("status"), F.col("m.mime").alias("mime"), F.col("m.digest").alias("digest"), F.col("m.filename").alias("warc_filename"),
-        lenient_int(F.col("m.offset")).alias("warc_offset"), lenient_int(F.col("m.length")).alias("warc_length"),
+        lenient_int(F.col("m.offset")).alias("warc_offset"), lenient_int(F.col("m.length")).alias("warc_length"), *(["meta"] if keep_meta else []),
     )
 
 
+def meta_value(key: str, kind: str = "string", meta: str = "meta") -> Column:
+    """A key of the kept JSON object, null where it is absent or of another kind."""
+    return F.try_variant_get(meta, f"$['{key}']", kind)
+
+
 def parse_sample(lines: DataFrame, value: str = "value") -> DataFrame:
     """parse_cdxj() of sampled lines: rows without a URL stay, the time is named timestamp, and hosts are left out."""
     d = parse_cdxj(lines, require_url=False, value=value)

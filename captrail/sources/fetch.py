@@ -8,11 +8,12 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from captrail.functions.urls import TRANSIENT_PATTERN
 from captrail.operators import slices, warc
+from captrail.paths import store
 from captrail.session import ship
 
 TRANSIENT = re.compile(TRANSIENT_PATTERN)
@@ -34,6 +35,58 @@ def file_range(root: str) -> Fetch:
     return fetch
 
 
+def store_range(root: str) -> Fetch:
+    """A backend over a folder of any store that pyarrow knows (local, HDFS, S3 ...); a short read is an error."""
+
+    def fetch(name: str, start: int, end: int) -> bytes:
+        fs, base = store(root)
+        with fs.open_input_file(f"{base}/{name}") as f:
+            got = f.read_at(end - start + 1, start)
+        if len(got) < end - start + 1:
+            raise OSError("short read")
+        return got
+
+    return fetch
+
+
+def store_size(root: str) -> Callable[[str], int | None]:
+    """The size of a file of that folder, null if there is none."""
+
+    def size(name: str) -> int | None:
+        fs, base = store(root)
+        return fs.get_file_info(f"{base}/{name}").size
+
+    return size
+
+
+def whole_files(root: str, folder: str, most: int = 5_000_000_000) -> Fetch:
+    """A backend over whole files: the first range of a file copies all of it to folder, under a name that its own name
+    determines, and ranges are read there. Files over `most` bytes are an error before anything is copied. A copy takes its name when it
+    is whole, so tasks that copy the same file at once do no harm."""
+    import hashlib
+    import uuid
+
+    local = store_range(folder)
+
+    def fetch(name: str, start: int, end: int) -> bytes:
+        from_fs, base = store(root)
+        to_fs, target = store(folder)
+        kept = f"{hashlib.sha256(name.encode()).hexdigest()[:16]}__{name.rsplit('/', 1)[-1]}"
+        info = from_fs.get_file_info(f"{base}/{name}")
+        if info.size is None or info.size > most:
+            raise ValueError(f"size {info.size} is over {most} or unknown")
+        if to_fs.get_file_info(f"{target}/{kept}").size != info.size:
+            to_fs.create_dir(target)
+            part = f"{target}/.{uuid.uuid4().hex}"
+            with from_fs.open_input_stream(f"{base}/{name}", compression=None) as a, to_fs.open_output_stream(part, compression=None) as b:
+                while block := a.read(1 << 22):
+                    b.write(block)
+            to_fs.move(part, f"{target}/{kept}")
+        return local(kept, start, end)
+
+    return fetch
+
+
 def http_range(prefix: str, timeout: float = 30.0) -> Fetch:
     """A backend over HTTP that accepts partial content only."""
 
@@ -150,8 +203,26 @@ def fetch_counts(members: DataFrame, key: str = "w") -> DataFrame:
     return members.groupBy(key).agg(n(F.col("how") != "failed").alias("n_ok"), n(F.col("how") == "failed").alias("n_failed"), n(F.col("how") == "range").alias("n_second"), F.coalesce(F.sum(F.length("bytes")), F.lit(0)).cast("long").alias("n_bytes"))
 
 
+def balanced(plan: DataFrame, tasks: int, key: str = "w") -> DataFrame:
+    """plan with task: slices in a hashed order, which spreads the slices of an archive over tasks, are cut into stretches of about
+    equal bytes. A task is over the mean by its last slice at most.
+
+    Running bytes are sums in two levels: of the parts of the order, then within a part; no task sees all slices."""
+    # The order is that of an MD5; its first digits name the part.
+    p = plan.withColumn("_at", F.md5(F.concat_ws(":", key, "slice_start"))).withColumn("_part", F.substring("_at", 1, 3))
+    p = p.withColumn("_bytes", F.col("slice_end") - F.col("slice_start") + 1)
+    sums = p.groupBy("_part").agg(F.sum("_bytes").alias("_sum"))
+    order = Window.orderBy("_part")  # 4,096 rows at most
+    sums = sums.select("_part", F.coalesce(F.sum("_sum").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_sum").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"))
+    w = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    p = p.withColumn("_within", F.coalesce(F.sum("_bytes").over(w), F.lit(0))).join(sums, "_part")
+    # The middle of a slice decides: so a slice goes where most of it falls.
+    task = F.expr(f"cast(least({tasks - 1}, ((2 * (_before + _within) + _bytes) * {tasks}) div (2 * _all)) as int)")
+    return p.withColumn("task", task).drop("_part", "_before", "_within", "_at", "_bytes", "_all")
+
+
 def fetch_slices(plan: DataFrame, fetch: Fetch, tasks: int, key: str = "w") -> DataFrame:
-    """(key, slice_start, slice_end, blob, error) of a slice plan, slices dealt evenly to tasks. Failures are rows."""
+    """(key, slice_start, slice_end, blob, error) of a slice plan, slices dealt to tasks by their bytes. Failures are rows."""
     ship(plan.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,4 +242,5 @@ def fetch_slices(plan: DataFrame, fetch: Fetch, tasks: int, key: str = "w") -> D
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[key, "slice_start", "slice_end", "blob", "error"])
 
-    return plan.select(key, "slice_start", "slice_end").repartition(tasks).mapInArrow(run, f"`{key}` string, slice_start long, slice_end long, blob binary, error string")
+    dealt = balanced(plan.select(key, "slice_start", "slice_end"), tasks, key).repartitionById(tasks, "task").drop("task")
+    return dealt.mapInArrow(run, f"`{key}` string, slice_start long, slice_end long, blob binary, error string")

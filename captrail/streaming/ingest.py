@@ -1,12 +1,13 @@
-"""Incremental ingestion of capture listings: new files by a file stream, changed files by fingerprints."""
+"""Incremental ingestion of capture listings: new files by a file stream, changed files by a stream of fingerprints."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captrail import paths
 from captrail.operators.index import fingerprint_diff
-from captrail.sources.cdxj import parse_cdxj
+from captrail.sources.cdxj import parse_cdxj, read_cdxj
 
 
 def ingest_new(spark: SparkSession, source: str, target: str, checkpoint: str, glob: str = "cdx-*") -> None:
@@ -29,3 +30,49 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
 def changed_files(known: DataFrame, present: DataFrame) -> DataFrame:
     """Files to ingest again or for the first time."""
     return fingerprint_diff(known, present).filter("state in ('extra', 'changed')").select("path")
+
+
+FINGERPRINT = "path string, size_bytes long, mtime_ns long"
+
+
+def known_files(spark: SparkSession, state: str) -> DataFrame:
+    """(path, size_bytes, mtime_ns) as last ingested, by the batches that recorded them; the latest batch counts."""
+    if not paths.exists(spark, state):
+        return spark.createDataFrame([], FINGERPRINT)
+    rows = spark.read.schema(FINGERPRINT + ", batch long").parquet(state)
+    return rows.groupBy("path").agg(F.max(F.struct("batch", "size_bytes", "mtime_ns")).alias("at")).select("path", "at.size_bytes", "at.mtime_ns")
+
+
+def announce_changes(spark: SparkSession, source: str, state: str, queue: str, glob: str = "cdx-*") -> int:
+    """Appends the fingerprints of new and changed files below source to the queue, for replace_changed(); how many there are."""
+    present = file_inventory(spark, source, glob)
+    changed = changed_files(known_files(spark, state), present)
+    path = paths.scratch(spark)
+    present.join(changed, "path", "left_semi").write.parquet(path)
+    found = spark.read.schema(FINGERPRINT).parquet(path)
+    n = found.count()
+    if n:
+        found.coalesce(1).write.mode("append").parquet(queue)
+    paths.remove(spark, path)
+    return n
+
+
+def replace_changed(spark: SparkSession, queue: str, target: str, state: str, checkpoint: str, files_per_batch: int = 8) -> None:
+    """Ingests the files that the queue announces into target, a table by collection and shard; ends when the queue is done.
+
+    Each micro-batch deletes and inserts by source: a dynamic partition overwrite replaces the folders of its shards, whatever they
+    held, so a file that changed under its name is there once, and a batch that runs again gives the same table. Its fingerprints are
+    recorded under the number of the batch, by overwriting, after the rows are there. A file that has gone since is
+    left as it was. The driver holds the names of one batch's files, as Spark does for any scan."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        s = batch.sparkSession
+        named = {r.path: r for r in batch.dropDuplicates(["path"]).collect()}
+        there = [p for p in sorted(named) if paths.exists(s, p)]
+        if there:
+            rows = parse_cdxj(read_cdxj(s, there)).repartition("collection", "shard_file").sortWithinPartitions("collection", "shard_file", "host_rev", "url", "ts")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("collection", "shard_file").parquet(target)
+        batch.filter(F.col("path").isin(there)).select("path", "size_bytes", "mtime_ns").distinct().write.mode("overwrite").parquet(f"{state}/batch={number}")
+
+    stream = spark.readStream.schema(FINGERPRINT).option("maxFilesPerTrigger", files_per_batch).parquet(queue)
+    stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from captrail.plans import extended, registry  # noqa: F401  extended adds to the registry
+from captrail.plans import extended, registry, retrieval  # noqa: F401  both add to the registry
 
 
 def rows(df: pd.DataFrame) -> list:
