@@ -111,43 +111,44 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(place[s]), pa.array(ids[index[s]])], names=["key", "place", "id"])
 
 
-def meetings(key: np.ndarray, place: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ids of sorted whole runs of keys: the word itself with first-of-its-kind deletions, and deletions of one place."""
-    left, right, at, step = [], [], np.arange(len(key)), 1
+def meetings(key: np.ndarray, place: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, at, longer) of sorted whole runs of keys: b without its code point `at` should be a, the word itself (longer), or a
+    without the one there. Of deletions that give one string only the first meets the word itself."""
+    out, at, step = [], np.arange(len(key)), 1
     while len(at):
         at = at[at + step < len(key)]
         at = at[key[at] == key[at + step]]
         p, q = place[at], place[at + step]
-        hit = at[((p == -1) & ((q == -1) | (q % 2 == 0))) | ((p >= 0) & (p >> 1 == q >> 1))]
-        left.append(ids[hit])
-        right.append(ids[hit + step])
+        hit = ((p == -1) & (q >= 0) & (q % 2 == 0)) | ((p >= 0) & (p >> 1 == q >> 1))
+        out.append((ids[at[hit]], ids[at[hit] + step], q[hit] >> 1, p[hit] == -1))
         step += 1
-    return (np.concatenate(left), np.concatenate(right)) if left else (ids[:0], ids[:0])
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (ids[:0], ids[:0], place[:0], place[:0] == 0)
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches sorted by key and place; the last key of a batch waits for the next one."""
     kept = None
+    met = lambda run: pa.RecordBatch.from_arrays([pa.array(x) for x in meetings(*run)], names=["a", "b", "at", "longer"])
     for b in batches:
         now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "place", "id")]
         now = now if kept is None else [np.concatenate(x) for x in zip(kept, now, strict=True)]
         cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
         kept = [x[cut:] for x in now]
-        a, z = meetings(*[x[:cut] for x in now])
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z)], names=["a", "b"])
+        yield met([x[:cut] for x in now])
     if kept is not None:
-        a, z = meetings(*kept)
-        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(z)], names=["a", "b"])
+        yield met(kept)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(a, b, a_word, b_word, a_n, b_n): each two of the words (id, word, n) that are one edit apart, once.
 
-    Empty words count as words; null words take no part; equal words are no pair."""
+    Strings decide, at the place where the keys met, in linear time. Empty words count as words; null words take no part."""
     keys = words.filter("word is not null").select("id", "word").mapInArrow(_keys, "key long, place long, id long")
-    met = keys.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_meet, "a long, b long")
+    met = keys.repartition("key").sortWithinPartitions("key", "place").mapInArrow(_meet, "a long, b long, at long, longer boolean")
     side = lambda s: words.select(F.col("id").alias(s), F.col("word").alias(f"{s}_word"), F.col("n").alias(f"{s}_n"))
-    return met.join(side("a"), "a").join(side("b"), "b").filter(F.levenshtein("a_word", "b_word", 1) == 1)
+    less = lambda w: F.expr(f"concat(substring({w}, 1, cast(at as int)), substring({w}, cast(at as int) + 2))")
+    same = F.when(F.col("longer"), F.col("a_word") == less("b_word")).otherwise((less("a_word") == less("b_word")) & (F.col("a_word") != F.col("b_word")) & (F.length("a_word") == F.length("b_word")))
+    return met.join(side("a"), "a").join(side("b"), "b").filter(same).drop("at", "longer")
 
 
 def roots(forms: DataFrame, tables: Tables, most: int, factor: int) -> DataFrame:
@@ -172,6 +173,8 @@ def group_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     word of largest n, ties to the smallest in code-point order, if its n is factor times the word's; root: where the forms end.
     Null and empty texts have no words; a null id is hashed as empty; repeated rows count each; an empty table gives no rows;
     other columns are not read. Only the largest n reaches the driver."""
+    if factor < 2:
+        raise ValueError("a form must be more frequent than its word, or forms could run in circles")
     tables = Tables(docs.sparkSession, "spelling")
     words = tables.put(counted(docs, id_col, text_col, least_length, least_count, every).withColumn("id", F.monotonically_increasing_id()), "words")
     pairs = tables.put(near_pairs(words).select("a", "b", "a_word", "b_word", "a_n", "b_n"), "near")
