@@ -44,3 +44,15 @@ def cache_key(*cols: Column | str) -> Column:
 def gzip_magic(col: Column | str) -> Column:
     """Whether bytes begin like a gzip member with deflate."""
     return F.hex(F.substring(F.col(col) if isinstance(col, str) else col, 1, 3)) == "1F8B08"
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that df has not, for columns of passing use."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out

@@ -12,9 +12,18 @@ def first_row_wins(rows: DataFrame, keys: list[str], order: str, values: list[st
 
 
 def url_sets(rows: DataFrame, key: str, url: str) -> DataFrame:
-    """Per key its distinct URLs, as rows (key, url, nth) with their place in order: a key may have any number of them."""
-    w = Window.partitionBy(key).orderBy(url)
-    return rows.select(key, url).distinct().withColumn("nth", F.row_number().over(w))
+    """Per key its distinct URLs, as rows (key, url, nth) with their place in order: a key may have any number of them.
+
+    Rows are dealt by range of (key, URL) and written with their part, so a hot key is numbered by many tasks: places within
+    a part, after the rows of the key's parts before it."""
+    from captrail.paths import written
+
+    d = rows.select(F.col(key).alias("k"), F.col(url).alias("u")).distinct().repartitionByRange("k", "u").withColumn("part", F.spark_partition_id())
+    d = written(d, "url-sets")
+    before = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy("k", "part").agg(F.count("*").alias("n")).select(F.col("k").alias("tk"), F.col("part").alias("tp"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nth = F.row_number().over(Window.partitionBy("k", "part").orderBy("u")) + F.col("before")
+    return d.join(totals, F.col("k").eqNullSafe(F.col("tk")) & (F.col("part") == F.col("tp"))).select(F.col("k").alias(key), F.col("u").alias(url), nth.cast("int").alias("nth"))
 
 
 def error_top(attempts: DataFrame, n: int, col: str = "error") -> DataFrame:

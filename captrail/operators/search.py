@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from captrail.functions import urls
+from captrail.functions.values import free
 
 #: The total order of captures: newest collection and time first, then place in the archive.
 def newest_first() -> list[Column]:
@@ -76,15 +77,21 @@ def ranked(found: DataFrame) -> DataFrame:
 
 
 def capped(found: DataFrame, max_files: int = 0, max_per_file: int = 0, max_matches: int = 0) -> DataFrame:
-    """At most so many shards of a collection, rows of a shard and rows in all, by the total order; none or less is no cap."""
+    """At most so many shards of a collection, rows of a shard and rows in all, by the total order; none or less is no cap.
+
+    Rows are capped before shards are, so that what a collection's shards are ranked by is few rows; Spark applies both ranks
+    within tasks first. The input is computed once, but for a cap on shards alone."""
     out = found
-    if max_files > 0:
-        files = Window.partitionBy("collection").orderBy("shard_file")
-        some = out.select("collection", "shard_file").distinct().withColumn("_file", F.row_number().over(files)).filter(F.col("_file") <= max_files)
-        out = out.join(some.drop("_file"), ["collection", "shard_file"], "left_semi")
+    row, file = free(out, "_row", "_file")
     if max_per_file > 0:
         rows = Window.partitionBy("collection", "shard_file").orderBy(*newest_first())
-        out = out.withColumn("_row", F.row_number().over(rows)).filter(F.col("_row") <= max_per_file).drop("_row")
+        out = out.withColumn(row, F.row_number().over(rows)).filter(F.col(row) <= max_per_file).drop(row)
+    files = Window.partitionBy("collection").orderBy("shard_file")
+    if max_files > 0 and max_per_file > 0:
+        out = out.withColumn(file, F.dense_rank().over(files)).filter(F.col(file) <= max_files).drop(file)
+    elif max_files > 0:
+        some = out.select("collection", "shard_file").distinct().withColumn(file, F.row_number().over(files)).filter(F.col(file) <= max_files)
+        out = out.join(some.drop(file), ["collection", "shard_file"], "left_semi")
     return out.orderBy(*newest_first()).limit(max_matches) if max_matches > 0 else out
 
 

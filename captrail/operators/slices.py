@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,26 +30,49 @@ def islands(spans: DataFrame, max_gap: int, key: str = "w", offset: str = "o", l
     return spans.withColumn("_new", new).withColumn("_isle", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def slice_starts(first: np.ndarray, last: np.ndarray, forced: np.ndarray, max_gap: int, max_slice: int) -> np.ndarray:
+    """Where slices start among ranges in order: the next one is the first range that is forced to, too far from what the slice has
+    reached, or too much for it. It is looked for in a window that doubles, by the running reach of the window."""
+    starts, at, n, width = np.zeros(len(first), bool), 0, len(first), 16
+    while at < n:
+        starts[at] = True
+        upto, found = at, None
+        while found is None and upto < n:
+            upto = min(n, at + width)
+            reach = np.maximum.accumulate(last[at:upto])
+            breaks = forced[at + 1 : upto] | (first[at + 1 : upto] - reach[:-1] > max_gap + 1) | (reach[1:] - first[at] >= max_slice)
+            found = int(breaks.argmax()) if breaks.any() else None
+            width = 2 * width if found is None else max(16, 2 * found)
+        at = n if found is None else at + 1 + found
+    return starts
+
+
 def _numbered(spans: DataFrame, max_gap: int, max_slice: int, key: str) -> DataFrame:
-    """(key, _isle, o, l) with _slice, the number of each range's slice in its island. Ranges pass in order; three numbers
-    are held, whatever the size of an island."""
+    """(key, _isle, o, l) with _slice, a number for each slice of an island. Ranges pass in batches; of the slice that is open
+    at the end of a batch only its first byte and its reach are held, as a range before the next batch."""
     ship(spans.sparkSession)
     ordered = spans.repartition(key, "_isle").sortWithinPartitions(key, "_isle", "o", "l")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, start, end, n = None, 0, 0, 0
+        held, n = None, 0
         for b in batches:
-            numbers = []
-            for k, isle, o, length in zip(*[b.column(c).to_pylist() for c in (key, "_isle", "o", "l")], strict=True):
-                last = o + length - 1
-                if (k, isle) != at:
-                    at, start, end, n = (k, isle), o, last, 0
-                elif o - end - 1 <= max_gap and max(end, last) - start + 1 <= max_slice:
-                    end = max(end, last)
-                else:
-                    start, end, n = o, last, n + 1
-                numbers.append(n)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers, pa.int64())], names=[*b.schema.names, "_slice"])
+            if not b.num_rows:
+                continue
+            names, isles, o, length = (b.column(c) for c in (key, "_isle", "o", "l"))
+            first, isle = o.to_numpy(zero_copy_only=False), isles.to_numpy(zero_copy_only=False)
+            last = first + length.to_numpy(zero_copy_only=False) - 1
+            code = names.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            forced = np.ones(len(first), bool)
+            forced[1:] = (code[1:] != code[:-1]) | (isle[1:] != isle[:-1])
+            opened = held is not None and held[:2] == (names[0].as_py(), int(isle[0]))
+            if opened:
+                first, last, forced = np.append(held[2], first), np.append(held[3], last), np.append(True, forced)
+                forced[1] = False
+            starts = slice_starts(first, last, forced, max_gap, max_slice)
+            numbers = n + np.cumsum(starts) - int(opened)
+            n, at = int(numbers[-1]), int(np.flatnonzero(starts)[-1])
+            held = (names[len(names) - 1].as_py(), int(isle[-1]), int(first[at]), int(last[at:].max()))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(numbers[int(opened) :], pa.int64())], names=[*b.schema.names, "_slice"])
 
     return ordered.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields) + ", _slice long")
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captrail.operators import counters, hierarchy, index, layout, resolve, search, slices, sql
+from captrail.operators import counters, hierarchy, index, layout, resolve, search, slices, sql, warc
 from captrail.paths import scratch
 from captrail.plans.fixtures import ptr, read, requested, spans
 from captrail.plans.registry import _BATCH, _DAMAGE, _NEW, _S, _SLICES, SHOWN, _members, _ptr, _sub, query
-from captrail.sources import archives, cache, cdxj, download, fetch
+from captrail.sources import archives, cache, cdxj, download, fetch, shipping
 from captrail.streaming import ingest
 
 
@@ -181,3 +181,65 @@ def query_counters(s, d):
 
     counters.run_counted("domain_search", f"{base}/events", plan, lambda df: df.write.parquet(f"{base}/out"))
     return counters.events(s, f"{base}/events").select("point", "counter", "value")
+
+
+# Shards from elsewhere
+
+@query(_ptr("select collection, page_id, url, status from ptr"))
+def remote_shards(s, d):
+    """Parquet shards behind a backend that only knows sizes and ranges, copied whole and read; a second run copies nothing."""
+    base = scratch(s)
+    ptr(s, d).repartition(3, "collection").write.parquet(f"{base}/there")
+    names = s.createDataFrame([(p.rsplit("/", 1)[1],) for p in s.read.parquet(f"{base}/there").inputFiles()], "path string")
+    for _ in range(2):
+        got = shipping.read_remote(s, names, fetch.patient(fetch.store_range(f"{base}/there"), 3, 0.0), fetch.store_size(f"{base}/there"), f"{base}/here", 3)
+    return got.select("collection", "page_id", "url", "status")
+
+
+@query("select page_id, concat('p', cast(page_id as varchar), '.html') member, coalesce(octet_length(encode(html)), 0)::bigint n_bytes, sha256(coalesce(html, '')) sha256 from pages where page_id % 5 <> 2")
+def tar_members(s, d):
+    """Pages in three tar files, extracted but for those of another ending."""
+    base = scratch(s)
+    archives.write_archives(_tarred(s, d), f"{base}/tars", "tar").write.format("noop").mode("overwrite").save()
+    shipping.untar(s, f"{base}/tars/*.tar", f"{base}/out", ".html").write.parquet(f"{base}/done")
+    done = s.read.parquet(f"{base}/done")
+    files = s.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{base}/out").select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), F.sha2("content", 256).alias("sha256"))
+    d = done.select(F.regexp_extract("member", "([^/]+)$", 1).alias("name"), "n_bytes").join(files, "name")
+    return d.select(F.regexp_extract("name", "[0-9]+", 0).cast("long").alias("page_id"), F.col("name").alias("member"), "n_bytes", "sha256")
+
+
+def _tarred(s, d) -> DataFrame:
+    import tarfile
+
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            blocks = []
+            for page, html in zip(b.column("page_id").to_pylist(), b.column("html").to_pylist(), strict=True):
+                body = (html or "").encode()
+                info = tarfile.TarInfo(f"dir/p{page}.{'txt' if page % 5 == 2 else 'html'}")
+                info.size = len(body)
+                blocks.append(info.tobuf() + body + bytes(-len(body) % 512))
+            yield pa.RecordBatch.from_arrays([b.column("tar"), b.column("page_id"), pa.array(blocks, pa.binary())], names=["tar", "page_id", "bytes"])
+
+    pages = read(s, d, "pages").select(F.concat(F.lit("t"), (F.col("page_id") % 3).cast("string"), F.lit(".tar")).alias("tar"), "page_id", "html")
+    return pages.mapInArrow(run, "tar string, page_id long, bytes binary")
+
+
+@query(_ptr("select distinct collection, split_part(collection, '-', 3) as \"year\", case when collection = 'CC-MAIN-2025-05' then 'flat' else 'by year' end layout from ptr"))
+def templated_discovery(s, d):
+    """Shards under two path templates, of which a collection's first that names any counts."""
+    base, p = scratch(s), ptr(s, d)
+    p.filter("collection <> 'CC-MAIN-2025-05'").withColumn("year", F.split_part("collection", F.lit("-"), F.lit(3))).write.partitionBy("year", "collection").parquet(f"{base}/a")
+    p.write.partitionBy("collection").parquet(f"{base}/b")
+    found = shipping.discover_by_templates(s, [f"{base}/a/year={{year}}/collection={{collection}}/*.parquet", f"{base}/b/collection={{collection}}/*.parquet"], p.select("collection"))
+    return found.select("collection", "year", F.when(F.col("path").contains("/a/year="), "by year").otherwise("flat").alias("layout")).distinct()
+
+
+@query(f"""select page_id, case when e is null then md5(left(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), chr(13), chr(10), 'HTTP/1.1 200 OK', chr(13), chr(10), 'Content-Type: text/html; charset=utf-8', chr(13), chr(10), chr(13), chr(10), coalesce(html, '')), 200)) end preview
+    from (select *, {_DAMAGE} e from pages)""")
+def raw_preview(s, d):
+    """The unpacked beginning of each member; lost and damaged ones have none."""
+    out = warc.described(_members(s, d), max_preview=1 << 30)
+    return out.select("page_id", F.md5(F.left("text_preview", F.lit(200))).alias("preview"))

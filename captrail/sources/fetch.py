@@ -174,27 +174,58 @@ def by_strategy(mode: str, ranged: Fetch, full: Fetch | None = None) -> Fetch:
     return fetch
 
 
+MEMBERS = pa.schema([("w", pa.string()), ("o", pa.int64()), ("l", pa.int64()), ("bytes", pa.binary()), ("how", pa.string()), ("error", pa.string())])
+
+
 def fetch_members(spans: DataFrame, fetch: Fetch, tasks: int, max_gap: int = 256_000, max_slice: int = 25_000_000, key: str = "w", offset: str = "o", length: str = "l", check: bool = True) -> DataFrame:
     """(key, o, l, bytes, how, error) of distinct valid ranges: fetched by slices, cut out of them and checked; members of a
     slice that failed, was short or held no record there are fetched once more, each by itself.
 
-    how: 'slice', 'range' (second try) or 'failed' with the error. The slices' bytes are fetched once: they are written
-    before they are read twice."""
+    how: 'slice', 'range' (second try) or 'failed' with the error. A task fetches a slice, cuts it and makes the second tries
+    in one pass; it holds one slice and a batch. The members are written once, so that nothing is fetched twice, and read again."""
     from captrail.paths import written
 
+    ship(spans.sparkSession)
     plan = slices.slice_plan(spans, max_gap, max_slice, 0, key, offset, length)
-    members = slices.slice_members(plan, key)
-    got = written(fetch_slices(plan, fetch, tasks, key), "slices")
-    cut = slices.cut_members(got, members, key)
-    cut = warc.validate_blobs(cut) if check else cut.withColumn("fault", F.when(F.col("bytes").isNull(), "empty"))
-    cut = written(cut, "members")
-    fine = cut.filter("fault is null").select(key, "o", "l", "bytes", F.lit("slice").alias("how"), F.lit(None).cast("string").alias("error"))
-    bad = cut.filter("fault is not null").select(key, F.col("o").alias("slice_start"), (F.col("o") + F.col("l") - 1).alias("slice_end"))
-    again = fetch_slices(bad, fetch, tasks, key).withColumnRenamed("blob", "bytes")
-    again = warc.validate_blobs(again) if check else again.withColumn("fault", F.when(F.col("bytes").isNull(), "empty"))
-    failed = F.col("fault").isNotNull()
-    return fine.union(again.select(key, F.col("slice_start").alias("o"), (F.col("slice_end") - F.col("slice_start") + 1).alias("l"), F.when(~failed, F.col("bytes")).alias("bytes"),
-                                   F.when(failed, "failed").otherwise("range").alias("how"), F.when(failed, F.coalesce("error", "fault")).alias("error")))
+    dealt = balanced(plan.select(key, "slice_start", "slice_end", "members"), tasks, key).repartitionById(tasks, "task").drop("task")
+    names = [key, *MEMBERS.names[1:]]
+
+    def tried(name: str, start: int, end: int) -> tuple[bytes | None, str | None]:
+        try:
+            return fetch(name, start, end), None
+        except Exception as e:  # noqa: BLE001  a failure is a row
+            return None, f"{type(e).__name__}: {e}"
+
+    def fault(got: bytes | None) -> str | None:
+        return warc.blob_fault(got) if check else None if got is not None else "empty"
+
+    def of_slice(name: str, start: int, end: int, members: list[dict]) -> Iterator[tuple]:
+        blob, _ = tried(name, start, end)
+        for m in members:
+            o, n = m["o"], m["l"]
+            part = blob[o - start : o - start + n] if blob is not None and o - start + n <= len(blob) else None
+            if fault(part) is None:
+                yield name, o, n, part, "slice", None
+                continue
+            part, error = tried(name, o, o + n - 1)
+            wrong = fault(part)
+            yield name, o, n, None if wrong else part, "failed" if wrong else "range", (error or wrong) if wrong else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), MEMBERS.types, strict=True)], names=names)
+        for b in batches:
+            for one in zip(*[b.column(c).to_pylist() for c in (key, "slice_start", "slice_end", "members")], strict=True):
+                for row in of_slice(*one):
+                    rows.append(row)
+                    size += len(row[3] or b"")
+                    if size > 1 << 24 or len(rows) == 4096:
+                        yield batch()
+                        rows, size = [], 0
+        if rows:
+            yield batch()
+
+    return written(dealt.mapInArrow(run, f"`{key}` string, o long, l long, bytes binary, how string, error string"), "members")
 
 
 def fetch_counts(members: DataFrame, key: str = "w") -> DataFrame:

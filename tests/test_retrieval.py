@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from captrail.operators import counters, hierarchy, index, layout, resolve, search, sql
-from captrail.sources import archives, cache, cdxj, download, fetch
+from captrail.sources import archives, cache, cdxj, download, fetch, shipping
 from captrail.streaming import ingest
 
 SPANS = "w string, o long, l long"
@@ -301,3 +301,106 @@ def test_open_json(spark):
     got = {r.surt: r for r in cdxj.parse_cdxj(d, require_url=False, keep_meta=True).select("surt", "url", cdxj.meta_value("x.y", "long").alias("x"), F.to_json("meta").alias("j"), F.try_variant_get("meta", "$.deep.k[1]", "int").alias("k")).collect()}
     assert (got["a"].x, got["a"].k, got["a"].url) == (5, 2, "u") and got["e"].x is None and [got[s].j for s in "bcd"] == ["{}"] * 3
     assert "meta" not in cdxj.parse_cdxj(d).columns
+
+
+def test_remote_parquet_over_http(spark, tmp_path):
+    """Shards behind a server of ranges that fails at first, by HEAD and GET, into the shared folder; once each."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    captures(spark).repartition(2).write.parquet(str(tmp_path / "there"))
+    asked = []
+
+    class Server(BaseHTTPRequestHandler):
+        def do_HEAD(self):  # noqa: N802
+            data = Path(str(tmp_path / "there") + self.path).read_bytes()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+
+        def do_GET(self):  # noqa: N802
+            asked.append(self.path)
+            if asked.count(self.path) == 1:
+                self.send_error(503)
+                return
+            data = Path(str(tmp_path / "there") + self.path).read_bytes()
+            a, b = self.headers["Range"].removeprefix("bytes=").split("-")
+            self.send_response(206)
+            self.end_headers()
+            self.wfile.write(data[int(a) : int(b) + 1])
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        at = f"http://127.0.0.1:{server.server_port}"
+        names = [p.name for p in Path(tmp_path, "there").glob("part-*.parquet")]
+        files = spark.createDataFrame([(f"{at}/{n}",) for n in names], "path string")
+        for _ in range(2):
+            got = shipping.read_remote(spark, files, fetch.patient(fetch.http_range(at), 3, 0.01), fetch.http_size(at), str(tmp_path / "here"), 2)
+            assert rows(got, "url", "ts") == rows(captures(spark), "url", "ts")
+        assert sorted(asked) == sorted(2 * [f"/{n}" for n in names])
+        with pytest.raises(OSError):
+            shipping.read_remote(spark, files.union(spark.createDataFrame([(f"{at}/none",)], "path string")), fetch.http_range(at), lambda n: None, str(tmp_path / "other"), 2)
+    finally:
+        server.shutdown()
+
+
+def test_untar(spark, tmp_path):
+    import io
+    import tarfile
+
+    for name, mode in (("a.tar", "w"), ("b.tar.gz", "w:gz")):
+        with tarfile.open(tmp_path / name, mode) as t:
+            for k in range(3):
+                info = tarfile.TarInfo(f"../../x/{name[0]}{k}.parquet" if k < 2 else "readme")
+                info.size = 1000
+                t.addfile(info, io.BytesIO(bytes([k]) * 1000))
+            t.addfile(tarfile.TarInfo("link"), None)
+    (tmp_path / "c.tar").write_bytes(b"no tar at all" * 100)
+    shipping.untar(spark, str(tmp_path / "*.tar*"), str(tmp_path / "out"), ".parquet").write.parquet(str(tmp_path / "done"))
+    done = spark.read.parquet(str(tmp_path / "done")).collect()
+    assert sorted(r.member for r in done if r.error is None) == ["../../x/a0.parquet", "../../x/a1.parquet", "../../x/b0.parquet", "../../x/b1.parquet"]
+    assert sum(r.error is not None for r in done) == 1 and sorted(p.name for p in (tmp_path / "out").rglob("*.parquet")) == ["a0.parquet", "a1.parquet", "b0.parquet", "b1.parquet"]
+    assert (tmp_path / "out" / "b.tar.gz" / "b1.parquet").read_bytes() == b"\1" * 1000
+
+
+def test_caps_over_one_pass(spark):
+    """Caps on rows, shards and both agree with a plain version; columns of passing use give way to those of the input."""
+    p = captures(spark).withColumns({"_row": F.lit(1), "_file": F.lit("x")})
+    want = sorted(p.collect(), key=lambda r: (r.collection, r.ts), reverse=True)
+
+    def plain(files, per, most):
+        some = {c: sorted({r.shard_file for r in want if r.collection == c})[: files or None] for c in {r.collection for r in want}}
+        out, seen = [], {}
+        for r in want:
+            k = (r.collection, r.shard_file)
+            if r.shard_file in some[r.collection] and (not per or seen.get(k, 0) < per):
+                seen[k] = seen.get(k, 0) + 1
+                out.append(r.ts)
+        return sorted(out[: most or None])
+
+    for files, per, most in ((2, 5, 20), (2, 0, 0), (0, 3, 0), (1, 7, 9), (0, 0, 4), (0, 0, 0)):
+        got = search.capped(p, files, per, most)
+        assert sorted(r.ts for r in got.collect()) == plain(files, per, most) and got.columns == p.columns
+
+
+def test_slices_across_batches(spark):
+    """Slices do not depend on how ranges fall into batches."""
+    import random
+
+    from captrail.operators import slices
+
+    rng = random.Random(7)
+    spans = spark.createDataFrame([(rng.choice("abc"), rng.randrange(30_000), rng.randrange(1, 900)) for _ in range(4000)], SPANS)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, found = spark.conf.get(size), []
+    try:
+        for n in ("3", "64", "100000"):
+            spark.conf.set(size, n)
+            found.append(rows(slices.slice_plan(spans, 20, 1500), "w", "slice_start", "slice_end", "member_count"))
+    finally:
+        spark.conf.set(size, before)
+    assert found[0] == found[1] == found[2] and len(found[0]) > 30
