@@ -130,7 +130,7 @@ SQL: dict[str, str] = {
           (select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)) where r <= 5""",
     "op8_mixing": f"""
         with d as (select doc_id, source, cast(len({_WORDS.format("text")}) as bigint) size from documents),
-        n as (select count(*) n, coalesce(sum(size), 0)::bigint total, greatest(64, (coalesce(sum(size), 0)::bigint + 65535) // 65536) block from d),
+        n as (select count(*) n, coalesce(sum(size), 0)::bigint total from d),
         s0 as (select source, sum(size)::bigint source_size, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::bigint weight from d group by source),
         s1 as (select *, cast(3 * source_size as double) cap from s0),
         s2 as (select *, sum(source_size) over ()::double total, coalesce(sum(cap) over (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding), 0.0) full_before,
@@ -138,14 +138,14 @@ SQL: dict[str, str] = {
         s3 as (select *, (total - full_before) / weight_left::double own, cap <= (total - full_before) / weight_left::double * weight is_full from s2),
         s4 as (select *, arg_min(own, cap / weight) filter (not is_full) over () level from s3),
         s5 as (select source, source_size, total, case when is_full or level is null then cap else level * weight end target from s4),
-        marks as (select *, sum(target) over (order by source nulls last rows unbounded preceding) / greatest(total, 1.0) hi from s5),
-        m as (select *, coalesce(lag(hi) over (order by source nulls last), 0.0) lo from marks),
-        slots as (select (i + 1) * 0.6180339887498949::double - floor((i + 1) * 0.6180339887498949::double) u from (select unnest(range((total + block - 1) // block)) i from n)),
+        marks as (select *, floor(least(1.0, sum(target) over (order by source nulls last rows unbounded preceding) / greatest(total, 1.0)) * 4611686018427387904::double)::bigint hi from s5),
+        m as (select *, coalesce(lag(hi) over (order by source nulls last), 0) lo from marks),
+        slots as (select (((i + 1)::hugeint * 2850178704830799621) % 4611686018427387904)::bigint u from (select unnest(range((total + 63) // 64)) i from n)),
         got as (select m.source, count(*)::bigint slots from slots join m on u >= lo and u < hi group by m.source),
         k as (select d.*, md5(concat('mix', coalesce(cast(doc_id as varchar), ''))) key from d),
-        b as (select k.*, cast(concat('0x', key[1:8]) as bigint) % greatest(1, (n + 2047) // 2048) bucket, block from k, n),
+        b as (select k.*, cast(concat('0x', key[1:8]) as bigint) % greatest(1, (n + 2047) // 2048) bucket from k, n),
         p as (select *, coalesce(sum(size) over (partition by source order by bucket, key, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint start from b),
-        t as (select p.doc_id, p.size, m.source_size, m.target, p.source, p.start, coalesce(got.slots, 0) * p.block reach from p join m on p.source is not distinct from m.source left join got on p.source is not distinct from got.source)
+        t as (select p.doc_id, p.size, m.source_size, m.target, p.source, p.start, coalesce(got.slots * 64, least(64, ceil(m.target)))::bigint reach from p join m on p.source is not distinct from m.source left join got on p.source is not distinct from got.source)
         select doc_id, size, source_size, target, cast(greatest(0, least(size, reach - start)) + greatest(0, least(size, reach - start - source_size)) + greatest(0, least(size, reach - start - 2 * source_size)) as bigint) taken, source from t""",
     "op9_minhash": f"""
         with recursive d as (select doc_id, {_WORDS.format(_LOWER)} ws from documents),

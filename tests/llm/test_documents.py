@@ -348,6 +348,48 @@ def test_mix_keeps_rare_sources(spark, params):
     assert {r.source for r in mixing.mixed_documents(d, **params).select("source").distinct().collect()} == set(taken)
 
 
+def test_slots_stay_apart(spark):
+    """Phases of slots beyond 1e11 are as many as slots and as even as ever; arcs of a millionth get their millionth."""
+    n, far = 400_000, 260_000_000_000
+    slots = mixing.slot_phases(spark, far, n, 65_536)
+    assert slots.select("phase").distinct().count() == n
+    assert slots.filter(f"slot = {far}").first().phase == (far + 1) * mixing.GOLDEN % mixing.CIRCLE
+    cuts = [0, 10**-6, 0.3, 0.3 + 10**-6, 0.30001, 1.0]
+    marks = spark.createDataFrame([(f"s{k}", True, int(a * mixing.CIRCLE), int(b * mixing.CIRCLE)) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))] + [("none", True, 5, 5)], "source string, known boolean, lo long, hi long")
+    got = mixing.schedule(marks, slots).groupBy("source").agg(F.count("*").alias("n"), F.min("rank").alias("a"), F.max("rank").alias("b")).collect()
+    assert all(r.a == 0 and r.b == r.n - 1 for r in got)
+    for r in got:
+        k = int(r.source[1:])
+        assert abs(r.n - n * (cuts[k + 1] - cuts[k])) <= 2
+
+
+def test_many_sources_share_a_stretch(spark):
+    """Thousands of tiny sources beside a large one: each slot falls to the arc that holds its phase."""
+    arcs = sorted({0, *(10**9 * k**2 for k in range(1, 3000)), mixing.CIRCLE})
+    marks = spark.createDataFrame([(f"s{k}", True, a, b) for k, (a, b) in enumerate(zip(arcs, arcs[1:], strict=False))], "source string, known boolean, lo long, hi long")
+    got = mixing.schedule(marks, mixing.slot_phases(spark, 0, 3000, 1000)).collect()
+    assert len(got) == 3000
+    for r in got:
+        k, phase = int(r.source[1:]), (r.slot + 1) * mixing.GOLDEN % mixing.CIRCLE
+        assert arcs[k] <= phase < arcs[k + 1]
+
+
+def test_mixed_order_is_the_mix(spark, documents):
+    """The pieces of the schedule are whole blocks, in the order of each source's stream, and add up to what is taken."""
+    m = {(r.doc_id): r for r in mixing.mix(documents).collect()}
+    pieces = mixing.mixed_order(documents).collect()
+    taken, per_slot = {}, {}
+    for p in pieces:
+        taken[p.doc_id] = taken.get(p.doc_id, 0) + p.words
+        per_slot[p.slot] = per_slot.get(p.slot, 0) + p.words
+        assert 0 <= p.at and p.at + p.words <= m[p.doc_id].size
+    assert taken == {i: r.taken for i, r in m.items() if r.taken}
+    assert sum(n == 64 for n in per_slot.values()) >= 0.98 * len(per_slot) and max(per_slot.values()) <= 64
+    for s in {p.source for p in pieces}:
+        mine = sorted((p.slot, p.lap * m[p.doc_id].source_size + m[p.doc_id].start + p.at) for p in pieces if p.source == s)
+        assert [x for _, x in mine] == sorted(x for _, x in mine)
+
+
 def test_mix_is_native(spark, documents):
     plan = mixing.mix(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
