@@ -76,7 +76,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     as many repositories as log2(1 + all repositories), and least_repos at least; 'weak' if its entropy is under least_bits
     a character; else 'live'. A null owner counts as one owner, a null repository as one repository. Generic candidates
     stay only if live. Null and empty texts have no findings; repeated rows are scanned each; an empty table gives no
-    rows. Values leave a task only as SHA-256; only documents with candidates meet a shuffle."""
+    rows. Values leave a task only as SHA-256; texts are never shuffled, findings meet their documents by row number."""
     d = _columns(docs, id_col, text_col, repo_col, owner_col)
     return _judged(d, *_spread(d, least_owners, least_repos), least_bits).select("doc_id", "findings")
 
@@ -87,8 +87,9 @@ def _columns(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner_c
 
 
 def _spread(d: DataFrame, least_owners: int, least_repos: int) -> tuple[int, int]:
-    """Owners and repositories from which on a value is widely copied; two numbers of the corpus reach the driver."""
-    owners, repos = d.agg(*[F.approx_count_distinct(c) for c in ("owner", "repo")]).first()
+    """Owners and repositories from which on a value is widely copied; two numbers of the corpus reach the driver. They are
+    counted exactly, since a verdict can hang on one owner more or less; a null counts as one."""
+    owners, repos = (d.select(c).distinct().count() for c in ("owner", "repo"))
     return max(least_owners, math.ceil(math.log2(1 + owners))), max(least_repos, math.ceil(math.log2(1 + repos)))
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Tables, renamed
@@ -181,14 +181,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = windows.join(twice, "head").select("doc_id", "th", F.col("at").alias("first"), (F.col("at") + least).alias("last"))
     spans = tables.put(_shared(ordered, least, least - head, reach).union(marked).distinct(), "spans")
     tables.drop(contexts)
-    # Spans of a text: sorted, then joined where they touch.
-    merged = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("first", "last"))), F.array().cast("array<struct<first:int,last:int>>"),
-        lambda acc, s: F.when((F.size(acc) > 0) & (s["first"] <= F.element_at(acc, -1)["last"]),
-                              F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["first"].alias("first"), F.greatest(F.element_at(acc, -1)["last"], s["last"]).alias("last")))))
-        .otherwise(F.concat(acc, F.array(s))),
-    )
-    per = spans.groupBy("th").agg(merged.alias("passages"))
+    # Spans of a text: in order, joined where they touch. All steps are by text, so they share one shuffle.
+    order = Window.partitionBy("th").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    isle = spans.withColumn("new", F.when(F.col("first") <= reached, 0).otherwise(1))
+    isle = isle.withColumn("isle", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("th", "isle").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    per = isle.groupBy("th").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("passages"))
     per = same.join(per, "th", "left").filter((F.col("copies") > 1) | F.col("passages").isNotNull()).select(F.col("th").alias("_th"), "copies", "passages")
     out = d.join(per, d["th"] == per["_th"]).withColumn("_n", n_words)
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("_n").cast("int").alias("last")))
