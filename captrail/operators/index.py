@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from captrail.functions import urls
+from captrail.functions.values import free
 
 FILE = ["collection", "shard_file"]
 
@@ -53,11 +54,12 @@ def domain_rows(rows: DataFrame, group: list[str], at: str = "row_index") -> Dat
 
 def segments(rows: DataFrame, group: list[str], at: str, key: str = "host_rev") -> DataFrame:
     """Runs of equal keys in order of position within each group, ends exclusive. A null ends a run and is no run itself."""
+    n, isle = free(rows, "_new", "_isle")
     w = Window.partitionBy(*group).orderBy(at)
     new = F.when(F.col(key).eqNullSafe(F.lag(key).over(w)) & F.lag(at).over(w).isNotNull(), 0).otherwise(1)
-    isle = rows.withColumn("_new", new).withColumn("_isle", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = isle.groupBy(*group, "_isle").agg(F.first(key).alias(key), F.min(at).alias("row_start"), (F.max(at) + 1).alias("row_end"))
-    return out.filter(F.col(key).isNotNull()).drop("_isle")
+    runs = rows.withColumn(n, new).withColumn(isle, F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = runs.groupBy(*group, isle).agg(F.first(key).alias(key), F.min(at).alias("row_start"), (F.max(at) + 1).alias("row_end"))
+    return out.filter(F.col(key).isNotNull()).drop(isle)
 
 
 def segment_offsets(rows: DataFrame, group: list[str], at: str, key: str = "host_rev") -> DataFrame:
@@ -94,16 +96,24 @@ def zone_subtree(zones: DataFrame, key: str) -> DataFrame:
     return zones.filter((F.col("min_key") < key + "-") & (F.col("max_key") >= key))
 
 
-def zone_keys(zones: DataFrame, keys: DataFrame, key_col: str = "key", depth: int = 2) -> DataFrame:
+def zone_keys(zones: DataFrame, keys: DataFrame, key_col: str = "key", depth: int = 32) -> DataFrame:
     """Zones for many keys, by equi-joins: a key can only be in a zone whose bounds agree with it in as many leading characters
-    as they agree in with each other, so zones and keys meet under these, up to depth of them."""
+    as they agree in with each other, so zones and keys meet under these, up to depth of them.
+
+    Zones of a sorted file that agree in one head and no further part at different next characters, so a head has no more zones
+    a file than the alphabet has letters. A key is listed for those lengths of heads that any zone has, which are collected:
+    depth + 1 numbers at most."""
+    level, head = free(zones.select("*", *[F.lit(0).alias(c) for c in keys.columns if c not in zones.columns]), "_level", "_head")
     same = lambda n: F.substring("min_key", 1, n) == F.substring("max_key", 1, n)
-    level = sum((same(n).cast("int") for n in range(2, depth + 1)), same(1).cast("int"))
-    z = zones.filter("min_key is not null").withColumn("_level", level).withColumn("_head", F.expr("substring(min_key, 1, _level)"))
-    levels = F.explode(F.sequence(F.lit(0), F.lit(depth)))
-    k = keys.filter(F.col(key_col).isNotNull()).withColumn("_level", levels).withColumn("_head", F.expr(f"substring(`{key_col}`, 1, _level)"))
-    met = z.join(k, ["_level", "_head"])
-    return met.filter((F.col(key_col) >= F.col("min_key")) & (F.col(key_col) <= F.col("max_key"))).drop("_level", "_head")
+    whole = F.least(F.lit(depth), F.length("min_key"), F.length("max_key"))
+    agree = F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), whole), same)), F.lit(0))
+    z = zones.filter("min_key is not null and max_key is not null").withColumn(level, F.when(whole < 1, 0).otherwise(agree))
+    z = z.withColumn(head, F.expr(f"substring(min_key, 1, `{level}`)"))
+    lengths = [r[0] for r in z.select(level).distinct().collect()]
+    k = keys.filter(F.col(key_col).isNotNull()).withColumn(level, F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")))
+    k = k.withColumn(head, F.expr(f"substring(`{key_col}`, 1, `{level}`)"))
+    met = z.join(k, [level, head])
+    return met.filter((F.col(key_col) >= F.col("min_key")) & (F.col(key_col) <= F.col("max_key"))).drop(level, head)
 
 
 def zones_of_footers(groups: DataFrame) -> DataFrame:
@@ -124,11 +134,12 @@ def boundary_check(zones: DataFrame, file_cols: list[str], order: str) -> DataFr
 def inversions(rows: DataFrame, file_cols: list[str], at: str, key: str = "host_rev", first: int = 0) -> DataFrame:
     """Per file: rows whose key is less than the one before, among non-null keys (the first so many, if given)."""
     k = rows.filter(F.col(key).isNotNull())
+    nth, before = free(rows, "_n", "_before")
     w = Window.partitionBy(*file_cols).orderBy(at)
     if first > 0:
-        k = k.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= first)
-    k = k.withColumn("_before", F.lag(key).over(w))
-    return k.groupBy(*file_cols).agg(F.sum(F.when(F.col(key) < F.col("_before"), 1).otherwise(0)).cast("long").alias("inversions"), F.count("*").alias("checked"))
+        k = k.withColumn(nth, F.row_number().over(w)).filter(F.col(nth) <= first)
+    k = k.withColumn(before, F.lag(key).over(w))
+    return k.groupBy(*file_cols).agg(F.sum(F.when(F.col(key) < F.col(before), 1).otherwise(0)).cast("long").alias("inversions"), F.count("*").alias("checked"))
 
 
 def row_starts(groups: DataFrame, file_col: str = "path", order: str = "row_group", n: str = "num_rows") -> DataFrame:

@@ -9,16 +9,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from captrail.functions.values import free
 from captrail.session import ship
 
 
 def coalesce_ranges(ranges: DataFrame, key: str, start: str = "start", end: str = "end") -> DataFrame:
     """Half-open ranges of a key joined where they overlap or touch."""
+    n, nth = free(ranges, "_new", "_isle")
     w = Window.partitionBy(key).orderBy(start, end)
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = ranges.withColumn("_new", F.when(F.col(start) <= reach, 0).otherwise(1))
-    isle = flagged.withColumn("_isle", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return isle.groupBy(key, "_isle").agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop("_isle")
+    flagged = ranges.withColumn(n, F.when(F.col(start) <= reach, 0).otherwise(1))
+    isle = flagged.withColumn(nth, F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return isle.groupBy(key, nth).agg(F.min(start).alias(start), F.max(end).alias(end), F.count("*").alias("n")).drop(nth)
 
 
 def islands(spans: DataFrame, max_gap: int, key: str = "w", offset: str = "o", length: str = "l") -> DataFrame:

@@ -34,33 +34,45 @@ def gunzip(member: bytes, most: int) -> bytes:
         return f.read(most if most > 0 else -1)
 
 
+#: A chunk's size line: hexadecimal digits, extensions after a semicolon, any line end; blank lines before it are passed over.
+_SIZE = re.compile(rb"(?:[ \t\r]*\n)*[ \t]*([^;\r\n]*)(?:;[^\n]*)?\r?\n")
+_NUMBER = re.compile(rb"[+-]?(?:0[xX])?[0-9A-Fa-f]+(?:_[0-9A-Fa-f]+)*")
+
+
+def _chunks(body: bytes) -> Iterator[bytes]:
+    """The data of the chunks in turn, up to the last one; a fault ends them as a ValueError that names it."""
+    at = 0
+    while at < len(body):
+        line = _SIZE.match(body, at)
+        if line is None:
+            if body[at:].strip(b" \t\r\n"):
+                raise ValueError("missing size line")
+            return
+        digits = line[1].strip()
+        if not _NUMBER.fullmatch(digits):
+            raise ValueError("bad chunk size")
+        size = int(digits, 16)
+        if size == 0:
+            return
+        end = line.end() + size
+        if end > len(body):
+            raise ValueError("truncated")
+        yield body[line.end() : end]
+        at = end + (2 if body.startswith(b"\r\n", end) else 1 if body.startswith(b"\n", end) else 0)
+
+
 def dechunk(body: bytes, limit: int) -> tuple[bytes, str | None]:
     """(data, note) of a chunked body; what came before a fault is kept, the note names the fault."""
-    data, rest = b"", body
-    while rest:
-        line, sep, rest = rest.partition(b"\n")
-        if not sep:
-            return data, "missing size line"
-        digits = line.partition(b";")[0].strip()
-        if not digits:
-            continue
-        try:
-            size = int(digits, 16)
-        except ValueError:
-            return data, "bad chunk size"
-        if size == 0:
-            break
-        if size > len(rest):
-            return data, "truncated"
-        data += rest[:size]
-        if len(data) > limit:
-            return data[:limit], "output truncated"
-        rest = rest[size:]
-        for end in (b"\r\n", b"\n"):
-            if rest.startswith(end):
-                rest = rest[len(end) :]
-                break
-    return data, None
+    parts, held = [], 0
+    try:
+        for chunk in _chunks(body):
+            parts.append(chunk)
+            held += len(chunk)
+            if held > limit:
+                return b"".join(parts)[:limit], "output truncated"
+    except ValueError as fault:
+        return b"".join(parts), str(fault)
+    return b"".join(parts), None
 
 
 def _split(raw: bytes) -> tuple[bytes, bytes] | None:

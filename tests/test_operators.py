@@ -88,6 +88,28 @@ def test_dechunk_notes():
     assert warc.dechunk(b"9\r\nhello", 100) == (b"", "truncated")
     assert warc.dechunk(b"zz\r\nhello", 100)[1] == "bad chunk size"
     assert warc.dechunk(b"5\r\nhello\r\n0\r\n", 3) == (b"hel", "output truncated")
+    assert warc.dechunk(b"", 9) == (b"", None) and warc.dechunk(b"5", 9) == (b"", "missing size line") and warc.dechunk(b"2\nab3", 9) == (b"ab", "missing size line")
+    assert warc.dechunk(b"\r\n\n 2 ;x=1\nab\n1\r\nc\r\n0\r\nTrailer: 1\r\n\r\n", 9) == (b"abc", None)
+    assert warc.dechunk(b"2\r\nab2\r\ncd\r\n", 9) == (b"abcd", None) and warc.dechunk(b"1\r\na\r\n" * 1000 + b"0\r\n\r\n", 10**6) == (b"a" * 1000, None)
+
+
+def test_names_of_passing_use(spark):
+    """Columns of the input may be named like those of passing use."""
+    d = spark.createDataFrame([("f", i, k, 1, 2, 3, 4) for i, k in enumerate("aab")], "f string, i long, host_rev string, _new int, _isle int, _n int, _before int")
+    assert index.segments(d, ["f"], "i").count() == 2 and index.inversions(d, ["f"], "i", first=2).first().checked == 2
+    r = spark.createDataFrame([("k", 0, 5, 1, 1), ("k", 5, 7, 1, 1)], "k string, start long, end long, _new int, _isle int")
+    assert slices.coalesce_ranges(r, "k").count() == 1
+
+
+def test_zone_heads_are_deep(spark):
+    """Keys of one top-level domain do not meet all of its zones."""
+    names = sorted(f"com,{a}{b}{c}" for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh")
+    z = spark.createDataFrame([(k, names[k], names[k + 3]) for k in range(0, len(names), 4)], "id int, min_key string, max_key string")
+    keys = spark.createDataFrame([(n,) for n in names], "key string")
+    found = index.zone_keys(z, keys)
+    assert found.count() == len(names)
+    met = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in met and index.zone_keys(z, keys, depth=0).count() == len(names)
 
 
 def test_cdxj_lines(spark):
