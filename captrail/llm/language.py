@@ -152,24 +152,48 @@ def likelihood(at: np.ndarray, n: np.ndarray, p: np.ndarray, logp: np.ndarray) -
     return float(n @ (np.log(p @ np.exp(ll - top) + 1e-300) + top)) / float(n.sum())
 
 
-#: The mean log-likelihood of n-grams that come from nowhere: each of the hashes is as likely.
+#: The mean log-likelihood of n-grams that come from nowhere: each of the hashes is as likely. No document has to be better explained
+#: than by CHANCE less than the worst of the known ones, and by SPREAD / sqrt(n-grams) less, as short documents scatter.
 FLAT = -BITS * float(np.log(2))
+CHANCE, SPREAD, WORST = 1.0, 8.0, 0.001
 
 
-def kept_languages(docs: DataFrame, model: dict, text_col: str = "text", least: float = FLAT) -> DataFrame:
+def calibrated(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fold: tuple[int, int] = (4, 2), max_rows: int = 4_000) -> dict:
+    """The model with `least`, the mean log-likelihood that all but WORST of known documents reach: about max_rows rows (a bound,
+    hash-chosen) with a language that the model knows, out of the fold that it has not learned from. Without such rows it is FLAT."""
+    d = renamed(docs, doc_id=id_col, text=text_col, lang=lang_col).filter(F.col("lang").isin(model["langs"]) & F.col("text").isNotNull() & (crc_fold("doc_id", fold[0]) == fold[1]))
+    n = d.count()
+    d = d.filter(hash_share("doc_id", min(1.0, max_rows / max(n, 1)), seed=13)).select("text")
+    logp = model["logp"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(at, n, proportions(at, n, words, logp)) for at, n, words in (ngrams(t.as_py()) for t in b.column("text")) if len(at)]
+            yield pa.RecordBatch.from_arrays([pa.array([likelihood(at, n, p, logp) for at, n, p in found], pa.float64()), pa.array([float(n.sum()) for _, n, _ in found], pa.float64())], names=["ll", "n"])
+
+    got = d.mapInArrow(run, "ll double, n double").toArrow()
+    if not got.num_rows:
+        return model | {"least": FLAT}
+    return model | {"least": float(np.quantile(got.column("ll").to_numpy() + SPREAD / np.sqrt(got.column("n").to_numpy()), WORST))}
+
+
+def explained(model: dict, at: np.ndarray, n: np.ndarray, words: int) -> bool:
+    """Whether a mixture of the learned languages explains a document about as well as it does known ones, and better than chance."""
+    if not len(at) or not model["langs"]:
+        return False
+    least = max(FLAT, model.get("least", FLAT) - CHANCE - SPREAD / float(np.sqrt(n.sum())))
+    return likelihood(at, n, proportions(at, n, words, model["logp"]), model["logp"]) > least
+
+
+def kept_languages(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
     """docs without the rows that have no language: null, empty or letterless text, or text that no mixture of the learned
-    languages explains better than chance (mean log-likelihood over least). A document in several languages stays.
+    languages explains, by the model's calibration. A document in several languages stays.
 
     Repeated rows have the same verdict; an empty table gives no rows; with a model of no languages none is left. The
     verdict is taken in the same pass over the rows, so nothing is joined or shuffled."""
-    langs, logp = model["langs"], model["logp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for text in b.column(text_col):
-                at, n, words = ngrams(text.as_py())
-                keep.append(bool(len(at)) and bool(langs) and likelihood(at, n, proportions(at, n, words, logp), logp) > least)
-            yield b.filter(pa.array(keep, pa.bool_()))
+            yield b.filter(pa.array([explained(model, *ngrams(t.as_py())) for t in b.column(text_col)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -13,7 +13,9 @@
    no more than the smaller of |A & R|, |B & R|. So what is not yet linked must share alpha less that many items outside R,
    and meets under its rarest ones (the same prefix filter, exact here): a group's common items are in R and give no lists,
    and items of one member only need none. Only pairs with a set smaller than R can do with R's items alone; those form lists by
-   steps of size. Lists that are long again take another pivot, round by round, so no long list is paired as a whole.
+   steps of size. Lists that are long again take another pivot, round by round. What is long grows fourfold with each round, and
+   lists of former pivots only are paired as they are: so groups whose members are alike but not linked (differing in a few of
+   many places) still meet in pairs, the more the larger the group.
 5. Components of all confirmed links give the result.
 """
 

@@ -44,7 +44,7 @@ def planted(documents, spark):
 def test_language_stage(spark, sf, planted):
     planted = planted.filter("text is null or length(text) < 500")
     got = rows(STAGE["language_id"](spark, planted, sf))
-    model = language.fit(planted)
+    model = language.calibrated(planted, language.fit(planted))
 
     def stays(text):
         at, n, words = language.ngrams(text)
@@ -52,11 +52,35 @@ def test_language_stage(spark, sf, planted):
             return False
         p = plain_mixture(at, n, words, model["logp"])
         flat = sum(c * np.log(sum(p[j] * np.exp(float(model["logp"][j, a])) for j in range(len(p)))) for a, c in zip(at, n, strict=True)) / n.sum()
-        return flat > -15 * np.log(2)
+        return flat > max(-15 * np.log(2), model["least"] - 1 - 8 / np.sqrt(n.sum()))
 
     assert sorted(map(str, got)) == sorted(str(x) for x in rows(planted) if stays(x[1]))
 
 
+def test_language_stage_is_calibrated(spark, sf, documents):
+    """Letters from nowhere and languages that nobody taught go; documents in two or three of the learned ones stay, and so do clean ones."""
+    rng = np.random.default_rng(5)
+    gibberish = [" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(n)) for n in (60, 200, 900)]
+    foreign = ["Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek. " * k for k in (2, 9)]
+    by = {r.lang: r.text for r in documents.filter("length(text) > 1500 and lang is not null").collect()}
+    mixed = [" ".join(by[x][:1500] for x in pair) for pair in (("en", "de"), ("fr", "es"), ("en", "fr", "de"))]
+    add = [(10**6 + k, t, None, "s", len(t)) for k, t in enumerate(gibberish + foreign + mixed)]
+    got = {i for i, _ in rows(STAGE["language_id"](spark, documents.unionByName(spark.createDataFrame(add, COLUMNS)), sf))}
+    assert {i - 10**6 for i in got if i >= 10**6} == {5, 6, 7}
+    lettered = {r.doc_id for r in documents.collect() if r.text and any(c.isalpha() for c in r.text)}
+    assert {i for i in got if i < 10**6} == lettered
+
+
+def test_run_is_the_chain(spark, sf):
+    """The rows of run() are those of the stages one after the other, each on what the one before kept."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, sf).toPandas().to_dict("records"), stage(spark, docs, sf).schema)
+    got = corpus_pipeline.run(spark, sf)
+    assert got.schema == docs.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, docs.collect()))
+
+
 def plain_mixture(at, n, words, logp, rounds=25):
     """EM and the choice of languages in plain Python."""
     like = [[float(np.exp(float(logp[j, a]))) for a in at] for j in range(len(logp))]
