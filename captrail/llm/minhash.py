@@ -13,9 +13,10 @@
    no more than the smaller of |A & R|, |B & R|. So what is not yet linked must share alpha less that many items outside R,
    and meets under its rarest ones (the same prefix filter, exact here): a group's common items are in R and give no lists,
    and items of one member only need none. Only pairs with a set smaller than R can do with R's items alone; those form lists by
-   steps of size. Lists that are long again take another pivot, round by round. What is long grows fourfold with each round, and
-   lists of former pivots only are paired as they are: so groups whose members are alike but not linked (differing in a few of
-   many places) still meet in pairs, the more the larger the group.
+   steps of size. Lists that are long again take another pivot, round by round. What is long grows fourfold with each round, so that
+   rounds are few, up to LONGEST: a member meets no more than so many others under each of its items. Within that bound groups
+   whose members are alike but not linked (differing in a few of many places) do meet in pairs, the more the larger the group.
+   Only lists of former pivots, one a list and round, are paired as they are.
 5. Components of all confirmed links give the result.
 """
 
@@ -36,8 +37,8 @@ from .words import hashes, sequences, words
 
 SKETCH, INDEXED = 48, 32
 #: Members of a list that meet in all pairs, of sketch values and of items outside a first pivot; longer ones take a pivot. Few
-#: lists are left from round to round, and the second number grows fourfold with each.
-SHORT, SHORT_OUTSIDE = 16, 64
+#: lists are left from round to round, and the second number grows fourfold with each, up to the third.
+SHORT, SHORT_OUTSIDE, LONGEST = 16, 64, 1024
 #: Steps of sizes in which sets smaller than a pivot meet.
 STEP = math.log(1.02)
 
@@ -196,7 +197,7 @@ def _by_pivots(long: DataFrame, links: DataFrame, sets: DataFrame, percent: int,
         near = tables.put(_within(short.drop("pop").union(left), percent).distinct(), "near")
         fresh_links = tables.put(_compared(near, sets, percent).filter("linked").select("a", "b"), "links")
         links = links.union(fresh_links)
-        long, most = following, most * 4
+        long, most = following, min(4 * most, LONGEST)
     return links
 
 

@@ -393,3 +393,21 @@ def test_mixed_order_is_the_mix(spark, documents):
 def test_mix_is_native(spark, documents):
     plan = mixing.mix(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("limits", [(16, 64, 1024), (3, 4, 8)])
+def test_alike_but_not_linked(spark, monkeypatch, limits):
+    """A group whose members differ in five of 120 words, each by one of six: with small limits lists take pivot after pivot, and
+    links stay those of all pairs."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(260):
+        w = [f"b{i}" for i in range(120)]
+        for i in rng.choice(40, 5, replace=False):
+            w[i] = f"n{rng.integers(6)}x{i}"
+        rows.append((k, " ".join(w)))
+    rows += [(260 + k, rows[k][1].replace("b119", f"z{k}")) for k in range(0, 40, 3)]
+    for name, value in zip(("SHORT", "SHORT_OUTSIDE", "LONGEST"), limits, strict=True):
+        monkeypatch.setattr(minhash, name, value)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near(rows)
