@@ -168,8 +168,12 @@ def calibrated(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(at, n, proportions(at, n, words, logp)) for at, n, words in (ngrams(t.as_py()) for t in b.column("text")) if len(at)]
-            yield pa.RecordBatch.from_arrays([pa.array([likelihood(at, n, p, logp) for at, n, p in found], pa.float64()), pa.array([float(n.sum()) for _, n, _ in found], pa.float64())], names=["ll", "n"])
+            found = []
+            for text in b.column("text"):  # two numbers of a document stay, not its n-grams
+                at, n, words = ngrams(text.as_py())
+                if len(at):
+                    found.append((likelihood(at, n, proportions(at, n, words, logp), logp), float(n.sum())))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.float64()) for k in (0, 1)], names=["ll", "n"])
 
     got = d.mapInArrow(run, "ll double, n double").toArrow()
     if not got.num_rows:
