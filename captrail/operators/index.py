@@ -230,12 +230,12 @@ def refresh_in_place(path: str, pointers: DataFrame, gone: DataFrame | None = No
     """Replaces the entries of the shards in pointers in the table at path, and removes those of the shards (collection, shard_file) in
     gone. Only the folders of these shards are touched: a dynamic partition overwrite. Repeating it gives the same table.
 
-    Shards that are gone are listed on the driver to delete their folders, one name each."""
-    from captrail import paths
+    Shards that have no entries any more are removed too. Their names and those of the gone ones pass the driver, nothing else."""
+    from captrail.paths import clear_partitions
 
-    spark = pointers.sparkSession
-    # A folder holds its shard once: the first write makes the table.
-    _by_shard(domain_shards(pointers, order)).mode("overwrite").partitionBy(*FILE).parquet(path)
+    entries = domain_shards(pointers, order)
+    _by_shard(entries).mode("overwrite").partitionBy(*FILE).parquet(path)
+    named = pointers.select(*FILE).distinct()
+    clear_partitions(path, named.join(entries.select(*FILE).distinct(), FILE, "left_anti"))
     if gone is not None:
-        for r in gone.select(*FILE).distinct().join(pointers.select(*FILE).distinct(), FILE, "left_anti").toLocalIterator():
-            paths.remove(spark, f"{path}/collection={r.collection}/shard_file={r.shard_file}")
+        clear_partitions(path, gone.select(*FILE).distinct().join(named, FILE, "left_anti"))

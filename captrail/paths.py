@@ -49,3 +49,14 @@ def store(path: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def clear_partitions(table: str, keys: DataFrame) -> None:
+    """Deletes the folders of a partitioned table that the rows of keys name, in the order of its columns; null is Hive's default name.
+
+    The names pass the driver one by one."""
+    spark = keys.sparkSession
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for r in keys.toLocalIterator():
+        parts = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if r[c] is None or r[c] == '' else escaped(str(r[c]))}" for c in keys.columns]
+        remove(spark, "/".join([table, *parts]))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from captrail.operators import counters, hierarchy, index, layout, resolve, search, slices, sql, warc
+from captrail.operators import audit, counters, hierarchy, index, layout, resolve, search, slices, sql, warc
 from captrail.paths import scratch
 from captrail.plans.fixtures import ptr, read, requested, spans
 from captrail.plans.registry import _BATCH, _DAMAGE, _NEW, _S, _SLICES, SHOWN, _members, _ptr, _sub, query
-from captrail.sources import archives, cache, cdxj, download, fetch, shipping
+from captrail.sources import archives, cache, cdxj, download, fetch, footers, shipping
 from captrail.streaming import ingest
 
 
@@ -243,3 +243,15 @@ def raw_preview(s, d):
     """The unpacked beginning of each member; lost and damaged ones have none."""
     out = warc.described(_members(s, d), max_preview=1 << 30)
     return out.select("page_id", F.md5(F.left("text_preview", F.lit(200))).alias("preview"))
+
+
+@query("""with g as (select concat('f', cast(o_custkey % 60 as varchar)) path, (o_orderkey % (3 + o_custkey % 11) + 1)::bigint * 1048576 b from orders), m as (select path, median(b) / 1048576 mb from g group by path)
+    select path, mb median_mb, case when abs(mb - 4.0) > 1.0 then 'row_group_size' else '' end reasons from m""")
+def audit_target_mb(s, d):
+    """Row groups judged by their bytes: a file's median is to be within a quarter of four megabytes."""
+    o = read(s, d, "orders")
+    size = ((F.col("o_orderkey") % (3 + F.col("o_custkey") % 11) + 1) * 1048576).cast("long")
+    groups = o.select(F.concat(F.lit("f"), (F.col("o_custkey") % 60).cast("string")).alias("path"), F.col("o_orderkey").alias("row_group"), F.lit(1).cast("long").alias("num_rows"), size.alias("total_bytes"),
+                      F.lit("a").alias("min_value"), F.lit("a").alias("max_value"), F.array(F.lit("zstd")).alias("codecs"), F.array(F.lit("url")).alias("columns"))
+    judged = audit.audit_reasons(footers.shard_summary(groups, ["url"]), target_mb=4.0)
+    return judged.select("path", "median_mb", F.array_join("reasons", ",").alias("reasons"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from captrail import paths
+from captrail.functions import urls
 from captrail.operators.index import fingerprint_diff
 from captrail.sources.cdxj import parse_cdxj, read_cdxj
 
@@ -32,6 +33,7 @@ def changed_files(known: DataFrame, present: DataFrame) -> DataFrame:
     return fingerprint_diff(known, present).filter("state in ('extra', 'changed')").select("path")
 
 
+SOURCE = ("collection", "shard_file")
 FINGERPRINT = "path string, size_bytes long, mtime_ns long"
 
 
@@ -67,11 +69,15 @@ def replace_changed(spark: SparkSession, queue: str, target: str, state: str, ch
 
     def run(batch: DataFrame, number: int) -> None:
         s = batch.sparkSession
-        named = {r.path: r for r in batch.dropDuplicates(["path"]).collect()}
-        there = [p for p in sorted(named) if paths.exists(s, p)]
+        there = sorted(r.path for r in batch.select("path").distinct().collect() if paths.exists(s, r.path))
         if there:
-            rows = parse_cdxj(read_cdxj(s, there)).repartition("collection", "shard_file").sortWithinPartitions("collection", "shard_file", "host_rev", "url", "ts")
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("collection", "shard_file").parquet(target)
+            rows = parse_cdxj(read_cdxj(s, there)).repartition(*SOURCE).sortWithinPartitions(*SOURCE, "host_rev", "url", "ts")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SOURCE).parquet(target)
+            # Files without a row left: nothing was written over what they held.
+            path = F.col("path")
+            files = batch.filter(path.isin(there)).select(urls.collection_of_path("path").alias("collection"), F.regexp_extract(path, "([^/]+)$", 1).alias("shard_file")).distinct()
+            held = rows.select(*[F.col(c).alias(f"_{c}") for c in SOURCE]).distinct()
+            paths.clear_partitions(target, files.join(held, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SOURCE], "left_anti"))
         batch.filter(F.col("path").isin(there)).select("path", "size_bytes", "mtime_ns").distinct().write.mode("overwrite").parquet(f"{state}/batch={number}")
 
     stream = spark.readStream.schema(FINGERPRINT).option("maxFilesPerTrigger", files_per_batch).parquet(queue)

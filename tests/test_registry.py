@@ -38,8 +38,8 @@ def test_every_query_has_sql():
     assert set(registry.QUERIES) == set(registry.SQL)
 
 
-@pytest.mark.parametrize("name", ["domain_search_ranked", "result_page"])
-def test_ranked_in_order(spark, duck, sf, name):
+@pytest.mark.parametrize("name,key", [("domain_search_ranked", "page_id"), ("result_page", "page_id"), ("newest_jobs", "event_id")])
+def test_ranked_in_order(spark, duck, sf, name, key):
     """The order of ranked results, which a comparison of sorted rows does not see."""
-    got = [r.page_id for r in registry.QUERIES[name](spark, sf).collect()]
+    got = [r[key] for r in registry.QUERIES[name](spark, sf).collect()]
     assert got == [r[0] for r in duck.execute(registry.SQL[name]).fetchall()]

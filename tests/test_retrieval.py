@@ -158,6 +158,9 @@ def test_refresh_in_place(spark, tmp_path):
         assert rows(spark.read.parquet(path).withColumn("year", F.col("year").cast("string")), "collection", "shard_file", "host_rev", "host", "year") == want
         touched = "collection=CC-MAIN-2023-10/shard_file=cdx-00001.gz/"
         assert {k: v for k, v in before.items() if not k.startswith(touched)} == {k: v for k, v in after.items() if not k.startswith(touched)}
+    nameless = p.filter("collection = 'CC-MAIN-2024-10' and shard_file = 'cdx-00000.gz'").withColumn("host_rev", F.lit(None).cast("string"))
+    index.refresh_in_place(path, nameless)
+    assert spark.read.parquet(path).filter("collection = 'CC-MAIN-2024-10' and shard_file = 'cdx-00000.gz'").count() == 0
     index.refresh_in_place(path, some, gone=p.filter("collection = 'CC-MAIN-2022-10'"))
     assert "CC-MAIN-2022-10" not in {r.collection for r in spark.read.parquet(path).select("collection").distinct().collect()}
 
@@ -206,6 +209,11 @@ def test_changed_files(spark, tmp_path):
     n, after = step()
     assert n == 1 and after == [("cdx-00000", f"http://a{k}.com/") for k in (4, 5, 6)] + [("cdx-00001", "http://a3.com/")]
     assert kept == {f: f.stat().st_mtime_ns for f in Path(out).rglob("shard_file=cdx-00001/*.parquet")}
+    # A file that has no line left has no row left.
+    (at / "cdx-00002").write_text(line(7))
+    assert step()[1][-1] == ("cdx-00002", "http://a7.com/")
+    (at / "cdx-00002").write_text("# none\n\n")
+    assert step() == (1, after)
     # A batch whose commit was lost runs again: the table and the state stay as they are.
     last = max((int(p.name) for p in Path(check, "commits").iterdir() if p.name.isdigit()))
     for p in Path(check, "commits").glob(f"*{last}*"):
