@@ -117,8 +117,14 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
 
     Vectors null or with null or non-finite components take no part; vectors of another dimension are not compared.
     With fewer than k other rows all are returned; a row that is alone, or an empty table, gives none. Repeated ids:
-    each row of another id is a candidate of its own, and each query row has a ranking of its own. Scores are exact below 2^53."""
+    each row of another id is a candidate of its own, and each query row has a ranking of its own. Scores are exact: where the
+    largest squared norm of the integer vectors reaches 2^53, a ValueError is raised."""
     rows = usable(vectors, id_col, vec_col)
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(F.lit(scale) * x).cast("double") * F.floor(F.lit(scale) * x).cast("double"))
-    most = rows.agg(F.max(norm)).first()[0] or 0.0
-    return search_shards(rows, every, lambda v: points(v, scale, most), lambda v: query_points(v, scale), lambda ids, v: build(ids, v, scale, page, most), search, k, "long", False, region_rows, shard_rows)
+    n, most = rows.agg(F.count("*"), F.coalesce(F.max(norm), F.lit(0.0))).first()
+    if most >= 2**53:
+        raise ValueError("inner products of these vectors are not exact in double precision: use a smaller scale")
+    # What rounding may take from a small difference of large squares is added.
+    bound = lambda q, score: np.sqrt(max(0.0, float(q @ q) + most - 2 * score) + 1e-15 * most)
+    return search_shards(rows, n, every, lambda v: points(v, scale, most), lambda v: query_points(v, scale), bound, lambda ids, v: build(ids, v, scale, page, most), search, k, "long", False,
+                         region_rows, shard_rows)

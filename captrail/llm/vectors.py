@@ -3,14 +3,18 @@
 1. A sample of SAMPLE rows at most (by hash, the same on each run) reaches the driver; some of them are pivots. Each row is
    dealt to the region of its nearest pivot; a region keeps the least and greatest distance of its rows. Regions of many
    rows are cut into shards by a hash, so no shard grows with the table.
-2. A query's distance from the k nearest sample rows bounds that of its k nearest rows. By the triangle inequality it can
-   skip all regions whose rows are farther away; it travels to the shards of the others only.
-3. A task gets whole shards, each followed by its queries: it builds a shard's tree once and answers the queries as they
-   stream by. The k best of each shard are merged by a window over k rows per query and shard.
+2. A query's distance from the k nearest sample rows bounds that of its k nearest rows. In a first round it is answered by
+   the region of the nearest pivot, which tightens the bound to the k-th distance found there. By the triangle inequality
+   the second round skips all regions whose rows are farther away than that.
+3. Shards are put in bundles of a bounded size. A task gets whole bundles, each followed by its queries, so a query's vector
+   travels once to a bundle, with the list of the shards that it has to see there. A shard's tree is built when the first
+   query asks for it; what a query finds in one shard bounds its search in the next.
+4. The k best of each bundle are merged by a window over k rows per query and bundle.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -23,6 +27,8 @@ from .common import Tables
 
 #: Rows of the sample, and the most regions.
 SAMPLE = 4096
+#: Vector components that a bundle of several shards may hold.
+CELLS = 1 << 23
 #: Relative and absolute slack for rounding in bounds.
 SLACK, LEAST = 1e-9, 1e-9
 
@@ -74,20 +80,52 @@ def _dealt(rows: DataFrame, pivots: dict[int, np.ndarray], point: Callable) -> D
     return rows.mapInArrow(run, "vec_id long, v array<double>, dim int, region int, d double")
 
 
-def _routed(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]], regions: dict[int, tuple], point: Callable, k: int, factor: float) -> DataFrame:
-    """(row, vec_id, v, dim, tau, region, sub) for each shard that a query (row, vec_id, v, dim, region) has to see."""
+def _bundles(regions: list[tuple[int, int]], shard_rows: int, most: int) -> list[tuple[int, int]]:
+    """(first bundle, shards of the region in a bundle) of regions (rows, shards) in order: a bundle holds whole regions of
+    `most` rows together, or a part of a larger one, one shard at least."""
+    out, at, held = [], 0, 0
+    for n, subs in regions:
+        if held and held + n > most:
+            at, held = at + 1, 0
+        each = subs if n <= most else max(1, most // shard_rows)
+        out.append((at, each))
+        if n <= most:
+            held += n
+        else:
+            at += -(-subs // each)
+    return out
+
+
+def _shard(region: int, sub: int) -> int:
+    return (region << 32) + sub
+
+
+def _routed(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]], regions: dict[int, tuple], point: Callable, bound: Callable, k: int, factor: float, home: bool) -> DataFrame:
+    """(row, vec_id, v, dim, tau, bundle, shards) for each bundle of which a query (row, vec_id, v, dim, kth) has to see the
+    shards: those of its home region, or all others that it cannot skip. kth is the k-th score found at home, if any."""
 
-    def seen_by(q: np.ndarray, own: int, dim: int, guess: np.ndarray) -> tuple[float, list[tuple[int, int]]]:
-        """(tau, [(region, sub)]) of a query point; guess: its squared distances from the sample, about."""
+    def seen_by(q: np.ndarray, own: int, dim: int, guess: np.ndarray, kth: float | None) -> tuple[float, dict[int, list[int]]]:
+        """(tau, shards by bundle) of a query point; guess: its squared distances from the sample, about."""
         ids, rows = sample[dim]
-        numbers, centres, near, far, subs = regions[dim]
+        numbers, centres, near, far, subs, first, each = regions[dim]
         other, tau = np.flatnonzero(ids != own), np.inf
         if len(other) >= k:
             some = other[np.argpartition(guess[other], k - 1)[:k]]
             tau = float(distances(rows[some], q).max()) * (1 + SLACK) + LEAST
         d = distances(centres, q)
-        low = np.maximum(d - far, near - d) * (1 - SLACK) - LEAST
-        return tau, [(int(numbers[r]), j) for r in np.flatnonzero(low * factor <= tau).tolist() for j in range(int(subs[r]))]
+        if home:
+            chosen = [int(d.argmin())]
+        else:
+            if kth is not None:
+                tau = min(tau, bound(q, kth) * (1 + SLACK) + LEAST)
+            low = np.maximum(d - far, near - d) * (1 - SLACK) - LEAST
+            low[d.argmin()] = np.inf
+            chosen = np.flatnonzero(low * factor <= tau).tolist()
+        found = defaultdict(list)
+        for r in chosen:
+            for j in range(int(subs[r])):
+                found[int(first[r]) + j // int(each[r])].append(_shard(int(numbers[r]), j))
+        return tau, found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -97,64 +135,75 @@ def _routed(queries: DataFrame, sample: dict[int, tuple[np.ndarray, np.ndarray]]
                     q = point(matrix(part.column("v"), dim))
                     guess = squares(q, sample[dim][1]) if dim in sample else None
                     found: list[tuple] = []
-                    for i, own in enumerate(part.column("vec_id").to_pylist()):
-                        tau, shards = seen_by(q[i], own, dim, guess[i]) if dim in sample else (np.inf, [(-1, 0)])
-                        found += [(i, tau, *x) for x in shards]
+                    for i, (own, kth) in enumerate(zip(part.column("vec_id").to_pylist(), part.column("kth").to_pylist(), strict=True)):
+                        # Rows of a dimension that the sample lacks are one region of their own.
+                        tau, bundles = seen_by(q[i], own, dim, guess[i], kth) if dim in sample else (np.inf, {-1: [_shard(-1, 0)]} if home else {})
+                        found += [(i, tau, *x) for x in bundles.items()]
                         if len(found) > 4096 or i == len(part) - 1 and found:
-                            of, taus, region, sub = zip(*found, strict=True)
+                            of, taus, bundle, shards = zip(*found, strict=True)
                             got = part.take(pa.array(of, pa.int64()))
-                            yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("row", "vec_id", "v", "dim")], pa.array(taus, pa.float64()), pa.array(region, pa.int32()), pa.array(sub, pa.int32())],
-                                                             names=["row", "vec_id", "v", "dim", "tau", "region", "sub"])
+                            yield pa.RecordBatch.from_arrays([*[got.column(c) for c in ("row", "vec_id", "v", "dim")], pa.array(taus, pa.float64()), pa.array(bundle, pa.int32()), pa.array(shards, pa.list_(pa.int64()))],
+                                                             names=["row", "vec_id", "v", "dim", "tau", "bundle", "shards"])
                             found = []
 
-    return queries.select("row", "vec_id", "v", "dim").mapInArrow(run, "row long, vec_id long, v array<double>, dim int, tau double, region int, sub int")
+    return queries.select("row", "vec_id", "v", "dim", "kth").mapInArrow(run, "row long, vec_id long, v array<double>, dim int, tau double, bundle int, shards array<long>")
 
 
-def _answered(parts: DataFrame, build: Callable, search: Callable, k: int, score_type: str) -> DataFrame:
-    """(row, query_id, vec_id, score) of parts (dim, region, sub, row, vec_id, v, tau) in order of shard and row: rows of the
-    table have no row number and come first."""
+def _answered(parts: DataFrame, build: Callable, search: Callable, point: Callable, bound: Callable, k: int, score_type: str, smallest: bool) -> DataFrame:
+    """(row, query_id, vec_id, score) of parts (dim, bundle, shards, row, vec_id, v, tau) in order of bundle and row: rows of
+    the table have no row number and come first."""
     score = pa.int64() if score_type == "long" else pa.float64()
 
+    def best(held: dict, trees: dict, shards: list[int], i: int, v: np.ndarray, dim: int, tau: float) -> list[tuple]:
+        """[(score, vec_id)] of the k best of a query in the shards of a bundle."""
+        found: list[tuple] = []
+        for shard in shards:
+            if shard not in held:
+                continue
+            if shard not in trees:
+                ids, rows = np.concatenate([h[0] for h in held[shard]]), np.concatenate([h[1] for h in held[shard]])
+                order = np.argsort(ids, kind="stable")
+                trees[shard] = build(ids[order], rows[order])
+            found = sorted(found + search(trees[shard], i, v, k, tau), key=lambda x: (x[0] if smallest else -x[0], x[1]))[:k]
+            if len(found) == k:
+                tau = min(tau, bound(point(v[None, :])[0], found[-1][0]) * (1 + SLACK) + LEAST)
+        return found
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, tree = None, [], None
+        key, held, trees = None, defaultdict(list), {}
         for b in batches:
             out: list[tuple] = []
-            places = list(zip(*[b.column(c).to_pylist() for c in ("dim", "region", "sub")], b.column("row").is_null().to_pylist(), strict=True))
-            start = 0
-            while start < len(places):
-                end = start + 1
-                while end < len(places) and places[end] == places[start]:
-                    end += 1
-                part, (*shard, is_row) = b.slice(start, end - start), places[start]
-                if shard != key:
-                    key, held, tree = shard, [], None
-                v = matrix(part.column("v"), shard[0])
-                if is_row:
-                    held.append((part.column("vec_id").to_numpy(), v))
-                elif held:
-                    if tree is None:
-                        ids, rows = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-                        order = np.argsort(ids, kind="stable")
-                        tree = build(ids[order], rows[order])
-                    for row, i, q, tau in zip(part.column("row").to_pylist(), part.column("vec_id").to_pylist(), v, part.column("tau").to_pylist(), strict=True):
-                        out += [(row, i, vec, s) for s, vec in search(tree, i, q, k, tau)]
-                start = end
+            dims, bundles, is_row = b.column("dim").to_numpy(), b.column("bundle").to_numpy(), b.column("row").is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(dims) != 0) | (np.diff(bundles) != 0) | (is_row[1:] != is_row[:-1])) + 1 if len(b) else []
+            for start, end in zip([0, *cuts], [*cuts, len(b)], strict=True) if len(b) else []:
+                part, bundle = b.slice(start, end - start), (int(dims[start]), int(bundles[start]))
+                if bundle != key:
+                    key, held, trees = bundle, defaultdict(list), {}
+                v, ids = matrix(part.column("v"), bundle[0]), part.column("vec_id").to_numpy()
+                if is_row[start]:
+                    of = part.column("shards").flatten().to_numpy()
+                    for shard in np.unique(of).tolist():
+                        held[shard].append((ids[of == shard], v[of == shard]))
+                else:
+                    for row, i, q, tau, shards in zip(part.column("row").to_pylist(), ids.tolist(), v, part.column("tau").to_pylist(), part.column("shards").to_pylist(), strict=True):
+                        out += [(row, i, vec, s) for s, vec in best(held, trees, shards, i, q, bundle[0], tau)]
             cells = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cells[:3]], pa.array(cells[3], score)], names=["row", "query_id", "vec_id", "score"])
 
     return parts.mapInArrow(run, f"row long, query_id long, vec_id long, score {score_type}")
 
 
-def search_shards(rows: DataFrame, every: int, point: Callable, query_point: Callable, build: Callable, search: Callable, k: int, score_type: str, smallest: bool,
-                  region_rows: int, shard_rows: int, factor: float = 1.0) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best rows of each query, ties to the smaller vec_id, rows of its own id left out.
+def search_shards(rows: DataFrame, n: int, every: int, point: Callable, query_point: Callable, bound: Callable, build: Callable, search: Callable, k: int, score_type: str,
+                  smallest: bool, region_rows: int, shard_rows: int, factor: float = 1.0) -> DataFrame:
+    """(query_id, rank, vec_id, score): the k best of n rows for each query, ties to the smaller vec_id, rows of its own id left out.
 
     Queries are the rows whose id is divisible by every. point(matrix) and query_point(matrix) give the points between which
-    the triangle inequality holds. build(ids, matrix) makes a tree; search(tree, query_id, vector, k, tau) gives (score,
-    vec_id) of the shard's best k within the distance tau. There is a region for about region_rows rows, SAMPLE at most;
-    shards hold about shard_rows rows. Only the sample, a few numbers for each region and the number of rows reach the driver."""
-    tables = Tables(rows.sparkSession, "search")
-    n = rows.count()
+    the triangle inequality holds; bound(query point, score) is the distance of a row of that score. build(ids, matrix) makes
+    a tree; search(tree, query_id, vector, k, tau) gives (score, vec_id) of the shard's best k within the distance tau. There
+    is a region for about region_rows rows, SAMPLE at most; shards hold about shard_rows rows. Only the sample and a few
+    numbers for each region reach the driver."""
+    spark = rows.sparkSession
+    tables = Tables(spark, "search")
     drawn = rows.orderBy(F.xxhash64(F.lit(11), "vec_id", "v"), "vec_id").limit(SAMPLE).collect()
     by_dim = defaultdict(list)
     for r in drawn:
@@ -163,24 +212,37 @@ def search_shards(rows: DataFrame, every: int, point: Callable, query_point: Cal
     # Each dimension gets its share of the pivots, one at least.
     share = min(1.0, -(-n // region_rows) / max(1, len(drawn)))
     pivots = {dim: points[: max(1, round(share * len(points)))] for dim, (_, points) in sample.items()}
-    dealt = tables.put(_dealt(rows, pivots, point), "rows")
+    dealt = tables.put(_dealt(rows, pivots, point).withColumn("row", F.monotonically_increasing_id()), "rows")
     of = defaultdict(list)
     for r in dealt.filter("region >= 0").groupBy("dim", "region").agg(F.count("*").alias("n"), F.min("d").alias("near"), F.max("d").alias("far")).orderBy("dim", "region").collect():
-        of[r["dim"]].append((r["region"], r["near"], r["far"], -(-r["n"] // shard_rows)))
-    regions = {}
+        of[r["dim"]].append((r["region"], r["near"], r["far"], -(-r["n"] // shard_rows), r["n"]))
+    # As many bundles as there are partitions of a shuffle, and more where they would be too large.
+    each_rows = -(-n // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    regions, many = {}, []
     for dim, x in of.items():
-        numbers, near, far, subs = (np.array(c) for c in zip(*x, strict=True))
-        regions[dim] = (numbers, pivots[dim][numbers], near, far, subs)
-    many = rows.sparkSession.createDataFrame([(dim, r, s) for dim, x in of.items() for r, _, _, s in x], "dim int, region int, subs long")
-    placed = dealt.join(F.broadcast(many), ["dim", "region"], "left").withColumn("sub", F.pmod(F.xxhash64("vec_id", "v"), F.coalesce("subs", F.lit(1))).cast("int"))
-    queries = tables.put(dealt.filter(F.pmod("vec_id", F.lit(every)) == 0).withColumn("row", F.monotonically_increasing_id()), "queries")
-    routed = tables.put(_routed(queries, sample, regions, query_point, k, factor), "routed")
-
+        numbers, near, far, subs, sizes = (np.array(c) for c in zip(*x, strict=True))
+        first, each = np.array(_bundles(list(zip(sizes.tolist(), subs.tolist(), strict=True)), shard_rows, min(each_rows, CELLS // max(1, dim)))).T
+        regions[dim] = (numbers, pivots[dim][numbers], near, far, subs, first, each)
+        many += zip(itertools.repeat(dim), numbers.tolist(), subs.tolist(), first.tolist(), each.tolist())
+    of_region = spark.createDataFrame(many, "dim int, region int, subs long, first int, each int")
+    placed = dealt.join(F.broadcast(of_region), ["dim", "region"], "left").withColumn("sub", F.pmod(F.xxhash64("vec_id", "v"), F.coalesce("subs", F.lit(1))))
+    bundle = F.coalesce((F.col("first") + F.floor(F.col("sub") / F.col("each"))).cast("int"), F.lit(-1))
+    shards = F.array(F.shiftleft(F.col("region").cast("long"), 32) + F.col("sub"))
     null = lambda kind: F.lit(None).cast(kind)
-    parts = placed.select("dim", "region", "sub", null("long").alias("row"), "vec_id", "v", null("double").alias("tau")).union(routed.select("dim", "region", "sub", "row", "vec_id", "v", "tau"))
-    parts = parts.repartition("dim", "region", "sub").sortWithinPartitions("dim", "region", "sub", F.col("row").asc_nulls_first())
-    found = _answered(parts, build, search, k, score_type)
+    placed = placed.select("dim", bundle.alias("bundle"), shards.alias("shards"), null("long").alias("row"), "vec_id", "v", null("double").alias("tau"))
+    queries = dealt.filter(F.pmod("vec_id", F.lit(every)) == 0)
     order = Window.partitionBy("row").orderBy(F.col("score").asc() if smallest else F.col("score").desc(), "vec_id")
+
+    def answers(asked: DataFrame, home: bool) -> DataFrame:
+        routed = _routed(asked, sample, regions, query_point, bound, k, factor, home).select(*placed.columns)
+        parts = placed.union(routed).repartition("dim", "bundle").sortWithinPartitions("dim", "bundle", F.col("row").asc_nulls_first())
+        return _answered(parts, build, search, query_point, bound, k, score_type, smallest)
+
+    found = answers(queries.withColumn("kth", null("double")), True)
+    if any(len(x) > 1 for x in of.values()):
+        found = tables.put(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k), "home")
+        kth = found.filter(F.col("rank") == k).select("row", F.col("score").cast("double").alias("kth"))
+        found = found.drop("rank").union(answers(queries.join(kth, "row", "left"), False))
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     out = tables.put(best, "best")
     tables.drop_all(out)

@@ -1,6 +1,7 @@
 """Vector searches against all pairs."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from captrail.llm import mtree, vectors, vptree
@@ -50,20 +51,54 @@ def test_regions_are_skipped(spark, monkeypatch):
     centres = rng.normal(0, 30, (12, 6))
     rows = [(i, (centres[i % 12] + rng.normal(0, 0.1, 6)).tolist()) for i in range(1200)]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    seen = []
-    put = vectors.Tables.put
+    seen = routes(monkeypatch)
+    got = found(vptree.nearest(d, every=10, region_rows=25))
+    assert got == brute.nearest(rows, 10, 10, lambda a, b: float(np.sqrt(np.cumsum((np.array(a) - np.array(b)) ** 2)[-1])), True)
+    (home, home_shards), (_, shards) = seen
+    assert home == home_shards == 120 and home_shards + shards < 120 * 48 / 4
+
+
+def routes(monkeypatch):
+    """Collects, for each round of a search, (rows sent to bundles, shards that they name)."""
+    seen, routed = [], vectors._routed
 
-    def counted(self, df, name):
-        out = put(self, df, name)
-        if name in ("routed", "queries"):
-            seen.append(out.count())
+    def counted(*args):
+        out = routed(*args)
+        seen.append(tuple(x or 0 for x in out.agg(F.count("*"), F.sum(F.size("shards"))).first()))
         return out
 
-    monkeypatch.setattr(vectors.Tables, "put", counted)
-    got = found(vptree.nearest(d, every=10, region_rows=25))
-    assert got == brute.nearest(rows, 10, 10, lambda a, b: float(np.sqrt(np.cumsum((np.array(a) - np.array(b)) ** 2)[-1])), True)
-    queries, routed = seen
-    assert queries == 120 and routed < 120 * 48 / 4
+    monkeypatch.setattr(vectors, "_routed", counted)
+    return seen
+
+
+def test_the_second_round_has_the_tighter_bound(spark, monkeypatch):
+    """Of rows on a curve the sample of 64 tells little of the 10 nearest; the home region tells nearly all. Shards travel
+    in bundles."""
+    t = np.linspace(0, 40, 4000)
+    rows = [(i, [float(x), float(np.sin(x)), float(np.cos(x))]) for i, x in enumerate(t)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    monkeypatch.setattr(vectors, "SAMPLE", 64)
+    seen = routes(monkeypatch)
+    want = brute.nearest(rows, 100, 10, lambda a, b: float(np.sqrt(np.cumsum((np.array(a) - np.array(b)) ** 2)[-1])), True)
+    assert found(vptree.nearest(d, region_rows=60)) == want
+    assert seen[0] == (40, 40) and seen[1][1] < 40 * 4
+    seen.clear()
+    # Where nothing can be skipped (a bound that is no bound) all shards are seen, but few rows travel.
+    monkeypatch.setattr(vectors, "LEAST", 1e9)
+    assert found(vptree.nearest(d, region_rows=60, shard_rows=20)) == want
+    assert seen[1][1] > 9000 and seen[1][0] < 9000 / 5
+
+
+def test_bundles():
+    assert vectors._bundles([(10, 1), (10, 1), (25, 2), (100, 5), (5, 1)], 20, 40) == [(0, 1), (0, 1), (1, 2), (2, 2), (5, 1)]
+    assert vectors._bundles([(10, 1), (10, 1)], 20, 0) == [(0, 1), (1, 1)]
+    assert vectors._bundles([], 20, 40) == []
+
+
+def test_inner_products_stay_exact(spark):
+    d = spark.createDataFrame([(0, [1e7]), (1, [2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        mtree.top_k(d, scale=1e3)
 
 
 def test_repeated_query_ids(spark):
