@@ -64,3 +64,16 @@ def find(spark: SparkSession, path: str, domain: str, year: str | None = None, c
     # The list is a table of its own: a pruning filter within it would keep Spark from sharing its broadcast with the pruning.
     held = written(_held(spark, path, domain, year, collections), "held").filter(search.in_subtree(key))
     return rows.join(held, ["year", "collection", "shard_file"], "left_semi")
+
+
+def find_by_zones(spark: SparkSession, path: str, zones: DataFrame, host: str, folders: tuple[str, ...] = ("collection", "shard_file")) -> DataFrame:
+    """The captures of one host in a layout with the given folders, by a zone map (folders, min_key, max_key).
+
+    The map is written once; while the query runs, the zones that may hold the key prune the folders of the layout, and
+    within the files that are left Spark skips row groups by the pushed key. Zones without bounds hold no key."""
+    key = search.key_of(host)
+    rows = spark.read.parquet(path)
+    if not key:
+        return rows.filter(F.lit(False))
+    held = index.zone_point(written(zones.select(*folders, "min_key", "max_key"), "zones"), key)
+    return rows.filter(F.col("host_rev") == key).join(held.select(*folders), list(folders), "left_semi")

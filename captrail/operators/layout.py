@@ -18,19 +18,29 @@ def sorted_layout(pointers: DataFrame, partitions: int, folders: tuple[str, ...]
     return pointers.repartitionByRange(partitions, *order[:2]).sortWithinPartitions(*folders, *order)
 
 
-def write_sorted(pointers: DataFrame, path: str, partitions: int, rows_per_group: int | None = None, bytes_per_row: float = 100.0, bloom: bool = False, codec: str = "zstd") -> None:
+def write_sorted(pointers: DataFrame, path: str, partitions: int, rows_per_group: int | None = None, bloom: bool = False, codec: str = "zstd") -> None:
     """Parquet below path, by year and collection; Spark's commit makes each write whole or absent.
 
-    Parquet sizes row groups in bytes, so rows_per_group is turned into bytes. A bloom filter on url helps URL batches."""
+    Row groups have rows_per_group rows, if given, or fewer where Parquet's size in bytes is reached before. A bloom filter on
+    url helps URL batches."""
     out = sorted_layout(pointers.withColumn("year", urls.collection_year("collection")), partitions, ("year", "collection"))
     w = out.write.mode("overwrite").option("compression", codec).partitionBy("year", "collection")
     if rows_per_group:
-        w = w.option("parquet.block.size", max(1 << 20, int(rows_per_group * bytes_per_row)))
+        w = w.option("parquet.block.row.count.limit", rows_per_group)
     if bloom:
         w = w.option("parquet.bloom.filter.enabled#url", "true")
     w.parquet(path)
 
 
+def write_shards(pointers: DataFrame, path: str, rows_per_group: int, codec: str = "zstd") -> None:
+    """One sorted file for each (collection, shard_file), in a folder of its own, with row groups of rows_per_group rows each
+    (the last has the rest). A shard is written by one task, as a sorted file must be; its size is that of its listing."""
+    order = [F.col(c).asc_nulls_last() for c in (*ORDER, "warc_offset")]
+    out = pointers.repartition("collection", "shard_file").sortWithinPartitions("collection", "shard_file", *order)
+    w = out.write.mode("overwrite").option("compression", codec).option("parquet.block.row.count.limit", rows_per_group)
+    w.partitionBy("collection", "shard_file").parquet(path)
+
+
 def recompress(spark, source: str, target: str, codec: str = "zstd") -> bool:
     """Writes the files below source anew with the codec, if any has another one; whether it did."""
     from captrail.sources.footers import footers

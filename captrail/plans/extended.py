@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captrail.functions import urls, values
-from captrail.operators import aggregates, audit, index, layout, search, slices, warc
+from captrail.operators import aggregates, audit, hierarchy, index, layout, search, slices, warc
 from captrail.paths import scratch
 from captrail.plans.fixtures import PTR_SQL, REV, ptr, read, spans
-from captrail.plans.registry import _AUDIT, _FILES, _GROUPED, _INV, _S, _SLICES, _ZONES, SHOWN, _audited, _files, _groups, _members, _ptr, _sub, _zones, query
+from captrail.plans.registry import _AUDIT, _FILES, _GROUPED, _INV, _S, _SLICES, _ZONES, SHOWN, _audited, _files, _groups, _members, _ptr, _shards, _sub, _zones, _zones_below, query
 from captrail.sources import cdxj, fetch, footers, shards
 
 COLLECTIONS = ("CC-MAIN-2024-10", "CC-MAIN-2024-18", "CC-MAIN-2025-05")
@@ -191,11 +191,10 @@ def shard_discovery(s, d):
 
 @query(_ptr("select page_id, url from ptr where host_rev = 'org,example,therwh'"))
 def row_group_search(s, d):
-    """A host by zones from footers and a read of the row groups that may hold it."""
-    path = f"{scratch(s)}/sorted"
-    layout.write_sorted(ptr(s, d), path, 4)
-    held = index.zone_point(index.zones_of_footers(footers.footers(s, path)), "org,example,therwh")
-    return shards.read_row_groups(s, path, held).filter("host_rev = 'org,example,therwh'").select("page_id", "url")
+    """A host in written shards: zones from their footers prune the folders, Spark's reader the row groups."""
+    path = _shards(s, d)
+    return hierarchy.find_by_zones(s, path, _zones_below(s, path), "therwh.example.org").select("page_id", "url")
+
 
 
 # Fetching

@@ -1,4 +1,4 @@
-"""Shards in any store that Spark can list, and reads of some of their row groups."""
+"""Shards in any store that Spark can list."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from captrail.functions import urls
 from captrail.streaming.ingest import file_inventory
 
-from .footers import footers
-
 
 def discover(spark: SparkSession, path: str, year: str | None = None, glob: str = "*.parquet") -> DataFrame:
     """(path, size_bytes, mtime_ns, collection, year) of the shards below path, of one year if given; no file is opened.
@@ -18,18 +16,3 @@ def discover(spark: SparkSession, path: str, year: str | None = None, glob: str
     named = F.regexp_replace("path", "/(collection|year)=", "/")
     found = file_inventory(spark, path, glob).withColumns({"collection": urls.collection_of_path(named), "year": urls.year_of_path(named)})
     return found.filter(F.col("year") == year) if year else found
-
-
-def read_row_groups(spark: SparkSession, path: str, groups: DataFrame) -> DataFrame:
-    """The rows of some row groups (path, row_group) of the files below path, with both columns.
-
-    Footers tell the groups' rows; a row meets its group by file and position, so rows of other groups leave the scan only."""
-    wanted = footers(spark, path).join(groups.select("path", "row_group").distinct(), ["path", "row_group"], "left_semi")
-    wanted = wanted.select(_plain("path").alias("_file"), "path", "row_group", "row_start", "row_end")
-    rows = spark.read.parquet(path).select("*", _plain("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
-    return rows.join(wanted, "_file").filter((F.col("_at") >= F.col("row_start")) & (F.col("_at") < F.col("row_end"))).drop("_file", "_at", "row_start", "row_end")
-
-
-def _plain(col: str):
-    """A file's path without scheme slashes and escapes, which Spark's readers spell differently."""
-    return F.url_decode(F.regexp_replace(F.regexp_replace(F.col(col), "^([a-z0-9]+):/+", "$1:/"), "[+]", "%2B"))

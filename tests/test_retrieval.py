@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from captrail.operators import counters, hierarchy, index, layout, resolve, search, sql
-from captrail.sources import archives, cache, cdxj, download, fetch, shipping
+from captrail.sources import archives, cache, cdxj, download, fetch, footers, shipping
 from captrail.streaming import ingest
 
 SPANS = "w string, o long, l long"
@@ -412,3 +412,28 @@ def test_slices_across_batches(spark):
     finally:
         spark.conf.set(size, before)
     assert found[0] == found[1] == found[2] and len(found[0]) > 30
+
+
+def test_search_by_zones_of_footers(spark, tmp_path):
+    """Shards have row groups of the wanted rows, and a search opens only folders whose zones may hold the key."""
+    path = str(tmp_path / "t")
+    p = spark.range(74).select(F.lit("C").alias("collection"), F.expr("concat('s', id div 37)").alias("shard_file"), F.expr("concat('com,h', lpad(id div 2, 3, '0'))").alias("host_rev"),
+                               F.expr("concat('http://x/', id)").alias("url"), F.lit("t").alias("ts"), F.col("id").alias("warc_offset"))
+    p = p.union(p.limit(1).withColumn("host_rev", F.lit(None).cast("string")).withColumn("shard_file", F.lit("s2")))
+    layout.write_shards(p.repartition(5), path, 16)
+    groups = footers.footers(spark, path)
+    per = groups.groupBy("path").agg(F.expr("transform(array_sort(collect_list(struct(row_group, num_rows))), x -> x.num_rows)").alias("n"))
+    assert sorted(r.n for r in per.collect()) == [[1], [16, 16, 5], [16, 16, 5]]
+    name = lambda c: F.regexp_extract("path", f"{c}=([^/]*)", 1).alias(c)
+    zones = index.zones_of_footers(groups).withColumns({c: name(c) for c in ("collection", "shard_file")})
+    assert rows(index.boundary_check(zones, ["shard_file"], "row_group"), "shard_file", "ok", "bad") == [("s0", 2, 0), ("s1", 2, 0), ("s2", 0, 0)]
+    found = hierarchy.find_by_zones(spark, path, zones, "h030.com")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() and "EqualTo(host_rev,com,h030)" in plan
+    none = hierarchy.find_by_zones(spark, path, zones, "h999.com")
+    assert hierarchy.find_by_zones(spark, path, zones, "").count() == 0
+    both = rows(hierarchy.find_by_zones(spark, path, zones, "h018.com"), "url", "shard_file")
+    assert both == [("http://x/36", "s0"), ("http://x/37", "s1")]
+    spoil(f"{path}/collection=C/shard_file=s0")
+    spoil(f"{path}/collection=C/shard_file=s2")
+    assert rows(found, "url", "shard_file") == [("http://x/60", "s1"), ("http://x/61", "s1")] and none.count() == 0
