@@ -13,7 +13,8 @@ follow, so sparse + head <= least + 1 must hold. Suffixes carry a bounded contex
 passage mark it piece by piece. Texts that are equal as a whole are taken once and counted.
 
 Heads in more than `hot` places are not compared in one task. There each place gives the windows of `least` words around
-it, at most head + 1, and windows that occur twice, counted by hash with partial sums, mark their words.
+it, at most head + 1, and windows that occur twice, counted by two 64-bit hashes with partial sums, mark their words.
+Texts are equal if two 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Tables, renamed
-from .words import hashes, minimisers, sequences, words
+from .words import hashes, minimisers, mixed, sequences, words
 
 
 def _suffixes(docs: DataFrame, inner: int, sparse: int, head: int) -> DataFrame:
@@ -50,9 +51,9 @@ def _suffixes(docs: DataFrame, inner: int, sparse: int, head: int) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, least: int, head: int) -> DataFrame:
-    """(head, hot, suffix, prefix, doc_id, th, at): up to 2 * head words from each place and up to least - head before it,
-    nearest first; for a hot place instead its windows: head is the window's hash, at its first word."""
-    schema = pa.schema([("head", pa.int64()), ("hot", pa.bool_()), ("suffix", pa.binary()), ("prefix", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32())])
+    """(head, hot, wide, suffix, prefix, doc_id, th, at): up to 2 * head words from each place and up to least - head before it,
+    nearest first; for a hot place instead its windows: head is the window's hash and wide a second one, at its first word."""
+    schema = pa.schema([("head", pa.int64()), ("hot", pa.bool_()), ("wide", pa.int64()), ("suffix", pa.binary()), ("prefix", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32())])
     left, right = least - head, 2 * head
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,19 +67,20 @@ def _contexts(docs: DataFrame, least: int, head: int) -> DataFrame:
                 ws = words(text.as_py())
                 firsts = sorted({f for p in places if p["hot"] for f in range(max(0, p["at"] - left), min(p["at"], len(ws) - least) + 1)})
                 if firsts:
-                    windows = sequences(hashes(ws), least).view(np.int64)[firsts].tolist()
-                    rows += [(w, True, None, None, doc, th, f) for w, f in zip(windows, firsts, strict=True)]
+                    h = hashes(ws)
+                    windows, second = (sequences(x, least).view(np.int64)[firsts].tolist() for x in (h, mixed(h)))
+                    rows += [(w, True, w2, None, None, doc, th, f) for w, w2, f in zip(windows, second, firsts, strict=True)]
                 for p in places:
                     if not p["hot"]:
                         at = p["at"]
-                        rows.append((p["head"], False, b" ".join(ws[at : at + right]), b" ".join(reversed(ws[max(0, at - left) : at])), doc, th, at))
+                        rows.append((p["head"], False, None, b" ".join(ws[at : at + right]), b" ".join(reversed(ws[max(0, at - left) : at])), doc, th, at))
                 if len(rows) > 4096:
                     yield flush()
                     rows = []
         if rows:
             yield flush()
 
-    return docs.mapInArrow(run, "head long, hot boolean, suffix binary, prefix binary, doc_id long, th long, at int")
+    return docs.mapInArrow(run, "head long, hot boolean, wide long, suffix binary, prefix binary, doc_id long, th long, at int")
 
 
 def agreed(a: list[bytes], b: list[bytes]) -> int:
@@ -159,12 +161,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     A passage is repeated if at least `least` words in a row also stand elsewhere, in another document or in the same.
     Null texts and texts of fewer words hold none. Rows whose texts are equal repeat each other as a whole. An empty table
     gives no rows. A null id is carried as null; rows of one id are judged by their own texts."""
-    d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"))
+    d = renamed(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("th"), F.xxhash64(F.lit(1), "text").alias("th2"))
     d = d.filter("text is not null")
     n_words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    # One row for each text; of equal texts the smallest id stands for all.
+    # One row for each text; of equal texts the smallest id stands for all. From here on (th, that id) names a text.
     tables = Tables(docs.sparkSession, "suffix")
-    same = tables.put(d.groupBy("th").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("rep"), F.count("*").alias("copies")), "texts")
+    same = tables.put(d.groupBy("th", "th2").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("rep"), F.count("*").alias("copies")), "texts")
     kept = d.withColumn("_rep", F.coalesce("doc_id", F.lit(-(2**63)))).select("_rep", "text", "th")
     every = tables.put(_suffixes(kept.withColumnRenamed("_rep", "doc_id"), inner, sparse, head), "places")
     alone = same.select(F.col("th"), F.col("rep").alias("doc_id"))
@@ -176,19 +178,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     contexts = tables.put(_contexts(texts.select("doc_id", "th", "text", "places"), least, head), "contexts")
     tables.drop(every, often)
     ordered = contexts.filter("not hot").repartition("head").sortWithinPartitions("head")
-    windows = contexts.filter("hot").select("head", "doc_id", "th", "at").distinct()
-    twice = windows.groupBy("head").agg(F.count("*").alias("n")).filter("n > 1").select("head")
-    marked = windows.join(twice, "head").select("doc_id", "th", F.col("at").alias("first"), (F.col("at") + least).alias("last"))
+    windows = contexts.filter("hot").select("head", "wide", "doc_id", "th", "at").distinct()
+    twice = windows.groupBy("head", "wide").agg(F.count("*").alias("n")).filter("n > 1").select("head", "wide")
+    marked = windows.join(twice, ["head", "wide"]).select("doc_id", "th", F.col("at").alias("first"), (F.col("at") + least).alias("last"))
     spans = tables.put(_shared(ordered, least, least - head, reach).union(marked).distinct(), "spans")
     tables.drop(contexts)
     # Spans of a text: in order, joined where they touch. All steps are by text, so they share one shuffle.
-    order = Window.partitionBy("th").orderBy("first", "last")
+    order = Window.partitionBy("th", "doc_id").orderBy("first", "last")
     reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     isle = spans.withColumn("new", F.when(F.col("first") <= reached, 0).otherwise(1))
-    isle = isle.withColumn("isle", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("th", "isle").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    per = isle.groupBy("th").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("passages"))
-    per = same.join(per, "th", "left").filter((F.col("copies") > 1) | F.col("passages").isNotNull()).select(F.col("th").alias("_th"), "copies", "passages")
-    out = d.join(per, d["th"] == per["_th"]).withColumn("_n", n_words)
+    isle = isle.withColumn("isle", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("th", "doc_id", "isle").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    per = isle.groupBy("th", "doc_id").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("passages"))
+    per = same.withColumnRenamed("rep", "doc_id").join(per, ["th", "doc_id"], "left").filter((F.col("copies") > 1) | F.col("passages").isNotNull())
+    per = per.select(F.col("th").alias("_th"), F.col("th2").alias("_th2"), "copies", "passages")
+    out = d.join(per, (d["th"] == per["_th"]) & (d["th2"] == per["_th2"])).withColumn("_n", n_words)
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("_n").cast("int").alias("last")))
     out = out.withColumn("_p", F.when((F.col("copies") > 1) & (F.col("_n") >= least), whole).otherwise(F.col("passages"))).filter("_p is not null")
     return out.select("doc_id", F.size("_p").cast("long").alias("n_passages"), F.aggregate("_p", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"]).alias("n_repeated"),
