@@ -13,8 +13,10 @@ follow, so sparse + head <= least + 1 must hold. Suffixes carry a bounded contex
 passage mark it piece by piece. Texts that are equal as a whole are taken once and counted.
 
 Heads in more than `hot` places are not compared in one task. There each place gives the windows of `least` words around
-it, at most head + 1, and windows that occur twice, counted by two 64-bit hashes with partial sums, mark their words.
-Texts are equal if two 64-bit hashes are.
+it, at most head + 1, that no earlier place gives: a run. A run that occurs twice marks its words; the windows of one run of
+each kind, weighed by the places of that kind, are counted, and those that occur twice mark the words of runs that occur once.
+So copies of a passage cost a row each, not one for each of its windows. Runs and windows are told by two 64-bit hashes and
+counted with partial sums. Texts are equal if two 64-bit hashes are.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from .common import Tables, renamed
 from .words import hashes, minimisers, mixed, sequences, words
@@ -50,10 +53,24 @@ def _suffixes(docs: DataFrame, inner: int, sparse: int, head: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, th long, head long, at int")
 
 
+def _runs(places: list[int], n_words: int, least: int, left: int) -> list[tuple[int, int]]:
+    """[(first, end)] of the first words of the windows that hot places give, each window once: a run ends at its place and
+    begins after the place before."""
+    out, before = [], -1
+    for at in sorted(places):
+        first, end = max(at - left, before + 1), min(at, n_words - least) + 1
+        if first < end:
+            out.append((first, end))
+        before = at
+    return out
+
+
 def _contexts(docs: DataFrame, least: int, head: int) -> DataFrame:
-    """(head, hot, wide, suffix, prefix, doc_id, th, at): up to 2 * head words from each place and up to least - head before it,
-    nearest first; for a hot place instead its windows: head is the window's hash and wide a second one, at its first word."""
-    schema = pa.schema([("head", pa.int64()), ("hot", pa.bool_()), ("wide", pa.int64()), ("suffix", pa.binary()), ("prefix", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32())])
+    """(head, hot, wide, suffix, prefix, windows, doc_id, th, at): up to 2 * head words from each place and up to least - head
+    before it, nearest first; for a hot place instead its run of windows at its first word: head is the hash of all words of
+    the run and wide a second one, windows has two hashes of each."""
+    window = pa.struct([("head", pa.int64()), ("wide", pa.int64())])
+    schema = pa.schema([("head", pa.int64()), ("hot", pa.bool_()), ("wide", pa.int64()), ("suffix", pa.binary()), ("prefix", pa.binary()), ("windows", pa.list_(window)), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32())])
     left, right = least - head, 2 * head
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,22 +82,24 @@ def _contexts(docs: DataFrame, least: int, head: int) -> DataFrame:
         for b in batches:
             for doc, th, text, places in zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist(), b.column("text"), b.column("places").to_pylist(), strict=True):
                 ws = words(text.as_py())
-                firsts = sorted({f for p in places if p["hot"] for f in range(max(0, p["at"] - left), min(p["at"], len(ws) - least) + 1)})
-                if firsts:
+                runs = _runs([p["at"] for p in places if p["hot"]], len(ws), least, left)
+                if runs:
                     h = hashes(ws)
-                    windows, second = (sequences(x, least).view(np.int64)[firsts].tolist() for x in (h, mixed(h)))
-                    rows += [(w, True, w2, None, None, doc, th, f) for w, w2, f in zip(windows, second, firsts, strict=True)]
+                    windows, second = (sequences(x, least).view(np.int64).tolist() for x in (h, mixed(h)))
+                    whole = [b" ".join(ws[first : end - 1 + least]) for first, end in runs]
+                    one, two = (np.array([xxh64_intdigest(x, seed) for x in whole], np.uint64).view(np.int64).tolist() for seed in (0, 1))
+                    rows += [(a, True, b, None, None, list(zip(windows[first:end], second[first:end], strict=True)), doc, th, first) for a, b, (first, end) in zip(one, two, runs, strict=True)]
                 for p in places:
                     if not p["hot"]:
                         at = p["at"]
-                        rows.append((p["head"], False, None, b" ".join(ws[at : at + right]), b" ".join(reversed(ws[max(0, at - left) : at])), doc, th, at))
+                        rows.append((p["head"], False, None, b" ".join(ws[at : at + right]), b" ".join(reversed(ws[max(0, at - left) : at])), None, doc, th, at))
                 if len(rows) > 4096:
                     yield flush()
                     rows = []
         if rows:
             yield flush()
 
-    return docs.mapInArrow(run, "head long, hot boolean, wide long, suffix binary, prefix binary, doc_id long, th long, at int")
+    return docs.mapInArrow(run, "head long, hot boolean, wide long, suffix binary, prefix binary, windows array<struct<head:long,wide:long>>, doc_id long, th long, at int")
 
 
 def agreed(a: list[bytes], b: list[bytes]) -> int:
@@ -178,11 +197,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     contexts = tables.put(_contexts(texts.select("doc_id", "th", "text", "places"), least, head), "contexts")
     tables.drop(every, often)
     ordered = contexts.filter("not hot").repartition("head").sortWithinPartitions("head")
-    windows = contexts.filter("hot").select("head", "wide", "doc_id", "th", "at").distinct()
-    twice = windows.groupBy("head", "wide").agg(F.count("*").alias("n")).filter("n > 1").select("head", "wide")
-    marked = windows.join(twice, ["head", "wide"]).select("doc_id", "th", F.col("at").alias("first"), (F.col("at") + least).alias("last"))
-    spans = tables.put(_shared(ordered, least, least - head, reach).union(marked).distinct(), "spans")
-    tables.drop(contexts)
+    runs = contexts.filter("hot").select("head", "wide", "doc_id", "th", "at", "windows")
+    kinds = tables.put(runs.groupBy("head", "wide").agg(F.count("*").alias("n"), F.min(F.struct("th", "doc_id", "at", "windows")).alias("one")), "kinds")
+    both = ["head", "wide"]
+    wholes = runs.withColumn("last", F.col("at") + F.size("windows") - 1 + least).drop("windows").join(kinds.filter("n > 1").select(*both), both, "left_semi")
+    windows = kinds.select("n", "one.th", "one.doc_id", "one.at", F.posexplode("one.windows").alias("k", "w")).select("n", "th", "doc_id", (F.col("at") + F.col("k")).alias("at"), "w.head", "w.wide")
+    twice = windows.groupBy(*both).agg(F.sum("n").alias("n")).filter("n > 1").select(*both)
+    single = windows.filter("n = 1").join(twice, both, "left_semi").withColumn("last", F.col("at") + least)
+    marked = [x.select("doc_id", "th", F.col("at").alias("first"), "last") for x in (wholes, single)]
+    spans = tables.put(_shared(ordered, least, least - head, reach).union(marked[0]).union(marked[1]).distinct(), "spans")
+    tables.drop(contexts, kinds)
     # Spans of a text: in order, joined where they touch. All steps are by text, so they share one shuffle.
     order = Window.partitionBy("th", "doc_id").orderBy("first", "last")
     reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))

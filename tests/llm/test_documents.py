@@ -139,6 +139,33 @@ def test_suffixes_left_partners(spark, shared):
         assert (spans(got[i].spans if i in got else "", len(x)) == c).all()
 
 
+@pytest.mark.parametrize("hot", [8, 1024])
+def test_suffixes_near_copies(spark, monkeypatch, hot):
+    """Near copies of one text mark the words of all pairs; where their heads are hot, each place is one row, not one for each window."""
+    rng = np.random.default_rng(6)
+    base, docs = [f"b{i}" for i in range(400)], [(1000, " ".join(f"c{i}" for i in range(200)))]
+    for i in range(60):
+        w = list(base)
+        for k in rng.integers(0, 400, i % 4):
+            w[k] = f"x{i}.{k}"
+        docs.append((i, " ".join(w[int(rng.integers(0, 30)) :] + [f"end{i}"])))
+    w, cover = brute.repeats(docs, 50)
+    stored, put = [], suffixes.Tables.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        if name == "contexts":
+            stored.append(out.filter("hot").count())
+        return out
+
+    monkeypatch.setattr(suffixes.Tables, "put", counted)
+    got = {r.doc_id: r for r in suffixes.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string"), hot=hot).collect()}
+    for (i, _), x, c in zip(docs, w, cover, strict=True):
+        assert (spans(got[i].spans if i in got else "", len(x)) == c).all()
+    windows = sum(len(x) - 49 for x in w)
+    assert stored == [0] if hot == 1024 else 0 < stored[0] < windows / 5
+
+
 def test_suffixes_group():
     """Places of one head in all pairs and by classes mark the same words, with short and empty contexts among them."""
     rng = np.random.default_rng(5)
