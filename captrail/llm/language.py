@@ -8,6 +8,7 @@ the number of languages times the log of the number of words) rises. The largest
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_fold, hash_share, renamed
+from .common import Tables, crc_fold, renamed
 
 #: Bits of the n-gram hash.
 BITS = 15
@@ -28,14 +29,14 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
-    """(hashed n-grams, counts, words): lower-case letters, all else one blank between words."""
+def _hashed(text: str | None) -> tuple[np.ndarray, int]:
+    """(the hash of each n-gram, words): lower-case letters, all else one blank between words."""
     if not text:
-        return np.zeros(0, np.int64), np.zeros(0), 0
+        return np.zeros(0, np.uint32), 0
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     is_letter = _letters()[codes]
     if not is_letter.any():
-        return np.zeros(0, np.int64), np.zeros(0), 0
+        return np.zeros(0, np.uint32), 0
     c = np.where(is_letter, codes, 0).astype(np.uint32)
     c = np.concatenate(([np.uint32(0)], c, [np.uint32(0)]))
     keep = np.ones(len(c), bool)
@@ -45,7 +46,14 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     one = c * np.uint32(2654435761)
     two = (one[:-1] ^ (one[:-1] >> np.uint32(15))) * np.uint32(2246822519) + one[1:] + np.uint32(1)
     three = (two[:-1] ^ (two[:-1] >> np.uint32(13))) * np.uint32(3266489917) + one[2:] + np.uint32(2)
-    h = np.concatenate((one[c != 0], two, three)) >> np.uint32(32 - BITS)
+    return np.concatenate((one[c != 0], two, three)) >> np.uint32(32 - BITS), words
+
+
+def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(hashed n-grams, counts, words) of a text."""
+    h, words = _hashed(text)
+    if not len(h):
+        return np.zeros(0, np.int64), np.zeros(0), 0
     counts = np.bincount(h, minlength=1 << BITS)
     at = np.flatnonzero(counts)
     return at, counts[at].astype(np.float64), words
@@ -53,27 +61,31 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
+    held: dict[str, list[np.ndarray]] = defaultdict(list)
+
+    def add(lang: str) -> None:
+        totals[lang] = totals.get(lang, 0) + np.bincount(np.concatenate(held.pop(lang)), minlength=1 << BITS)
+
     for b in batches:
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text"), strict=True):
-            at, n, _ = ngrams(text.as_py())
-            if lang not in totals:
-                totals[lang] = np.zeros(1 << BITS)
-            totals[lang][at] += n
+            held[lang].append(_hashed(text.as_py())[0])
+            if len(held[lang]) == 64:
+                add(lang)
+    for lang in list(held):
+        add(lang)
     for lang, t in totals.items():
         at = np.flatnonzero(t)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(t[at].astype(np.int64))], names=["lang", "gram", "n"])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fold: tuple[int, int] | None = (4, 2), max_rows: int = 12_000) -> dict:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fold: tuple[int, int] | None = (4, 2)) -> dict:
     """The model: languages and the log-probability of each n-gram in each.
 
-    Learns from about max_rows rows (the bound of the sample, chosen by a hash of the id) with a language and a text
-    outside the held-out fold. Only counts by language and n-gram reach the driver: languages times 2^BITS at most."""
+    Learns from all rows with a language and a text outside the held-out fold. Only counts by language and n-gram reach the
+    driver: languages times 2^BITS at most."""
     d = renamed(docs, doc_id=id_col, text=text_col, lang=lang_col).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if fold:
         d = d.filter(crc_fold("doc_id", fold[0]) != fold[1])
-    n = d.count()
-    d = d.filter(hash_share("doc_id", min(1.0, max_rows / max(n, 1))))
     rows = d.select("text", "lang").mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(rows.column("lang").to_pylist()))
     table = np.full((len(names), 1 << BITS), 0.5)
@@ -158,27 +170,54 @@ FLAT = -BITS * float(np.log(2))
 CHANCE, SPREAD, WORST = 1.0, 8.0, 0.001
 
 
-def calibrated(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fold: tuple[int, int] = (4, 2), max_rows: int = 4_000) -> dict:
-    """The model with `least`, the mean log-likelihood that all but WORST of known documents reach: about max_rows rows (a bound,
-    hash-chosen) with a language that the model knows, out of the fold that it has not learned from. Without such rows it is FLAT."""
-    d = renamed(docs, doc_id=id_col, text=text_col, lang=lang_col).filter(F.col("lang").isin(model["langs"]) & F.col("text").isNotNull() & (crc_fold("doc_id", fold[0]) == fold[1]))
-    n = d.count()
-    d = d.filter(hash_share("doc_id", min(1.0, max_rows / max(n, 1)), seed=13)).select("text")
+#: Bins that a quantile is looked for in at a time.
+BINS = 1024
+
+
+def quantile(values: DataFrame, part: float) -> float | None:
+    """That quantile of all numbers in column v, between neighbours by their distance; None without rows. The bins of a range are
+    counted, then those of the bin that holds the wanted rank, so no more than BINS numbers reach the driver at once."""
+    n = values.count()
+    if not n:
+        return None
+    place = part * (n - 1)
+    rank = k = int(place)
+    inside = values
+    while n > BINS:
+        low, high = inside.agg(F.min("v"), F.max("v")).first()
+        if low == high:
+            break
+        number = F.least(F.floor((F.col("v") - low) * (BINS / (high - low))), F.lit(BINS - 1))
+        for at, n in sorted(inside.groupBy(number.alias("bin")).count().collect()):
+            if k < n:
+                break
+            k -= n
+        inside = inside.filter(number == at)
+    low = low if n > BINS else sorted(x for (x,) in inside.collect())[k]
+    upto, above = values.agg(F.count_if(F.col("v") <= low), F.min(F.when(F.col("v") > low, F.col("v")))).first()
+    after = low if upto > rank + 1 or above is None else above
+    return low + (after - low) * (place - rank)
+
+
+def calibrated(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fold: tuple[int, int] = (4, 2)) -> dict:
+    """The model with `least`, the mean log-likelihood that all but WORST of known documents reach: of all rows with a language that
+    the model knows, in the fold that it has not learned from. Without such rows it is FLAT. One number of each is stored."""
+    d = renamed(docs, doc_id=id_col, text=text_col, lang=lang_col).filter(F.col("lang").isin(model["langs"]) & F.col("text").isNotNull() & (crc_fold("doc_id", fold[0]) == fold[1])).select("text")
     logp = model["logp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = []
-            for text in b.column("text"):  # two numbers of a document stay, not its n-grams
+            for text in b.column("text"):
                 at, n, words = ngrams(text.as_py())
                 if len(at):
-                    found.append((likelihood(at, n, proportions(at, n, words, logp), logp), float(n.sum())))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.float64()) for k in (0, 1)], names=["ll", "n"])
+                    found.append(likelihood(at, n, proportions(at, n, words, logp), logp) + SPREAD / float(np.sqrt(n.sum())))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], names=["v"])
 
-    got = d.mapInArrow(run, "ll double, n double").toArrow()
-    if not got.num_rows:
-        return model | {"least": FLAT}
-    return model | {"least": float(np.quantile(got.column("ll").to_numpy() + SPREAD / np.sqrt(got.column("n").to_numpy()), WORST))}
+    tables = Tables(docs.sparkSession, "calibration")
+    least = quantile(tables.put(d.mapInArrow(run, "v double"), "values"), WORST)
+    tables.drop_all()
+    return model | {"least": FLAT if least is None else least}
 
 
 def explained(model: dict, at: np.ndarray, n: np.ndarray, words: int) -> bool:

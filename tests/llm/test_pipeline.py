@@ -71,6 +71,34 @@ def test_language_stage_is_calibrated(spark, sf, documents):
     assert {i for i in got if i < 10**6} == lettered
 
 
+def test_language_model_learns_from_all_rows(spark):
+    """Of 20,000 rows the n-grams of all outside the fold are counted, and a language that few rows have is learned; the threshold is
+    of all rows in the fold."""
+    d = spark.range(20_000).selectExpr("id doc_id", "concat('wort ', chr(cast(97 + id % 26 as int)), ' sagt', if(id % 7 = 0, ' viel', '')) text",
+                                       "case when id in (17, 8211, 12001) then 'xx' when id % 2 = 0 then 'de' else 'nl' end lang")
+    fold = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4)"
+    counts = {}
+    for r in d.filter(f"{fold} <> 2").collect():
+        at, n, _ = language.ngrams(r.text)
+        counts.setdefault(r.lang, np.full(1 << language.BITS, 0.5))[at] += n
+    model = language.fit(d)
+    assert model["langs"] == sorted(counts) == ["de", "nl", "xx"]
+    for k, x in enumerate(model["langs"]):
+        assert np.allclose(model["logp"][k], np.log(counts[x] / counts[x].sum()), atol=1e-5)
+    known = [language.ngrams(r.text) for r in d.filter(f"{fold} = 2").collect()]
+    each = [language.likelihood(at, n, language.proportions(at, n, words, model["logp"]), model["logp"]) + 8 / np.sqrt(n.sum()) for at, n, words in known]
+    assert len(each) > 4000 and np.isclose(language.calibrated(d, model)["least"], np.quantile(each, 0.001), rtol=1e-9)
+
+
+def test_language_threshold_is_of_all_rows(spark):
+    rng = np.random.default_rng(8)
+    for x in (rng.normal(0, 1, 9000), np.repeat([1.0, 2.0, 3.5], 2000), rng.normal(0, 1, 700).round(1), np.append(rng.normal(0, 1, 4000), [-1e9, 1e9]), [4.5]):
+        values = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(5)
+        for part in (0.0, 0.001, 0.4, 1.0):
+            assert np.isclose(language.quantile(values, part), np.quantile(x, part), rtol=1e-12, atol=0)
+    assert language.quantile(values.limit(0), 0.001) is None
+
+
 def test_run_is_the_chain(spark, sf):
     """The rows of run() are those of the stages one after the other, each on what the one before kept."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
