@@ -1,6 +1,7 @@
 """Slices, runs, records, footers and sources on small inputs and as properties."""
 
 import gzip
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -242,3 +243,24 @@ def test_retries():
         return b"x"
 
     assert fetch.patient(flaky, 3, 0.0)("n", 0, 0) == b"x" and len(seen) == 3
+
+
+def test_upsert_sorts_a_bounded_number_of_rows(spark):
+    """Rows of equal keys are replaced, also where keys repeat or are null; all joins are on partitions of the given number."""
+    old = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, v long")
+    new = spark.createDataFrame([("a", 9), ("c", 8), ("c", 7), (None, 6)], "k string, v long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for n in (None, 5):
+            got = index.upsert(old, new, ["k"], n)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted([("b", 3), (None, 4), ("a", 9), ("c", 8), ("c", 7), (None, 6)], key=str)
+        from captrail.plans import registry
+
+        d = "/root/testdata/sf0.001"
+        for df, want in ((got, 5), (registry.QUERIES["upsert"](spark, d), index.parts(spark.read.parquet(f"{d}/orders.parquet")))):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            dealt = re.findall(r"hashpartitioning\(.*?, (\d+)\), (\w+)", plan)
+            assert dealt and set(dealt) == {(str(want), "REPARTITION_BY_NUM")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert index.parts(spark.range(1000), 10) == 100
