@@ -1,4 +1,4 @@
-"""Exact top-k inner products by best-first search in M-trees.
+"""Exact top-k inner products by M-trees that are searched by many queries at once.
 
 Vectors become integers floor(scale * x). One more coordinate, sqrt(M - |x|^2) with M the table's largest squared norm,
 gives all rows the same norm, so the largest inner product is the smallest Euclidean distance and the triangle inequality
@@ -8,16 +8,16 @@ radius and each entry its distance from the routing row (parent distance), by wh
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vectors import search_shards, usable
+from .vectors import search_shards, squares, usable
 
 #: Slack for rounding in distances of integer vectors: bounds are loosened by it, scores themselves are exact integers.
 SLACK = 1e-6
+#: Scores of queries and rows of a page that are held at a time.
+CELLS = 1 << 20
 
 
 def _pages(x: np.ndarray, size: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -67,48 +67,71 @@ def build(ids: np.ndarray, v: np.ndarray, scale: float = 256.0, page: int = 48,
     return {"ids": ids, "x": x, "ints": ints, "leaves": leaves, "tops": tops, "top_at": np.array([t["at"] for t in tops]), "most": most, "scale": scale}
 
 
-def search(tree: dict, query_id: int, vector: np.ndarray, k: int, tau: float = np.inf) -> list[tuple[int, int]]:
-    """[(score, vec_id)] of the k largest scores within the distance tau, ties to the smaller id. A page is opened only if its
-    bound may still tie."""
-    x, ids = tree["x"], tree["ids"]
-    own = np.floor(tree["scale"] * vector)
-    q = np.append(own, 0.0)
-    q2 = float(own @ own)
-    best: list[tuple[float, int]] = []  # a heap whose first is the worst: (score, -id)
-
-    def reach() -> float:
-        """The distance at which a row ties with the worst of the k: |q|^2 + M - 2 score."""
-        return min(tau, np.sqrt(max(0.0, q2 + tree["most"] - 2 * best[0][0])) if len(best) == k else np.inf) + SLACK
-
-    tops = tree["tops"]
-    d_top = np.sqrt(((x[tree["top_at"]] - q) ** 2).sum(axis=1))
-    heap = [(max(0.0, d - t["radius"]), 0, i, d) for i, (d, t) in enumerate(zip(d_top.tolist(), tops, strict=True))]
-    heapq.heapify(heap)
-    while heap and heap[0][0] <= reach():
-        _, leaf, i, d = heapq.heappop(heap)
-        if not leaf:
-            t = tops[i]
-            near = np.flatnonzero(np.abs(d - t["parent"]) - t["radii"] <= reach())  # before any distance is computed
-            pages = t["pages"][near]
-            at = np.array([tree["leaves"][j]["at"] for j in pages], np.int64)
-            for j, e in zip(pages.tolist(), np.sqrt(((x[at] - q) ** 2).sum(axis=1)).tolist(), strict=True):
-                heapq.heappush(heap, (max(0.0, e - tree["leaves"][j]["radius"]), 1, j, e))
-            continue
-        page = tree["leaves"][i]
-        r = reach()
-        lo, hi = np.searchsorted(page["parent"], (d - r, d + r)) if np.isfinite(r) else (0, len(page["rows"]))
-        rows = page["rows"][lo : np.searchsorted(page["parent"], d + r, "right") if np.isfinite(r) else hi]
-        scores = tree["ints"][rows] @ own
-        if len(best) == k:
-            keep = scores >= best[0][0]
-            rows, scores = rows[keep], scores[keep]
-        for s, v in zip(scores.tolist(), ids[rows].tolist(), strict=True):
-            if v != query_id:
-                if len(best) < k:
-                    heapq.heappush(best, (s, -v))
-                elif (s, -v) > best[0]:
-                    heapq.heapreplace(best, (s, -v))
-    return [(int(s), -v) for s, v in best]
+def search(tree: dict, own_ids: np.ndarray, vectors: np.ndarray, k: int, taus: np.ndarray) -> list[list[tuple[int, int]]]:
+    """For each query [(score, vec_id)] of its k largest scores within its distance tau, ties to the smaller id. A page is opened
+    for the queries whose bounds may still tie, for all of them at once; each query's nearest page comes first."""
+    x, ids, leaves, tops = tree["x"], tree["ids"], tree["leaves"], tree["tops"]
+    own = np.floor(tree["scale"] * vectors)
+    q = np.hstack((own, np.zeros((len(own), 1))))
+    q2 = (own * own).sum(axis=1)
+    scores, names = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+    reach = np.asarray(taus, float) + SLACK  # the distance at which a row ties with the worst of the k: |q|^2 + M - 2 score
+    # The square of a distance is a difference of larger numbers: what rounding may take from it is added to the reach.
+    wide = lambda rows: reach[rows] + np.sqrt(4e-15 * q.shape[1] * (q2[rows] + tree["most"]))
+
+    def between(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(0.0, squares(q[rows], x[at])))
+
+    def opened(leaf: int, who: np.ndarray, d: np.ndarray) -> None:
+        page = leaves[leaf]
+        most = max(1, CELLS // len(page["rows"]))
+        if len(who) > most:  # a page of many equal rows
+            for at in range(0, len(who), most):
+                opened(leaf, who[at : at + most], d[at : at + most])
+            return
+        r = wide(who)
+        near = page["parent"][(page["parent"] >= (d - r).min()) & (page["parent"] <= (d + r).max())] if np.isfinite(r).all() else page["parent"]
+        first = int(np.searchsorted(page["parent"], near[0])) if len(near) else 0
+        rows = page["rows"][first : first + len(near)]
+        s = own[who] @ tree["ints"][rows].T
+        s[ids[rows][None, :] == own_ids[who][:, None]] = -np.inf
+        better = np.flatnonzero((s >= scores[who, -1:]).any(axis=1) & (s > -np.inf).any(axis=1))
+        if not len(better):
+            return
+        who, s = who[better], np.hstack((scores[who[better]], s[better]))
+        n = np.hstack((names[who], np.broadcast_to(ids[rows], (len(who), len(rows)))))
+        order = np.lexsort((n, -s), axis=1)[:, :k]
+        scores[who], names[who] = np.take_along_axis(s, order, 1), np.take_along_axis(n, order, 1)
+        full = who[scores[who, -1] > -np.inf]
+        reach[full] = np.minimum(reach[full], np.sqrt(np.maximum(0.0, q2[full] + tree["most"] - 2 * scores[full, -1])) + SLACK)
+
+    every = np.arange(len(q))
+    d_top = between(every, tree["top_at"])
+    low_top = np.maximum(0.0, d_top - np.array([t["radius"] for t in tops])[None, :])
+    done = np.full(len(q), -1)  # the page that each query has seen first: one below its nearest routing row
+    nearest = low_top.argmin(axis=1)
+    for first in (True, False):
+        for t in np.argsort(low_top.min(axis=0), kind="stable").tolist():
+            who = every[(nearest == t) if first else (low_top[:, t] <= wide(every))]
+            if not len(who):
+                continue
+            top = tops[t]
+            # The pages' bounds by the parent distances come before any distance from their own routing rows.
+            d = d_top[who, t]
+            pages = np.flatnonzero((np.abs(d[:, None] - top["parent"]) - top["radii"] <= wide(who)[:, None]).any(axis=0))
+            if not len(pages):
+                continue
+            e = between(who, np.array([leaves[j]["at"] for j in top["pages"][pages]], np.int64))
+            low = np.maximum(0.0, e - top["radii"][pages])
+            best = low.argmin(axis=1)
+            for c in np.argsort(low.min(axis=0), kind="stable").tolist():
+                leaf = int(top["pages"][pages[c]])
+                go = np.flatnonzero((best == c) if first else (low[:, c] <= wide(who)) & (done[who] != leaf))
+                if len(go):
+                    opened(leaf, who[go], e[go, c])
+                    if first:
+                        done[who[go]] = leaf
+    return [[(int(s), int(n)) for s, n in zip(a, b, strict=True) if s > -np.inf] for a, b in zip(scores.tolist(), names.tolist(), strict=True)]
 
 
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", every: int = 50, k: int = 5, scale: float = 256.0,

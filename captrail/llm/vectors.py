@@ -154,19 +154,24 @@ def _answered(parts: DataFrame, build: Callable, search: Callable, point: Callab
     the table have no row number and come first."""
     score = pa.int64() if score_type == "long" else pa.float64()
 
-    def best(held: dict, trees: dict, shards: list[int], i: int, v: np.ndarray, dim: int, tau: float) -> list[tuple]:
-        """[(score, vec_id)] of the k best of a query in the shards of a bundle."""
-        found: list[tuple] = []
-        for shard in shards:
+    def best(held: dict, trees: dict, shards: list[list[int]], ids: np.ndarray, v: np.ndarray, tau: np.ndarray) -> list[list[tuple]]:
+        """[(score, vec_id)] of the k best of each query in its shards of a bundle. A shard answers all its queries at once."""
+        found: list[list[tuple]] = [[] for _ in shards]
+        asked = defaultdict(list)
+        for i, some in enumerate(shards):
+            for shard in some:
+                asked[shard].append(i)
+        for shard, who in asked.items():
             if shard not in held:
                 continue
             if shard not in trees:
-                ids, rows = np.concatenate([h[0] for h in held[shard]]), np.concatenate([h[1] for h in held[shard]])
-                order = np.argsort(ids, kind="stable")
-                trees[shard] = build(ids[order], rows[order])
-            found = sorted(found + search(trees[shard], i, v, k, tau), key=lambda x: (x[0] if smallest else -x[0], x[1]))[:k]
-            if len(found) == k:
-                tau = min(tau, bound(point(v[None, :])[0], found[-1][0]) * (1 + SLACK) + LEAST)
+                own, rows = np.concatenate([h[0] for h in held[shard]]), np.concatenate([h[1] for h in held[shard]])
+                order = np.argsort(own, kind="stable")
+                trees[shard] = build(own[order], rows[order])
+            for i, more in zip(who, search(trees[shard], ids[who], v[who], k, tau[who]), strict=True):
+                found[i] = sorted(found[i] + more, key=lambda x: (x[0] if smallest else -x[0], x[1]))[:k]
+                if len(found[i]) == k:
+                    tau[i] = min(tau[i], bound(point(v[i : i + 1])[0], found[i][-1][0]) * (1 + SLACK) + LEAST)
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +190,9 @@ def _answered(parts: DataFrame, build: Callable, search: Callable, point: Callab
                     for shard in np.unique(of).tolist():
                         held[shard].append((ids[of == shard], v[of == shard]))
                 else:
-                    for row, i, q, tau, shards in zip(part.column("row").to_pylist(), ids.tolist(), v, part.column("tau").to_pylist(), part.column("shards").to_pylist(), strict=True):
-                        out += [(row, i, vec, s) for s, vec in best(held, trees, shards, i, q, bundle[0], tau)]
+                    tau = np.array(part.column("tau").to_pylist(), float)
+                    for row, i, got in zip(part.column("row").to_pylist(), ids.tolist(), best(held, trees, part.column("shards").to_pylist(), ids, v, tau), strict=True):
+                        out += [(row, i, vec, s) for s, vec in got]
             cells = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cells[:3]], pa.array(cells[3], score)], names=["row", "query_id", "vec_id", "score"])
 
@@ -199,7 +205,7 @@ def search_shards(rows: DataFrame, n: int, every: int, point: Callable, query_po
 
     Queries are the rows whose id is divisible by every. point(matrix) and query_point(matrix) give the points between which
     the triangle inequality holds; bound(query point, score) is the distance of a row of that score. build(ids, matrix) makes
-    a tree; search(tree, query_id, vector, k, tau) gives (score, vec_id) of the shard's best k within the distance tau. There
+    a tree; search(tree, query_ids, vectors, k, taus) gives each query's (score, vec_id) of the shard's best k within its distance tau. There
     is a region for about region_rows rows, SAMPLE at most; shards hold about shard_rows rows. Only the sample and a few
     numbers for each region reach the driver."""
     spark = rows.sparkSession

@@ -94,5 +94,5 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     the index of its shard."""
     rows = usable(vectors, id_col, vec_col, nonzero=True)
     same = lambda v: v
-    return search_shards(rows, rows.count(), every, same, same, lambda _, score: score, lambda ids, v: build(ids, v, leaf), lambda t, i, q, n, tau: search(t, i, q, n, tau, factor), k, "double", True,
+    return search_shards(rows, rows.count(), every, same, same, lambda _, score: score, lambda ids, v: build(ids, v, leaf), lambda t, ids, q, n, taus: [search(t, *one, n, tau, factor) for *one, tau in zip(ids.tolist(), q, taus.tolist(), strict=True)], k, "double", True,
                          region_rows, shard_rows, factor)

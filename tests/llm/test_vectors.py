@@ -34,6 +34,25 @@ def test_top_k(spark):
         assert found(mtree.top_k(d, region_rows=region, shard_rows=shard, page=8)) == want
 
 
+@pytest.mark.parametrize("cells", [64, 1 << 20])
+def test_top_k_answers_queries_together(monkeypatch, cells):
+    """A tree answers many queries in one call, as all pairs do, with equal rows and loose and tight bounds among them."""
+    monkeypatch.setattr(mtree, "CELLS", cells)
+    rng = np.random.default_rng(9)
+    v = np.concatenate((rng.normal(0, 1, (700, 6)).round(2), np.tile(rng.normal(0, 1, 6).round(2), (90, 1))))
+    ids = np.arange(len(v)) * 3
+    tree = mtree.build(ids, v, page=12)
+    own = np.arange(0, len(v), 4)
+    ints = np.floor(256 * v)
+    want = []
+    for i in own:
+        s = ints @ ints[i]
+        want.append([(int(s[j]), int(ids[j])) for j in sorted(range(len(v)), key=lambda j: (-s[j], ids[j])) if j != i][:5])
+    reach = np.array([np.sqrt(ints[i] @ ints[i] + tree["most"] - 2 * w[-1][0]) for i, w in zip(own, want, strict=True)])
+    for taus in (np.full(len(own), np.inf), np.where(np.arange(len(own)) % 2, np.inf, reach)):
+        assert mtree.search(tree, ids[own], v[own], 5, taus) == want
+
+
 def test_nearest(spark):
     rows = data(spark) + [(1000 + i, v) for i, v in data(spark, 40)]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
