@@ -17,6 +17,7 @@ import re
 from collections import defaultdict, deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ BYTE_COST = 10.0
 COLUMNS = 320
 #: Parts that advance together, and the longest that do.
 TOGETHER, LONGEST = 8192, 48
+#: Texts whose parts are held at once: a worker keeps most of the memory that it ever needed.
+SLICE = 250
 
 
 def load(path: str = MODEL) -> dict:
@@ -87,18 +90,24 @@ class Automaton:
         """The state of the longest piece that ends here, 0 if none does."""
         return state if self.piece[state] >= 0 else self.link[state]
 
-    def table(self, columns: list[str]) -> np.ndarray:
-        """Transitions by (state, column); column 0 is any other character and leads to the root."""
-        t = np.zeros((len(self.children), len(columns) + 1), np.int32)
+    def table(self, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(transitions by (row, column), the row of each state); column 0 is any other character and leads to the root.
+
+        A state that no piece goes on from moves as its fail state does and shares that one's row."""
+        t = np.zeros((1 + sum(map(bool, self.children[1:])), len(columns) + 1), np.int32)
+        row, used = np.zeros(len(self.children), np.int32), 0
         place = {ch: k + 1 for k, ch in enumerate(columns)}
         for at in self.order:
-            if at:
-                t[at] = t[self.fail[at]]
+            row[at] = row[self.fail[at]]
+            if at and self.children[at]:
+                used += 1
+                t[used] = t[row[at]]
+                row[at] = used
             for ch, nxt in self.children[at].items():
                 k = place.get(ch)
                 if k:
-                    t[at, k] = nxt
-        return t
+                    t[row[at], k] = nxt
+        return t, row
 
 
 class Coder:
@@ -117,7 +126,7 @@ class Coder:
         columns = sorted(used, key=lambda ch: (ch != MARK, -used[ch], ch))[:COLUMNS]
         self.column = np.zeros(0x110000, np.int16)
         self.column[[ord(ch) for ch in columns]] = np.arange(1, len(columns) + 1)
-        self.table = self.auto.table(columns)
+        self.table, self.row = self.auto.table(columns)
         self.first = np.array([self.auto.first(s) for s in range(len(self.auto.piece))], np.int32)
         self.link, self.piece = np.array(self.auto.link, np.int32), np.array(self.auto.piece, np.int32)
         self.size, self.score = np.array(self.auto.size, np.int32), np.array(self.auto.score)
@@ -192,7 +201,7 @@ class Coder:
             m = live[end]
             c = codes[starts[:m] + end - 1]
             odd[:m] |= c == 0
-            state[:m] = self.table[state[:m], c]
+            state[:m] = self.table[self.row[state[:m]], c]
             score, who = best[end - 1, :m] + self.fallback, np.arange(m)
             u = self.first[state[:m]]
             while True:
@@ -227,8 +236,8 @@ class Coder:
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each whole text; null and empty texts have none. The model puts a blank before a text."""
-        seen: defaultdict = defaultdict()
-        seen.default_factory = seen.__len__
+        # Numbered by a counter, not by the table's own length: a table that refers to itself stays in a worker after its batch.
+        seen: defaultdict[str, int] = defaultdict(count().__next__)
         number = seen.__getitem__
         each = [np.fromiter(map(number, self.cut.findall(" " + t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
         flat, ends = self.segment_all(list(seen))
@@ -282,8 +291,8 @@ def encode(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         is_byte = np.zeros(len(c.raw_size) + 1, bool)
         is_byte[list(c.byte_of)] = True
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
                 texts = part.column("text").to_pylist()
                 ids = c.encode_all(texts)
                 cols = [

@@ -1,5 +1,7 @@
 """The piece coder against the library and by exact round trips."""
 
+import gc
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -75,3 +77,20 @@ def test_without_bytes():
     c = own.Coder({"pieces": [(1, own.MARK + "a", -1.0), (2, "b", -1.0)], "bytes": [-1] * 256, "unk": 0})
     assert coder_of_marks().decode(coder_of_marks().encode("\u2581 x\u2581")) == "\u2581 x\u2581"
     assert c.encode("ab") == [1, 2] and c.encode("ac") == [1, 0] and own.Coder({"pieces": [], "bytes": [-1] * 256, "unk": 0}).encode("x") == [0, 0]
+
+
+def test_batches_leave_nothing_behind(coder):
+    """What a batch needed goes with it, without waiting for the collector of cycles, which seldom runs beside the pieces."""
+    gc.collect()
+    coder.encode_all(["some words of a text", None, "", "other words"])
+    assert gc.collect() == 0
+
+
+def test_rows_of_the_table(coder):
+    """A row of transitions for the root and each state that a piece goes on from; all states move as the automaton steps."""
+    auto = coder.auto
+    assert len(coder.table) <= 1 + sum(map(bool, auto.children))
+    small = own.Automaton([(1, "ab", 0.0), (2, "abc", 0.0), (3, "bca", 0.0), (4, "c", 0.0)])
+    table, row = small.table(["a", "b", "c"])
+    assert [[int(table[row[at], k]) for k in range(4)] for at in range(len(row))] == [[0, *(small.step(at, ch) for ch in "abc")] for at in range(len(row))]
+    assert len(table) == 5 and len(row) == 8
